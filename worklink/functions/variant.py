@@ -2,6 +2,8 @@
 
 A document is parsed once per row; every field is then a path read on the
 binary variant. Texts of numbers, booleans, objects and arrays are JSON style.
+Expressions name their operand as few times as possible: hundreds of them
+share one projection and have to fit into its generated code.
 """
 
 from __future__ import annotations
@@ -11,6 +13,9 @@ from pyspark.sql import functions as F
 
 from worklink.functions.text import TRUE_WORDS, clean_phone, clean_str, join_items, strip
 
+# JSON texts of the values that count as absent in an `a or b` chain
+FALSY = r'^(""|null|false|\[\]|\{\}|-?0(\.0+)?([eE][+-]?\d+)?)$'
+
 
 def _step(key: str) -> str:
     return f".{key}" if key.isidentifier() else f'["{key}"]'
@@ -21,42 +26,42 @@ def get(v: Column, key: str) -> Column:
     return F.try_variant_get(v, "$" + _step(key), "variant")
 
 
-def type_of(v: Column) -> Column:
-    return F.schema_of_variant(v)
+def get_text(v: Column, key: str) -> Column:
+    """Text of an object's member; JSON null is null."""
+    return F.try_variant_get(v, "$" + _step(key), "string")
 
 
-def is_object(v: Column) -> Column:
-    return F.coalesce(type_of(v).startswith("OBJECT"), F.lit(False))
+def text_of(v: Column) -> Column:
+    """Text of any variant; JSON null is null."""
+    return F.try_variant_get(v, "$", "string")
 
 
-def is_text(v: Column) -> Column:
-    return F.coalesce(type_of(v) == "STRING", F.lit(False))
+def is_object(v: Column) -> Column:
+    # reads at most one member, unlike schema_of_variant
+    return F.try_variant_get(v, "$", "struct<_: variant>").isNotNull()
 
 
-def text_of(v: Column) -> Column:
-    """Text of any variant; JSON null is null."""
-    return F.try_variant_get(v, "$", "string")
+def is_text(v: Column) -> Column:
+    return F.coalesce(F.to_json(v).startswith('"'), F.lit(False))
 
 
 def parse_obj(c: Column) -> Column:
     """FN-08: JSON object held by a text, null for anything else."""
-    v = F.try_parse_json(c)
-    return F.when(is_object(v), v)
+    return F.when(F.ltrim(c).startswith("{"), F.try_parse_json(c))
 
 
 def as_obj(v: Column) -> Column:
-    """FN-09: an object as it is, a text parsed once more, null otherwise."""
-    return F.when(is_object(v), v).when(is_text(v), parse_obj(text_of(v)))
+    """FN-09: an object as it is, a text parsed once more, null otherwise.
+
+    An array as JSON text starts with '[', so of all other values only a text
+    can pass parse_obj.
+    """
+    return F.when(is_object(v), v).otherwise(parse_obj(text_of(v)))
 
 
 def truthy(v: Column) -> Column:
     """Whether a value counts as present in an `a or b` chain (FN-11)."""
-    text = text_of(v)
-    # only these texts can come from a value that is empty, zero or false
-    doubtful = text.isin("false", "[]", "{}") | F.coalesce(
-        text.try_cast("double") == 0.0, F.lit(False)
-    )
-    return F.coalesce((text != "") & (~doubtful | is_text(v)), F.lit(False))
+    return F.coalesce(~F.to_json(v).rlike(FALSY), F.lit(False))
 
 
 def first_truthy(*values: Column) -> Column:
@@ -65,20 +70,10 @@ def first_truthy(*values: Column) -> Column:
     return F.coalesce(*[F.when(truthy(v), v) for v in head], last)
 
 
-def first_truthy_text(*values: Column) -> Column:
-    """FN-11 on texts: the text of the chosen operand."""
-    *head, last = values
-    return F.coalesce(*[F.when(truthy(v), text_of(v)) for v in head], text_of(last))
-
-
 def to_bool(v: Column) -> Column:
     """FN-06: booleans kept, texts compared with the true words, others by truthiness."""
-    kind = type_of(v)
-    return (
-        F.when(kind.isNull() | (kind == "VOID"), F.lit(None).cast("boolean"))
-        .when(kind == "STRING", F.lower(strip(text_of(v))).isin(TRUE_WORDS))
-        .otherwise(truthy(v))
-    )
+    word = F.lower(strip(text_of(v))).isin(TRUE_WORDS)
+    return F.when(text_of(v).isNotNull(), F.when(is_text(v), word).otherwise(truthy(v)))
 
 
 def to_list_text(v: Column) -> Column:
@@ -98,7 +93,7 @@ def to_elements_text(v: Column) -> Column:
 
 def to_json_text(v: Column) -> Column:
     """FN-12: JSON text, null when the value is missing or JSON null."""
-    return F.when(text_of(v).isNotNull(), F.to_json(v))
+    return F.nullif(F.to_json(v), F.lit("null"))
 
 
 def to_phone(v: Column) -> Column:
@@ -108,7 +103,7 @@ def to_phone(v: Column) -> Column:
 
 def name_or_text(v: Column) -> Column:
     """FN-14: `name` of an object, a scalar as it is."""
-    return F.when(is_object(v), text_of(get(v, "name"))).otherwise(text_of(v))
+    return F.when(is_object(v), get_text(v, "name")).otherwise(text_of(v))
 
 
 def text_field(v: Column) -> Column:

@@ -27,19 +27,20 @@ def _leaf(path: Path) -> Column:
     return V.get(F.col(_holder(path.root, path.keys[:-1])), path.keys[-1])
 
 
-def _operand_text(path: Path) -> Column:
-    return V.text_of(_leaf(path)) if path.keys else F.col(path.root).cast("string")
+def _leaf_text(path: Path) -> Column:
+    if not path.keys:
+        return F.col(path.root).cast("string")
+    return V.get_text(F.col(_holder(path.root, path.keys[:-1])), path.keys[-1])
 
 
 def _chosen_text(paths: tuple[Path, ...]) -> Column:
     """Text of the first truthy operand, else of the last one."""
     *head, last = paths
     options = [
-        F.when(V.truthy(_leaf(p)), V.text_of(_leaf(p))) if p.keys
-        else F.when(F.col(p.root).cast("string") != "", F.col(p.root).cast("string"))
+        F.when(V.truthy(_leaf(p)) if p.keys else _leaf_text(p) != "", _leaf_text(p))
         for p in head
     ]
-    return F.coalesce(*options, _operand_text(last))
+    return F.coalesce(*options, _leaf_text(last))
 
 
 def _chosen(paths: tuple[Path, ...]) -> Column:
@@ -122,7 +123,7 @@ def flatten_organization(df: DataFrame) -> DataFrame:
 def salary_basis() -> dict[str, Column]:
     """RUL-01: salary bounds by nature of job."""
     details = ("jobDetails",)
-    nature = F.lower(clean_str(V.text_of(_leaf(Path("metadata", (*details, "natureOfJob"))))))
+    nature = F.lower(clean_str(_leaf_text(Path("metadata", (*details, "natureOfJob")))))
 
     def mentions(words: tuple[str, ...]) -> Column:
         return reduce(lambda a, b: a | b, [nature.contains(w) for w in words])
@@ -167,9 +168,9 @@ def clean_member(df: DataFrame) -> DataFrame:
 def location_columns(v: Column, prefix: str) -> list[Column]:
     """PRJ-07: six columns of a location object."""
     gps = V.get(v, "gps")
-    city = V.first_truthy_text(V.get(v, "city"), V.get(v, "tag"))
-    texts = {"city": clean_str(city)} | {
-        k: clean_str(V.text_of(V.get(v, k))) for k in ("state", "address", "country")
+    city = V.first_truthy(V.get(v, "city"), V.get(v, "tag"))
+    texts = {"city": clean_str(V.text_of(city))} | {
+        k: clean_str(V.get_text(v, k)) for k in ("state", "address", "country")
     }
-    point = {k: V.text_of(V.get(gps, k)) for k in ("lat", "lng")}
+    point = {k: V.get_text(gps, k) for k in ("lat", "lng")}
     return [e.alias(f"{prefix}_{k}") for k, e in (texts | point).items()]

@@ -15,6 +15,9 @@ SETTINGS = {
     # split a skewed join partition even when that costs one more shuffle
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # projections wider than this compile to many small methods instead of one stage
+    # method, which for flattened documents would exceed the JVM's limit
+    "spark.sql.codegen.maxFields": "60",
     # JSON with a repeated key: the last one wins
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
@@ -33,6 +36,7 @@ def local_session(cpus: str | int = "*", shuffle_partitions: int = 8) -> SparkSe
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("worklink")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("WORKLINK_DRIVER_MEMORY", "12g"))
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .getOrCreate()
