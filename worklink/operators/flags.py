@@ -14,7 +14,7 @@ from worklink.constants import (
     TEST_ORG_WORDS,
     TEST_PLUS_ADDRESS,
 )
-from worklink.functions.text import as_text, digits, email_domain, strip, trimmed
+from worklink.functions.text import digits, email_domain, strip, trimmed
 from worklink.operators.keyed import salted_join
 
 FLAG = "test_flag"
@@ -80,18 +80,17 @@ def denied_keys(keys: DataFrame, kind: str, deny: DataFrame) -> DataFrame:
     return forms.join(listed, "form", "left_semi").select("key").distinct()
 
 
-def in_denylist(df: DataFrame, column: Column, kind: str, deny: DataFrame, name: str,
-                spread: Sequence[str] = ("id",)) -> DataFrame:
-    """JN-23: adds a boolean column telling whether the denylist holds the value.
+def in_denylist(df: DataFrame, key: str, kind: str, deny: DataFrame, name: str,
+                base: DataFrame, spread: Sequence[str]) -> DataFrame:
+    """JN-23: adds a boolean column telling whether the denylist holds a key column.
 
     Distinct values are checked, so a phone that fills a third of the table is
     looked up once; the rows then join the few keys that were found.
     """
-    keyed = df.withColumn("key", _key(kind, column))
-    keys = keyed.select("key").filter(F.col("key").isNotNull()).distinct()
-    found = denied_keys(keys, kind, deny).withColumn("_found", F.lit(True))
-    joined = salted_join(keyed, found, ["key"], "left", list(spread))
-    return joined.withColumn(name, F.coalesce("_found", F.lit(False))).drop("key", "_found")
+    keys = base.select(F.col(key).alias("key")).filter(F.col("key").isNotNull()).distinct()
+    found = denied_keys(keys, kind, deny).select(F.col("key").alias(key), F.lit(True).alias(name))
+    joined = salted_join(df, found, [key], "left", list(spread), base)
+    return joined.withColumn(name, F.coalesce(name, F.lit(False)))
 
 
 def _column(df: DataFrame, name: str) -> Column:
@@ -101,20 +100,23 @@ def _column(df: DataFrame, name: str) -> Column:
 def _flag(df: DataFrame, deny: DataFrame, phones: Sequence[str], emails: Sequence[str],
           orgs: Sequence[str], domains: Sequence[str], words: Sequence[str]) -> DataFrame:
     """Sets the flag when any of the columns looks like a test value."""
-    out, marks, rules = df.drop(FLAG), [], []
-    for kind, columns in (("phone", phones), ("email", emails), ("org", orgs)):
-        for c in columns:
-            mark = f"_denied_{c}"
-            out = in_denylist(out, _column(df, c), kind, deny, mark)
-            marks.append(mark)
-            if kind == "phone":
-                rules.append(bad_phone_shape(digits(_column(df, c))))
-            elif kind == "email":
-                rules.append(bad_email_pattern(F.lower(trimmed(_column(df, c))), domains))
-            else:
-                rules.append(bad_org_pattern(trimmed(_column(df, c)), words))
-    hit = reduce(lambda a, b: a | b, [F.col(m) for m in marks] + rules)
-    return out.withColumn(FLAG, hit.cast("int")).drop(*marks)
+    checks = [(k, c) for k, cs in (("phone", phones), ("email", emails), ("org", orgs)) for c in cs]
+    base = df.drop(FLAG).withColumns({f"_key_{c}": _key(k, _column(df, c)) for k, c in checks})
+    spread = [c for c in ("id", "state") if c in df.columns]
+    out, rules = base, []
+    for kind, c in checks:
+        out = in_denylist(out, f"_key_{c}", kind, deny, f"_denied_{c}", base, spread)
+        text = trimmed(_column(df, c))
+        rules.append(F.col(f"_denied_{c}"))
+        if kind == "phone":
+            rules.append(bad_phone_shape(digits(_column(df, c))))
+        elif kind == "email":
+            rules.append(bad_email_pattern(F.lower(text), domains))
+        else:
+            rules.append(bad_org_pattern(text, words))
+    hit = reduce(lambda a, b: a | b, rules)
+    helpers = [f"{p}_{c}" for _, c in checks for p in ("_key", "_denied")]
+    return out.withColumn(FLAG, hit.cast("int")).drop(*helpers)
 
 
 def flag_user(df, deny, domains=(), words=TEST_ORG_WORDS):

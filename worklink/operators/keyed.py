@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 HOT_SHARE = 1024  # a key is hot when it holds more than 1/HOT_SHARE of all rows
 HOT_ROWS = 1_000_000  # ... and at least this many rows
+PRODUCT_ROWS = 10_000  # the same for joins whose result grows with both sides of a key
+SKETCH_ITEMS = 10_000
 
 
 def first_per_key(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
@@ -43,16 +45,23 @@ def prefixed(df: DataFrame, prefix: str, cols: list[str], keep: list[str] = ())
 
 
 def hot_keys(df: DataFrame, on: list[str], min_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys that hold more than 1/HOT_SHARE of all rows, with a number of salts each.
+    """Hashes of the keys that hold more than 1/HOT_SHARE of all rows, with a number of salts.
 
-    At most HOT_SHARE keys can qualify, whatever the size of the data, which
-    is what makes the result safe to broadcast.
+    A frequent-items sketch finds them in one pass without shuffling any key.
+    At most HOT_SHARE keys come out, whatever the size of the data, which is
+    what makes the result safe to broadcast. The sketch is approximate and may
+    be: which keys are salted decides the speed of a join, never its result.
     """
-    sizes = df.dropna(subset=on).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    total = sizes.agg(F.coalesce(F.sum("_n"), F.lit(0))).scalar()
-    share = F.greatest(F.lit(min_rows).cast("double"), total / F.lit(float(HOT_SHARE)))
-    return sizes.filter(F.col("_n") > share).select(
-        *on, F.ceil(F.col("_n") / share).cast("int").alias("_salts")
+    keys = df.dropna(subset=on).select(F.xxhash64(*on).alias("_h"))
+    sketch = keys.agg(
+        F.expr(f"approx_top_k(_h, {HOT_SHARE}, {SKETCH_ITEMS})").alias("top"),
+        F.count(F.lit(1)).alias("n"),
+    )
+    share = F.greatest(F.lit(float(min_rows)), F.col("n") / F.lit(float(HOT_SHARE)))
+    return (
+        sketch.select(share.alias("share"), F.explode("top").alias("t"))
+        .filter(F.col("t.count") > F.col("share"))
+        .select(F.col("t.item").alias("_h"), F.ceil(F.col("t.count") / F.col("share")).cast("int").alias("_salts"))
     )
 
 
@@ -62,6 +71,7 @@ def salted_join(
     on: list[str],
     how: str,
     spread: list[str],
+    base: DataFrame | None = None,
     min_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Equi-join whose left side may hold a hot key.
@@ -69,21 +79,24 @@ def salted_join(
     Rows of a hot key are spread over salts by a hash of the `spread` columns
     (never at random: a task that runs again must send its rows to the same
     place) and only the right rows of hot keys are repeated per salt. Left rows
-    with a null key match nothing and are spread as well.
+    with a null key match nothing and are spread as well. `base` is a table with
+    the same key columns that is cheaper to scan than `left`, such as the table
+    a chain of lookups started from.
     """
-    hot = hot_keys(left, on, min_rows)
+    hot = F.broadcast(hot_keys(left if base is None else base, on, min_rows))
     no_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
     pick = F.xxhash64(*[F.col(c) for c in spread])
-    spread_left = left.join(F.broadcast(hot), on, "left").withColumn(
+    salts = F.coalesce("_salts", F.lit(1))
+    spread_left = left.withColumn("_h", F.xxhash64(*on)).join(hot, "_h", "left").withColumn(
         "_salt",
-        F.when(no_key, F.pmod(pick, F.lit(HOT_SHARE)))
-        .otherwise(F.pmod(pick, F.coalesce("_salts", F.lit(1))))
-        .cast("int"),
+        F.when(no_key, F.pmod(pick, F.lit(HOT_SHARE))).otherwise(F.pmod(pick, salts)).cast("int"),
     )
-    copies = right.join(F.broadcast(hot), on, "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
+    copies = right.withColumn("_h", F.xxhash64(*on)).join(hot, "_h", "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), salts - 1))
     )
-    return spread_left.drop("_salts").join(copies.drop("_salts"), [*on, "_salt"], how).drop("_salt")
+    return spread_left.drop("_salts", "_h").join(
+        copies.drop("_salts", "_h"), [*on, "_salt"], how
+    ).drop("_salt")
 
 
 def duplicate_groups(df: DataFrame, cols: list[str]) -> DataFrame:

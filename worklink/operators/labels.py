@@ -27,6 +27,7 @@ from worklink.functions.text import clean_str, is_empty_value, trimmed
 from worklink.operators.keyed import HOT_ROWS, salted_join
 from worklink.operators.similarity import scored_pairs
 from worklink.operators.stats import distinct_values
+from worklink.session import stage
 
 Labeller = Callable[[list[str]], list[dict | None]]
 
@@ -81,6 +82,12 @@ def label_distinct(values: DataFrame, labeller: Labeller, fields: Sequence[str],
     return spread.mapInPandas(run, schema)
 
 
+def _labelled(values: DataFrame, labeller: Labeller, fields: Sequence[str], **options) -> DataFrame:
+    """Labels kept in the checkpoint folder: a predictor is asked once per text,
+    however many columns and reports read the answer."""
+    return stage(label_distinct(values, labeller, fields, **options).drop("answered"))
+
+
 def label_by_lookup(values: DataFrame, lookup: DataFrame, fields: Sequence[str],
                     floor: float | None = None, min_rows: int = HOT_ROWS) -> DataFrame:
     """Offline labels for the distinct texts in column `value` from known texts.
@@ -93,12 +100,12 @@ def label_by_lookup(values: DataFrame, lookup: DataFrame, fields: Sequence[str],
         F.lower(trimmed(F.col("value"))).alias("_key"), "value", *fields
     ).groupBy("_key").agg(F.min(F.struct("value", *fields)).alias("_label"))
     keyed = values.select("value", F.lower(trimmed(F.col("value"))).alias("_key"))
-    out = salted_join(keyed, known, ["_key"], "left", ["value"], min_rows)
+    out = salted_join(keyed, known, ["_key"], "left", ["value"], min_rows=min_rows)
     if floor is not None:
         rest = out.filter(F.col("_label").isNull()).select("value")
         names = known.select(F.col("_label.value").alias("value"))
         near = (
-            scored_pairs(rest, names, floor, min_rows)
+            scored_pairs(rest, names, floor)
             .groupBy(F.col("left_value").alias("value"))
             .agg(F.min(F.struct((-F.col("score")).alias("s"), "right_value")).alias("best"))
             .select("value", F.lower(trimmed(F.col("best.right_value"))).alias("_near"))
@@ -154,6 +161,7 @@ def apply_taxonomy(df: DataFrame, cols: Sequence[str], lookup: DataFrame,
     Existing label columns are replaced, so a second run gives the same result.
     """
     labels = lookup.select(F.col("value").alias("_raw"), F.struct(*ROLE_FIELDS).alias("_label"))
+    base = df
     for c in cols:
         outputs = {f: f"llm_{c}_{s}" for f, s in ROLE_SUFFIXES.items()}
         df = df.drop(*outputs.values())
@@ -161,7 +169,8 @@ def apply_taxonomy(df: DataFrame, cols: Sequence[str], lookup: DataFrame,
             df = df.withColumns({o: F.lit(None).cast("string") for o in outputs.values()})
             continue
         keyed = df.withColumn("_raw", clean_str(F.col(c)))
-        joined = salted_join(keyed, labels, ["_raw"], "left", list(spread), min_rows)
+        raw = base.select(clean_str(F.col(c)).alias("_raw"))
+        joined = salted_join(keyed, labels, ["_raw"], "left", list(spread), raw, min_rows)
         df = joined.withColumns(
             {o: F.col(f"_label.{f}") for f, o in outputs.items()}
         ).drop("_raw", "_label")
@@ -174,7 +183,7 @@ def role_lookup(tables: list[DataFrame], cols: Sequence[str],
     values = distinct_values(tables, list(cols)).filter(~is_empty_value(F.col("value")))
     if isinstance(labeller, DataFrame):
         return label_by_lookup(values, labeller, ROLE_FIELDS, floor)
-    return label_distinct(values, labeller, ROLE_FIELDS, **options).drop("answered")
+    return _labelled(values, labeller, ROLE_FIELDS, **options)
 
 
 def label_roles(tables: dict[str, DataFrame], labeller: Labeller | DataFrame,
@@ -207,11 +216,11 @@ def label_locations(df: DataFrame, cols: Sequence[str], labeller: Labeller | Dat
     if isinstance(labeller, DataFrame):
         labels = label_by_lookup(values, labeller, PLACE_FIELDS, floor, min_rows)
     else:
-        labels = label_distinct(values, labeller, PLACE_FIELDS, **options).drop("answered")
+        labels = _labelled(values, labeller, PLACE_FIELDS, **options)
     renamed = labels.select(
         F.col("value").alias("_text"), *[F.col(f).alias(f"llm_location_{f}") for f in PLACE_FIELDS]
     )
-    return salted_join(keyed, renamed, ["_text"], "left", list(spread), min_rows).drop("_text")
+    return salted_join(keyed, renamed, ["_text"], "left", list(spread), min_rows=min_rows).drop("_text")
 
 
 def label_all_locations(tables: dict[str, DataFrame], labeller: Labeller | DataFrame,

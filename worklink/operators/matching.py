@@ -22,7 +22,6 @@ from worklink.constants import (
 )
 from worklink.functions import scores as S
 from worklink.functions.text import (
-    as_text,
     clean_str,
     first_non_blank,
     number,
@@ -31,7 +30,13 @@ from worklink.functions.text import (
     split_parts,
     trimmed,
 )
-from worklink.operators.keyed import HOT_ROWS, first_org_per_user, first_per_key, salted_join
+from worklink.operators.keyed import (
+    HOT_ROWS,
+    PRODUCT_ROWS,
+    first_org_per_user,
+    first_per_key,
+    salted_join,
+)
 from worklink.operators.similarity import scored_pairs
 
 SEEKER_SIGNATURE = ["state", "sk_key", "sk_state", "sk_district", "sk_salary", "sk_level"]
@@ -103,7 +108,7 @@ def keyed_jobs(jobs: DataFrame) -> DataFrame:
 
 
 def role_pairs(seekers: DataFrame, jobs: DataFrame, floor: float = ROLE_PAIR_FLOOR,
-               min_rows: int = HOT_ROWS) -> DataFrame:
+               min_rows: int = PRODUCT_ROWS) -> DataFrame:
     """RUL-13, RUL-14: (sk_key, pr_role, role_score, best_trade) with role_score >= floor.
 
     Works on distinct texts: `sk_key` of the seekers, `pr_role` of the jobs. A
@@ -139,7 +144,7 @@ def _level(c: str) -> Column:
 
 
 def scored_signatures(seekers: DataFrame, jobs: DataFrame, pairs: DataFrame | None = None,
-                      min_rows: int = HOT_ROWS) -> DataFrame:
+                      min_rows: int = PRODUCT_ROWS) -> DataFrame:
     """Signature pairs that reach the confidence floor and have a fit category.
 
     Only role scores of at least ROLE_FIT can get a category, so the pair table
@@ -151,8 +156,11 @@ def scored_signatures(seekers: DataFrame, jobs: DataFrame, pairs: DataFrame | No
     pairs = pairs.filter(F.col("role_score") >= ROLE_FIT)
     sk = _signatures(seekers, SEEKER_SIGNATURE, "n_seekers")
     pr = _signatures(jobs, JOB_SIGNATURE, "n_jobs")
-    with_roles = salted_join(sk, pairs, ["sk_key"], "inner", SEEKER_SIGNATURE, min_rows)
-    joined = salted_join(with_roles, pr, ["state", "pr_role"], "inner", SEEKER_SIGNATURE, min_rows)
+    with_roles = sk.join(pairs, "sk_key")
+    # the jobs of a popular role are spread: each meets every seeker the role attracts
+    joined = salted_join(
+        pr, with_roles, ["state", "pr_role"], "inner", JOB_SIGNATURE, jobs, min_rows
+    )
     return (
         joined.withColumns({
             "location_score": S.location_score_of(
@@ -176,22 +184,24 @@ SCORES = ["role_score", "best_trade", "location_score", "salary_score", "educati
 
 
 def expand(signatures: DataFrame, seekers: DataFrame, jobs: DataFrame,
-           min_rows: int = HOT_ROWS) -> DataFrame:
+           min_rows: int = PRODUCT_ROWS) -> DataFrame:
     """JN-02, JN-03: scored signature pairs back to rows of seekers and jobs.
 
     `seekers` and `jobs` hold their signature columns plus whatever is to be
     carried along. Both joins are split where a signature is hot.
     """
     scored = signatures.select(*SEEKER_SIGNATURE, *[c for c in JOB_SIGNATURE if c != "state"], *SCORES)
-    per_job = salted_join(jobs, scored, JOB_SIGNATURE, "inner", ["provider_job_id"], min_rows)
+    per_job = salted_join(
+        jobs, scored, JOB_SIGNATURE, "inner", ["provider_job_id"], min_rows=min_rows
+    )
     per_job = per_job.drop("pr_state", "pr_district", "pr_min", "pr_max", "pr_level")
     return salted_join(
-        seekers, per_job, SEEKER_SIGNATURE, "inner", ["seeker_row", "seeker_id"], min_rows
+        seekers, per_job, SEEKER_SIGNATURE, "inner", ["seeker_row", "seeker_id"], min_rows=min_rows
     ).drop("sk_state", "sk_district", "sk_salary", "sk_level", "seeker_row")
 
 
 def match(seekers: DataFrame, jobs: DataFrame, states: Sequence[str] | None = None,
-          min_rows: int = HOT_ROWS) -> DataFrame:
+          min_rows: int = PRODUCT_ROWS) -> DataFrame:
     """RUL-21: ids and scores of every reported pair."""
     sk, pr = keyed_seekers(only_states(seekers, states)), keyed_jobs(only_states(jobs, states))
     scored = scored_signatures(sk, pr, min_rows=min_rows)
@@ -205,7 +215,7 @@ def match(seekers: DataFrame, jobs: DataFrame, states: Sequence[str] | None = No
 
 
 def fit_counts(seekers: DataFrame, jobs: DataFrame, by: str = "job",
-               scored: DataFrame | None = None, min_rows: int = HOT_ROWS) -> DataFrame:
+               scored: DataFrame | None = None, min_rows: int = PRODUCT_ROWS) -> DataFrame:
     """AGG-01, AGG-02: right and partial fits per job or per seeker.
 
     Sums the sizes of the signatures on the other side; pairs of rows are
@@ -227,7 +237,7 @@ def fit_counts(seekers: DataFrame, jobs: DataFrame, by: str = "job",
     )
     ids = rows.select(*signature, clean_str(F.col(source)).alias(key)).filter(F.col(key).isNotNull())
     return (
-        salted_join(ids, sums, signature, "inner", [key], min_rows)
+        salted_join(ids, sums, signature, "inner", [key], min_rows=min_rows)
         .groupBy("state", key)
         .agg(F.sum("right_fit").alias("right_fit"), F.sum("partial_fit").alias("partial_fit"))
     )
@@ -257,10 +267,10 @@ def enrich_seekers(seekers: DataFrame, users: DataFrame, members: DataFrame,
     )
     member_orgs = salted_join(
         first_org_per_user(members.drop("side")), names, ["state", "organization_id"], "left",
-        ["user_id"], min_rows,
+        ["user_id"], min_rows=min_rows,
     ).withColumnRenamed("organization_id", "seeker_org_id")
     person = emails.join(member_orgs, ["state", "user_id"], "full")
-    return salted_join(seekers, person, ["state", "user_id"], "left", ["id"], min_rows)
+    return salted_join(seekers, person, ["state", "user_id"], "left", ["id"], min_rows=min_rows)
 
 
 def enrich_jobs(jobs: DataFrame, users: DataFrame, min_rows: int = HOT_ROWS) -> DataFrame:
@@ -275,19 +285,19 @@ def enrich_jobs(jobs: DataFrame, users: DataFrame, min_rows: int = HOT_ROWS) ->
         ["state", "created_by"],
         ["provider_contact_name", "provider_contact_phone", "provider_contact_email"],
     )
-    return salted_join(jobs, contacts, ["state", "created_by"], "left", ["id"], min_rows)
+    return salted_join(jobs, contacts, ["state", "created_by"], "left", ["id"], min_rows=min_rows)
 
 
 def match_report(seekers: DataFrame, jobs: DataFrame, users_seeker: DataFrame,
                  members: DataFrame, orgs: DataFrame, users_provider: DataFrame,
                  states: Sequence[str] | None = None, display: bool = False,
-                 min_rows: int = HOT_ROWS) -> DataFrame:
+                 min_rows: int = PRODUCT_ROWS) -> DataFrame:
     """PRJ-12: the 35 columns of the match table (plus state), typed or for display."""
     sk = keyed_seekers(only_states(seekers, states))
     pr = keyed_jobs(only_states(jobs, states))
     scored = scored_signatures(sk, pr, min_rows=min_rows)
-    rich_sk = enrich_seekers(sk, users_seeker, members, orgs, min_rows)
-    rich_pr = enrich_jobs(pr, users_provider, min_rows)
+    rich_sk = enrich_seekers(sk, users_seeker, members, orgs)
+    rich_pr = enrich_jobs(pr, users_provider)
 
     def texts(df: DataFrame, names: dict[str, str]) -> list[Column]:
         return [

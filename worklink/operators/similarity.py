@@ -17,8 +17,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
-from worklink.operators.keyed import HOT_ROWS, salted_join
+from worklink.operators.keyed import PRODUCT_ROWS, salted_join
 
 # characters from rare to frequent; any fixed order is exact, this one prunes well
 RARE_FIRST = "zqjxkvbywgpfmucdlhrsnioate "
@@ -109,7 +110,7 @@ def token_set_scores(a: list[str], b: list[str]) -> np.ndarray:
     return np.where(np.isnan(fixed), scores, fixed)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def token_set_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """UDF-01: runs on distinct candidate pairs only."""
     return pd.Series(token_set_scores(a.fillna("").tolist(), b.fillna("").tolist()))
@@ -149,7 +150,7 @@ def _side(df: DataFrame, name: str, key: Column, cols: list[str]) -> DataFrame:
 
 
 def candidate_pairs(left: DataFrame, right: DataFrame, floor: float,
-                    min_rows: int = HOT_ROWS) -> DataFrame:
+                    min_rows: int = PRODUCT_ROWS) -> DataFrame:
     """Pairs (left_value, right_value) of distinct texts that can reach the floor.
 
     Both inputs hold one column `value` of distinct non-blank texts.
@@ -160,7 +161,7 @@ def candidate_pairs(left: DataFrame, right: DataFrame, floor: float,
     by_token = salted_join(
         _side(a, "left", F.col("tokens"), ["value"]),
         _side(b, "right", F.col("tokens"), ["value"]),
-        ["key"], "inner", ["left_value"], min_rows,
+        ["key"], "inner", ["left_value"], min_rows=min_rows,
     ).select("left_value", "right_value")
 
     cols = ["value", "elements", "n", "prefix"]
@@ -169,7 +170,7 @@ def candidate_pairs(left: DataFrame, right: DataFrame, floor: float,
         salted_join(
             _side(a, "left", F.col("prefix"), cols),
             _side(b, "right", F.col("prefix"), cols),
-            ["key"], "inner", ["left_value"], min_rows,
+            ["key"], "inner", ["left_value"], min_rows=min_rows,
         )
         .filter(F.least("left_n", "right_n") >= reach)
         # a pair is kept at its first common prefix element only
@@ -181,7 +182,7 @@ def candidate_pairs(left: DataFrame, right: DataFrame, floor: float,
 
 
 def scored_pairs(left: DataFrame, right: DataFrame, floor: float,
-                 min_rows: int = HOT_ROWS) -> DataFrame:
+                 min_rows: int = PRODUCT_ROWS) -> DataFrame:
     """RUL-12 over distinct texts: (left_value, right_value, score) with score >= floor."""
     pairs = candidate_pairs(left, right, floor, min_rows)
     same = F.lower("left_value") == F.lower("right_value")

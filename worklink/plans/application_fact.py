@@ -70,7 +70,7 @@ def org_of_member(members: DataFrame, orgs: DataFrame, min_rows: int = HOT_ROWS)
     names = lookup_table(orgs, "id", "organization_id", {"name": "org_name"})
     return salted_join(
         first_org_per_user(members.drop("side")), names, ["state", "organization_id"], "left",
-        ["user_id"], min_rows,
+        ["user_id"], min_rows=min_rows,
     ).withColumnRenamed("organization_id", "org_id")
 
 
@@ -84,8 +84,10 @@ def job_lookup(jobs: DataFrame, orgs: DataFrame, users: DataFrame, min_rows: int
         "contact_person": "o_person", "contact_phone": "o_phone", "contact_email": "o_email",
     })
     user = lookup_table(users, "id", "j_user", {"phone_number": "p_phone", "email": "p_email"})
-    job = salted_join(job, org, ["state", "j_org"], "left", ["job_id"], min_rows)
-    return salted_join(job, user, ["state", "j_user"], "left", ["job_id"], min_rows)
+    orgs_of = renamed(jobs, "organization_id", "j_org", {})
+    users_of = renamed(jobs, "created_by", "j_user", {})
+    job = salted_join(job, org, ["state", "j_org"], "left", ["job_id"], orgs_of, min_rows)
+    return salted_join(job, user, ["state", "j_user"], "left", ["job_id"], users_of, min_rows)
 
 
 def applicant_lookup(users: DataFrame, profiles: DataFrame, members: DataFrame, orgs: DataFrame,
@@ -111,8 +113,8 @@ def application_fact(apps: DataFrame, jobs: DataFrame, org_provider: DataFrame,
     """RUL-32: 41 columns per application, in every state."""
     job = job_lookup(jobs, org_provider, user_provider, min_rows)
     person = applicant_lookup(user_seeker, profiles, members, org_seeker, profile_key, min_rows)
-    rows = salted_join(apps, job, ["state", "job_id"], "left", ["id"], min_rows)
-    rows = salted_join(rows, person, ["state", "user_id"], "left", ["id"], min_rows)
+    rows = salted_join(apps, job, ["state", "job_id"], "left", ["id"], apps, min_rows)
+    rows = salted_join(rows, person, ["state", "user_id"], "left", ["id"], apps, min_rows)
 
     def text(name: str) -> Column:
         return as_text(F.col(name)) if name in rows.columns else F.lit("")

@@ -53,7 +53,7 @@ def with_contacts(jobs: DataFrame, users: DataFrame, min_rows: int = HOT_ROWS) -
                      F.col("phone_number").alias("u_phone"), F.col("email").alias("u_email")),
         ["state", "created_by"], ["u_name", "u_phone", "u_email"],
     )
-    return salted_join(jobs, contacts, ["state", "created_by"], "left", ["id"], min_rows)
+    return salted_join(jobs, contacts, ["state", "created_by"], "left", ["id"], min_rows=min_rows)
 
 
 def posting_salary():

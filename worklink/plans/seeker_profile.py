@@ -58,11 +58,16 @@ def seeker_completion() -> Column:
 
 
 def with_seeker_facts(profiles: DataFrame, apps: DataFrame, as_of=None,
-                      min_rows: int = HOT_ROWS) -> DataFrame:
+                      base: DataFrame | None = None, min_rows: int = HOT_ROWS) -> DataFrame:
     """JN-19: profiles with the statistics of their phone and their ages."""
     day = as_of_date(as_of)
     keyed = profiles.withColumn("phone_key", phone_key(F.col("phone")))
-    rows = salted_join(keyed, phone_stats(apps, day), ["state", "phone_key"], "left", ["id"], min_rows)
+    phones = (profiles if base is None else base).select(
+        "state", phone_key(F.col("phone")).alias("phone_key")
+    )
+    rows = salted_join(
+        keyed, phone_stats(apps, day), ["state", "phone_key"], "left", ["id"], phones, min_rows
+    )
     created = timestamp_column(profiles, "created_at")
     return rows.withColumns(
         {c: F.coalesce(c, F.lit(0)) for c in ("applications", "shortlisted", "rejected")}
@@ -88,8 +93,8 @@ def seeker_profile(profiles: DataFrame, user_seeker: DataFrame, members: DataFra
     else:
         wanted = wanted.withColumns({"_lat": F.lit(""), "_lng": F.lit("")})
     rows = with_seeker_facts(
-        salted_join(wanted, person, ["state", "user_id"], "left", ["id"], min_rows),
-        apps, as_of, min_rows,
+        salted_join(wanted, person, ["state", "user_id"], "left", ["id"], profiles, min_rows),
+        apps, as_of, profiles, min_rows,
     )
     c = F.col
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BOM = "﻿"
+BOM = "\ufeff"
 NESTED = (T.StructType, T.ArrayType, T.MapType, T.VariantType)
 
 

@@ -272,7 +272,7 @@ SELECT {state_of('o_custkey')} AS state, CAST(o_orderkey AS STRING) AS id,
        ELSE CAST(o_orderdate AS STRING) END AS applied_at,
   CAST(o_orderdate AS STRING) AS updated_at,
   CASE WHEN o_orderkey % 45 = 0 THEN NULL
-       ELSE '+91' || {phone10('o_custkey')} || CASE WHEN o_orderkey % 6 = 0 THEN '.0 ' ELSE '' END END AS seeker_phone,
+       ELSE '+91' || {phone10('o_custkey')} || CASE WHEN o_orderkey % 6 = 0 THEN '.0' ELSE '' END END AS seeker_phone,
   CASE WHEN o_orderkey % 35 = 0 THEN 'who+demo2@example.org' ELSE 'c' || CAST(o_custkey AS STRING) || '@example.org' END AS seeker_email,
   CAST(18 + o_custkey % 30 AS STRING) AS seeker_age, 'Fitter|Welder' AS seeker_iti_specialization,
   CAST(NULL AS STRING) AS seeker_highest_qualification,
