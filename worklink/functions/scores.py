@@ -63,20 +63,29 @@ def location_score_of(ss: Column, js: Column, sd: Column, jd: Column) -> Column:
     )
 
 
-def salary_score(expected: Column, low: Column, high: Column) -> Column:
-    """RUL-16 on numbers: inside the bounds 1, within the buffer .5, outside 0."""
+def salary_range(low: Column, high: Column) -> dict[str, Column]:
+    """Bounds and buffer of a job's salary; null when neither bound is known."""
     a = F.coalesce(low, high * 0.8)
     b = F.coalesce(high, low * 1.2)
     lo, hi = F.least(a, b), F.greatest(a, b)
-    buffer = F.greatest((hi - lo) * 0.2, F.lit(2000.0))
+    return {"lo": lo, "hi": hi, "buffer": F.greatest((hi - lo) * 0.2, F.lit(2000.0))}
+
+
+def salary_score_of(expected: Column, lo: Column, hi: Column, buffer: Column) -> Column:
+    """RUL-16 on a prepared range: inside 1, within the buffer .5, outside 0."""
     return (
-        F.when(expected.isNull() | a.isNull(), _none())
+        F.when(expected.isNull() | lo.isNull(), _none())
         .when(expected.between(lo, hi), 1.0)
         .when(expected.between(lo - buffer, hi + buffer), 0.5)
         .otherwise(0.0)
     )
 
 
+def salary_score(expected: Column, low: Column, high: Column) -> Column:
+    """RUL-16 on numbers."""
+    return salary_score_of(expected, **salary_range(low, high))
+
+
 def weighted_mean(scores: list[Column], weights: list[float]) -> Column:
     """AGG-15: mean over the scores that are available, 0 when none is."""
     got = [(F.coalesce(s * w, F.lit(0.0)), F.when(s.isNotNull(), w).otherwise(0.0))

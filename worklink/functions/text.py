@@ -158,6 +158,11 @@ def percent(score: Column) -> Column:
     return F.round(score * 100, 1)
 
 
+def percent_even(score: Column) -> Column:
+    """FN-26 for whole columns of scores: halves go to the even digit, as array libraries round."""
+    return F.rint(score * 100 * 10) / 10
+
+
 def percent_text(score: Column) -> Column:
     """FN-26 for display: 'N/A' when the score is not available."""
     return F.coalesce(percent(score).cast("string"), F.lit("N/A"))

@@ -46,8 +46,13 @@ def is_text(v: Column) -> Column:
 
 
 def parse_obj(c: Column) -> Column:
-    """FN-08: JSON object held by a text, null for anything else."""
-    return F.when(F.ltrim(c).startswith("{"), F.try_parse_json(c))
+    """FN-08: JSON object held by a text, null for anything else.
+
+    The parser stops at the end of the first value, so the last character tells
+    whether more follows it.
+    """
+    text = strip(c)
+    return F.when(text.startswith("{") & text.endswith("}"), F.try_parse_json(c))
 
 
 def as_obj(v: Column) -> Column:

@@ -73,6 +73,7 @@ def salted_join(
     spread: list[str],
     base: DataFrame | None = None,
     min_rows: int = HOT_ROWS,
+    parts: int | None = None,
 ) -> DataFrame:
     """Equi-join whose left side may hold a hot key.
 
@@ -81,7 +82,8 @@ def salted_join(
     place) and only the right rows of hot keys are repeated per salt. Left rows
     with a null key match nothing and are spread as well. `base` is a table with
     the same key columns that is cheaper to scan than `left`, such as the table
-    a chain of lookups started from.
+    a chain of lookups started from. `parts` fixes the number of tasks where the
+    result is much larger than the input, which adaptive execution cannot see.
     """
     hot = F.broadcast(hot_keys(left if base is None else base, on, min_rows))
     no_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
@@ -94,9 +96,16 @@ def salted_join(
     copies = right.withColumn("_h", F.xxhash64(*on)).join(hot, "_h", "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), salts - 1))
     )
-    return spread_left.drop("_salts", "_h").join(
-        copies.drop("_salts", "_h"), [*on, "_salt"], how
-    ).drop("_salt")
+    keys = [*on, "_salt"]
+    spread_left, copies = spread_left.drop("_salts", "_h"), copies.drop("_salts", "_h")
+    if parts:
+        spread_left, copies = spread_left.repartition(parts, *keys), copies.repartition(parts, *keys)
+    return spread_left.join(copies, keys, how).drop("_salt")
+
+
+def shuffle_parts(df: DataFrame) -> int:
+    """Tasks of a shuffle as the session sets them."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def duplicate_groups(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -26,6 +26,7 @@ from worklink.functions.text import (
     first_non_blank,
     number,
     percent,
+    percent_even,
     percent_text,
     split_parts,
     trimmed,
@@ -36,8 +37,10 @@ from worklink.operators.keyed import (
     first_org_per_user,
     first_per_key,
     salted_join,
+    shuffle_parts,
 )
 from worklink.operators.similarity import scored_pairs
+from worklink.session import stage
 
 SEEKER_SIGNATURE = ["state", "sk_key", "sk_state", "sk_district", "sk_salary", "sk_level"]
 JOB_SIGNATURE = ["state", "pr_role", "pr_state", "pr_district", "pr_min", "pr_max", "pr_level"]
@@ -114,9 +117,9 @@ def role_pairs(seekers: DataFrame, jobs: DataFrame, floor: float = ROLE_PAIR_FLO
     Works on distinct texts: `sk_key` of the seekers, `pr_role` of the jobs. A
     trade list scores as its best trade, the first one on ties.
     """
-    keys = seekers.select("sk_key").distinct()
+    keys = stage(seekers.select("sk_key").distinct())
     trades = keys.select("sk_key", F.posexplode(split_parts(F.col("sk_key"))).alias("pos", "value"))
-    roles = jobs.select(F.col("pr_role").alias("value")).distinct()
+    roles = stage(jobs.select(F.col("pr_role").alias("value")).distinct())
     scored = scored_pairs(trades.select("value").distinct(), roles, floor, min_rows)
     best = F.max_by(
         F.struct("score", "value"), F.struct(F.col("score"), -F.col("pos"))
@@ -150,23 +153,33 @@ def scored_signatures(seekers: DataFrame, jobs: DataFrame, pairs: DataFrame | No
     Only role scores of at least ROLE_FIT can get a category, so the pair table
     is built with that floor (on the rounded score) to begin with.
     """
+    # Signatures are few and read several times: they are kept in the checkpoint
+    # folder, so the tables below are scanned and their keys derived only once.
+    # Numbers are read once per signature, before the pairs are formed.
+    sk = stage(_signatures(seekers, SEEKER_SIGNATURE, "n_seekers")).withColumn(
+        "wanted", _bound("sk_salary")
+    )
+    pr = stage(_signatures(jobs, JOB_SIGNATURE, "n_jobs")).withColumns(
+        S.salary_range(_bound("pr_min"), _bound("pr_max"))
+    )
     if pairs is None:
         # candidates one rounding step below the threshold; the rounded score decides
-        pairs = role_pairs(seekers, jobs, ROLE_FIT - 0.0001, min_rows)
+        pairs = role_pairs(sk, pr, ROLE_FIT - 0.0001, min_rows)
     pairs = pairs.filter(F.col("role_score") >= ROLE_FIT)
-    sk = _signatures(seekers, SEEKER_SIGNATURE, "n_seekers")
-    pr = _signatures(jobs, JOB_SIGNATURE, "n_jobs")
     with_roles = sk.join(pairs, "sk_key")
     # the jobs of a popular role are spread: each meets every seeker the role attracts
     joined = salted_join(
-        pr, with_roles, ["state", "pr_role"], "inner", JOB_SIGNATURE, jobs, min_rows
+        pr, with_roles, ["state", "pr_role"], "inner", JOB_SIGNATURE, pr, min_rows,
+        shuffle_parts(jobs),
     )
     return (
         joined.withColumns({
             "location_score": S.location_score_of(
                 F.col("sk_state"), F.col("pr_state"), F.col("sk_district"), F.col("pr_district")
             ),
-            "salary_score": S.salary_score(_bound("sk_salary"), _bound("pr_min"), _bound("pr_max")),
+            "salary_score": S.salary_score_of(
+                F.col("wanted"), F.col("lo"), F.col("hi"), F.col("buffer")
+            ),
             "education_score": S.education_score(_level("sk_level"), _level("pr_level")),
         })
         .withColumn("confidence", S.confidence(
@@ -176,6 +189,7 @@ def scored_signatures(seekers: DataFrame, jobs: DataFrame, pairs: DataFrame | No
         .filter(F.col("confidence") >= CONFIDENCE_FLOOR)
         .withColumn("match_category", S.fit_category(F.col("role_score"), F.col("location_score")))
         .filter(F.col("match_category").isNotNull())
+        .drop("wanted", "lo", "hi", "buffer")
     )
 
 
@@ -192,11 +206,13 @@ def expand(signatures: DataFrame, seekers: DataFrame, jobs: DataFrame,
     """
     scored = signatures.select(*SEEKER_SIGNATURE, *[c for c in JOB_SIGNATURE if c != "state"], *SCORES)
     per_job = salted_join(
-        jobs, scored, JOB_SIGNATURE, "inner", ["provider_job_id"], min_rows=min_rows
+        jobs, scored, JOB_SIGNATURE, "inner", ["provider_job_id"], min_rows=min_rows,
+        parts=shuffle_parts(jobs),
     )
     per_job = per_job.drop("pr_state", "pr_district", "pr_min", "pr_max", "pr_level")
     return salted_join(
-        seekers, per_job, SEEKER_SIGNATURE, "inner", ["seeker_row", "seeker_id"], min_rows=min_rows
+        seekers, per_job, SEEKER_SIGNATURE, "inner", ["seeker_row", "seeker_id"], min_rows=min_rows,
+        parts=shuffle_parts(jobs),
     ).drop("sk_state", "sk_district", "sk_salary", "sk_level", "seeker_row")
 
 
@@ -334,7 +350,7 @@ def match_report(seekers: DataFrame, jobs: DataFrame, users_seeker: DataFrame,
     pct = percent_text if display else percent
     return expand(scored, seeker_side, job_side, min_rows).select(
         "state", "seeker_id", "provider_job_id", "match_category",
-        percent(F.col("confidence")).alias("confidence_score_%"),
+        percent_even(F.col("confidence")).alias("confidence_score_%"),
         S.confidence_label(F.col("confidence")).alias("confidence_label"),
         percent(F.col("role_score")).alias("role_match_%"),
         pct(F.col("location_score")).alias("location_match_%"),

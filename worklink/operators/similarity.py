@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from worklink.operators.keyed import PRODUCT_ROWS, salted_join
+from worklink.operators.keyed import PRODUCT_ROWS, salted_join, shuffle_parts
 
 # characters from rare to frequent; any fixed order is exact, this one prunes well
 RARE_FIRST = "zqjxkvbywgpfmucdlhrsnioate "
@@ -121,13 +121,13 @@ def _tokens(c: Column) -> Column:
 
 
 def _elements(text: Column) -> Column:
-    """Character multiset of a text as a sorted array: (rank, character, occurrence)."""
+    """Character multiset of a text as sorted numbers made of (rank, character, occurrence)."""
     chars = F.filter(F.split(text, ""), lambda ch: ch != "")
 
     def element(ch: Column, i: Column) -> Column:
-        earlier = F.filter(F.slice(chars, 1, i + 1), lambda x: x == ch)
-        rank = F.instr(F.lit(RARE_FIRST), F.lower(ch))
-        return F.concat(F.lpad(rank.cast("string"), 2, "0"), ch, F.size(earlier).cast("string"))
+        occurrence = F.size(F.filter(F.slice(chars, 1, i + 1), lambda x: x == ch))
+        rank = F.instr(F.lit(RARE_FIRST), F.lower(ch)).cast("long")
+        return (rank * (1 << 21) + F.ascii(ch)) * (1 << 21) + occurrence
 
     return F.array_sort(F.transform(chars, element))
 
@@ -164,13 +164,14 @@ def candidate_pairs(left: DataFrame, right: DataFrame, floor: float,
         ["key"], "inner", ["left_value"], min_rows=min_rows,
     ).select("left_value", "right_value")
 
+    parts = shuffle_parts(left)
     cols = ["value", "elements", "n", "prefix"]
     reach = (F.col("left_n") + F.col("right_n")) * (t / 2) - 1e-9
     by_prefix = (
         salted_join(
             _side(a, "left", F.col("prefix"), cols),
             _side(b, "right", F.col("prefix"), cols),
-            ["key"], "inner", ["left_value"], min_rows=min_rows,
+            ["key"], "inner", ["left_value"], min_rows=min_rows, parts=parts,
         )
         .filter(F.least("left_n", "right_n") >= reach)
         # a pair is kept at its first common prefix element only
@@ -178,7 +179,9 @@ def candidate_pairs(left: DataFrame, right: DataFrame, floor: float,
         .filter(F.size(F.array_intersect("left_elements", "right_elements")) >= reach)
         .select("left_value", "right_value")
     )
-    return by_token.unionByName(by_prefix).distinct()
+    # distinct pairs and the scoring that follows share one shuffle of fixed width
+    both = by_token.unionByName(by_prefix)
+    return both.repartition(parts, "left_value", "right_value").distinct()
 
 
 def scored_pairs(left: DataFrame, right: DataFrame, floor: float,

@@ -21,6 +21,7 @@ from worklink.plans import application_fact as fact
 from worklink.plans import open_roles as jobs_report
 from worklink.plans import seeker_profile as seekers_report
 from worklink.sinks import runlog
+from worklink.session import stage
 from worklink.sinks.tables import align_to_headers, target_root, with_headers, write_table
 from worklink.sources.files import Bundle, read_table
 
@@ -81,7 +82,7 @@ REPORTS = {
 def build_reports(bundle: Bundle, as_of=None) -> dict[str, DataFrame]:
     """The three report tables; counts of fits come from one scoring."""
     sk, pr = matching.keyed_seekers(bundle.profile), matching.keyed_jobs(bundle.job_posting)
-    scored = matching.scored_signatures(sk, pr)
+    scored = stage(matching.scored_signatures(sk, pr))
     by_job = matching.fit_counts(bundle.profile, bundle.job_posting, "job", scored)
     by_seeker = matching.fit_counts(bundle.profile, bundle.job_posting, "seeker", scored)
     return {
@@ -97,6 +98,15 @@ def build_reports(bundle: Bundle, as_of=None) -> dict[str, DataFrame]:
     }
 
 
+def display_report(name: str, report: DataFrame, headers: Sequence[str] = ()) -> DataFrame:
+    """A report under its published headers, aligned to those of the destination.
+
+    Some headers differ by case only, so this form is for destinations without
+    named columns; the written tables keep the report's own column names.
+    """
+    return align_to_headers(with_headers(report, REPORTS[name]), headers)
+
+
 @dataclass(frozen=True)
 class RunResult:
     reports: dict[str, str]
@@ -117,12 +127,21 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], root: str, deny: DataFra
     """
     started = datetime.now(timezone.utc)
     processed = f"{root.rstrip('/')}/processed"
-    tables = flag_all(enrich(clean(raw), places, roles), deny, domains, words)
-    written, errors = runlog.publish_all(
-        {t: (lambda df=df: df) for t, df in tables.items()},
-        lambda df, name: write_table(df, processed, name),
-    )
-    bundle = Bundle(**{t: read_table(spark, f"{processed}/{t}", "parquet") for t in written}).states(states)
+
+    def written(tables: dict[str, DataFrame], step: str) -> tuple[dict[str, DataFrame], list[str]]:
+        """Each step writes a folder of its own and the next one reads it."""
+        folder = f"{processed}/{step}"
+        done, failed = runlog.publish_all(
+            {t: (lambda df=df: df) for t, df in tables.items()},
+            lambda df, name: write_table(df, folder, name),
+        )
+        return {t: read_table(spark, f"{folder}/{t}", "parquet") for t in done}, failed
+
+    flat, lost_flat = written(clean(raw), "flat")
+    labelled, lost_labels = written(enrich(flat, places, roles), "labelled")
+    flagged, lost_flags = written(flag_all(labelled, deny, domains, words), "flagged")
+    errors = [*lost_flat, *lost_labels, *lost_flags]
+    bundle = Bundle(**flagged).states(states)
     target = target_root(root, test)
     matches = matching.match_report(
         bundle.profile, bundle.job_posting, bundle.user_seeker, bundle.member_seeker,
@@ -138,11 +157,8 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], root: str, deny: DataFra
     for name, report in build_reports(bundle, as_of).items():
         if name not in todo:
             continue
-        shown = align_to_headers(with_headers(report, REPORTS[name]), (headers or {}).get(name, []))
-        # headers differ from each other by case only, which files with named columns cannot hold
         paths[name] = write_table(report, target, name)
         runlog.record_done(spark, manifest, name, spark.read.parquet(paths[name]).count())
-        del shown
     counts = row_counts(bundle.tables() | {"matches": spark.read.parquet(match_path)})
     names = [*bundle.tables(), "matches"]
     runlog.append_row(runlog.run_log_row(counts, names, started, errors=errors), f"{target}/_log")

@@ -247,10 +247,11 @@ MEMBER_ORG = """(SELECT m.state, m.user_id, m.org_id, o.name AS org_name FROM
   (SELECT state, user_id, min(organization_id) AS org_id FROM b_member WHERE user_id IS NOT NULL GROUP BY state, user_id) m
   LEFT JOIN (SELECT state, id, min(name) AS name FROM b_org_seeker GROUP BY state, id) o ON o.state = m.state AND o.id = m.org_id)"""
 
-PCT = "round({} * 100, 1)"
+# rounds the exact value; round() on doubles would first lose the last digit of 51.849999999999994
+PCT = "CAST(round(CAST({} * 100 AS DECIMAL(30, 14)), 1) AS DOUBLE)"
 
 MATCH_REPORT = f"""{match_with('user_seeker', 'member', 'org_seeker', 'user_provider')}
-SELECT m.state, m.seeker_id, m.provider_job_id, match_category, {PCT.format('confidence')} AS "confidence_score_%",
+SELECT m.state, m.seeker_id, m.provider_job_id, match_category, round_even(confidence * 100 * 10, 0) / 10 AS "confidence_score_%",
   CASE WHEN confidence >= 0.8::DOUBLE THEN 'High' WHEN confidence >= 0.6::DOUBLE THEN 'Medium' WHEN confidence >= 0.4::DOUBLE THEN 'Low' ELSE 'Very Low' END AS confidence_label,
   {PCT.format('role_score')} AS "role_match_%", {PCT.format('location_score')} AS "location_match_%",
   {PCT.format('salary_score')} AS "salary_match_%", {PCT.format('education_score')} AS "education_match_%",

@@ -22,7 +22,7 @@ from worklink.plans import rules
 from worklink.plans import seeker_profile as seekers
 from worklink.plans.application_fact import application_fact
 from worklink.plans.pipeline import clean, enrich, flag_all
-from worklink.session import configure
+from worklink.session import configure, stage
 from worklink.sinks import runlog
 from worklink.sinks.tables import align_to_headers, all_text
 from worklink.workload import oracle_sql as O
@@ -793,12 +793,11 @@ def whole_run(spark, d):
             "created_by": F.concat(F.lit("P"), c("id")), "created_at": F.lit("2001-08-01"),
             "location": F.lit("{}"),
         }),
-        "job_application": bind(spark, d, "raw_application").join(
-            bind(spark, d, "job_application").select(
-                "state", "id", "job_id", "status", "application_status", "applied_at"), "id"),
     }
-    tables = flag_all(enrich(clean(raw), bind(spark, d, "gazetteer").withColumnRenamed("text", "value"),
-                             bind(spark, d, "taxonomy")), deny_table(spark, d), DOMAINS)
+    places = bind(spark, d, "gazetteer").withColumnRenamed("text", "value")
+    flat = {t: stage(df) for t, df in clean(raw).items()}
+    labelled = {t: stage(df) for t, df in enrich(flat, places, bind(spark, d, "taxonomy")).items()}
+    tables = flag_all(labelled, deny_table(spark, d), DOMAINS)
     fit = matching.fit_counts(tables["profile"], tables["job_posting"], "job")
     return roles.open_roles(
-        tables["job_posting"], bind(spark, d, "user_provider"), tables["job_application"], fit, AS_OF)
+        tables["job_posting"], bind(spark, d, "user_provider"), bind(spark, d, "job_application"), fit, AS_OF)
