@@ -71,6 +71,9 @@ def json_documents(source: str, table: str, key: str, roots: list[str]) -> str:
     malformed or no object at all. Objects are built from the inside out, each
     level in a subquery of its own.
     """
+    # a comment to DuckDB; to Spark a hint, because building and parsing documents is
+    # heavy next to the one small file their keys come from
+    source = f"(SELECT /*+ REPARTITION(32, {key}) */ * FROM {source}) AS spread"
     levels: dict[int, dict[str, str]] = {}
     counter = iter(range(10_000))
 
