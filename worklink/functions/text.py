@@ -154,8 +154,13 @@ def fmt_salary(low: Column, high: Column) -> Column:
 
 
 def percent(score: Column) -> Column:
-    """FN-26: share as a percentage with one decimal."""
-    return F.round(score * 100, 1)
+    """FN-26: share as a percentage with one decimal, rounded by its exact binary value.
+
+    Taking the whole part off first is exact and shows what the short form of
+    82.35 hides: it is 82.349999999999994, which rounds to 82.3.
+    """
+    value = score * 100
+    return F.floor(value) + F.bround(value - F.floor(value), 1)
 
 
 def percent_even(score: Column) -> Column:

@@ -247,8 +247,8 @@ MEMBER_ORG = """(SELECT m.state, m.user_id, m.org_id, o.name AS org_name FROM
   (SELECT state, user_id, min(organization_id) AS org_id FROM b_member WHERE user_id IS NOT NULL GROUP BY state, user_id) m
   LEFT JOIN (SELECT state, id, min(name) AS name FROM b_org_seeker GROUP BY state, id) o ON o.state = m.state AND o.id = m.org_id)"""
 
-# rounds the exact value; round() on doubles would first lose the last digit of 51.849999999999994
-PCT = "CAST(round(CAST({} * 100 AS DECIMAL(30, 14)), 1) AS DOUBLE)"
+# rounds the exact value; the fraction alone is an exact difference
+PCT = "floor({0} * 100) + round_even(({0} * 100 - floor({0} * 100)) * 10, 0) / 10"
 
 MATCH_REPORT = f"""{match_with('user_seeker', 'member', 'org_seeker', 'user_provider')}
 SELECT m.state, m.seeker_id, m.provider_job_id, match_category, round_even(confidence * 100 * 10, 0) / 10 AS "confidence_score_%",
