@@ -49,9 +49,10 @@ def crc_mod(column: Column, divisor: int) -> Column:
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The UTF-8 bytes of a batch's texts as one array, and the n + 1 offsets into it."""
+    """The UTF-8 bytes of a batch's texts (null: empty) as one array, and the n + 1 offsets into it."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
+    column = column.fill_null("")
     wide = pa.types.is_large_string(column.type)
     _, offsets, data = column.buffers()
     kind = np.int64 if wide else np.int32
@@ -94,3 +95,14 @@ class Recent(dict):
                 self.clear()
             self[key] = value
         return value
+
+
+def keep_rows(docs: DataFrame, column: str, mask: Callable[[pa.Array], np.ndarray]) -> DataFrame:
+    """The rows, whole and unchanged, for whose values of `column` the mask is true; nothing is shuffled."""
+    place = docs.columns.index(column)
+
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(mask(batch.column(place)), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

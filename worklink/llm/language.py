@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from worklink.llm.common import crc_mod, id_and_text, stored
+from worklink.llm.common import crc_mod, id_and_text, keep_rows, stored
 
 DIMENSIONS = 1024
 LETTERS = 128  # 0 stands for whatever is no letter, 1 to 26 for a to z, the rest is shared by code point
@@ -222,6 +222,30 @@ def predict_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
+def taught_rows(docs: DataFrame, id_col: str, text_col: str, lang_col: str, train: Column | None = None) -> DataFrame:
+    """(lang, text) of the rows to learn from."""
+    chosen = F.coalesce(crc_mod(F.col(id_col), 5) != 0, F.lit(False)) if train is None else train
+    return docs.filter(chosen & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
+        F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
+
+
+def keep_known_languages(docs: DataFrame, least: float = 0.05, id_col: str = "doc_id", text_col: str = "text",
+                         lang_col: str = "lang") -> DataFrame:
+    """The documents, with all their columns, whose text has letters and a cosine of at least `least` with a prototype."""
+    model = learn_languages(taught_rows(docs, id_col, text_col, lang_col), Hypervectors())
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def sure(texts):
+        out = []
+        values = [t or "" for t in texts.to_pylist()]
+        for i in range(0, len(values), ROWS):
+            names, scores = shared.value.predict(values[i:i + ROWS])
+            out += [name != "und" and score >= least for name, score in zip(names, scores)]
+        return out
+
+    return keep_rows(docs, text_col, sure)
+
+
 def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                        train: Column | None = None, dimensions: int = DIMENSIONS) -> DataFrame:
     """Learn prototypes from labelled rows, then predict every whole text.
@@ -232,10 +256,7 @@ def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     learned. A null id counts as held out. Ties go to the language first in order. Eager: learning runs
     at once.
     """
-    held_out = F.coalesce(crc_mod(F.col(id_col), 5) == 0, F.lit(True))
-    chosen = ~held_out if train is None else train
     space = Hypervectors(dimensions)
-    taught = docs.filter(chosen & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
-        F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
+    taught = taught_rows(docs, id_col, text_col, lang_col, train)
     found = predict_languages(id_and_text(docs, id_col, text_col), learn_languages(taught, space))
     return found.select("doc_id", F.coalesce(crc_mod(F.col("doc_id"), 5) == 0, F.lit(True)).alias("held_out"), "lang_pred", "score")

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from worklink.llm import bpe, fingerprints, language, packing, token_counts
+from worklink.llm import (
+    bpe, context_tree, embeddings, fingerprints, jaccard, language, packing, quality, token_counts, urls)
 from worklink.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,12 +27,29 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+#: Rules of the URL filter: host, path, verdict.
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+             ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+@query
+def op1_near_vectors(spark, sf_dir):
+    """All vectors against each other by cosine of at least 0.95."""
+    return embeddings.near_vectors(read_table(spark, sf_dir, "embeddings"), cosine=0.95)
+
+
 @query
 def op2_token_counts(spark, sf_dir):
     """Best unigram segmentation of every whole text, counted."""
     return token_counts.token_counts(read_table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+@query
+def op3_quality(spark, sf_dir):
+    """Quality of every whole text, learned from three quarters of the labels."""
+    return quality.classify_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), keep=0.7)
+
+
 @query
 def op4_bpe(spark, sf_dir):
     """Every whole text encoded and decoded again."""
@@ -44,12 +62,30 @@ def op5_packing(spark, sf_dir):
     return packing.pack(read_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), size=2048, end_id=1)
 
 
+@query
+def op6_jaccard(spark, sf_dir):
+    """Components of documents with a Jaccard similarity of at least 0.9 on three-word shingles."""
+    return jaccard.jaccard_components(read_table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
+@query
+def op7_url_filter(spark, sf_dir):
+    """Verdicts on all page addresses."""
+    return urls.filter_urls(read_table(spark, sf_dir, "pages"), URL_RULES)
+
+
 @query
 def op8_language_id(spark, sf_dir):
     """Language of every whole text, learned from four fifths of the ids."""
     return language.identify_languages(read_table(spark, sf_dir, "documents"))
 
 
+@query
+def op9_lm_scores(spark, sf_dir):
+    """Log probabilities of every whole text, learned from nine tenths of the ids."""
+    return context_tree.model_scores(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_fingerprints(spark, sf_dir):
     """Fingerprints of every whole text, of its edited text, and their likeness."""
