@@ -270,7 +270,7 @@ class ContextTree:
         for depth in range(BITS):
             first = (1 << depth) - 1
             p = np.clip(ones[:, first:2 * first + 1], 1e-12, 1 - 1e-12)
-            total = np.stack([total + np.log10(1 - p), total + np.log10(p)], axis=2).reshape(len(ones), -1)
+            total = np.stack([total + np.log10(1 - p), total + np.log10(p)], axis=2).reshape(len(ones), 2 * total.shape[1])
         return total
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
