@@ -12,6 +12,7 @@ import codecs
 import hashlib
 import heapq
 import json
+from array import array
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -23,6 +24,7 @@ from worklink.llm.common import Recent, id_and_text, per_text
 #: Fixed value: the pattern that cuts text into pieces before byte-level merges.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+INNER_BLANK = regex.compile(r"\s \s")
 DIGEST = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
 
@@ -76,52 +78,58 @@ class BytePairCoder:
         pairs = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
         merges = [(raw[a], raw[b]) for a, b in pairs]
         self.of_byte = [ids[bytes([b])] for b in range(256)]
-        self.rank = {(ids[a], ids[b]): (r, ids[a + b]) for r, (a, b) in reversed(list(enumerate(merges)))}
+        self.rank = {(ids[a], ids[b]): r for r, (a, b) in reversed(list(enumerate(merges)))}
+        self.made = [ids[a + b] for a, b in merges]  # by rank
         self.bytes_of = {i: b for b, i in ids.items()}
         # added tokens are found in the text before anything else
         self.added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.bytes_of.update({i: content.encode() for content, i in self.added.items()})
+        self.shown = {i: str(i) for i in self.bytes_of}
         self.lookahead = sufficient_lookahead(merges)
         self.block = max(block, *map(len, self.bytes_of.values()))
-        self.parts = Recent(self._part)
-        self.words = Recent(self._word, limit=100_000)
+        self.parts = Recent(self.encode_part, limit=400_000)
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("parts", "words")}
+        return {k: v for k, v in self.__dict__.items() if k != "parts"}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
-        self.parts = Recent(self._part)
-        self.words = Recent(self._word, limit=100_000)
+        self.parts = Recent(self.encode_part, limit=400_000)
 
     def merged(self, data: bytes) -> list[int]:
         """Tokens of a window: the lowest rank first, the leftmost of equals first."""
-        symbols, rank = [self.of_byte[b] for b in data], self.rank
-        if len(symbols) <= 48:
-            while len(symbols) > 1:
-                best = min([(rank[p][0], i) for i, p in enumerate(zip(symbols, symbols[1:])) if p in rank], default=None)
-                if best is None:
+        symbols, made, never = [self.of_byte[b] for b in data], self.made, len(self.made)
+        rank = self.rank.get
+        if len(symbols) <= 64:
+            ranks = [rank(pair, never) for pair in zip(symbols, symbols[1:])]
+            while ranks:
+                best = min(ranks)
+                if best == never:
                     break
-                i = best[1]
-                symbols[i:i + 2] = [rank[symbols[i], symbols[i + 1]][1]]
+                i = ranks.index(best)
+                new = symbols[i] = made[best]
+                del symbols[i + 1], ranks[i]
+                if i:
+                    ranks[i - 1] = rank((symbols[i - 1], new), never)
+                if i < len(ranks):
+                    ranks[i] = rank((new, symbols[i + 1]), never)
             return symbols
         n = len(symbols)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        queue = [(*rank[p], i, p) for i, p in enumerate(zip(symbols, symbols[1:])) if p in rank]
-        queue = [(r, i, p) for r, _, i, p in queue]
+        queue = [(rank(p), i, p) for i, p in enumerate(zip(symbols, symbols[1:])) if rank(p) is not None]
         heapq.heapify(queue)
         while queue:
-            _, i, pair = heapq.heappop(queue)
+            best, i, pair = heapq.heappop(queue)
             j = after[i]
             if symbols[i] is None or j >= n or (symbols[i], symbols[j]) != pair:
                 continue
-            symbols[i], symbols[j] = rank[pair][1], None
+            symbols[i], symbols[j] = made[best], None
             after[i] = after[j]
             if after[j] < n:
                 before[after[j]] = i
             for a, b in ((before[i], i), (i, after[i])):
-                if a >= 0 and b < n and (p := (symbols[a], symbols[b])) in rank:
-                    heapq.heappush(queue, (rank[p][0], a, p))
+                if a >= 0 and b < n and (r := rank((symbols[a], symbols[b]))) is not None:
+                    heapq.heappush(queue, (r, a, (symbols[a], symbols[b])))
         return [s for s in symbols if s is not None]
 
     def stream(self, chunks: Iterable[bytes]) -> Iterator[int]:
@@ -140,17 +148,19 @@ class BytePairCoder:
                 window = window[end:]
         yield from self.merged(window)  # the piece has ended: all is stable
 
-    def _word(self, piece: str) -> list[int]:
+    def piece(self, piece: str) -> bytes:
+        """Ids of one piece, four bytes each."""
         data = piece.encode()
-        return list(self.stream(data[i:i + self.block] for i in range(0, len(data), self.block)))
+        if len(data) <= self.block:
+            return array("I", self.merged(data)).tobytes()
+        return array("I", self.stream(data[i:i + self.block] for i in range(0, len(data), self.block))).tobytes()
 
-    def encode_part(self, part: str) -> list[int]:
-        """Tokens of text without added tokens."""
-        return [t for piece in regex.findall(PIECES, part) for t in self.words[piece]]
-
-    def _part(self, part: str) -> tuple[str, int, bytes]:
-        tokens = self.encode_part(part)
-        return ",".join(map(str, tokens)), len(tokens), b"".join([self.bytes_of[t] for t in tokens])
+    def encode_part(self, part: str) -> bytes:
+        """Ids of text without added tokens; a word after a blank is one piece."""
+        if part[1:].isalpha() and (part[0] == " " or part[0].isalpha()):
+            return self.piece(part)
+        pieces = regex.findall(PIECES, part)
+        return self.piece(part) if len(pieces) == 1 else b"".join([self.parts[p] for p in pieces])
 
     def split_added(self, text: str) -> list[str]:
         """Text and added tokens in turn; the leftmost, then the longest token counts."""
@@ -159,30 +169,26 @@ class BytePairCoder:
         found = "|".join(regex.escape(c) for c in sorted(self.added, key=len, reverse=True))
         return regex.split(f"({found})", text)
 
-    def units(self, text: str) -> Iterator[tuple[str, int, bytes]]:
-        """Encoded units of a text: between blanks where no piece crosses the cut, else as a whole.
+    def encoded(self, text: str) -> Iterator[bytes]:
+        """Ids of a text: cut at blanks where no piece crosses the cut, else piece by piece.
 
         A piece begins at a blank unless that blank stands inside a run of white space.
         """
         for i, part in enumerate(self.split_added(text)):
             if i % 2:
-                token = self.added[part]
-                yield str(token), 1, self.bytes_of[token]
-            elif part and regex.search(r"\s \s", part):
+                yield array("I", [self.added[part]]).tobytes()
+            elif part and INNER_BLANK.search(part):
                 for piece in regex.finditer(PIECES, part):
-                    yield self.parts[piece.group()] if len(piece.group()) <= 64 else self._whole(piece.group())
+                    yield self.parts[piece.group()]
             elif part:
                 words = part.split(" ")
                 if words[0]:
                     yield self.parts[words[0]]
-                yield from map(self.parts.__getitem__, [" " + w for w in words[1:]])
-
-    def _whole(self, piece: str) -> tuple[str, int, bytes]:
-        tokens = self._word(piece)
-        return ",".join(map(str, tokens)), len(tokens), b"".join([self.bytes_of[t] for t in tokens])
+                for at in range(1, len(words), 4096):
+                    yield b"".join([self.parts[" " + w] for w in words[at:at + 4096]])
 
     def encode(self, text: str) -> list[int]:
-        return [int(t) for ids, _, _ in self.units(text) for t in ids.split(",")]
+        return array("I", b"".join(self.encoded(text))).tolist()
 
     def decode(self, tokens: Iterable[int]) -> Iterator[str]:
         """Text of a token stream; bytes of an unfinished character wait for the next token."""
@@ -195,13 +201,16 @@ class BytePairCoder:
 
     def digest(self, text: str) -> tuple[int, str, str]:
         """Number of tokens, digest of the ids, digest of the decoded text."""
-        units = list(self.units(text))
-        ids = hashlib.sha256(",".join([u[0] for u in units]).encode())
-        machine, out = codecs.getincrementaldecoder("utf-8")("replace"), hashlib.sha256()
-        for i in range(0, len(units), 4096):
-            out.update(machine.decode(b"".join([u[2] for u in units[i:i + 4096]])).encode())
+        ids, out = hashlib.sha256(), hashlib.sha256()
+        machine, shown, bytes_of, n = codecs.getincrementaldecoder("utf-8")("replace"), self.shown, self.bytes_of, 0
+        for block in self.encoded(text):
+            tokens = array("I", block)
+            if tokens:
+                ids.update(("," * bool(n) + ",".join([shown[t] for t in tokens])).encode())
+                out.update(machine.decode(b"".join([bytes_of[t] for t in tokens])).encode())
+                n += len(tokens)
         out.update(machine.decode(b"", True).encode())
-        return sum([u[1] for u in units]), ids.hexdigest(), out.hexdigest()
+        return n, ids.hexdigest(), out.hexdigest()
 
 
 def bpe_roundtrip(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
