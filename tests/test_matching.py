@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from worklink.operators import matching, similarity
-from worklink.operators.keyed import first_per_key, hot_keys, salted_join
+from worklink.operators.keyed import first_org_per_user, first_per_key, product_join, skew_join
 
 
 def slow_lcs(a, b):
@@ -54,23 +54,27 @@ def texts(n, seed):
     ("mechanic", "Diesel Mechanic", 60.87), ("Electrician", "Fitter", 23.53), ("", "x", 0.0),
     ("a b", "b a", 100.0), ("a a b", "b a", 100.0), ("x" * 300, "x" * 299 + "y", 99.67),
 ])
-def test_token_set_vectors(a, b, score):
-    assert similarity.token_set_scores([a], [b])[0] == pytest.approx(score, abs=0.006)
+def test_token_set_vectors(spark, a, b, score):
+    assert ratios(spark, [(a, b)]) == [pytest.approx(score, abs=0.006)]
 
 
-def test_token_set_matches_brute_force_and_is_symmetric():
-    pairs = list(itertools.product(texts(60, 1), texts(60, 2) + ["é" * 70 + " w", "\0 b"]))
-    a, b = map(list, zip(*pairs))
-    got = similarity.token_set_scores(a, b)
+def ratios(spark, pairs):
+    rows = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, a string, b string")
+    return [r.score for r in similarity.token_set_ratio("a", "b", rows, "score").orderBy("i").collect()]
+
+
+def test_token_set_matches_brute_force_and_is_symmetric(spark):
+    pairs = list(itertools.product(texts(60, 1), texts(60, 2) + ["é" * 70 + " w", "\0 b", "x\x1cy"]))
+    got = ratios(spark, pairs)
     assert got == pytest.approx([slow_ratio(x, y) for x, y in pairs])
-    assert got == pytest.approx(similarity.token_set_scores(b, a))
+    assert got == pytest.approx(ratios(spark, [(y, x) for x, y in pairs]))
 
 
-@pytest.mark.parametrize("floor, min_rows", [(0.3, 10_000), (0.5, 3), (0.8, 10_000)])
-def test_similarity_join_is_exact(spark, floor, min_rows):
+@pytest.mark.parametrize("floor", [0.3, 0.5, 0.8])
+def test_similarity_join_is_exact(spark, floor):
     left, right = texts(80, 3) + ["FITTER", "zz"], texts(80, 4)
     frames = [spark.createDataFrame([(v,) for v in vs], "value string") for vs in (left, right)]
-    rows = similarity.scored_pairs(*frames, floor, min_rows).collect()
+    rows = similarity.scored_pairs(*frames, floor).collect()
     got = {(r.left_value, r.right_value): r.score for r in rows}
     want = {}
     for a, b in itertools.product(left, right):
@@ -107,14 +111,13 @@ def market(spark, n=60):
     return seekers, jobs
 
 
-@pytest.mark.parametrize("min_rows", [10_000, 2])
-def test_counts_equal_expanded_pairs(spark, min_rows):
+def test_counts_equal_expanded_pairs(spark):
     seekers, jobs = market(spark)
-    pairs = matching.match(seekers, jobs, min_rows=min_rows).toPandas()
+    pairs = matching.match(seekers, jobs).toPandas()
     assert len(pairs) and not pairs.duplicated(["seeker_id", "provider_job_id"]).any()
     assert pairs.confidence.between(0.4, 1).all()
     for by, key in (("job", "provider_job_id"), ("seeker", "seeker_id")):
-        got = matching.fit_counts(seekers, jobs, by, min_rows=min_rows).toPandas().set_index(key).sort_index()
+        got = matching.fit_counts(seekers, jobs, by).toPandas().set_index(key).sort_index()
         want = pairs.groupby(key).match_category.value_counts().unstack(fill_value=0)
         assert got.right_fit.to_dict() == want["Right Fit"].to_dict()
         assert got.partial_fit.to_dict() == want["Partial Fit"].to_dict()
@@ -127,16 +130,51 @@ def skewed(spark):
     return left, right
 
 
+def as_rows(df):
+    return sorted(map(str, df.select("id", "k", "v").collect()))
+
+
 @pytest.mark.parametrize("how", ["left", "inner"])
-def test_salted_join_equals_plain_join(spark, how):
+def test_skew_join_equals_plain_join(spark, how):
+    left, right = skewed(spark)
+    assert as_rows(skew_join(left, right, ["k"], how)) == as_rows(left.join(right, "k", how))
+
+
+def test_skew_join_splits_a_hot_key(spark):
+    """A key with most rows reaches several tasks, also next to a side that is grouped by the key."""
+    saved = {k: spark.conf.get(k) for k in (
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+        "spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+    try:
+        for key, value in zip(saved, ("20k", "20k", "-1", "16")):
+            spark.conf.set(key, value)
+        left = spark.range(60_000).repartition(12).selectExpr("id", "if(id % 10 < 9, 'hot', string(id % 97)) as k", "repeat('x', 20) as pad")
+        right = left.groupBy("k").agg(F.count(F.lit(1)).alias("v"))
+        sizes = skew_join(left, right, ["k"]).groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert max(r["count"] for r in sizes) < 30_000
+    finally:
+        for key, value in saved.items():
+            spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("task_rows", [100, 10 ** 6])
+def test_product_join_equals_plain_join(spark, task_rows):
     left, right = skewed(spark)
-    got = salted_join(left, right, ["k"], how, ["id"], min_rows=100)
-    assert sorted(map(str, got.select("id", "k", "v").collect())) == sorted(
-        map(str, left.join(right, "k", how).select("id", "k", "v").collect()))
-    hot = hot_keys(left, ["k"], 100).collect()
-    assert len(hot) == 1 and hot[0]["_salts"] == 10
+    right = right.union(right.selectExpr("k", "v + 10"))
+    assert as_rows(product_join(left, right, ["k"], ["id"], task_rows)) == as_rows(left.join(right, "k"))
 
 
 def test_first_per_key(spark):
     df = spark.createDataFrame([("a", None, 1), ("a", "x", 2), ("a", "w", 3), ("b", None, 4)], "k string, o string, n int")
-    assert {r.k: r.n for r in first_per_key(df, ["k"], ["o"]).collect()} == {"a": 3, "b": 4}
+    assert {r.k: r.n for r in first_per_key(df, ["k"], ["o", "n"]).collect()} == {"a": 3, "b": 4}
+
+
+def test_first_is_the_first_created(spark):
+    """The order of the rows decides, not that of what is looked up; a null in the first row stays."""
+    rows = [("a", "2001-02-01", "1", "aaa"), ("a", "2001-01-01", "9", None), ("a", None, "0", "bbb"), ("b", "2001-01-01", "2", "z"), ("b", "2001-01-01", "1", "y")]
+    df = spark.createDataFrame(rows, "k string, created_at string, id string, v string")
+    assert {r.k: r.v for r in first_per_key(df, ["k"], ["v"]).collect()} == {"a": None, "b": "y"}
+    members = spark.createDataFrame(
+        [("u", "5", "2001-03-01"), ("u", "9", "2001-01-01"), ("u", None, "2000-01-01"), ("w", None, "2000-01-01"), (None, "1", "2000-01-01")],
+        "user_id string, organization_id string, created_at string")
+    assert {r.user_id: r.organization_id for r in first_org_per_user(members).collect()} == {"u": "9", "w": None}

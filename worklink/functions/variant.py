@@ -48,11 +48,13 @@ def is_text(v: Column) -> Column:
 def parse_obj(c: Column) -> Column:
     """FN-08: JSON object held by a text, null for anything else.
 
-    The parser stops at the end of the first value, so the last character tells
-    whether more follows it.
+    The parser stops at the end of the first value, so the text is parsed as the one element of an
+    array: whatever follows the object then breaks it.
     """
     text = strip(c)
-    return F.when(text.startswith("{") & text.endswith("}"), F.try_parse_json(c))
+    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    alone = F.try_variant_get(wrapped, "$[1]", "variant").isNull()
+    return F.when(text.startswith("{") & text.endswith("}") & alone, F.try_variant_get(wrapped, "$[0]", "variant"))
 
 
 def as_obj(v: Column) -> Column:

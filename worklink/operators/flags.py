@@ -15,7 +15,7 @@ from worklink.constants import (
     TEST_PLUS_ADDRESS,
 )
 from worklink.functions.text import digits, email_domain, strip, trimmed
-from worklink.operators.keyed import salted_join
+from worklink.operators.keyed import skew_join
 
 FLAG = "test_flag"
 
@@ -34,16 +34,13 @@ def parse_denylist(lines: DataFrame) -> DataFrame:
     )
 
 
-def phone_candidates(d: Column) -> Column:
-    """Digit strings a phone is looked up under: itself and without a country prefix."""
+def phone_forms(d: Column) -> list[Column]:
+    """Digit strings a phone is looked up under: itself and without a country prefix; null where a form does not differ."""
     forms = [d]
     for prefix in COUNTRY_PREFIXES:
-        rest = F.when(
-            d.startswith(prefix) & (F.length(d) > len(prefix)),
-            F.substring(d, len(prefix) + 1, 1_000_000),
-        )
-        forms += [rest, F.ltrim(rest, F.lit("0"))]
-    return F.array_distinct(F.array_compact(F.array(*forms)))
+        rest = F.when(d.startswith(prefix) & (F.length(d) > len(prefix)), F.regexp_replace(d, f"^{prefix}", ""))
+        forms += [rest, F.when(rest.startswith("0"), F.ltrim(rest, F.lit("0")))]
+    return forms
 
 
 def bad_phone_shape(d: Column) -> Column:
@@ -70,27 +67,22 @@ def _key(kind: str, c: Column) -> Column:
     return F.when(text.contains("@"), text) if kind == "email" else F.nullif(text, F.lit(""))
 
 
-def denied_keys(keys: DataFrame, kind: str, deny: DataFrame) -> DataFrame:
-    """Those of the distinct keys (column `key`) that the denylist holds."""
-    listed = deny.filter(F.col("kind") == kind).select(F.lower("value").alias("form")).distinct()
-    if kind == "phone":
-        forms = keys.select("key", F.explode(phone_candidates(F.col("key"))).alias("form"))
-    else:
-        forms = keys.select("key", F.col("key").alias("form"))
-    return forms.join(listed, "form", "left_semi").select("key").distinct()
-
-
-def in_denylist(df: DataFrame, key: str, kind: str, deny: DataFrame, name: str,
-                base: DataFrame, spread: Sequence[str]) -> DataFrame:
+def in_denylist(df: DataFrame, key: str, kind: str, deny: DataFrame, name: str) -> DataFrame:
     """JN-23: adds a boolean column telling whether the denylist holds a key column.
 
-    Distinct values are checked, so a phone that fills a third of the table is
-    looked up once; the rows then join the few keys that were found.
+    One existence join per form a key is looked up under. The list is the small side and
+    the planner knows its size, so the table is not shuffled; should the list outgrow a
+    broadcast, the joins split a phone that fills a third of the table.
     """
-    keys = base.select(F.col(key).alias("key")).filter(F.col("key").isNotNull()).distinct()
-    found = denied_keys(keys, kind, deny).select(F.col("key").alias(key), F.lit(True).alias(name))
-    joined = salted_join(df, found, [key], "left", list(spread), base)
-    return joined.withColumn(name, F.coalesce(name, F.lit(False)))
+    listed = deny.filter(F.col("kind") == kind).select(F.lower("value").alias("_form")).distinct()
+    forms = phone_forms(F.col(key)) if kind == "phone" else [F.col(key)]
+    hits = []
+    for i, form in enumerate(forms):
+        hits.append(f"_hit_{i}")
+        found = listed.withColumn(hits[-1], F.lit(True))
+        df = skew_join(df.withColumn("_form", form), found, ["_form"]).drop("_form")
+    hit = reduce(lambda a, b: a | b, [F.col(h).isNotNull() for h in hits])
+    return df.withColumn(name, hit).drop(*hits)
 
 
 def _column(df: DataFrame, name: str) -> Column:
@@ -101,11 +93,10 @@ def _flag(df: DataFrame, deny: DataFrame, phones: Sequence[str], emails: Sequenc
           orgs: Sequence[str], domains: Sequence[str], words: Sequence[str]) -> DataFrame:
     """Sets the flag when any of the columns looks like a test value."""
     checks = [(k, c) for k, cs in (("phone", phones), ("email", emails), ("org", orgs)) for c in cs]
-    base = df.drop(FLAG).withColumns({f"_key_{c}": _key(k, _column(df, c)) for k, c in checks})
-    spread = [c for c in ("id", "state") if c in df.columns]
-    out, rules = base, []
+    out = df.drop(FLAG).withColumns({f"_key_{c}": _key(k, _column(df, c)) for k, c in checks})
+    rules = []
     for kind, c in checks:
-        out = in_denylist(out, f"_key_{c}", kind, deny, f"_denied_{c}", base, spread)
+        out = in_denylist(out, f"_key_{c}", kind, deny, f"_denied_{c}")
         text = trimmed(_column(df, c))
         rules.append(F.col(f"_denied_{c}"))
         if kind == "phone":
@@ -159,7 +150,7 @@ def flag_member(members: DataFrame, organizations: DataFrame) -> DataFrame:
         .distinct()
         .withColumn("_hit", F.lit(1))
     )
-    joined = salted_join(members.drop(FLAG), hit, [*scope, "organization_id"], "left", ["user_id"])
+    joined = skew_join(members.drop(FLAG), hit, [*scope, "organization_id"])
     return joined.withColumn(FLAG, F.coalesce("_hit", F.lit(0))).drop("_hit")
 
 

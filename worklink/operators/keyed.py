@@ -2,110 +2,68 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_SHARE = 1024  # a key is hot when it holds more than 1/HOT_SHARE of all rows
-HOT_ROWS = 1_000_000  # ... and at least this many rows
-PRODUCT_ROWS = 10_000  # the same for joins whose result grows with both sides of a key
-SKETCH_ITEMS = 10_000
+from worklink.session import stage
+
+FIRST_BY = ("created_at", "id")  # what makes a row the first of its key
+TASK_ROWS = 1_000_000  # result rows of a product join that one task makes
 
 
-def first_per_key(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
-    """WIN-01: one row per key, the first in the given order.
+def first_per_key(df: DataFrame, keys: list[str], rest: list[str] = (), first_by: tuple[str, ...] = FIRST_BY) -> DataFrame:
+    """WIN-01: one row per key with the columns `rest` (default: all others), the first by created_at and id.
 
-    An aggregate rather than a row_number window: partial aggregation leaves one
-    row per key and task before the shuffle, however often a key occurs.
+    Of `first_by` the columns that exist count; equal rows are ordered by the rest, nulls last.
+    The filter on the row number lets Spark keep one row per key and task before the
+    shuffle, so a key held by a third of the rows costs a row per task.
     """
-    rest = [c for c in df.columns if c not in keys]
-    ranked = [c for c in order_by if c in rest]
-    others = [c for c in rest if c not in ranked]
-    # nulls sort last within the order
-    parts = [p for c in ranked for p in (F.col(c).isNull().alias(f"_null_{c}"), F.col(c))]
-    first = F.min(F.struct(*parts, *others)).alias("_first")
-    return df.groupBy(*keys).agg(first).select(*keys, *[F.col(f"_first.{c}").alias(c) for c in rest])
+    rest = list(rest) or [c for c in df.columns if c not in keys]
+    order = [c for c in first_by if c in df.columns and c not in keys]
+    order += [c for c in rest if c not in order]
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in order]))
+    return df.withColumn("_row", number).filter("_row = 1").select(*keys, *rest)
 
 
 def first_org_per_user(members: DataFrame) -> DataFrame:
-    """AGG-03: first organisation that is not null per user; the smallest id counts as first."""
+    """AGG-03: the first organisation that is not null per user, by created_at and id, then by the smallest organisation."""
     keys = [c for c in ("state", "side") if c in members.columns] + ["user_id"]
-    return (
-        members.dropna(subset=["user_id"])
-        .groupBy(*keys)
-        .agg(F.min("organization_id").alias("organization_id"))
-    )
+    named = members.dropna(subset=["user_id"])
+    known = first_per_key(named.dropna(subset=["organization_id"]), keys, ["organization_id"])
+    return named.select(*keys).distinct().join(known, keys, "left")
 
 
-def prefixed(df: DataFrame, prefix: str, cols: list[str], keep: list[str] = ()) -> DataFrame:
-    """PRJ-08, PRJ-09: the columns that exist, renamed, next to the join keys."""
-    wanted = [F.col(c).alias(prefix + c) for c in cols if c in df.columns]
-    return df.select(*keep, *wanted)
+def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left") -> DataFrame:
+    """Equi-join whose left side may hold a hot key, or many null keys.
 
-
-def hot_keys(df: DataFrame, on: list[str], min_rows: int = HOT_ROWS) -> DataFrame:
-    """Hashes of the keys that hold more than 1/HOT_SHARE of all rows, with a number of salts.
-
-    A frequent-items sketch finds them in one pass without shuffling any key.
-    At most HOT_SHARE keys come out, whatever the size of the data, which is
-    what makes the result safe to broadcast. The sketch is approximate and may
-    be: which keys are salted decides the speed of a join, never its result.
+    Adaptive execution splits a skewed partition by the tasks that wrote it, so one key's rows
+    reach many tasks; it can do so where both sides come straight from a shuffle of the join. A hash
+    of the key among the join keys makes that so even if a side is already grouped by the key.
     """
-    keys = df.dropna(subset=on).select(F.xxhash64(*on).alias("_h"))
-    sketch = keys.agg(
-        F.expr(f"approx_top_k(_h, {HOT_SHARE}, {SKETCH_ITEMS})").alias("top"),
-        F.count(F.lit(1)).alias("n"),
-    )
-    share = F.greatest(F.lit(float(min_rows)), F.col("n") / F.lit(float(HOT_SHARE)))
-    return (
-        sketch.select(share.alias("share"), F.explode("top").alias("t"))
-        .filter(F.col("t.count") > F.col("share"))
-        .select(F.col("t.item").alias("_h"), F.ceil(F.col("t.count") / F.col("share")).cast("int").alias("_salts"))
-    )
+    keys = [F.xxhash64(*[F.col(c) for c in on]).alias("_h"), F.col("*")]
+    return left.select(*keys).join(right.select(*keys), [*on, "_h"], how).drop("_h")
 
 
-def salted_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: list[str],
-    how: str,
-    spread: list[str],
-    base: DataFrame | None = None,
-    min_rows: int = HOT_ROWS,
-    parts: int | None = None,
-) -> DataFrame:
-    """Equi-join whose left side may hold a hot key.
-
-    Rows of a hot key are spread over salts by a hash of the `spread` columns
-    (never at random: a task that runs again must send its rows to the same
-    place) and only the right rows of hot keys are repeated per salt. Left rows
-    with a null key match nothing and are spread as well. `base` is a table with
-    the same key columns that is cheaper to scan than `left`, such as the table
-    a chain of lookups started from. `parts` fixes the number of tasks where the
-    result is much larger than the input, which adaptive execution cannot see.
-    """
-    hot = F.broadcast(hot_keys(left if base is None else base, on, min_rows))
-    no_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
-    pick = F.xxhash64(*[F.col(c) for c in spread])
-    salts = F.coalesce("_salts", F.lit(1))
-    spread_left = left.withColumn("_h", F.xxhash64(*on)).join(hot, "_h", "left").withColumn(
-        "_salt",
-        F.when(no_key, F.pmod(pick, F.lit(HOT_SHARE))).otherwise(F.pmod(pick, salts)).cast("int"),
-    )
-    copies = right.withColumn("_h", F.xxhash64(*on)).join(hot, "_h", "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), salts - 1))
-    )
-    keys = [*on, "_salt"]
-    spread_left, copies = spread_left.drop("_salts", "_h"), copies.drop("_salts", "_h")
-    if parts:
-        spread_left, copies = spread_left.repartition(parts, *keys), copies.repartition(parts, *keys)
-    return spread_left.join(copies, keys, how).drop("_salt")
-
+def product_join(left: DataFrame, right: DataFrame, on: list[str], spread: list[str], task_rows: int = TASK_ROWS) -> DataFrame:
+    """Inner join of two sides that both hold many rows of a key, so that the result is much larger than the input.
 
-def shuffle_parts(df: DataFrame) -> int:
-    """Tasks of a shuffle as the session sets them."""
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    Every key is cut into pieces of about `task_rows` result rows: the left rows go to a piece by a
+    hash of the `spread` columns (never at random: a task that runs again must send its rows to the
+    same place), the right rows to all pieces of their key. Counts per key, stored once, serve both sides
+    and give the number of tasks. Eager: the counting runs at once.
+    """
+    sizes = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_l")).join(
+        right.groupBy(*on).agg(F.count(F.lit(1)).alias("_r")), on)
+    sizes = stage(sizes.select(*on, (F.col("_l") * F.col("_r")).alias("_n")))
+    total = sizes.agg(F.sum("_n").alias("n")).first().n or 0
+    parts = max(1, -(-total // task_rows))
+    pieces = sizes.select(*on, F.ceil(F.col("_n") / F.lit(float(task_rows))).cast("int").alias("_pieces"))
+    dealt = skew_join(left, pieces, on, "inner").withColumn(
+        "_piece", F.pmod(F.xxhash64(*spread), F.col("_pieces")).cast("int")).drop("_pieces")
+    copies = skew_join(right, pieces, on, "inner").withColumn(
+        "_piece", F.explode(F.sequence(F.lit(0), F.col("_pieces") - 1))).drop("_pieces")
+    keys = [*on, "_piece"]
+    return dealt.repartition(parts, *keys).join(copies.repartition(parts, *keys), keys).drop("_piece")
 
 
 def duplicate_groups(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -128,7 +86,6 @@ def mark_duplicates(df: DataFrame, keys: dict[str, Column], name: str = "duplica
     keyed = df.withColumns({
         c: F.coalesce(e.cast("string"), F.lit("")) for c, e in zip(cols, keys.values())
     })
-    groups = duplicate_groups(keyed, [*keep, *cols])
-    marked = keyed.join(groups, [*keep, *cols], "left")
+    marked = skew_join(keyed, duplicate_groups(keyed, [*keep, *cols]), [*keep, *cols])
     flag = F.when(F.col("group_size") > 1, "Yes").otherwise("No")
     return marked.withColumn(name, flag).drop("group_size", *cols)

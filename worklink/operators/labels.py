@@ -24,13 +24,17 @@ from worklink.constants import (
 )
 from worklink.functions import variant as V
 from worklink.functions.text import clean_str, is_empty_value, trimmed
-from worklink.operators.keyed import HOT_ROWS, salted_join
+from worklink.operators.keyed import skew_join
 from worklink.operators.similarity import scored_pairs
 from worklink.operators.stats import distinct_values
 from worklink.session import stage
 
 Labeller = Callable[[list[str]], list[dict | None]]
 
+class LabellerDown(RuntimeError):
+    """The labeller gave no answer for the first batch."""
+
+
 PLACE_FIELDS = ("state", "district")
 # output suffix of each role label
 ROLE_SUFFIXES = {"role": "normalized"} | {f: f for f in ROLE_FIELDS[1:]}
@@ -74,12 +78,16 @@ def label_distinct(values: DataFrame, labeller: Labeller, fields: Sequence[str],
                 yield pd.DataFrame(out)
 
     schema = "value string, answered boolean, " + ", ".join(f"{f} string" for f in fields)
+    first = None
     if check_first:
-        probe = values.limit(batch).mapInPandas(run, schema)
-        if not probe.isEmpty() and probe.filter("answered").isEmpty():
-            raise RuntimeError("the labeller gave no answer for the first batch")
+        # the first batch is asked once, and its answers are kept
+        first = stage(stage(values.limit(batch)).mapInPandas(run, schema))
+        if not first.isEmpty() and first.filter("answered").isEmpty():
+            raise LabellerDown("the labeller gave no answer for the first batch")
+        values = values.join(first.select("value"), "value", "left_anti")
     spread = values.repartition(concurrency, "value") if concurrency else values.repartition("value")
-    return spread.mapInPandas(run, schema)
+    rest = spread.mapInPandas(run, schema)
+    return rest if first is None else first.unionByName(rest)
 
 
 def _labelled(values: DataFrame, labeller: Labeller, fields: Sequence[str], **options) -> DataFrame:
@@ -89,7 +97,7 @@ def _labelled(values: DataFrame, labeller: Labeller, fields: Sequence[str], **op
 
 
 def label_by_lookup(values: DataFrame, lookup: DataFrame, fields: Sequence[str],
-                    floor: float | None = None, min_rows: int = HOT_ROWS) -> DataFrame:
+                    floor: float | None = None) -> DataFrame:
     """Offline labels for the distinct texts in column `value` from known texts.
 
     `lookup` holds column `value` and the fields. A text equal to a known one up
@@ -100,7 +108,7 @@ def label_by_lookup(values: DataFrame, lookup: DataFrame, fields: Sequence[str],
         F.lower(trimmed(F.col("value"))).alias("_key"), "value", *fields
     ).groupBy("_key").agg(F.min(F.struct("value", *fields)).alias("_label"))
     keyed = values.select("value", F.lower(trimmed(F.col("value"))).alias("_key"))
-    out = salted_join(keyed, known, ["_key"], "left", ["value"], min_rows=min_rows)
+    out = skew_join(keyed, known, ["_key"])
     if floor is not None:
         rest = out.filter(F.col("_label").isNull()).select("value")
         names = known.select(F.col("_label.value").alias("value"))
@@ -110,7 +118,7 @@ def label_by_lookup(values: DataFrame, lookup: DataFrame, fields: Sequence[str],
             .agg(F.min(F.struct((-F.col("score")).alias("s"), "right_value")).alias("best"))
             .select("value", F.lower(trimmed(F.col("best.right_value"))).alias("_near"))
         )
-        found = near.join(known.withColumnsRenamed({"_key": "_near", "_label": "_other"}), "_near")
+        found = skew_join(near, known.withColumnsRenamed({"_key": "_near", "_label": "_other"}), ["_near"], "inner")
         out = out.join(found.select("value", "_other"), "value", "left").withColumn(
             "_label", F.coalesce("_label", "_other")
         )
@@ -154,14 +162,12 @@ def reply_answers(replies: DataFrame, fields: Sequence[str]) -> DataFrame:
     )
 
 
-def apply_taxonomy(df: DataFrame, cols: Sequence[str], lookup: DataFrame,
-                   spread: Sequence[str] = ("id",), min_rows: int = HOT_ROWS) -> DataFrame:
+def apply_taxonomy(df: DataFrame, cols: Sequence[str], lookup: DataFrame) -> DataFrame:
     """PRJ-18, JN-21: six label columns per source column, null without a match.
 
     Existing label columns are replaced, so a second run gives the same result.
     """
     labels = lookup.select(F.col("value").alias("_raw"), F.struct(*ROLE_FIELDS).alias("_label"))
-    base = df
     for c in cols:
         outputs = {f: f"llm_{c}_{s}" for f, s in ROLE_SUFFIXES.items()}
         df = df.drop(*outputs.values())
@@ -169,9 +175,7 @@ def apply_taxonomy(df: DataFrame, cols: Sequence[str], lookup: DataFrame,
             df = df.withColumns({o: F.lit(None).cast("string") for o in outputs.values()})
             continue
         keyed = df.withColumn("_raw", clean_str(F.col(c)))
-        raw = base.select(clean_str(F.col(c)).alias("_raw"))
-        joined = salted_join(keyed, labels, ["_raw"], "left", list(spread), raw, min_rows)
-        df = joined.withColumns(
+        df = skew_join(keyed, labels, ["_raw"]).withColumns(
             {o: F.col(f"_label.{f}") for f, o in outputs.items()}
         ).drop("_raw", "_label")
     return df
@@ -182,26 +186,25 @@ def role_lookup(tables: list[DataFrame], cols: Sequence[str],
     """LBL-03, LBL-04: labels of the distinct values; empty values are not sent."""
     values = distinct_values(tables, list(cols)).filter(~is_empty_value(F.col("value")))
     if isinstance(labeller, DataFrame):
-        return label_by_lookup(values, labeller, ROLE_FIELDS, floor)
+        return stage(label_by_lookup(values, labeller, ROLE_FIELDS, floor))
     return _labelled(values, labeller, ROLE_FIELDS, **options)
 
 
 def label_roles(tables: dict[str, DataFrame], labeller: Labeller | DataFrame,
-                floor: float | None = None, min_rows: int = HOT_ROWS, **options) -> dict[str, DataFrame]:
+                floor: float | None = None, **options) -> dict[str, DataFrame]:
     """LBL-04, PRJ-19: role labels of every table that has role columns."""
     out = dict(tables)
     for table, cols in ROLE_COLUMNS.items():
         if table in out:
             lookup = role_lookup([out[table]], cols, labeller, floor, **options)
-            out[table] = apply_taxonomy(out[table], cols, lookup, min_rows=min_rows)
+            out[table] = apply_taxonomy(out[table], cols, lookup)
     if "profile" in out:
         out["profile"] = out["profile"].withColumn("normalised_role", F.col("llm_role_normalized"))
     return out
 
 
 def label_locations(df: DataFrame, cols: Sequence[str], labeller: Labeller | DataFrame,
-                    floor: float | None = None, spread: Sequence[str] = ("id",),
-                    min_rows: int = HOT_ROWS, **options) -> DataFrame:
+                    floor: float | None = None, **options) -> DataFrame:
     """LBL-01, LBL-02, FLT-09: state and district of each row's location text.
 
     Rows without any location text are not sent. Equal texts are sent once.
@@ -214,13 +217,13 @@ def label_locations(df: DataFrame, cols: Sequence[str], labeller: Labeller | Dat
     keyed = df.withColumn("_text", F.nullif(location_text(df, cols), F.lit("")))
     values = keyed.select(F.col("_text").alias("value")).filter("value IS NOT NULL").distinct()
     if isinstance(labeller, DataFrame):
-        labels = label_by_lookup(values, labeller, PLACE_FIELDS, floor, min_rows)
+        labels = label_by_lookup(values, labeller, PLACE_FIELDS, floor)
     else:
         labels = _labelled(values, labeller, PLACE_FIELDS, **options)
     renamed = labels.select(
         F.col("value").alias("_text"), *[F.col(f).alias(f"llm_location_{f}") for f in PLACE_FIELDS]
     )
-    return salted_join(keyed, renamed, ["_text"], "left", list(spread), min_rows=min_rows).drop("_text")
+    return skew_join(keyed, renamed, ["_text"]).drop("_text")
 
 
 def label_all_locations(tables: dict[str, DataFrame], labeller: Labeller | DataFrame,

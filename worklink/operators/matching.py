@@ -32,12 +32,10 @@ from worklink.functions.text import (
     trimmed,
 )
 from worklink.operators.keyed import (
-    HOT_ROWS,
-    PRODUCT_ROWS,
     first_org_per_user,
     first_per_key,
-    salted_join,
-    shuffle_parts,
+    product_join,
+    skew_join,
 )
 from worklink.operators.similarity import scored_pairs
 from worklink.session import stage
@@ -52,10 +50,16 @@ def only_states(df: DataFrame, states: Sequence[str] | None) -> DataFrame:
 
 
 def genuine(df: DataFrame) -> DataFrame:
-    """FLT-02, FLT-03: rows that are not flagged."""
+    """FLT-02: rows that are not flagged; a flag that is missing or no number does not count as one."""
     return df.filter(F.coalesce(number(F.col("test_flag")), F.lit(0.0)) == 0)
 
 
+def genuine_seekers(df: DataFrame) -> DataFrame:
+    """FLT-03: seekers whose flag is missing or zero; any other text drops the seeker."""
+    flag = trimmed(F.col("test_flag").cast("string"))
+    return df.filter((F.coalesce(flag, F.lit("")) == "") | (number(flag) == 0))
+
+
 def open_jobs(jobs: DataFrame, include_flagged: bool = False) -> DataFrame:
     """FLT-01, FLT-02."""
     kept = jobs.filter(F.lower(trimmed(F.col("status"))) == "open")
@@ -89,7 +93,7 @@ def _number_text(c: Column) -> Column:
 
 def keyed_seekers(seekers: DataFrame) -> DataFrame:
     """Genuine seekers that have a trade, with the columns scoring reads."""
-    return genuine(seekers).withColumns({
+    return genuine_seekers(seekers).withColumns({
         "sk_key": seeker_trade_key(seekers),
         "sk_state": _fold(F.col("llm_location_state")),
         "sk_district": _fold(F.col("llm_location_district")),
@@ -110,8 +114,7 @@ def keyed_jobs(jobs: DataFrame) -> DataFrame:
     }).filter(F.col("pr_role").isNotNull())
 
 
-def role_pairs(seekers: DataFrame, jobs: DataFrame, floor: float = ROLE_PAIR_FLOOR,
-               min_rows: int = PRODUCT_ROWS) -> DataFrame:
+def role_pairs(seekers: DataFrame, jobs: DataFrame, floor: float = ROLE_PAIR_FLOOR) -> DataFrame:
     """RUL-13, RUL-14: (sk_key, pr_role, role_score, best_trade) with role_score >= floor.
 
     Works on distinct texts: `sk_key` of the seekers, `pr_role` of the jobs. A
@@ -120,7 +123,7 @@ def role_pairs(seekers: DataFrame, jobs: DataFrame, floor: float = ROLE_PAIR_FLO
     keys = stage(seekers.select("sk_key").distinct())
     trades = keys.select("sk_key", F.posexplode(split_parts(F.col("sk_key"))).alias("pos", "value"))
     roles = stage(jobs.select(F.col("pr_role").alias("value")).distinct())
-    scored = scored_pairs(trades.select("value").distinct(), roles, floor, min_rows)
+    scored = scored_pairs(trades.select("value").distinct(), roles, floor)
     best = F.max_by(
         F.struct("score", "value"), F.struct(F.col("score"), -F.col("pos"))
     ).alias("best")
@@ -146,8 +149,7 @@ def _level(c: str) -> Column:
     return F.nullif(F.col(c), F.lit(0))
 
 
-def scored_signatures(seekers: DataFrame, jobs: DataFrame, pairs: DataFrame | None = None,
-                      min_rows: int = PRODUCT_ROWS) -> DataFrame:
+def scored_signatures(seekers: DataFrame, jobs: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
     """Signature pairs that reach the confidence floor and have a fit category.
 
     Only role scores of at least ROLE_FIT can get a category, so the pair table
@@ -164,14 +166,11 @@ def scored_signatures(seekers: DataFrame, jobs: DataFrame, pairs: DataFrame | No
     )
     if pairs is None:
         # candidates one rounding step below the threshold; the rounded score decides
-        pairs = role_pairs(sk, pr, ROLE_FIT - 0.0001, min_rows)
-    pairs = pairs.filter(F.col("role_score") >= ROLE_FIT)
-    with_roles = sk.join(pairs, "sk_key")
-    # the jobs of a popular role are spread: each meets every seeker the role attracts
-    joined = salted_join(
-        pr, with_roles, ["state", "pr_role"], "inner", JOB_SIGNATURE, pr, min_rows,
-        shuffle_parts(jobs),
-    )
+        pairs = role_pairs(sk, pr, ROLE_FIT - 0.0001)
+    pairs = stage(pairs.filter(F.col("role_score") >= ROLE_FIT))
+    # a popular trade and a popular role both multiply: each is cut into pieces by its result
+    with_roles = product_join(sk, pairs, ["sk_key"], SEEKER_SIGNATURE)
+    joined = product_join(pr, with_roles, ["state", "pr_role"], JOB_SIGNATURE)
     return (
         joined.withColumns({
             "location_score": S.location_score_of(
@@ -197,41 +196,32 @@ SCORES = ["role_score", "best_trade", "location_score", "salary_score", "educati
           "confidence", "match_category"]
 
 
-def expand(signatures: DataFrame, seekers: DataFrame, jobs: DataFrame,
-           min_rows: int = PRODUCT_ROWS) -> DataFrame:
+def expand(signatures: DataFrame, seekers: DataFrame, jobs: DataFrame) -> DataFrame:
     """JN-02, JN-03: scored signature pairs back to rows of seekers and jobs.
 
     `seekers` and `jobs` hold their signature columns plus whatever is to be
-    carried along. Both joins are split where a signature is hot.
+    carried along. Both joins cut a signature into pieces by the size of its result.
     """
     scored = signatures.select(*SEEKER_SIGNATURE, *[c for c in JOB_SIGNATURE if c != "state"], *SCORES)
-    per_job = salted_join(
-        jobs, scored, JOB_SIGNATURE, "inner", ["provider_job_id"], min_rows=min_rows,
-        parts=shuffle_parts(jobs),
-    )
+    per_job = product_join(jobs, scored, JOB_SIGNATURE, ["provider_job_id"])
     per_job = per_job.drop("pr_state", "pr_district", "pr_min", "pr_max", "pr_level")
-    return salted_join(
-        seekers, per_job, SEEKER_SIGNATURE, "inner", ["seeker_row", "seeker_id"], min_rows=min_rows,
-        parts=shuffle_parts(jobs),
-    ).drop("sk_state", "sk_district", "sk_salary", "sk_level", "seeker_row")
+    return product_join(seekers, per_job, SEEKER_SIGNATURE, ["seeker_row", "seeker_id"]).drop("sk_state", "sk_district", "sk_salary", "sk_level", "seeker_row")
 
 
-def match(seekers: DataFrame, jobs: DataFrame, states: Sequence[str] | None = None,
-          min_rows: int = PRODUCT_ROWS) -> DataFrame:
+def match(seekers: DataFrame, jobs: DataFrame, states: Sequence[str] | None = None) -> DataFrame:
     """RUL-21: ids and scores of every reported pair."""
     sk, pr = keyed_seekers(only_states(seekers, states)), keyed_jobs(only_states(jobs, states))
-    scored = scored_signatures(sk, pr, min_rows=min_rows)
+    scored = stage(scored_signatures(sk, pr))
     return expand(
         scored,
         sk.select(*SEEKER_SIGNATURE, F.col("id").alias("seeker_row"),
                   trimmed(F.col("user_id")).alias("seeker_id")),
         pr.select(*JOB_SIGNATURE, trimmed(F.col("id")).alias("provider_job_id")),
-        min_rows,
     ).select("state", "seeker_id", "provider_job_id", *SCORES)
 
 
 def fit_counts(seekers: DataFrame, jobs: DataFrame, by: str = "job",
-               scored: DataFrame | None = None, min_rows: int = PRODUCT_ROWS) -> DataFrame:
+               scored: DataFrame | None = None) -> DataFrame:
     """AGG-01, AGG-02: right and partial fits per job or per seeker.
 
     Sums the sizes of the signatures on the other side; pairs of rows are
@@ -239,7 +229,7 @@ def fit_counts(seekers: DataFrame, jobs: DataFrame, by: str = "job",
     """
     sk, pr = keyed_seekers(seekers), keyed_jobs(jobs)
     if scored is None:
-        scored = scored_signatures(sk, pr, min_rows=min_rows)
+        scored = scored_signatures(sk, pr)
     if by == "job":
         rows, signature, other, source, key = pr, JOB_SIGNATURE, "n_seekers", "id", "provider_job_id"
     else:
@@ -253,7 +243,7 @@ def fit_counts(seekers: DataFrame, jobs: DataFrame, by: str = "job",
     )
     ids = rows.select(*signature, clean_str(F.col(source)).alias(key)).filter(F.col(key).isNotNull())
     return (
-        salted_join(ids, sums, signature, "inner", [key], min_rows=min_rows)
+        skew_join(ids, sums, signature, "inner")
         .groupBy("state", key)
         .agg(F.sum("right_fit").alias("right_fit"), F.sum("partial_fit").alias("partial_fit"))
     )
@@ -266,52 +256,44 @@ def fit_totals(scored: DataFrame) -> DataFrame:
     )
 
 
-def enrich_seekers(seekers: DataFrame, users: DataFrame, members: DataFrame,
-                   orgs: DataFrame, min_rows: int = HOT_ROWS) -> DataFrame:
+def enrich_seekers(seekers: DataFrame, users: DataFrame, members: DataFrame, orgs: DataFrame) -> DataFrame:
     """JN-04..JN-06 on the seeker's side.
 
     The lookups are left joins on unique keys, so they commute with the joins
     of the expansion; here they touch each seeker once instead of each pair.
     """
     emails = first_per_key(
-        users.select("state", F.col("id").alias("user_id"), F.col("email").alias("seeker_email")),
-        ["state", "user_id"], ["seeker_email"],
-    )
+        users.withColumns({"user_id": F.col("id"), "seeker_email": F.col("email")}), ["state", "user_id"], ["seeker_email"])
     names = first_per_key(
-        orgs.select("state", F.col("id").alias("organization_id"), F.col("name").alias("seeker_org_name")),
-        ["state", "organization_id"], ["seeker_org_name"],
-    )
-    member_orgs = salted_join(
-        first_org_per_user(members.drop("side")), names, ["state", "organization_id"], "left",
-        ["user_id"], min_rows=min_rows,
-    ).withColumnRenamed("organization_id", "seeker_org_id")
+        orgs.withColumns({"organization_id": F.col("id"), "seeker_org_name": F.col("name")}),
+        ["state", "organization_id"], ["seeker_org_name"])
+    firsts = first_org_per_user(members.drop("side"))
+    member_orgs = skew_join(firsts, names, ["state", "organization_id"]).withColumnRenamed("organization_id", "seeker_org_id")
     person = emails.join(member_orgs, ["state", "user_id"], "full")
-    return salted_join(seekers, person, ["state", "user_id"], "left", ["id"], min_rows=min_rows)
+    return skew_join(seekers, person, ["state", "user_id"])
 
 
-def enrich_jobs(jobs: DataFrame, users: DataFrame, min_rows: int = HOT_ROWS) -> DataFrame:
+def enrich_jobs(jobs: DataFrame, users: DataFrame) -> DataFrame:
     """JN-07 on the job's side."""
+    named = {"created_by": "id", "provider_contact_name": "name", "provider_contact_phone": "phone_number",
+             "provider_contact_email": "email"}
     contacts = first_per_key(
-        users.select(
-            "state", F.col("id").alias("created_by"),
-            F.col("name").alias("provider_contact_name"),
-            F.col("phone_number").alias("provider_contact_phone"),
-            F.col("email").alias("provider_contact_email"),
-        ),
-        ["state", "created_by"],
-        ["provider_contact_name", "provider_contact_phone", "provider_contact_email"],
-    )
-    return salted_join(jobs, contacts, ["state", "created_by"], "left", ["id"], min_rows=min_rows)
+        users.withColumns({a: F.col(c) for a, c in named.items()}), ["state", "created_by"], [a for a in named if a != "created_by"])
+    return skew_join(jobs, contacts, ["state", "created_by"])
 
 
 def match_report(seekers: DataFrame, jobs: DataFrame, users_seeker: DataFrame,
                  members: DataFrame, orgs: DataFrame, users_provider: DataFrame,
                  states: Sequence[str] | None = None, display: bool = False,
-                 min_rows: int = PRODUCT_ROWS) -> DataFrame:
-    """PRJ-12: the 35 columns of the match table (plus state), typed or for display."""
+                 scored: DataFrame | None = None) -> DataFrame:
+    """PRJ-12: the 35 columns of the match table (plus state), typed or for display.
+
+    `scored` takes signatures that have been scored already.
+    """
     sk = keyed_seekers(only_states(seekers, states))
     pr = keyed_jobs(only_states(jobs, states))
-    scored = scored_signatures(sk, pr, min_rows=min_rows)
+    if scored is None:
+        scored = stage(scored_signatures(sk, pr))
     rich_sk = enrich_seekers(sk, users_seeker, members, orgs)
     rich_pr = enrich_jobs(pr, users_provider)
 
@@ -348,7 +330,7 @@ def match_report(seekers: DataFrame, jobs: DataFrame, users_seeker: DataFrame,
         }),
     )
     pct = percent_text if display else percent
-    return expand(scored, seeker_side, job_side, min_rows).select(
+    return expand(scored, seeker_side, job_side).select(
         "state", "seeker_id", "provider_job_id", "match_category",
         percent_even(F.col("confidence")).alias("confidence_score_%"),
         S.confidence_label(F.col("confidence")).alias("confidence_label"),
@@ -368,5 +350,5 @@ def match_report(seekers: DataFrame, jobs: DataFrame, users_seeker: DataFrame,
 
 
 def sort_matches(df: DataFrame) -> DataFrame:
-    """SRT-01: best confidence first, ids break ties."""
-    return df.orderBy(F.desc("confidence_score_%"), "seeker_id", "provider_job_id")
+    """SRT-01: best confidence first within a state, ids break ties."""
+    return df.orderBy("state", F.desc("confidence_score_%"), "seeker_id", "provider_job_id")

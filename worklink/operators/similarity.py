@@ -1,14 +1,13 @@
 """Token-set similarity of texts and an exact similarity join (UDF-01, RUL-12..14, JN-01).
 
-The join finds every pair of distinct texts whose score reaches a floor without
-a cross product. A pair qualifies in one of two ways:
+The join finds every pair of distinct texts whose score reaches a floor. A pair
+qualifies in one of two ways:
 
 * it shares a token: found by an equi-join on tokens;
-* it shares none: its score is 2 * LCS / (length sum), and an LCS is never
-  longer than the common part of the two character multisets. Two multisets
-  with a large enough common part must share an element within their prefixes
-  (prefix filtering, Chaudhuri et al. 2006), so an equi-join on prefix elements
-  finds them. Prefixes start with rare characters, which keeps the groups small.
+* it shares none: its score is 2 * LCS / (length sum), and an LCS is never longer
+  than the common part of the two character multisets. Texts fall into classes by how many
+  characters of a few groups they have; a class meets only the classes that its bound on
+  the common part allows, so every pair is formed once at most.
 """
 
 from __future__ import annotations
@@ -17,12 +16,15 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import LongType
 
-from worklink.operators.keyed import PRODUCT_ROWS, salted_join, shuffle_parts
+from worklink.operators.keyed import product_join
+from worklink.session import stage
 
-# characters from rare to frequent; any fixed order is exact, this one prunes well
-RARE_FIRST = "zqjxkvbywgpfmucdlhrsnioate "
+# groups of characters whose numbers bound the common part of two texts; the last group is the rest
+GROUPS = ["aeiouAEIOU", "nrstNRST", "lhdcmLHDCM", " "]
+# a text's number in a group counts as the largest of the level it falls in; the last level is open
+LEVELS = [0, 1, 2, 4, 6, 9, 13]
 SLACK = 0.0001  # covers the rounding of scores to four decimals
 
 
@@ -75,121 +77,94 @@ def lcs_lengths(a: list[str], b: list[str]) -> np.ndarray:
     return out
 
 
-def _ratio(distance: np.ndarray, total: np.ndarray) -> np.ndarray:
-    safe = np.where(total > 0, total, 1)
-    return np.where(total > 0, 100.0 - 100.0 * distance / safe, 100.0)
-
-
-def token_set_scores(a: list[str], b: list[str]) -> np.ndarray:
-    """Token-set ratio, 0 to 100, of aligned texts."""
-    n = len(a)
-    left, right = [""] * n, [""] * n
-    shared = np.zeros(n, dtype=np.int64)
-    fixed = np.full(n, np.nan)
-    memo: dict[str, frozenset[str]] = {}
-    for i, (x, y) in enumerate(zip(a, b)):
-        s = memo.setdefault(x, frozenset(x.split()))
-        t = memo.setdefault(y, frozenset(y.split()))
-        if not s or not t:
-            fixed[i] = 0.0
-            continue
-        common = s & t
-        if common and (len(common) == len(s) or len(common) == len(t)):
-            fixed[i] = 100.0
-            continue
-        shared[i] = sum(map(len, common)) + len(common) - 1 if common else 0
-        left[i] = " ".join(sorted(s - common))
-        right[i] = " ".join(sorted(t - common))
-    la = np.array([len(t) for t in left], dtype=np.int64)
-    lb = np.array([len(t) for t in right], dtype=np.int64)
-    gap = (shared > 0).astype(np.int64)
-    full_a, full_b = shared + gap + la, shared + gap + lb
-    scores = _ratio(la + lb - 2 * lcs_lengths(left, right), full_a + full_b)
-    with_shared = np.maximum(_ratio(gap + la, shared + full_a), _ratio(gap + lb, shared + full_b))
-    scores = np.where(shared > 0, np.maximum(scores, with_shared), scores)
-    return np.where(np.isnan(fixed), scores, fixed)
-
-
-@F.pandas_udf(DoubleType())
-def token_set_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """UDF-01: runs on distinct candidate pairs only."""
-    return pd.Series(token_set_scores(a.fillna("").tolist(), b.fillna("").tolist()))
+@F.pandas_udf(LongType())
+def lcs_length(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Length of the longest common subsequence."""
+    return pd.Series(lcs_lengths(a.tolist(), b.tolist()))
 
 
 def _tokens(c: Column) -> Column:
-    return F.array_distinct(F.filter(F.split(c, r"(?U)\s+"), lambda t: t != ""))
+    return F.array_distinct(F.filter(F.split(c, r"(?U)[\s\x1c-\x1f]+"), lambda t: t != ""))
 
 
-def _elements(text: Column) -> Column:
-    """Character multiset of a text as sorted numbers made of (rank, character, occurrence)."""
-    chars = F.filter(F.split(text, ""), lambda ch: ch != "")
+def token_set_ratio(left: str, right: str, pairs: DataFrame, name: str) -> DataFrame:
+    """UDF-01: adds the token-set ratio (0 to 100) of two text columns.
 
-    def element(ch: Column, i: Column) -> Column:
-        occurrence = F.size(F.filter(F.slice(chars, 1, i + 1), lambda x: x == ch))
-        rank = F.instr(F.lit(RARE_FIRST), F.lower(ch)).cast("long")
-        return (rank * (1 << 21) + F.ascii(ch)) * (1 << 21) + occurrence
-
-    return F.array_sort(F.transform(chars, element))
-
-
-def _profiled(values: DataFrame, floor: float) -> DataFrame:
-    """Tokens, character multiset and prefix of each text in column `value`."""
+    Token sets are compared in the JVM; only what is left of two texts that are no
+    subset of each other goes to Python for its longest common subsequence.
+    """
+    a, b = F.col("_a"), F.col("_b")
+    common = F.array_intersect(a, b)
+    rest = [F.array_join(F.array_sort(F.array_except(x, y)), " ") for x, y in ((a, b), (b, a))]
+    parts = pairs.withColumns({"_a": _tokens(F.col(left)), "_b": _tokens(F.col(right))}).withColumns({
+        "_common": F.length(F.array_join(common, " ")), "_sa": rest[0], "_sb": rest[1],
+        "_fixed": F.when((F.size(a) == 0) | (F.size(b) == 0), 0.0).when(
+            (F.size(common) > 0) & ((F.size(common) == F.size(a)) | (F.size(common) == F.size(b))), 100.0),
+    }).drop("_a", "_b")
+    decided = F.col("_fixed").isNotNull()
+    shared, la, lb = F.col("_common"), F.length("_sa"), F.length("_sb")
+    gap = F.when(shared > 0, 1).otherwise(0)
+
+    def ratio(distance: Column, total: Column) -> Column:
+        return F.when(total > 0, F.lit(100.0) - F.lit(100.0) * distance / total).otherwise(100.0)
+
+    apart = ratio(la + lb - 2 * F.col("_lcs"), 2 * (shared + gap) + la + lb)
+    with_shared = F.greatest(ratio(gap + la, 2 * shared + gap + la), ratio(gap + lb, 2 * shared + gap + lb))
+    score = F.coalesce("_fixed", F.when(shared > 0, F.greatest(apart, with_shared)).otherwise(apart))
+    lcs = lcs_length(F.when(decided, "").otherwise(F.col("_sa")), F.when(decided, "").otherwise(F.col("_sb")))
+    return parts.withColumn("_lcs", lcs).withColumn(name, score).drop("_common", "_sa", "_sb", "_fixed", "_lcs")
+
+
+def _profiled(values: DataFrame, side: str) -> DataFrame:
+    """Each text in column `value` with its length, its numbers per group and its class."""
     text = F.array_join(F.array_sort(_tokens(F.col("value"))), " ")
-    t = max(floor - SLACK, 0.0)
-    need = F.ceil(F.col("n") * (t / (2 - t)) - 1e-9)
-    return (
-        values.select("value", F.transform(_tokens(F.col("value")), F.lower).alias("tokens"),
-                      _elements(text).alias("elements"))
-        .withColumn("n", F.size("elements"))
-        .withColumn("prefix", F.slice("elements", 1, F.col("n") - F.greatest(need, F.lit(1)) + 1))
-    )
+    counts = [F.length("_text") - F.length(F.translate("_text", g, "")) for g in GROUPS]
+    rows = values.withColumn("_text", text).withColumns({"n": F.length("_text"), "_counts": F.array(*counts)})
+    rows = rows.withColumn("counts", F.concat("_counts", F.array(F.col("n") - F.aggregate("_counts", F.lit(0), lambda x, y: x + y))))
+    level = F.transform("counts", lambda c: sum((F.when(c > top, 1).otherwise(0) for top in LEVELS), F.lit(0)))
+    return rows.select(F.col("value").alias(f"{side}_value"), F.col("n").alias(f"{side}_n"), F.col("counts").alias(f"{side}_counts"),
+                       F.array_join(level, ",").alias(f"{side}_class"))
 
 
-def _side(df: DataFrame, name: str, key: Column, cols: list[str]) -> DataFrame:
-    return df.select(F.explode(key).alias("key"), *[F.col(c).alias(f"{name}_{c}") for c in cols])
+def class_pairs(left: list[str], right: list[str], floor: float) -> list[tuple[str, str]]:
+    """Classes whose texts can have a common part that reaches the floor."""
+    t = max(floor - SLACK, 0.0)
+    lowest = np.array([0] + [x + 1 for x in LEVELS])
+    highest = np.array([*map(float, LEVELS), np.inf])
+    a, b = (np.array([[int(x) for x in c.split(",")] for c in side]).reshape(len(side), -1) for side in (left, right))
+    least = lowest[b].sum(axis=1)
+    out = []
+    for name, levels in zip(left, a):
+        common = np.minimum(highest[levels], highest[b]).sum(axis=1)
+        fits = 2 * common >= t * (lowest[levels].sum() + least) - 1e-9
+        out += [(name, right[i]) for i in np.flatnonzero(fits)]
+    return out
 
 
-def candidate_pairs(left: DataFrame, right: DataFrame, floor: float,
-                    min_rows: int = PRODUCT_ROWS) -> DataFrame:
+def candidate_pairs(left: DataFrame, right: DataFrame, floor: float) -> DataFrame:
     """Pairs (left_value, right_value) of distinct texts that can reach the floor.
 
-    Both inputs hold one column `value` of distinct non-blank texts.
+    Both inputs hold one column `value` of distinct non-blank texts. There are at most
+    (levels + 1) ** (groups + 1) classes whatever the texts; their pairs are made on the driver.
+    Eager: profiles and classes are computed at once.
     """
-    a, b = _profiled(left, floor), _profiled(right, floor)
+    spark = left.sparkSession
+    a, b = stage(_profiled(left, "left")), stage(_profiled(right, "right"))
+    tokens = [df.select(f"{s}_value", F.explode(F.transform(_tokens(F.col(f"{s}_value")), F.lower)).alias("key"))
+              for s, df in (("left", a), ("right", b))]
+    by_token = product_join(*tokens, ["key"], ["left_value"]).select("left_value", "right_value")
+    names = [[r[0] for r in df.select(f"{s}_class").distinct().collect()] for s, df in (("left", a), ("right", b))]
+    meeting = spark.createDataFrame(class_pairs(*names, floor), "left_class string, right_class string")
     t = max(floor - SLACK, 0.0)
-
-    by_token = salted_join(
-        _side(a, "left", F.col("tokens"), ["value"]),
-        _side(b, "right", F.col("tokens"), ["value"]),
-        ["key"], "inner", ["left_value"], min_rows=min_rows,
-    ).select("left_value", "right_value")
-
-    parts = shuffle_parts(left)
-    cols = ["value", "elements", "n", "prefix"]
     reach = (F.col("left_n") + F.col("right_n")) * (t / 2) - 1e-9
-    by_prefix = (
-        salted_join(
-            _side(a, "left", F.col("prefix"), cols),
-            _side(b, "right", F.col("prefix"), cols),
-            ["key"], "inner", ["left_value"], min_rows=min_rows, parts=parts,
-        )
-        .filter(F.least("left_n", "right_n") >= reach)
-        # a pair is kept at its first common prefix element only
-        .filter(F.array_min(F.array_intersect("left_prefix", "right_prefix")) == F.col("key"))
-        .filter(F.size(F.array_intersect("left_elements", "right_elements")) >= reach)
-        .select("left_value", "right_value")
-    )
-    # distinct pairs and the scoring that follows share one shuffle of fixed width
-    both = by_token.unionByName(by_prefix)
-    return both.repartition(parts, "left_value", "right_value").distinct()
+    common = F.aggregate(F.zip_with("left_counts", "right_counts", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
+    near = product_join(product_join(a, meeting, ["left_class"], ["left_value"]), b, ["right_class"], ["left_value"])
+    by_class = near.filter(common >= reach).select("left_value", "right_value")
+    return by_token.unionByName(by_class).distinct()
 
 
-def scored_pairs(left: DataFrame, right: DataFrame, floor: float,
-                 min_rows: int = PRODUCT_ROWS) -> DataFrame:
+def scored_pairs(left: DataFrame, right: DataFrame, floor: float) -> DataFrame:
     """RUL-12 over distinct texts: (left_value, right_value, score) with score >= floor."""
-    pairs = candidate_pairs(left, right, floor, min_rows)
+    scored = token_set_ratio("left_value", "right_value", candidate_pairs(left, right, floor), "score")
     same = F.lower("left_value") == F.lower("right_value")
-    ratio = token_set_ratio(F.col("left_value"), F.col("right_value")) / 100.0
-    return pairs.withColumn("score", F.when(same, 1.0).otherwise(ratio)).filter(
-        F.col("score") >= floor
-    )
+    return scored.withColumn("score", F.when(same, 1.0).otherwise(F.col("score") / 100.0)).filter(F.col("score") >= floor)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from worklink.functions.text import as_text, display_phone, fmt_date, to_num_text
-from worklink.operators.keyed import HOT_ROWS, first_org_per_user, first_per_key, salted_join
+from worklink.operators.keyed import FIRST_BY, first_org_per_user, first_per_key, skew_join
 from worklink.operators.stats import timestamp_column
 
 # report column -> header of the published table
@@ -44,37 +44,37 @@ def renamed(df: DataFrame, key: str, key_as: str, cols: dict[str, str]) -> DataF
         (F.col(c) if c in df.columns else F.lit(None).cast("string")).alias(a)
         for c, a in cols.items()
     ]
-    return df.select("state", F.col(key).alias(key_as), *picked)
+    order = [F.col(c).alias(f"_first_{c}") for c in FIRST_BY if c in df.columns]
+    return df.select("state", F.col(key).alias(key_as), *picked, *order)
 
 
 def lookup_table(df: DataFrame, key: str, key_as: str, cols: dict[str, str]) -> DataFrame:
-    """Keep-first lookup: one row per (state, key)."""
-    return first_per_key(renamed(df, key, key_as, cols), ["state", key_as], list(cols.values()))
+    """Keep-first lookup: one row per (state, key), the first by created_at and id."""
+    order = tuple(f"_first_{c}" for c in FIRST_BY)
+    return first_per_key(renamed(df, key, key_as, cols), ["state", key_as], list(cols.values()), order)
 
 
 def merge_lookups(parts: list[DataFrame], key: str) -> DataFrame:
     """Lookups on one key as one table: a union and a single aggregation.
 
-    Every part holds a key at most once and columns of its own, so the maximum
-    is the one value there is.
+    Every part holds a key at most once and columns of its own, so the first value that is
+    not null is the one there is.
     """
     cols = [c for p in parts for c in p.columns if c not in ("state", key)]
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return stacked.filter(F.col(key).isNotNull()).groupBy("state", key).agg(
-        *[F.max(c).alias(c) for c in cols]
+        *[F.first(c, ignorenulls=True).alias(c) for c in cols]
     )
 
 
-def org_of_member(members: DataFrame, orgs: DataFrame, min_rows: int = HOT_ROWS) -> DataFrame:
+def org_of_member(members: DataFrame, orgs: DataFrame) -> DataFrame:
     """First organisation of each seeker with its name: (state, user_id, org_id, org_name)."""
     names = lookup_table(orgs, "id", "organization_id", {"name": "org_name"})
-    return salted_join(
-        first_org_per_user(members.drop("side")), names, ["state", "organization_id"], "left",
-        ["user_id"], min_rows=min_rows,
-    ).withColumnRenamed("organization_id", "org_id")
+    firsts = first_org_per_user(members.drop("side"))
+    return skew_join(firsts, names, ["state", "organization_id"]).withColumnRenamed("organization_id", "org_id")
 
 
-def job_lookup(jobs: DataFrame, orgs: DataFrame, users: DataFrame, min_rows: int = HOT_ROWS) -> DataFrame:
+def job_lookup(jobs: DataFrame, orgs: DataFrame, users: DataFrame) -> DataFrame:
     """JN-11..JN-13: posting, its organisation's contact and its creator."""
     job = lookup_table(jobs, "id", "job_id", {
         "organization_name": "j_company", "organization_id": "j_org", "created_by": "j_user",
@@ -84,14 +84,11 @@ def job_lookup(jobs: DataFrame, orgs: DataFrame, users: DataFrame, min_rows: int
         "contact_person": "o_person", "contact_phone": "o_phone", "contact_email": "o_email",
     })
     user = lookup_table(users, "id", "j_user", {"phone_number": "p_phone", "email": "p_email"})
-    orgs_of = renamed(jobs, "organization_id", "j_org", {})
-    users_of = renamed(jobs, "created_by", "j_user", {})
-    job = salted_join(job, org, ["state", "j_org"], "left", ["job_id"], orgs_of, min_rows)
-    return salted_join(job, user, ["state", "j_user"], "left", ["job_id"], users_of, min_rows)
+    return skew_join(skew_join(job, org, ["state", "j_org"]), user, ["state", "j_user"])
 
 
 def applicant_lookup(users: DataFrame, profiles: DataFrame, members: DataFrame, orgs: DataFrame,
-                     profile_key: str = "user_id", min_rows: int = HOT_ROWS) -> DataFrame:
+                     profile_key: str = "user_id") -> DataFrame:
     """JN-14..JN-16: everything that is looked up by an application's user_id."""
     user = lookup_table(users, "id", "user_id", {"phone_number": "s_phone", "email": "s_email"})
     profile = lookup_table(profiles, profile_key, "user_id", {
@@ -99,8 +96,8 @@ def applicant_lookup(users: DataFrame, profiles: DataFrame, members: DataFrame,
         "iti_institute": "f_institute",
     })
     bridge = lookup_table(profiles, "id", "_profile", {"user_id": "_uid"})
-    member = org_of_member(members, orgs, min_rows).withColumnRenamed("user_id", "_uid")
-    org = bridge.dropna().join(member, ["state", "_uid"]).select(
+    member = org_of_member(members, orgs).withColumnRenamed("user_id", "_uid")
+    org = skew_join(bridge.dropna(), member, ["state", "_uid"], "inner").select(
         "state", F.col("_profile").alias("user_id"), "org_id", "org_name"
     )
     return merge_lookups([user, profile, org], "user_id")
@@ -108,13 +105,11 @@ def applicant_lookup(users: DataFrame, profiles: DataFrame, members: DataFrame,
 
 def application_fact(apps: DataFrame, jobs: DataFrame, org_provider: DataFrame,
                      user_provider: DataFrame, user_seeker: DataFrame, profiles: DataFrame,
-                     members: DataFrame, org_seeker: DataFrame, profile_key: str = "user_id",
-                     min_rows: int = HOT_ROWS) -> DataFrame:
+                     members: DataFrame, org_seeker: DataFrame, profile_key: str = "user_id") -> DataFrame:
     """RUL-32: 41 columns per application, in every state."""
-    job = job_lookup(jobs, org_provider, user_provider, min_rows)
-    person = applicant_lookup(user_seeker, profiles, members, org_seeker, profile_key, min_rows)
-    rows = salted_join(apps, job, ["state", "job_id"], "left", ["id"], apps, min_rows)
-    rows = salted_join(rows, person, ["state", "user_id"], "left", ["id"], apps, min_rows)
+    job = job_lookup(jobs, org_provider, user_provider)
+    person = applicant_lookup(user_seeker, profiles, members, org_seeker, profile_key)
+    rows = skew_join(skew_join(apps, job, ["state", "job_id"]), person, ["state", "user_id"])
 
     def text(name: str) -> Column:
         return as_text(F.col(name)) if name in rows.columns else F.lit("")

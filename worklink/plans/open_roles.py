@@ -14,7 +14,7 @@ from worklink.functions.text import (
     fmt_salary,
     to_num_text,
 )
-from worklink.operators.keyed import HOT_ROWS, first_per_key, mark_duplicates, salted_join
+from worklink.operators.keyed import first_per_key, mark_duplicates, skew_join
 from worklink.operators.matching import open_jobs
 from worklink.operators.stats import application_stats, as_of_date, timestamp_column
 from worklink.plans import rules
@@ -46,14 +46,12 @@ HEADERS = {
 }
 
 
-def with_contacts(jobs: DataFrame, users: DataFrame, min_rows: int = HOT_ROWS) -> DataFrame:
+def with_contacts(jobs: DataFrame, users: DataFrame) -> DataFrame:
     """JN-08: name, phone and e-mail of the user who created the posting."""
+    named = {"created_by": "id", "u_name": "name", "u_phone": "phone_number", "u_email": "email"}
     contacts = first_per_key(
-        users.select("state", F.col("id").alias("created_by"), F.col("name").alias("u_name"),
-                     F.col("phone_number").alias("u_phone"), F.col("email").alias("u_email")),
-        ["state", "created_by"], ["u_name", "u_phone", "u_email"],
-    )
-    return salted_join(jobs, contacts, ["state", "created_by"], "left", ["id"], min_rows=min_rows)
+        users.withColumns({a: F.col(c) for a, c in named.items()}), ["state", "created_by"], ["u_name", "u_phone", "u_email"])
+    return skew_join(jobs, contacts, ["state", "created_by"])
 
 
 def posting_salary():
@@ -67,11 +65,10 @@ def duplicate_key() -> dict:
     return {n: F.col(n) for n in names}
 
 
-def with_job_facts(jobs: DataFrame, users: DataFrame, apps: DataFrame, as_of=None,
-                   min_rows: int = HOT_ROWS) -> DataFrame:
+def with_job_facts(jobs: DataFrame, users: DataFrame, apps: DataFrame, as_of=None) -> DataFrame:
     """Open postings with contact, application statistics, ages and the duplicate mark."""
     day = as_of_date(as_of)
-    rows = with_contacts(open_jobs(jobs, include_flagged=True), users, min_rows)
+    rows = with_contacts(open_jobs(jobs, include_flagged=True), users)
     rows = rows.withColumn("salary", posting_salary())
     rows = mark_duplicates(rows, duplicate_key(), keep=["state"])
     stats = application_stats(apps.withColumnRenamed("job_id", "_job"), "_job", day)
@@ -86,9 +83,9 @@ def with_job_facts(jobs: DataFrame, users: DataFrame, apps: DataFrame, as_of=Non
 
 
 def open_roles(jobs: DataFrame, users: DataFrame, apps: DataFrame, fit: DataFrame | None = None,
-               as_of=None, min_rows: int = HOT_ROWS) -> DataFrame:
+               as_of=None) -> DataFrame:
     """RUL-31. `fit` holds (state, provider_job_id, right_fit, partial_fit)."""
-    rows = with_job_facts(jobs, users, apps, as_of, min_rows)
+    rows = with_job_facts(jobs, users, apps, as_of)
     if fit is None:
         rows = rows.withColumns({"right_fit": F.lit(0), "partial_fit": F.lit(0)})
     else:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from worklink.functions import variant as V
 from worklink.functions.text import age_days, as_text, completion, fmt_date, phone_key, to_num_text
-from worklink.operators.keyed import HOT_ROWS, salted_join
+from worklink.operators.keyed import skew_join
 from worklink.operators.stats import application_stats, as_of_date, timestamp_column
 from worklink.plans import rules
 from worklink.plans.application_fact import lookup_table, merge_lookups, org_of_member
@@ -57,17 +57,11 @@ def seeker_completion() -> Column:
     return completion(fields, slots=13)
 
 
-def with_seeker_facts(profiles: DataFrame, apps: DataFrame, as_of=None,
-                      base: DataFrame | None = None, min_rows: int = HOT_ROWS) -> DataFrame:
+def with_seeker_facts(profiles: DataFrame, apps: DataFrame, as_of=None) -> DataFrame:
     """JN-19: profiles with the statistics of their phone and their ages."""
     day = as_of_date(as_of)
     keyed = profiles.withColumn("phone_key", phone_key(F.col("phone")))
-    phones = (profiles if base is None else base).select(
-        "state", phone_key(F.col("phone")).alias("phone_key")
-    )
-    rows = salted_join(
-        keyed, phone_stats(apps, day), ["state", "phone_key"], "left", ["id"], phones, min_rows
-    )
+    rows = skew_join(keyed, phone_stats(apps, day), ["state", "phone_key"])
     created = timestamp_column(profiles, "created_at")
     return rows.withColumns(
         {c: F.coalesce(c, F.lit(0)) for c in ("applications", "shortlisted", "rejected")}
@@ -77,11 +71,11 @@ def with_seeker_facts(profiles: DataFrame, apps: DataFrame, as_of=None,
 
 def seeker_profile(profiles: DataFrame, user_seeker: DataFrame, members: DataFrame,
                    org_seeker: DataFrame, apps: DataFrame, fit: DataFrame | None = None,
-                   as_of=None, min_rows: int = HOT_ROWS) -> DataFrame:
+                   as_of=None) -> DataFrame:
     """RUL-33. `fit` holds (state, seeker_id, right_fit, partial_fit)."""
     parts = [
         lookup_table(user_seeker, "id", "user_id", {"email": "email"}),
-        org_of_member(members, org_seeker, min_rows),
+        org_of_member(members, org_seeker),
     ]
     if fit is not None:
         parts.append(fit.withColumnRenamed("seeker_id", "user_id"))
@@ -92,10 +86,7 @@ def seeker_profile(profiles: DataFrame, user_seeker: DataFrame, members: DataFra
         wanted = wanted.withColumns(dict(zip(("_lat", "_lng"), gps(F.col("_meta"))))).drop("_meta")
     else:
         wanted = wanted.withColumns({"_lat": F.lit(""), "_lng": F.lit("")})
-    rows = with_seeker_facts(
-        salted_join(wanted, person, ["state", "user_id"], "left", ["id"], profiles, min_rows),
-        apps, as_of, profiles, min_rows,
-    )
+    rows = with_seeker_facts(skew_join(wanted, person, ["state", "user_id"]), apps, as_of)
     c = F.col
 
     def text(name: str) -> Column:

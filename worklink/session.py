@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -24,9 +23,14 @@ SETTINGS = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to an existing session."""
+    """Apply the runtime settings to a session that lacks them.
+
+    They hold for the whole session: a precondition of the library, which an application
+    may as well set itself when it builds the session.
+    """
     for key, value in SETTINGS.items():
-        spark.conf.set(key, value)
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
     return spark
 
 
@@ -46,13 +50,9 @@ def local_session(cpus: str | int = "*", shuffle_partitions: int = 8) -> SparkSe
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the cluster; a fresh one only where none is named."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        path = tempfile.mkdtemp(prefix="run-")
-    return path
+    """The folder of `spark.checkpoint.dir`; where none is named, one in the warehouse, which executors share too."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    return named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
 
 
 def stage(df):
@@ -61,7 +61,12 @@ def stage(df):
     The files live in the shared checkpoint folder, so losing an executor
     costs a re-read and never a re-run of the steps above.
     """
-    context = df.sparkSession.sparkContext
+    spark = df.sparkSession
+    context = spark.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(checkpoint_dir(df.sparkSession))
+        path = checkpoint_dir(spark)
+        context.setCheckpointDir(path)
+        if not spark.conf.get("spark.checkpoint.dir", None):  # a folder of our own goes with the driver
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
     return df.checkpoint(eager=True)

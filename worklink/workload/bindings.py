@@ -71,9 +71,9 @@ def json_documents(source: str, table: str, key: str, roots: list[str]) -> str:
     malformed or no object at all. Objects are built from the inside out, each
     level in a subquery of its own.
     """
-    # a comment to DuckDB; to Spark a hint, because building and parsing documents is
-    # heavy next to the one small file their keys come from
-    source = f"(SELECT /*+ REPARTITION(32, {key}) */ * FROM {source}) AS spread"
+    # a comment to DuckDB; to Spark a hint, because documents are heavy next to the rows their
+    # keys come from: a task for every so many rows, see `bind`
+    source = f"(SELECT /*+ REPARTITION(spread_{source.removeprefix('@')}, {key}) */ * FROM {source}) AS spread"
     levels: dict[int, dict[str, str]] = {}
     counter = iter(range(10_000))
 
@@ -113,7 +113,7 @@ def json_document(root: str, key: str) -> str:
     return (
         f"CASE WHEN {key} % 37 = 4 THEN '[]' WHEN {key} % 37 = 5 THEN '' "
         f"WHEN {key} % 37 = 6 THEN NULL WHEN {key} % 37 = 7 THEN 'not json' "
-        f"WHEN {key} % 37 = 8 THEN '[1,2]' ELSE j_{root} END AS {root}"
+        f"WHEN {key} % 37 = 8 THEN '[1,2]' WHEN {key} % 37 = 9 THEN j_{root} || '{{\"b\":2}}' ELSE j_{root} END AS {root}"
     )
 
 
@@ -169,7 +169,8 @@ SELECT {state_of(SEEKER)} AS state, CAST(c_custkey AS STRING) AS id,
   CASE WHEN c_custkey % 25 = 0 THEN NULL
        ELSE {day_before(f'{SEEKER} % 120')} || CASE c_custkey % 3 WHEN 0 THEN ' 10:20:30.123456' WHEN 1 THEN ' 01:02:03' ELSE '' END
        END AS created_at,
-  CASE WHEN c_custkey % 23 = 0 THEN '1' WHEN c_custkey % 23 = 1 THEN NULL WHEN c_custkey % 23 = 2 THEN '0.0' ELSE '0' END AS test_flag,
+  CASE WHEN c_custkey % 23 = 0 THEN '1' WHEN c_custkey % 23 = 1 THEN NULL WHEN c_custkey % 23 = 2 THEN '0.0'
+       WHEN c_custkey % 23 = 3 THEN 'yes' WHEN c_custkey % 23 = 4 THEN ' ' ELSE '0' END AS test_flag,
   upper({ADJ2}) || ' ' || upper({NOUN2}) AS llm_role_normalized,
   CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE 'Manufacturing' END AS llm_role_sector,
   CASE WHEN c_custkey % 4 = 0 THEN '{{"whoIAm":{{"locationData":{{"gps":{{"lat":' || CAST(c_custkey % 90 AS STRING)
@@ -180,11 +181,13 @@ FROM {CUSTOMERS}""",
     "user_seeker": f"""
 SELECT {state_of(SEEKER)} AS state, 'U' || CAST(c_custkey AS STRING) AS id, c_name AS name,
   'c' || CAST(c_custkey AS STRING) || CASE WHEN c_custkey % 14 = 0 THEN '+test1' ELSE '' END || '@example.org' AS email,
-  CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE '+91' || {phone10(SEEKER)} END AS phone_number
+  CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE '+91' || {phone10(SEEKER)} END AS phone_number,
+  {day_before(f'100 + {SEEKER} % 20')} AS created_at
 FROM @customer
 UNION ALL
 SELECT {state_of(SEEKER)}, 'U' || CAST(c_custkey AS STRING), c_name,
-  'a' || CAST(c_custkey AS STRING) || '@example.org', '+910000000000'
+  'a' || CAST(c_custkey AS STRING) || '@example.org', '+910000000000',
+  CASE c_custkey % 15 WHEN 0 THEN NULL WHEN 5 THEN {day_before('10')} ELSE {day_before('200')} END
 FROM @customer WHERE c_custkey % 5 = 0""",
 
     "raw_user": f"""
@@ -202,11 +205,12 @@ FROM @customer""",
 SELECT {state_of(SEEKER)} AS state, 'seeker' AS side, 'U' || CAST(c_custkey AS STRING) AS user_id,
   CASE WHEN c_custkey % 17 = 0 THEN NULL
        ELSE CAST(c_custkey % (SELECT count(*) FROM @supplier) AS STRING) END AS organization_id,
-  {cycle(' owner,member ,,  ', SEEKER)} AS role
+  {cycle(' owner,member ,,  ', SEEKER)} AS role, {day_before('100')} AS created_at
 FROM @customer
 UNION ALL
 SELECT {state_of(SEEKER)}, 'seeker', CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE 'U' || CAST(c_custkey AS STRING) END,
-  CAST((c_custkey * 3) % (SELECT count(*) FROM @supplier) AS STRING), 'member'
+  CAST((c_custkey * 3) % (SELECT count(*) FROM @supplier) AS STRING), 'member',
+  CASE c_custkey % 15 WHEN 0 THEN NULL WHEN 5 THEN {day_before('10')} ELSE {day_before('200')} END
 FROM @customer WHERE c_custkey % 5 = 0""",
 
     "organization": """
@@ -219,7 +223,8 @@ SELECT s AS state, side, CAST(s_suppkey AS STRING) AS id,
   CASE WHEN s_suppkey % 8 = 0 THEN 's' || CAST(s_suppkey AS STRING) || '@internal.example'
        WHEN s_suppkey % 14 = 0 THEN 'x+test1@example.org'
        ELSE 'S' || CAST(s_suppkey AS STRING) || '@example.org' END AS contact_email
-FROM @supplier, (SELECT 'KA' AS s UNION ALL SELECT 'UP') AS states, (SELECT 'seeker' AS side UNION ALL SELECT 'provider') AS sides""",
+FROM (SELECT *, 'KA' AS s, 'seeker' AS side FROM @supplier UNION ALL SELECT *, 'KA', 'provider' FROM @supplier
+  UNION ALL SELECT *, 'UP', 'seeker' FROM @supplier UNION ALL SELECT *, 'UP', 'provider' FROM @supplier) AS sides""",
 
     "org_seeker": "SELECT * FROM #organization WHERE side = 'seeker'",
     "org_provider": "SELECT * FROM #organization WHERE side = 'provider'",
@@ -229,7 +234,7 @@ SELECT s AS state, 'P' || CAST(s_suppkey AS STRING) AS id,
   CASE WHEN s_suppkey % 7 = 0 THEN NULL ELSE 'Manager ' || s_name END AS name,
   CASE WHEN s_suppkey % 6 = 0 THEN NULL ELSE 'p' || CAST(s_suppkey AS STRING) || '@example.org' END AS email,
   CASE WHEN s_suppkey % 5 = 0 THEN '0' || """ + phone10("s_suppkey") + " ELSE " + phone10("s_suppkey") + """ END AS phone_number
-FROM @supplier, (SELECT 'KA' AS s UNION ALL SELECT 'UP') AS states""",
+FROM (SELECT *, 'KA' AS s FROM @supplier UNION ALL SELECT *, 'UP' FROM @supplier) AS states""",
 
     "posting_base": """
 SELECT p.*, p_partkey % (SELECT count(*) FROM @supplier) AS supp FROM @part AS p""",
@@ -354,6 +359,9 @@ def with_clause(*names: str) -> str:
     return "WITH " + ",\n".join(parts)
 
 
+DOCUMENT_ROWS = 5_000  # rows whose documents one task builds
+
+
 @cache
 def _spark_sql(name: str, sf_dir: str) -> str:
     files = rf"parquet.`{sf_dir}/\1.parquet`"
@@ -362,5 +370,9 @@ def _spark_sql(name: str, sf_dir: str) -> str:
 
 
 def bind(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A logical table as a lazy DataFrame."""
-    return spark.sql(_spark_sql(name, sf_dir))
+    """A logical table as a lazy DataFrame; documents are spread by the number of their rows."""
+    def tasks(found: re.Match) -> str:
+        rows = spark.read.parquet(f"{sf_dir}/{found[1]}.parquet").count()
+        return str(max(1, -(-rows // DOCUMENT_ROWS)))
+
+    return spark.sql(re.sub(r"\bspread_(\w+)", tasks, _spark_sql(name, sf_dir)))

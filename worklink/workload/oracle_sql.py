@@ -132,7 +132,7 @@ ORG_RULE = f"{test_phone('contact_phone')} OR {test_email('contact_email')} OR {
 MATCH_INPUT = f"""
 sk AS (SELECT * FROM (SELECT *, coalesce(nullif({strip('iti_specialization')}, ''), nullif({strip('role')}, '')) AS sk_key,
     {edu_level('highest_qualification')} AS sk_level, {number('monthly_in_hand_preferred')} AS sk_salary
-  FROM b_profile WHERE coalesce(try_cast(test_flag AS DOUBLE), 0) = 0) WHERE sk_key IS NOT NULL),
+  FROM b_profile WHERE test_flag IS NULL OR trim(test_flag) = '' OR try_cast(test_flag AS DOUBLE) = 0) WHERE sk_key IS NOT NULL),
 pr AS (SELECT * FROM (SELECT *, coalesce(nullif({strip('llm_title_normalized')}, ''), nullif({strip('job_title')}, ''),
     nullif({strip('title')}, ''), nullif({strip('role')}, '')) AS pr_role,
     {edu_level('min_education_level')} AS pr_level, {number('min_monthly_in_hand')} AS pr_min,
@@ -243,9 +243,13 @@ def first_row(source: str, key: str, cols: list[str], order: list[str]) -> str:
     )
 
 
-MEMBER_ORG = """(SELECT m.state, m.user_id, m.org_id, o.name AS org_name FROM
-  (SELECT state, user_id, min(organization_id) AS org_id FROM b_member WHERE user_id IS NOT NULL GROUP BY state, user_id) m
-  LEFT JOIN (SELECT state, id, min(name) AS name FROM b_org_seeker GROUP BY state, id) o ON o.state = m.state AND o.id = m.org_id)"""
+MEMBER_ORG = f"""(SELECT m.state, m.user_id, f.organization_id AS org_id, o.name AS org_name FROM
+  (SELECT DISTINCT state, user_id FROM b_member WHERE user_id IS NOT NULL) m
+  LEFT JOIN {first_row('(SELECT * FROM b_member WHERE user_id IS NOT NULL AND organization_id IS NOT NULL)', 'user_id',
+                       ['organization_id'], ['created_at', 'organization_id'])} f ON f.state = m.state AND f.user_id = m.user_id
+  LEFT JOIN (SELECT state, id, min(name) AS name FROM b_org_seeker GROUP BY state, id) o ON o.state = m.state AND o.id = f.organization_id)"""
+
+FIRST_EMAIL = first_row('b_user_seeker', 'id', ['email'], ['created_at', 'email'])
 
 # rounds the exact value; the fraction alone is an exact difference
 PCT = "floor({0} * 100) + round_even(({0} * 100 - floor({0} * 100)) * 10, 0) / 10"
@@ -268,7 +272,7 @@ SELECT m.state, m.seeker_id, m.provider_job_id, match_category, round_even(confi
   {safe('p.name')} AS provider_contact_name, {safe('p.phone_number')} AS provider_contact_phone, {safe('p.email')} AS provider_contact_email
 FROM matches m JOIN sk ON sk.state = m.state AND sk.user_id = m.seeker_id
   JOIN pr ON pr.state = m.state AND pr.id = m.provider_job_id
-  LEFT JOIN (SELECT state, id, min(email) AS email FROM b_user_seeker GROUP BY state, id) u ON u.state = m.state AND u.id = m.seeker_id
+  LEFT JOIN {FIRST_EMAIL} u ON u.state = m.state AND u.id = m.seeker_id
   LEFT JOIN {MEMBER_ORG} mo ON mo.state = m.state AND mo.user_id = m.seeker_id
   LEFT JOIN b_user_provider p ON p.state = m.state AND p.id = pr.created_by"""
 
@@ -376,7 +380,7 @@ FROM b_job_application a
   LEFT JOIN b_job_posting j ON j.state = a.state AND j.id = a.job_id
   LEFT JOIN b_org_provider op ON op.state = a.state AND op.id = j.organization_id
   LEFT JOIN b_user_provider up ON up.state = a.state AND up.id = j.created_by
-  LEFT JOIN {first_row('b_user_seeker', 'id', ['phone_number', 'email'], ['phone_number', 'email'])} us ON us.state = a.state AND us.id = a.user_id
+  LEFT JOIN {first_row('b_user_seeker', 'id', ['phone_number', 'email'], ['created_at', 'phone_number', 'email'])} us ON us.state = a.state AND us.id = a.user_id
   LEFT JOIN b_profile pf ON pf.state = a.state AND pf.user_id = a.user_id
   LEFT JOIN b_profile bridge ON bridge.state = a.state AND bridge.id = a.user_id
   LEFT JOIN {MEMBER_ORG} mo ON mo.state = a.state AND mo.user_id = bridge.user_id"""
@@ -394,7 +398,7 @@ sfacts AS (SELECT p.*, coalesce(s.applications, 0) AS n_apps, coalesce(s.shortli
     s.last_applied, s.last_applied_age, {stamp('p.created_at')} AS created_ts,
     coalesce({age(stamp('p.created_at'))}, 0) AS profile_age, u.email, mo.org_id, mo.org_name
   FROM b_profile p LEFT JOIN pstats s ON s.state = p.state AND s.key = {phone_key('p.phone')}
-    LEFT JOIN (SELECT state, id, min(email) AS email FROM b_user_seeker GROUP BY state, id) u ON u.state = p.state AND u.id = p.user_id
+    LEFT JOIN {FIRST_EMAIL} u ON u.state = p.state AND u.id = p.user_id
     LEFT JOIN {MEMBER_ORG} mo ON mo.state = p.state AND mo.user_id = p.user_id)"""
 
 SEEKER_STATUS = """CASE WHEN profile_age <= 7 THEN 'New' WHEN last_applied_age <= 30 THEN 'Active'

@@ -149,11 +149,11 @@ def fn_split_parts(spark, d):
     return bind(spark, d, "profile").select("id", F.array_join(X.split_parts(c("iti_specialization")), ";").alias("parts"))
 
 
-@query(f"""{b('job_posting')} SELECT id, contains(lower(trim(title)), lower(trim(llm_title_normalized)))
-  OR contains(lower(trim(llm_title_normalized)), lower(trim(title))) AS related FROM b_job_posting WHERE llm_title_normalized IS NOT NULL""")
+@query(f"""{b('job_posting')}, t AS (SELECT id, lower(trim(title)) AS a, lower(trim(coalesce(llm_title_normalized, ''))) AS b FROM b_job_posting)
+SELECT id, contains(a, b) OR contains(b, a) AS related FROM t""")
 def fn_contains_bidir(spark, d):
-    """FN-29."""
-    jobs = bind(spark, d, "job_posting").filter(c("llm_title_normalized").isNotNull())
+    """FN-29; a missing text counts as an empty one."""
+    jobs = bind(spark, d, "job_posting")
     return jobs.select("id", X.contains_either(c("title"), c("llm_title_normalized")).alias("related"))
 
 
@@ -239,7 +239,7 @@ def clean_user(spark, d):
     return extract.clean_user(bind(spark, d, "raw_user"))
 
 
-@query(f"{b('member')} SELECT state, side, user_id, organization_id, nullif(trim(role), '') AS role FROM b_member")
+@query(f"{b('member')} SELECT state, side, user_id, organization_id, nullif(trim(role), '') AS role, created_at FROM b_member")
 def clean_member(spark, d):
     """PRJ-06."""
     return extract.clean_member(bind(spark, d, "member"))
@@ -344,18 +344,24 @@ def flag_posting(spark, d):
     return flags.flag_posting(bind(spark, d, "job_posting"), deny_table(spark, d)).select("state", "id", "test_flag")
 
 
-@query(f"""{with_clause('organization', 'job_posting', 'profile', 'denylist')}, {O.deny()},
+@query(f"""{with_clause('organization', 'job_posting', 'profile', 'user_seeker', 'job_application', 'member', 'denylist')}, {O.deny()},
+bad AS (SELECT state, side, id FROM b_organization WHERE {O.ORG_RULE}),
 t AS (SELECT 'organization' AS name, CAST({O.ORG_RULE} AS INT) AS f FROM b_organization
   UNION ALL SELECT 'job_posting', CAST({O.test_org('organization_name')} AS INT) FROM b_job_posting
-  UNION ALL SELECT 'profile', CAST({O.test_phone('phone')} AS INT) FROM b_profile)
+  UNION ALL SELECT 'profile', CAST({O.test_phone('phone')} AS INT) FROM b_profile
+  UNION ALL SELECT 'user', CAST({O.test_phone('phone_number')} OR {O.test_email('email')} AS INT) FROM b_user_seeker
+  UNION ALL SELECT 'job_application', CAST({O.test_phone('seeker_phone')} OR {O.test_email('seeker_email')} AS INT) FROM b_job_application
+  UNION ALL SELECT 'member', CASE WHEN bad.id IS NULL THEN 0 ELSE 1 END FROM b_member m
+    LEFT JOIN bad ON bad.state = m.state AND bad.side = m.side AND bad.id = m.organization_id)
 SELECT coalesce(name, 'total') AS name, count(*) AS n_rows, CAST(sum(f) AS BIGINT) AS n_flagged FROM t GROUP BY ROLLUP (name)""")
 def flag_totals(spark, d):
-    """RUL-11, AGG-08."""
+    """RUL-11, AGG-08 over all six kinds of tables."""
     deny = deny_table(spark, d)
-    return flags.flag_totals({
-        t: flags.flag_table(bind(spark, d, t), t, deny, DOMAINS)
-        for t in ("organization", "job_posting", "profile")
-    })
+    sources = {"organization": "organization", "job_posting": "job_posting", "profile": "profile", "user": "user_seeker",
+               "job_application": "job_application"}
+    done = {t: flags.flag_table(bind(spark, d, source), t, deny, DOMAINS) for t, source in sources.items()}
+    done["member"] = flags.flag_table(bind(spark, d, "member"), "member", deny, organizations=done["organization"])
+    return flags.flag_totals(done)
 
 
 # ------------------------------------------------------------ matching
@@ -423,8 +429,8 @@ def applied(spark, d):
         c("llm_location_district").alias("j_district"), "min_monthly_in_hand",
         "max_monthly_in_hand", "min_education_level")
     apps = bind(spark, d, "job_application").select("state", "id", "user_id", "job_id")
-    rows = keyed.salted_join(apps, job, ["state", "job_id"], "inner", ["id"])
-    return keyed.salted_join(rows, profile, ["state", "user_id"], "inner", ["id"])
+    rows = keyed.skew_join(apps, job, ["state", "job_id"], "inner")
+    return keyed.skew_join(rows, profile, ["state", "user_id"], "inner")
 
 
 def location():
@@ -525,15 +531,14 @@ def match_one_state(spark, d):
 # ------------------------------------------------------------ keyed operators
 
 @query(f"""{b('user_seeker')} SELECT state, id, email, phone_number FROM
-  {O.first_row('b_user_seeker', 'id', ['email', 'phone_number'], ['email', 'phone_number'])}""")
+  {O.first_row('b_user_seeker', 'id', ['email', 'phone_number'], ['created_at', 'email', 'phone_number'])}""")
 def dedup_keep_first(spark, d):
     """WIN-01."""
-    users = bind(spark, d, "user_seeker").select("state", "id", "email", "phone_number")
-    return keyed.first_per_key(users, ["state", "id"], ["email", "phone_number"])
+    return keyed.first_per_key(bind(spark, d, "user_seeker"), ["state", "id"], ["email", "phone_number"])
 
 
-@query(f"""{b('member')} SELECT state, side, user_id, min(organization_id) AS organization_id FROM b_member
-  WHERE user_id IS NOT NULL GROUP BY state, side, user_id""")
+@query(f"""{b('member')} SELECT state, side, user_id, first(organization_id ORDER BY created_at NULLS LAST, organization_id)
+  FILTER (organization_id IS NOT NULL) AS organization_id FROM b_member WHERE user_id IS NOT NULL GROUP BY state, side, user_id""")
 def first_org_per_user(spark, d):
     """AGG-03, FLT-12."""
     return keyed.first_org_per_user(bind(spark, d, "member"))
@@ -746,25 +751,37 @@ def label_reply_parse(spark, d):
 # ------------------------------------------------------------ runs
 
 COUNTED = {"seekers": "profile", "job_postings": "job_posting", "job_applications": "job_application"}
+#: The nine tables of a state; members of the provider side are the seeker side's here.
+TABLES = {"profile": "profile", "user_seeker": "user_seeker", "member_seeker": "member", "org_seeker": "org_seeker",
+          "job_posting": "job_posting", "job_application": "job_application", "user_provider": "user_provider",
+          "org_provider": "org_provider", "member_provider": "member"}
+STATE_COUNTS = [(f"{s.lower()}_{n}", s, t) for s in ("KA", "UP") for n, t in TABLES.items()]
+
+
+@query(with_clause(*TABLES.values()) + " " + " UNION ALL ".join(
+    f"SELECT '{n}' AS name, count(*) AS n_rows FROM b_{t} WHERE state = '{s}'" for n, s, t in STATE_COUNTS))
+def row_counts(spark, d):
+    """AGG-07: nine tables of two states."""
+    return runlog.state_counts({n: bind(spark, d, t) for n, t in TABLES.items()})
 
 
 @query(with_clause(*COUNTED.values()) + " " + " UNION ALL ".join(
     f"SELECT '{n}' AS name, count(*) AS n_rows FROM b_{t}" for n, t in COUNTED.items()))
-def row_counts(spark, d):
-    """AGG-07."""
+def table_counts(spark, d):
+    """AGG-07 over whole tables."""
     return stats.row_counts({n: bind(spark, d, t) for n, t in COUNTED.items()})
 
 
 NOW = datetime(2001, 8, 15, 10, 1, 30, tzinfo=timezone.utc)
 
 
-@query(f"""{with_clause(*COUNTED.values())} SELECT '2001-08-15 10:01 UTC' AS run_timestamp, CAST(90 AS INT) AS duration_s,
-  {', '.join(f'(SELECT count(*) FROM b_{t}) AS {n}' for n, t in COUNTED.items())}, CAST(0 AS BIGINT) AS lost, 'lost | gone' AS errors""")
+@query(f"""{with_clause(*TABLES.values())} SELECT '2001-08-15 10:01 UTC' AS run_timestamp, CAST(90 AS INT) AS duration_s,
+  {', '.join(f"(SELECT count(*) FROM b_{t} WHERE state = '{s}') AS {n}" for n, s, t in STATE_COUNTS)}, CAST(0 AS BIGINT) AS lost, 'lost | gone' AS errors""")
 def run_log(spark, d):
-    """SNK-06."""
-    counts = stats.row_counts({n: bind(spark, d, t) for n, t in COUNTED.items()})
+    """SNK-06: eighteen counts; a table that was lost has 0."""
+    counts = runlog.state_counts({n: bind(spark, d, t) for n, t in TABLES.items()})
     return runlog.run_log_row(
-        counts, [*COUNTED, "lost"], NOW.replace(minute=0, second=0), NOW, ["lost", "gone"])
+        counts, [*runlog.state_names(("KA", "UP"), list(TABLES)), "lost"], NOW.replace(minute=0, second=0), NOW, ["lost", "gone"])
 
 
 @query(f"""{with_clause(*COUNTED.values())} SELECT '2001-08-15 10:01 UTC' AS run_timestamp,
