@@ -1,11 +1,16 @@
 """Files, headers, manifest and JDBC options."""
 
+from dataclasses import fields
+
+import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from worklink.operators.stats import pending_outputs
 from worklink.sinks import runlog
 from worklink.sinks.tables import BOM, align_to_headers, target_root, write_table
-from worklink.sources.files import read_table, table_name
+from worklink.plans.pipeline import by_side
+from worklink.sources.files import Bundle, list_tables, load_bundle, read_table, table_name
 from worklink.sources.jdbc import environment_sources, slice_predicates
 
 
@@ -34,11 +39,16 @@ def test_headers(spark):
 
 def test_manifest(spark, tmp_path):
     path = str(tmp_path / "m")
-    expected = spark.createDataFrame([("a",), ("b",)], "name string")
+    expected = spark.createDataFrame([(s, n) for s in ("KA", "UP") for n in "ab"], "state string, name string")
+
+    def todo():
+        return {tuple(r) for r in pending_outputs(expected, runlog.read_manifest(spark, path), ["state", "name"]).collect()}
+
     assert runlog.read_manifest(spark, path).isEmpty()
-    runlog.record_done(spark, path, "a", 3)
-    todo = pending_outputs(expected, runlog.read_manifest(spark, path), ["name"])
-    assert [r.name for r in todo.collect()] == ["b"]
+    runlog.record_done(spark.createDataFrame([("KA", 3), ("UP", 0)], "state string, n_rows long"), path, "a")
+    assert todo() == {("KA", "b"), ("UP", "b")}
+    runlog.forget(spark, path, ["KA"])
+    assert todo() == {("KA", "a"), ("KA", "b"), ("UP", "b")}
 
 
 def test_publish_goes_on_after_a_failure(spark):
@@ -47,7 +57,43 @@ def test_publish_goes_on_after_a_failure(spark):
 
     written, errors = runlog.publish_all(
         {"a": lambda: spark.range(1), "b": broken}, lambda df, name: None)
-    assert list(written) == ["a"] and errors == ["b"]
+    assert list(written) == ["a"] and errors == ["b: ValueError: no table"]
+    with pytest.raises(ValueError):
+        runlog.publish_all({"b": broken}, lambda df, name: None, (ValueError,))
+
+
+def test_a_write_of_one_state_keeps_the_other(spark, tmp_path):
+    both = spark.createDataFrame([("KA", 1), ("UP", 2)], "state string, n int")
+    path = write_table(both, str(tmp_path), "t")
+    write_table(both.filter("state = 'KA'").withColumn("n", F.lit(7)), str(tmp_path), "t", only_given=True)
+    assert {(r.state, r.n) for r in spark.read.parquet(path).collect()} == {("KA", 7), ("UP", 2)}
+    write_table(both.filter("state = 'KA'"), str(tmp_path), "t")
+    assert {(r.state, r.n) for r in spark.read.parquet(path).collect()} == {("KA", 1)}
+
+
+def test_columns_folders_and_bundles(spark, tmp_path):
+    rows = spark.createDataFrame([("KA", "1", "x"), ("UP", "2", "y")], "state string, id string, v string")
+    for name in ("ka_seeker/profile_clean", "up_seeker/profile_clean"):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / f"{name}.csv").write_text("id,v\n1,x\n")
+    assert read_table(spark, str(tmp_path), "csv", columns=["v"], recursive=True).collect() == [Row(v="x"), Row(v="x")]
+    assert {r.name for r in list_tables(spark, str(tmp_path)).collect()} == {"ka_seeker_profile", "up_seeker_profile"}
+    root = str(tmp_path / "bundle")
+    for f in fields(Bundle):
+        if f.name != "member_provider":
+            write_table(rows, root, f.name)
+    bundle = load_bundle(spark, root, ["KA"])
+    assert bundle.member_provider is None and [r.id for r in bundle.profile.collect()] == ["1"]
+    write_table(rows, root, "member_provider")
+    assert load_bundle(spark, root).member_provider.count() == 2
+
+
+def test_database_tables_as_the_run_takes_them(spark):
+    sided = spark.createDataFrame([("KA", "seeker", "1"), ("KA", "provider", "2")], "state string, side string, id string")
+    plain = spark.createDataFrame([("KA", "3")], "state string, id string")
+    out = by_side({"user": sided, "member": sided, "organization": sided, "profile": plain})
+    assert set(out) == {"user_seeker", "user_provider", "member_seeker", "member_provider", "org_seeker", "org_provider", "profile"}
+    assert [r.id for r in out["org_provider"].collect()] == ["2"]
 
 
 def test_names_and_targets(value):

@@ -6,22 +6,23 @@ writes a stage only where its result is read several times.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from worklink.constants import TEST_ORG_WORDS
+from worklink.constants import STATES, TEST_ORG_WORDS
 from worklink.operators import extract, matching
 from worklink.operators.flags import flag_table
-from worklink.operators.labels import Labeller, label_all_locations, label_roles
-from worklink.operators.stats import pending_outputs, row_counts
+from worklink.operators.labels import Labeller, LabellerDown, label_all_locations, label_roles
+from worklink.operators.stats import pending_outputs
 from worklink.plans import application_fact as fact
 from worklink.plans import open_roles as jobs_report
 from worklink.plans import seeker_profile as seekers_report
-from worklink.sinks import runlog
 from worklink.session import stage
+from worklink.sinks import runlog
 from worklink.sinks.tables import align_to_headers, target_root, with_headers, write_table
 from worklink.sources.files import Bundle, read_table
 
@@ -41,37 +42,54 @@ def kind_of(table: str) -> str:
     return "organization" if base == "org" else base
 
 
+def by_side(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """SRC-04: tables as the databases hold them (user, member, organization with a column `side`) as `run` takes them."""
+    out = {t: df for t, df in tables.items() if t not in ("user", "member", "organization")}
+    for table, name in (("user", "user"), ("member", "member"), ("organization", "org")):
+        if table in tables:
+            for side in ("seeker", "provider"):
+                out[f"{name}_{side}"] = tables[table].filter(F.col("side") == side)
+    return out
+
+
 def clean(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Flattened and cleaned tables."""
-    return {t: CLEANERS[kind_of(t)](df) for t, df in raw.items()}
+    return {t: clean_one(t, df) for t, df in raw.items()}
+
+
+def clean_one(table: str, df: DataFrame) -> DataFrame:
+    return CLEANERS[kind_of(table)](df)
 
 
 def enrich(tables: dict[str, DataFrame], places: Labeller | DataFrame,
            roles: Labeller | DataFrame, **options) -> dict[str, DataFrame]:
     """Place and role labels."""
-    by_kind = {t: kind_of(t) for t in tables}
-    out = {}
-    for t, df in tables.items():
-        kind = by_kind[t]
-        located = label_all_locations({kind: df}, places, **options)
-        out[t] = label_roles(located, roles, **options)[kind]
-    return out
+    return {t: enrich_one(t, df, places, roles, **options) for t, df in tables.items()}
+
+
+def enrich_one(table: str, df: DataFrame, places: Labeller | DataFrame, roles: Labeller | DataFrame, **options) -> DataFrame:
+    kind = kind_of(table)
+    located = label_all_locations({kind: df}, places, **options)
+    return label_roles(located, roles, **options)[kind]
 
 
 def flag_all(tables: dict[str, DataFrame], deny: DataFrame, domains: Sequence[str] = (),
              words: Sequence[str] = TEST_ORG_WORDS) -> dict[str, DataFrame]:
     """Flags of every table; members last, by the organisations of their own side."""
-    out = {
-        t: flag_table(df, kind_of(t), deny, domains, words)
-        for t, df in tables.items() if kind_of(t) != "member"
-    }
-    for t, df in tables.items():
-        if kind_of(t) == "member":
-            orgs = out[t.replace("member", "org")]
-            out[t] = flag_table(df, "member", deny, domains, words, orgs)
+    out: dict[str, DataFrame] = {}
+    for t in sorted(tables, key=lambda t: kind_of(t) == "member"):
+        out[t] = flag_one(t, tables[t], out, deny, domains, words)
     return out
 
 
+def flag_one(table: str, df: DataFrame, flagged: dict[str, DataFrame], deny: DataFrame,
+             domains: Sequence[str] = (), words: Sequence[str] = TEST_ORG_WORDS) -> DataFrame:
+    """Flags of one table; `flagged` holds the organisations that members look up."""
+    kind = kind_of(table)
+    orgs = flagged[table.replace("member", "org")] if kind == "member" else None
+    return flag_table(df, kind, deny, domains, words, orgs)
+
+
 REPORTS = {
     "OPEN_ROLES": jobs_report.HEADERS,
     "job_application": fact.HEADERS,
@@ -79,23 +97,30 @@ REPORTS = {
 }
 
 
-def build_reports(bundle: Bundle, as_of=None) -> dict[str, DataFrame]:
-    """The three report tables; counts of fits come from one scoring."""
-    sk, pr = matching.keyed_seekers(bundle.profile), matching.keyed_jobs(bundle.job_posting)
-    scored = stage(matching.scored_signatures(sk, pr))
-    by_job = matching.fit_counts(bundle.profile, bundle.job_posting, "job", scored)
-    by_seeker = matching.fit_counts(bundle.profile, bundle.job_posting, "seeker", scored)
-    return {
-        "OPEN_ROLES": jobs_report.open_roles(
-            bundle.job_posting, bundle.user_provider, bundle.job_application, by_job, as_of),
-        "job_application": fact.application_fact(
-            bundle.job_application, bundle.job_posting, bundle.org_provider, bundle.user_provider,
-            bundle.user_seeker, bundle.profile, bundle.member_seeker, bundle.org_seeker,
-        ).withColumnRenamed("data_state", "state_code"),
-        "seeker_profile": seekers_report.seeker_profile(
-            bundle.profile, bundle.user_seeker, bundle.member_seeker, bundle.org_seeker,
-            bundle.job_application, by_seeker, as_of),
-    }
+#: Tables that a report reads.
+NEEDS = {
+    "matches": ("profile", "job_posting", "user_seeker", "member_seeker", "org_seeker", "user_provider"),
+    "OPEN_ROLES": ("profile", "job_posting", "user_provider", "job_application"),
+    "job_application": ("job_application", "job_posting", "org_provider", "user_provider", "user_seeker", "profile",
+                        "member_seeker", "org_seeker"),
+    "seeker_profile": ("profile", "job_posting", "user_seeker", "member_seeker", "org_seeker", "job_application"),
+}
+
+
+def build_report(name: str, t: dict[str, DataFrame], scored: DataFrame | None, as_of=None) -> DataFrame:
+    """One report, or the match table, with its partition column `state`; `scored` are the scored signatures."""
+    if name == "matches":
+        return matching.sort_matches(matching.match_report(
+            t["profile"], t["job_posting"], t["user_seeker"], t["member_seeker"], t["org_seeker"], t["user_provider"],
+            scored=scored))
+    if name == "OPEN_ROLES":
+        fit = matching.fit_counts(t["profile"], t["job_posting"], "job", scored)
+        return jobs_report.open_roles(t["job_posting"], t["user_provider"], t["job_application"], fit, as_of)
+    if name == "job_application":
+        return fact.application_fact(*[t[n] for n in NEEDS[name]]).withColumnRenamed("data_state", "state")
+    fit = matching.fit_counts(t["profile"], t["job_posting"], "seeker", scored)
+    return seekers_report.seeker_profile(
+        t["profile"], t["user_seeker"], t["member_seeker"], t["org_seeker"], t["job_application"], fit, as_of)
 
 
 def display_report(name: str, report: DataFrame, headers: Sequence[str] = ()) -> DataFrame:
@@ -109,8 +134,10 @@ def display_report(name: str, report: DataFrame, headers: Sequence[str] = ()) ->
 
 @dataclass(frozen=True)
 class RunResult:
+    """Paths of the reports that were written, (state, report) pairs that were skipped, errors of lost tables."""
+
     reports: dict[str, str]
-    skipped: list[str]
+    skipped: list[tuple[str, str]]
     errors: list[str]
 
 
@@ -121,52 +148,78 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], root: str, deny: DataFra
         headers: dict[str, list[str]] | None = None) -> RunResult:
     """Everything from raw tables to written reports, run log and history.
 
-    `raw` is keyed like the fields of Bundle. Stage tables go below
-    `<root>/processed`, reports below the production or test target. With
-    `resume`, reports the manifest holds as done are skipped.
+    `raw` is keyed like the fields of Bundle. Stage tables go below `<root>/processed`, reports, the tables
+    as text and the logs below the production or test target. A run of some `states` leaves the folders of
+    the others alone. With `resume`, what the manifest holds as done for a state is neither built nor
+    written; otherwise the manifest starts anew for the states of the run. `headers` gives the order of the columns that a
+    report's destination has. A table or report that fails is noted and the run goes on; a
+    labeller that does not answer its first batch ends it (LabellerDown).
     """
     started = datetime.now(timezone.utc)
-    processed = f"{root.rstrip('/')}/processed"
+    wanted = list(states or STATES)
+    processed, target = f"{root.rstrip('/')}/processed", target_root(root, test)
+    errors: list[str] = []
 
-    def written(tables: dict[str, DataFrame], step: str) -> tuple[dict[str, DataFrame], list[str]]:
-        """Each step writes a folder of its own and the next one reads it."""
+    def written(makers: dict[str, Callable[[], DataFrame]], step: str) -> dict[str, DataFrame]:
+        """Each step writes a folder of its own and the next one reads the run's states of it."""
         folder = f"{processed}/{step}"
         done, failed = runlog.publish_all(
-            {t: (lambda df=df: df) for t, df in tables.items()},
-            lambda df, name: write_table(df, folder, name),
-        )
-        return {t: read_table(spark, f"{folder}/{t}", "parquet") for t in done}, failed
-
-    flat, lost_flat = written(clean(raw), "flat")
-    labelled, lost_labels = written(enrich(flat, places, roles), "labelled")
-    flagged, lost_flags = written(flag_all(labelled, deny, domains, words), "flagged")
-    errors = [*lost_flat, *lost_labels, *lost_flags]
-    bundle = Bundle(**flagged).states(states)
-    target = target_root(root, test)
-    matches = matching.match_report(
-        bundle.profile, bundle.job_posting, bundle.user_seeker, bundle.member_seeker,
-        bundle.org_seeker, bundle.user_provider)
-    match_path = write_table(matches, processed, "matches")
+            makers, lambda df, name: write_table(df, folder, name, only_given=bool(states)), (LabellerDown,))
+        errors.extend(failed)
+        return {t: matching.only_states(read_table(spark, f"{folder}/{t}", "parquet"), states) for t in done}
+
+    flat = written({t: lambda t=t, df=df: clean_one(t, matching.only_states(df, states)) for t, df in raw.items()}, "flat")
+    labelled = written(
+        {t: lambda t=t, df=df: enrich_one(t, df, places, roles, check_first=True) for t, df in flat.items()}, "labelled")
+    tables: dict[str, DataFrame] = {}
+    for members in (False, True):
+        tables |= written({
+            t: lambda t=t, df=df: flag_one(t, df, tables, deny, domains, words)
+            for t, df in labelled.items() if (kind_of(t) == "member") == members}, "flagged")
+    errors.extend(runlog.publish_all(
+        {t: lambda df=df: df for t, df in tables.items()},
+        lambda df, name: write_table(df, f"{target}/tables", name, "csv", stringify=True, only_given=bool(states)))[1])
+
     manifest = f"{target}/_manifest"
-    expected = spark.createDataFrame([(n,) for n in REPORTS], "name string")
-    todo = set(REPORTS)
-    if resume:
-        done = runlog.read_manifest(spark, manifest)
-        todo = {r.name for r in pending_outputs(expected, done, ["name"]).collect()}
+    if not resume:
+        runlog.forget(spark, manifest, wanted)
+    expected = spark.createDataFrame([(s, n) for s in wanted for n in NEEDS], "state string, name string")
+    todo = pending_outputs(expected, runlog.read_manifest(spark, manifest), ["state", "name"])
+    pending = {(r.state, r.name) for r in todo.collect()}
     paths = {}
-    for name, report in build_reports(bundle, as_of).items():
-        if name not in todo:
+    scored = None
+    for name in NEEDS:
+        own = sorted(s for s, n in pending if n == name)
+        if not own:
+            continue
+        lost = [t for t in NEEDS[name] if t not in tables]
+        if lost:
+            errors.append(f"{name}: needs {', '.join(lost)}")
             continue
-        paths[name] = write_table(report, target, name)
-        runlog.record_done(spark, manifest, name, spark.read.parquet(paths[name]).count())
-    counts = row_counts(bundle.tables() | {"matches": spark.read.parquet(match_path)})
-    names = [*bundle.tables(), "matches"]
-    runlog.append_row(runlog.run_log_row(counts, names, started, errors=errors), f"{target}/_log")
+        if scored is None and name != "job_application":
+            # fits of all pending outputs come from one scoring
+            some = {s for s, n in pending if n != "job_application"}
+            scored = stage(matching.scored_signatures(
+                *[key(matching.only_states(tables[t], sorted(some)))
+                  for key, t in ((matching.keyed_seekers, "profile"), (matching.keyed_jobs, "job_posting"))]))
+
+        def make(name=name, own=own) -> DataFrame:
+            report = build_report(name, {t: matching.only_states(df, own) for t, df in tables.items()}, scored, as_of)
+            return align_to_headers(report, headers[name]) if headers and name in headers else report
+
+        done, failed = runlog.publish_all({name: make}, lambda df, name: write_table(df, target, name, only_given=True))
+        errors.extend(failed)
+        if done:
+            paths[name] = f"{target}/{name}"
+            rows = matching.only_states(read_table(spark, paths[name], "parquet"), own)
+            counts = rows.groupBy("state").agg(F.count(F.lit(1)).alias("n_rows"))
+            every = spark.createDataFrame([(s,) for s in own], "state string").join(counts, "state", "left")
+            runlog.record_done(every.select("state", F.coalesce("n_rows", F.lit(0)).alias("n_rows")), manifest, name)
+    runlog.append_row(runlog.run_log_row(
+        runlog.state_counts(tables), runlog.state_names(wanted, list(raw)), started, errors=errors), f"{target}/_log")
+    matches = read_table(spark, f"{target}/matches", "parquet", columns=["state"], missing_ok=True)
     if not test:
-        history = {
-            "seekers": bundle.profile, "job_postings": bundle.job_posting,
-            "job_applications": bundle.job_application, "matches": spark.read.parquet(match_path),
-        }
-        runlog.append_row(
-            runlog.history_row(history, states or ["KA", "UP"]), f"{target}/_history")
-    return RunResult(paths, sorted(set(REPORTS) - todo), errors)
+        counted = {"seekers": "profile", "job_postings": "job_posting", "job_applications": "job_application"}
+        history = {n: tables[t] for n, t in counted.items() if t in tables} | {"matches": matching.only_states(matches, states)}
+        runlog.append_row(runlog.history_row(history, wanted), f"{target}/_history")
+    return RunResult(paths, sorted((s, n) for s in wanted for n in NEEDS if (s, n) not in pending), errors)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from worklink.operators.stats import row_counts
 from worklink.sources.files import read_table
 from pyspark.sql import types as T
 
-MANIFEST_SCHEMA = "name string, done boolean, n_rows long"
+MANIFEST_SCHEMA = "state string, name string, done boolean, n_rows long"
 STAMP = "%Y-%m-%d %H:%M UTC"
 
 
@@ -35,25 +36,32 @@ def run_log_row(counts: DataFrame, names: Sequence[str], started: datetime,
     )
 
 
-def history_row(tables: dict[str, DataFrame], states: Sequence[str],
-                when: datetime | None = None) -> DataFrame:
-    """SNK-08: per state the rows of each table, from one scan per table."""
-    from functools import reduce
-
-    counts = reduce(DataFrame.unionByName, [
+def state_counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """(name, n_rows) with names like ka_profile, from one scan per table."""
+    return reduce(DataFrame.unionByName, [
         df.groupBy("state").agg(F.count(F.lit(1)).alias("n_rows"))
         .select(F.concat(F.lower("state"), F.lit(f"_{t}")).alias("name"), "n_rows")
         for t, df in tables.items()
     ])
-    names = [f"{s.lower()}_{t}" for s in states for t in tables]
+
+
+def state_names(states: Sequence[str], tables: Sequence[str]) -> list[str]:
+    return [f"{s.lower()}_{t}" for s in states for t in tables]
+
+
+def history_row(tables: dict[str, DataFrame], states: Sequence[str],
+                when: datetime | None = None) -> DataFrame:
+    """SNK-08: per state the rows of each table."""
+    names = state_names(states, list(tables))
     when = when or datetime.now(timezone.utc)
-    return counts_row(counts, names).select(F.lit(when.strftime(STAMP)).alias("run_timestamp"), *names)
+    return counts_row(state_counts(tables), names).select(F.lit(when.strftime(STAMP)).alias("run_timestamp"), *names)
 
 
-def publish_all(tables: dict[str, Callable[[], DataFrame]], write: Callable[[DataFrame, str], object]):
-    """SNK-05: writes every table; one that fails is noted and the run goes on.
+def publish_all(tables: dict[str, Callable[[], DataFrame]], write: Callable[[DataFrame, str], object],
+                fatal: tuple[type[Exception], ...] = ()):
+    """SNK-05: writes every table; one that fails is noted and the run goes on, unless the error is a `fatal` one.
 
-    Returns the written tables and the names that failed.
+    Returns the written tables and for each that failed its name and the error.
     """
     written, errors = {}, []
     for name, make in tables.items():
@@ -61,8 +69,10 @@ def publish_all(tables: dict[str, Callable[[], DataFrame]], write: Callable[[Dat
             df = make()
             write(df, name)
             written[name] = df
-        except Exception:
-            errors.append(name)
+        except fatal:
+            raise
+        except Exception as error:
+            errors.append(f"{name}: {type(error).__name__}: {str(error).strip().splitlines()[0] if str(error).strip() else ''}")
     return written, errors
 
 
@@ -72,10 +82,16 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return read_table(spark, path, "parquet", schema, missing_ok=True)
 
 
-def record_done(spark: SparkSession, path: str, name: str, rows: int) -> None:
-    """SNK-07: appends one finished output."""
-    row = spark.createDataFrame([(name, True, rows)], MANIFEST_SCHEMA)
-    row.coalesce(1).write.mode("append").parquet(path)
+def record_done(counts: DataFrame, path: str, name: str) -> None:
+    """SNK-07: appends a finished output, one row per state of `counts` (state, n_rows)."""
+    rows = counts.select("state", F.lit(name).alias("name"), F.lit(True).alias("done"), F.col("n_rows").cast("long").alias("n_rows"))
+    rows.coalesce(1).write.mode("append").partitionBy("state").parquet(path)
+
+
+def forget(spark: SparkSession, path: str, states: Sequence[str]) -> None:
+    """SNK-07: a run that does not resume starts the manifest of its states anew."""
+    (spark.createDataFrame([(s, "", False, 0) for s in states], MANIFEST_SCHEMA).coalesce(1)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("state").parquet(path))
 
 
 def append_row(row: DataFrame, path: str) -> None:
@@ -84,6 +100,6 @@ def append_row(row: DataFrame, path: str) -> None:
 
 
 __all__ = [
-    "append_row", "counts_row", "history_row", "publish_all", "read_manifest",
-    "record_done", "row_counts", "run_log_row",
+    "append_row", "counts_row", "forget", "history_row", "publish_all", "read_manifest",
+    "record_done", "row_counts", "run_log_row", "state_counts", "state_names",
 ]

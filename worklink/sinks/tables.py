@@ -59,9 +59,10 @@ def target_root(root: str, test: bool = False) -> str:
 
 def write_table(df: DataFrame, root: str, name: str, fmt: str = "parquet",
                 partition_by: Sequence[str] = ("state",), stringify: bool = False,
-                bom: bool = False) -> str:
+                bom: bool = False, only_given: bool = False) -> str:
     """SNK-01..SNK-05, SNK-10: overwrites `<root>/<name>`, one folder per state.
 
+    With `only_given` the folders of states that `df` does not hold stay as they are.
     `bom` marks CSV as UTF-8 for spreadsheets. A stage must not overwrite the
     path it reads from: give each stage a root of its own.
     """
@@ -74,6 +75,8 @@ def write_table(df: DataFrame, root: str, name: str, fmt: str = "parquet",
             first = next(c for c in out.columns if c not in parts)
             out = out.withColumnRenamed(first, BOM + first)
     writer = out.write.mode("overwrite").partitionBy(*parts)
+    if parts:
+        writer = writer.option("partitionOverwriteMode", "dynamic" if only_given else "static")
     if fmt == "csv":
         writer = writer.options(header=True, escape='"', encoding="UTF-8")
     writer.format(fmt).save(path)

@@ -88,9 +88,11 @@ class Bundle:
     job_application: DataFrame
     user_provider: DataFrame
     org_provider: DataFrame
+    member_provider: DataFrame | None = None
 
     def tables(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self)}
+        held = {f.name: getattr(self, f.name) for f in fields(self)}
+        return {n: df for n, df in held.items() if df is not None}
 
     def states(self, states: Sequence[str] | None) -> "Bundle":
         return Bundle(**{n: only_states(df, states) for n, df in self.tables().items()})
@@ -99,7 +101,7 @@ class Bundle:
 def load_bundle(spark: SparkSession, root: str, states: Sequence[str] | None = None,
                 fmt: str = "parquet") -> Bundle:
     """SRC-12: tables below `root`, partitioned by state; other states are not read."""
-    bundle = Bundle(**{
-        f.name: read_table(spark, f"{root}/{f.name}", fmt) for f in fields(Bundle)
-    })
+    # members of the provider side are optional
+    names = [f.name for f in fields(Bundle) if f.default is not None or _exists(spark, f"{root}/{f.name}")]
+    bundle = Bundle(**{n: read_table(spark, f"{root}/{n}", fmt) for n in names})
     return bundle.states(states)
