@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from worklink.constants import EDUCATION_LEVELS
 from worklink.workload.bindings import AS_OF, with_clause
-from worklink.workload.oracle_json import phone
+from worklink.workload.oracle_json import flatten_sql, phone
 
 DAY = f"DATE '{AS_OF}'"
 STRIP = r"'^\s+|\s+$', '', 'g'"
@@ -430,3 +430,39 @@ SELECT x.state, id, user_id, {safe('name')} AS name, {safe('current_location')}
   coalesce(f.partial_fit, 0) AS partial_fit, coalesce(f.right_fit, 0) AS direct_fit,
   {safe('llm_role_normalized')} AS normalised_role, {safe('llm_role_sector')} AS job_sector
 FROM sfacts x LEFT JOIN {fit_sql('seeker_id')} f ON f.state = x.state AND f.seeker_id = x.user_id"""
+
+# ---------------------------------------------------------------- the whole run
+
+
+def place_text(cols: list[str]) -> str:
+    return "concat_ws(', ', " + ", ".join(f"nullif({strip(c)}, '')" for c in cols) + ")"
+
+
+RUN_BINDINGS = ("raw_profile", "raw_posting", "gazetteer", "taxonomy", "denylist", "user_provider", "job_application")
+RUN_PLACES = {
+    "profile": ["location_city", "location_state", "location_address", "location_country", "current_location", "hometown"],
+    "posting": ["provider_location_city", "provider_location_state", "provider_location_address", "provider_location_country"],
+}
+
+
+def role_join(col: str) -> str:
+    return f"LEFT JOIN b_taxonomy x_{col} ON lower({strip(f'x_{col}.value')}) = lower({strip(f'f.{col}')})"
+
+
+RUN_INPUT = f"""{with_clause(*RUN_BINDINGS).replace('WITH ', 'WITH RECURSIVE ', 1)}, {deny()},
+f_profile AS (SELECT *, {place_text(RUN_PLACES['profile'])} AS place FROM ({flatten_sql('profile', 'raw_profile', ['state', 'id'])})),
+b_profile AS (SELECT f.*, 'U' || f.id AS user_id, g.state AS llm_location_state, g.district AS llm_location_district,
+    CAST(CAST({test_phone('phone')} AS INT) AS VARCHAR) AS test_flag
+  FROM f_profile f LEFT JOIN b_gazetteer g ON lower(g.text) = lower(f.place)),
+f_posting AS (SELECT *, {place_text(RUN_PLACES['posting'])} AS place
+  FROM ({flatten_sql('job_posting', 'raw_posting', ['state', 'id', 'title', 'description'])})),
+b_job_posting AS (SELECT f.state, f.id, f.title, f.role, coalesce(x_job_title.role, f.job_title) AS job_title, f.job_description, f.positions,
+    f.min_monthly_in_hand, f.max_monthly_in_hand, f.min_education_level, 'open' AS status, f.title AS organization_name,
+    f.id AS organization_id, 'P' || f.id AS created_by, '2001-08-01' AS created_at, '{{}}' AS location,
+    g.state AS llm_location_state, g.district AS llm_location_district, x_title.role AS llm_title_normalized,
+    x_title.sector AS llm_title_sector, x_role.role AS llm_role_normalized, x_role.sector AS llm_role_sector,
+    CAST(CAST({test_org('f.title')} AS INT) AS VARCHAR) AS test_flag
+  FROM f_posting f LEFT JOIN b_gazetteer g ON lower(g.text) = lower(f.place)
+    {role_join('role')} {role_join('title')} {role_join('job_title')})"""
+
+WHOLE_RUN = f"{RUN_INPUT}, {MATCH_INPUT}, {PAIRS}, {MATCHES}" + open_roles_sql(True).removeprefix(match_with(*OPEN_BINDINGS))

@@ -728,6 +728,14 @@ def label_roles_similar(spark, d):
     return labels.role_lookup([seeker_rows(spark, d)], ["iti_specialization"], bind(spark, d, "taxonomy"), 0.7)
 
 
+@query(f"""{with_clause('profile', 'taxonomy')} SELECT p.id, {label_columns('role', 't')}, t.role AS normalised_role
+FROM b_profile p LEFT JOIN b_taxonomy t ON lower(t.value) = lower({O.strip('p.role')})""")
+def label_roles(spark, d):
+    """PRJ-19, LBL-04 on the profiles with a table of known roles."""
+    rows = labels.label_roles({"profile": seeker_rows(spark, d).select("id", "role")}, bind(spark, d, "taxonomy"))
+    return rows["profile"].drop("role")
+
+
 FENCE = "chr(96) || chr(96) || chr(96)"
 REPLY = f"""SELECT c_custkey, 3 AS size, CASE c_custkey % 6 WHEN 0 THEN '[' || a || ',' || a || ',' || a || ']'
   WHEN 1 THEN {FENCE} || 'json' || chr(10) || '[' || a || ']' || chr(10) || {FENCE}
@@ -800,7 +808,7 @@ def pending_outputs(spark, d):
     return stats.pending_outputs(apps.select("state", "job_id").distinct(), manifest, ["state", "job_id"])
 
 
-@query()
+@query(O.WHOLE_RUN)
 def whole_run(spark, d):
     """Raw documents to the job report: flatten, label, flag, match, report."""
     raw = {
