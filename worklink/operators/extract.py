@@ -12,6 +12,7 @@ from worklink.functions import variant as V
 from worklink.functions.text import clean_bool, clean_phone, clean_str
 from worklink.operators.fieldmap import FIELD_MAPS, Field, Path
 
+# fixed values: the cleaned columns of the user table
 TEXT_COLUMNS = ("name", "email", "role", "ban_reason", "image")
 FLAG_COLUMNS = (
     "email_verified", "phone_number_verified", "banned", "terms_accepted", "privacy_accepted",

@@ -1,195 +1,275 @@
 """Which JSON path feeds which column (PRJ-01..PRJ-04).
 
-Each line reads `kind [base]: items`. An item is a JSON key, whose column is the
-key in snake case, or `column=path|path|...` where the first truthy path counts.
-`base` prefixes keys and paths without a dot; `.key` starts at the document
-itself, `@key` at a column of the table, `~` stands for a blank in a key.
-Columns come out in the order of the lines.
-
-Kinds: text, raw (a loosely typed scalar kept as text), phone, bool, list (joined
-by '|'), elements (every element as text, joined), json, name (an object's name
-or the scalar), given (text of a truthy value).
+A row holds a column, its kind and its paths; of several paths the first truthy one counts. A path starts
+with the column of the table that holds the document (a path of one step is that column itself) and
+goes on with the keys of nested objects. Columns come out in the order of the rows.
+
+Kinds: text, raw (a loosely typed scalar kept as text), phone, bool, list (joined by '|'), elements
+(every element as text, joined), json, name (an object's name or the scalar), given (text of a truthy
+value).
 """
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 # fixed values: column names and JSON paths of the published data model
-PROFILE = """
-text: name=.name|whoIAm.name role gender=.gender|whoIAm.gender
-raw: age=.age|whoIAm.age|whatIHave.age
-text: industry
-phone whoIAm: phone
-text whoIAm: dateOfBirth hometown current_location=currentLocation|location desiredLocation
-text whoIAm: fatherName motherName aadharNumber
-text whoIAm.locationData: location_city=city location_state=state
-text whoIAm.locationData: location_address=address location_country=country
-bool whoIAm: isAgeVerified isNameVerified isPhoneVerified isLocationVerified
-text whatIHave: rollNumber itiInstitute
-list whatIHave: itiSpecialization
-raw whatIHave: training_duration_years=trainingDuration
-list whatIHave: highestQualification languageSpoken machinesOperated
-text whatIHave: previousCompany
-given whatIHave: previousLocation
-raw whatIHave: currentMonthlySalary total_years_experience=totalYearsOfExperience
-raw whatIHave: fitterAssessmentScore intentAssessmentScore
-list whatIWant: preferredModeOfWork
-raw whatIWant: monthlyInHandPreferred monthlyOTExpectation
-text whatIWant: monthly_pf_esic=monthlyPFESIC
-raw whatIWant: work_hours_per_day=workHoursPerDay|.workHoursPerDay
-elements: education
-text: status source agentId
-bool: isAadharVerified isGenderVerified isHometownVerified
-raw whoIAm.locationData: location_lat=lat location_lng=lng
-text whatIHave: workExperience
-raw whatIHave: workExperienceYears
-text whatIHave: vehicleOwnership
-raw whatIHave: communicationSkillsScore
-text whatIHave: domainKnowledge
-list whatIHave: softwareSkills languagesKnown
-text whatIHave: highestQualificationOrSkill highestEducation
-text whatIHave: highestEducationalInstituteAttended nameOfLastRoleHeld
-text whatIHave: jukiMachineExperience jukiMachineStraightLine
-bool whatIHave: consent_physical_health=consent~for~physical~health
-bool whatIHave: consent_safety_requirements=consent~for~safety~requirements
-text whatIHave: qualityProofImage skillProofVideo taskVideo
-raw whatIWant: monthlyTravelAllowance monthlyPerformanceVariable
-raw whatIWant: monthly_pf_health_insurance=monthlyPFHealthInsurance
-list whatIWant: interested_job_roles=nameOfJobRolesInterestedIn
-list whatIWant: nature_of_jobs_interested=natureOfJobsInterestedIn
-text whatIWant: preferredWorkMode
-list whatIWant: stayPreferences
-raw whatIWant: max_distance_daily_travel=maxDistanceofDailyTravel maxCostPerSharingBed
-text whatIWant: otherHelpNeeded
-text whatIHave: itiInstituteSlug
-json whatIHave: assessmentScores documentVerificationStatus
-text whatIHave: collegeName highestEducationalQualification highestQualification_other
-raw whatIHave: electricianAssessmentScore machineOperatorAssessmentScore
-raw whatIHave: mechanicAssessmentScore hrKnowledge hrWorkExperience
-raw whatIHave: warehouseExperience presentabilityScore
-list: skills skillCertifications certificates
-text: gen2_experience=experience notes
-"""
 
-ORGANIZATION = """
-text: address gstNumber contact_person=contactPersonName contactEmail
-phone: contactPhone
-text: website description
-"""
+PROFILE = [
+    ("name", "text", ["metadata.name", "metadata.whoIAm.name"]),
+    ("role", "text", ["metadata.role"]),
+    ("gender", "text", ["metadata.gender", "metadata.whoIAm.gender"]),
+    ("age", "raw", ["metadata.age", "metadata.whoIAm.age", "metadata.whatIHave.age"]),
+    ("industry", "text", ["metadata.industry"]),
+    ("phone", "phone", ["metadata.whoIAm.phone"]),
+    ("date_of_birth", "text", ["metadata.whoIAm.dateOfBirth"]),
+    ("hometown", "text", ["metadata.whoIAm.hometown"]),
+    ("current_location", "text", ["metadata.whoIAm.currentLocation", "metadata.whoIAm.location"]),
+    ("desired_location", "text", ["metadata.whoIAm.desiredLocation"]),
+    ("father_name", "text", ["metadata.whoIAm.fatherName"]),
+    ("mother_name", "text", ["metadata.whoIAm.motherName"]),
+    ("aadhar_number", "text", ["metadata.whoIAm.aadharNumber"]),
+    ("location_city", "text", ["metadata.whoIAm.locationData.city"]),
+    ("location_state", "text", ["metadata.whoIAm.locationData.state"]),
+    ("location_address", "text", ["metadata.whoIAm.locationData.address"]),
+    ("location_country", "text", ["metadata.whoIAm.locationData.country"]),
+    ("is_age_verified", "bool", ["metadata.whoIAm.isAgeVerified"]),
+    ("is_name_verified", "bool", ["metadata.whoIAm.isNameVerified"]),
+    ("is_phone_verified", "bool", ["metadata.whoIAm.isPhoneVerified"]),
+    ("is_location_verified", "bool", ["metadata.whoIAm.isLocationVerified"]),
+    ("roll_number", "text", ["metadata.whatIHave.rollNumber"]),
+    ("iti_institute", "text", ["metadata.whatIHave.itiInstitute"]),
+    ("iti_specialization", "list", ["metadata.whatIHave.itiSpecialization"]),
+    ("training_duration_years", "raw", ["metadata.whatIHave.trainingDuration"]),
+    ("highest_qualification", "list", ["metadata.whatIHave.highestQualification"]),
+    ("language_spoken", "list", ["metadata.whatIHave.languageSpoken"]),
+    ("machines_operated", "list", ["metadata.whatIHave.machinesOperated"]),
+    ("previous_company", "text", ["metadata.whatIHave.previousCompany"]),
+    ("previous_location", "given", ["metadata.whatIHave.previousLocation"]),
+    ("current_monthly_salary", "raw", ["metadata.whatIHave.currentMonthlySalary"]),
+    ("total_years_experience", "raw", ["metadata.whatIHave.totalYearsOfExperience"]),
+    ("fitter_assessment_score", "raw", ["metadata.whatIHave.fitterAssessmentScore"]),
+    ("intent_assessment_score", "raw", ["metadata.whatIHave.intentAssessmentScore"]),
+    ("preferred_mode_of_work", "list", ["metadata.whatIWant.preferredModeOfWork"]),
+    ("monthly_in_hand_preferred", "raw", ["metadata.whatIWant.monthlyInHandPreferred"]),
+    ("monthly_ot_expectation", "raw", ["metadata.whatIWant.monthlyOTExpectation"]),
+    ("monthly_pf_esic", "text", ["metadata.whatIWant.monthlyPFESIC"]),
+    ("work_hours_per_day", "raw", ["metadata.whatIWant.workHoursPerDay", "metadata.workHoursPerDay"]),
+    ("education", "elements", ["metadata.education"]),
+    ("status", "text", ["metadata.status"]),
+    ("source", "text", ["metadata.source"]),
+    ("agent_id", "text", ["metadata.agentId"]),
+    ("is_aadhar_verified", "bool", ["metadata.isAadharVerified"]),
+    ("is_gender_verified", "bool", ["metadata.isGenderVerified"]),
+    ("is_hometown_verified", "bool", ["metadata.isHometownVerified"]),
+    ("location_lat", "raw", ["metadata.whoIAm.locationData.lat"]),
+    ("location_lng", "raw", ["metadata.whoIAm.locationData.lng"]),
+    ("work_experience", "text", ["metadata.whatIHave.workExperience"]),
+    ("work_experience_years", "raw", ["metadata.whatIHave.workExperienceYears"]),
+    ("vehicle_ownership", "text", ["metadata.whatIHave.vehicleOwnership"]),
+    ("communication_skills_score", "raw", ["metadata.whatIHave.communicationSkillsScore"]),
+    ("domain_knowledge", "text", ["metadata.whatIHave.domainKnowledge"]),
+    ("software_skills", "list", ["metadata.whatIHave.softwareSkills"]),
+    ("languages_known", "list", ["metadata.whatIHave.languagesKnown"]),
+    ("highest_qualification_or_skill", "text", ["metadata.whatIHave.highestQualificationOrSkill"]),
+    ("highest_education", "text", ["metadata.whatIHave.highestEducation"]),
+    ("highest_educational_institute_attended", "text", ["metadata.whatIHave.highestEducationalInstituteAttended"]),
+    ("name_of_last_role_held", "text", ["metadata.whatIHave.nameOfLastRoleHeld"]),
+    ("juki_machine_experience", "text", ["metadata.whatIHave.jukiMachineExperience"]),
+    ("juki_machine_straight_line", "text", ["metadata.whatIHave.jukiMachineStraightLine"]),
+    ("consent_physical_health", "bool", ["metadata.whatIHave.consent for physical health"]),
+    ("consent_safety_requirements", "bool", ["metadata.whatIHave.consent for safety requirements"]),
+    ("quality_proof_image", "text", ["metadata.whatIHave.qualityProofImage"]),
+    ("skill_proof_video", "text", ["metadata.whatIHave.skillProofVideo"]),
+    ("task_video", "text", ["metadata.whatIHave.taskVideo"]),
+    ("monthly_travel_allowance", "raw", ["metadata.whatIWant.monthlyTravelAllowance"]),
+    ("monthly_performance_variable", "raw", ["metadata.whatIWant.monthlyPerformanceVariable"]),
+    ("monthly_pf_health_insurance", "raw", ["metadata.whatIWant.monthlyPFHealthInsurance"]),
+    ("interested_job_roles", "list", ["metadata.whatIWant.nameOfJobRolesInterestedIn"]),
+    ("nature_of_jobs_interested", "list", ["metadata.whatIWant.natureOfJobsInterestedIn"]),
+    ("preferred_work_mode", "text", ["metadata.whatIWant.preferredWorkMode"]),
+    ("stay_preferences", "list", ["metadata.whatIWant.stayPreferences"]),
+    ("max_distance_daily_travel", "raw", ["metadata.whatIWant.maxDistanceofDailyTravel"]),
+    ("max_cost_per_sharing_bed", "raw", ["metadata.whatIWant.maxCostPerSharingBed"]),
+    ("other_help_needed", "text", ["metadata.whatIWant.otherHelpNeeded"]),
+    ("iti_institute_slug", "text", ["metadata.whatIHave.itiInstituteSlug"]),
+    ("assessment_scores", "json", ["metadata.whatIHave.assessmentScores"]),
+    ("document_verification_status", "json", ["metadata.whatIHave.documentVerificationStatus"]),
+    ("college_name", "text", ["metadata.whatIHave.collegeName"]),
+    ("highest_educational_qualification", "text", ["metadata.whatIHave.highestEducationalQualification"]),
+    ("highest_qualification_other", "text", ["metadata.whatIHave.highestQualification_other"]),
+    ("electrician_assessment_score", "raw", ["metadata.whatIHave.electricianAssessmentScore"]),
+    ("machine_operator_assessment_score", "raw", ["metadata.whatIHave.machineOperatorAssessmentScore"]),
+    ("mechanic_assessment_score", "raw", ["metadata.whatIHave.mechanicAssessmentScore"]),
+    ("hr_knowledge", "raw", ["metadata.whatIHave.hrKnowledge"]),
+    ("hr_work_experience", "raw", ["metadata.whatIHave.hrWorkExperience"]),
+    ("warehouse_experience", "raw", ["metadata.whatIHave.warehouseExperience"]),
+    ("presentability_score", "raw", ["metadata.whatIHave.presentabilityScore"]),
+    ("skills", "list", ["metadata.skills"]),
+    ("skill_certifications", "list", ["metadata.skillCertifications"]),
+    ("certificates", "list", ["metadata.certificates"]),
+    ("gen2_experience", "text", ["metadata.experience"]),
+    ("notes", "text", ["metadata.notes"]),
+]
 
-JOB_POSTING = """
-text: role=role|jobRole|job_role|jobDetails.title|jobDetails.jobTitle|@title
-text: industry=industry|sector|jobSector|industrySector
-text basicInfo.jobProviderLocation: provider_location_city=city|tag provider_location_state=state
-text basicInfo.jobProviderLocation: provider_location_address=address
-text basicInfo.jobProviderLocation: provider_location_country=country
-raw basicInfo.jobProviderLocation.gps: provider_location_lat=lat provider_location_lng=lng
-list jobDetails: jobType
-raw jobDetails: positions=positions|openings|numberOfOpenings|noOfOpenings|vacancies
-list jobDetails: modeOfWork
-text jobDetails: foodProvided travelProvided stayProvided
-text jobDetails: job_description=jobDescription|description|jobDesc|@description
-raw jobDetails: min_monthly_in_hand=minMonthlyInHand|minSalary|salaryMin|minCTC
-raw jobDetails: max_monthly_in_hand=maxMonthlyInHand|maxSalary|salaryMax|maxCTC
-raw jobDetails: workingHoursPerDay
-text jobDetails: hiringUrgency hiringManagerName hiringManagerDesignation
-text jobNeeds: genderPreference
-raw jobNeeds: age_lower_limit=ageAllowedLowerLimit age_upper_limit=ageAllowedUpperLimit
-list jobNeeds.educationSubsection: minEducationLevel itiSpecialtyPreference
-list jobNeeds.languagesSubsection: languages_required=languagesKnown
-text jobDetails: job_title=title|@title
-text: org_name org_slug
-bool: isDuplicate
-text: agentId agentTitle
-text basicInfo: jobProviderName jobProviderType hiringManagerEmail
-phone basicInfo: hiring_manager_phone=hiringManagerPhoneNumber
-text jobDetails: natureOfJob
-raw jobDetails: monthlyAttendanceBonus
-text jobDetails: monthlyAttendanceBonusCriteria
-raw jobDetails: monthlyTravellingAllowance monthly_average_ot=monthlyAverageOT|monthlyAverageOt
-raw jobDetails: monthlyIncentivePossible
-raw jobDetails: monthly_max_performance_variable=monthlyMaxPerformanceBasedVariable
-raw jobDetails: monthlyPfEsicBenefits otPerHourRate
-text jobDetails: dailyTravelRequired validTill
-raw jobDetails: stipendMin stipendMax salaryMin salaryMax taskRateMin taskRateMax
-text jobDetails: callback_time=callBackTime
-raw jobNeeds: work_experience_years_required=workExperienceYears
-text jobNeeds: candidateExperienceType lastRoleHeld
-text jobNeeds: vehicle_ownership_required=vehicleOwnershipRequirement|.jobNeeds.customerHandlingSubsection.vehicleOwnershipRequirement
-list jobNeeds: highest_qualification_accepted=highestQualificationAccepted|.jobNeeds.highestQualificationSubsection.highestQualification
-text jobNeeds.locationPreference: location_preference_city=city|tag location_preference_state=state
-text jobNeeds.locationPreference: location_preference_address=address
-text jobNeeds.locationPreference: location_preference_country=country
-raw jobNeeds.locationPreference.gps: location_preference_lat=lat location_preference_lng=lng
-text basicInfo: jobProviderLogo jobProviderRegistration
-text jobDetails: designation
-list jobDetails: devicesProvided
-text jobDetails: startTime endTime
-text: originalJobId
-json jobNeeds: communicationSubsection domainKnowledgeSubsection hrKnowledgeSubsection
-json jobNeeds: hrWorkExperienceSubsection jukiMachineStraightLineSubsection
-json jobNeeds: physicalFitnessSubsection physicalHealthRequirements
-json jobNeeds: ppeReadySafetyCompliance educationalQualificationSubsection
-list jobNeeds.educationSubsection: skillsRequired
-text jobNeeds.highestQualificationSubsection: softwareKnowledgePreferred
-raw jobNeeds: communication_skill_score_required=communicationSkillScore
-"""
+ORGANIZATION = [
+    ("address", "text", ["metadata.address"]),
+    ("gst_number", "text", ["metadata.gstNumber"]),
+    ("contact_person", "text", ["metadata.contactPersonName"]),
+    ("contact_email", "text", ["metadata.contactEmail"]),
+    ("contact_phone", "phone", ["metadata.contactPhone"]),
+    ("website", "text", ["metadata.website"]),
+    ("description", "text", ["metadata.description"]),
+]
 
-JOB_APPLICATION = """
-text: seeker_name=@user_name|name
-phone: seeker_phone=@contact.phone|metadata.whoIAm.phone
-text: seeker_email=@contact.email
-raw: seeker_age=age|metadata.age
-text: seeker_gender=gender|metadata.whoIAm.gender
-name: app_location_city=@location.city app_location_state=@location.state
-text: app_location_address=@location.address app_location_country=@location.country
-text metadata.whoIAm: seeker_current_location=location|currentLocation
-text metadata.whatIHave: seeker_iti_institute=itiInstitute
-list metadata.whatIHave: seeker_iti_specialization=itiSpecialization
-list metadata.whatIHave: seeker_highest_qualification=highestQualification
-list metadata.whatIHave: seeker_language_spoken=languageSpoken
-text metadata.whatIHave: seeker_roll_number=rollNumber
-raw metadata.whatIHave: seeker_total_experience=totalYearsOfExperience
-raw metadata.whatIWant: seeker_expected_salary=monthlyInHandPreferred
-list metadata.whatIWant: seeker_preferred_mode=preferredModeOfWork
-text jobDetails: job_title=title|jobTitle|.jobDetails.jobDetails.title|.metadata.interestedRole
-text jobDetails: job_role=role|.metadata.interestedRole
-text jobDetails: job_industry=industry|.metadata.interestedIndustry
-text jobDetails: job_company=company|jobProviderName
-given jobDetails: job_location=location
-raw jobDetails: job_openings=openings|positions|.jobDetails.jobDetails.positions
-raw jobDetails: job_min_salary=monthlyInHand|.jobDetails.jobDetails.minMonthlyInHand
-raw jobDetails.jobDetails: job_max_salary=maxMonthlyInHand
-raw jobDetails: matchScore
-text jobDetails: job_provider_name=jobProviderName|.jobDetails.basicInfo.jobProviderName
-text jobDetails.jobDetails: job_hiring_manager=hiringManagerName job_nature=natureOfJob
-raw jobDetails.jobDetails: job_min_monthly_ot=monthlyAverageOT
-text jobDetails.jobDetails: job_valid_till=validTill
-raw: app_location_lat=@location.gps.lat app_location_lng=@location.gps.lng
-text: seeker_interested_role=interestedRole|metadata.interestedRole
-text: seeker_interested_industry=interestedIndustry|metadata.interestedIndustry
-bool: seeker_is_age_verified=isAgeVerified seeker_is_aadhar_verified=isAadharVerified
-bool: seeker_is_name_verified=isNameVerified seeker_is_hometown_verified=isHometownVerified
-bool: seeker_is_gender_verified=isGenderVerified
-text metadata.whatIHave: seeker_work_experience=workExperience
-raw metadata.whatIHave: seeker_work_experience_years=workExperienceYears
-text metadata.whatIHave: seeker_vehicle_ownership=vehicleOwnership
-raw metadata.whatIHave: seeker_communication_skills_score=communicationSkillsScore
-text metadata.whatIHave: seeker_domain_knowledge=domainKnowledge
-list metadata.whatIHave: seeker_software_skills=softwareSkills
-raw metadata.whatIWant: seeker_monthly_travel_allowance=monthlyTravelAllowance
-raw metadata.whatIWant: seeker_monthly_performance_variable=monthlyPerformanceVariable
-text metadata.whatIWant: seeker_preferred_work_mode=preferredWorkMode
-list metadata.whatIWant: seeker_stay_preferences=stayPreferences
-raw metadata.whatIWant: seeker_max_cost_per_sharing_bed=maxCostPerSharingBed
-text: seeker_profile_id=profileId
-list: seeker_skills=skills seeker_skill_certifications=skillCertifications
-list: seeker_certificates=certificates
-json: seeker_assessment_scores=assessmentScores
-elements: seeker_education=education
-"""
+JOB_POSTING = [
+    ("role", "text", ["metadata.role", "metadata.jobRole", "metadata.job_role", "metadata.jobDetails.title", "metadata.jobDetails.jobTitle", "title"]),
+    ("industry", "text", ["metadata.industry", "metadata.sector", "metadata.jobSector", "metadata.industrySector"]),
+    ("provider_location_city", "text", ["metadata.basicInfo.jobProviderLocation.city", "metadata.basicInfo.jobProviderLocation.tag"]),
+    ("provider_location_state", "text", ["metadata.basicInfo.jobProviderLocation.state"]),
+    ("provider_location_address", "text", ["metadata.basicInfo.jobProviderLocation.address"]),
+    ("provider_location_country", "text", ["metadata.basicInfo.jobProviderLocation.country"]),
+    ("provider_location_lat", "raw", ["metadata.basicInfo.jobProviderLocation.gps.lat"]),
+    ("provider_location_lng", "raw", ["metadata.basicInfo.jobProviderLocation.gps.lng"]),
+    ("job_type", "list", ["metadata.jobDetails.jobType"]),
+    ("positions", "raw", ["metadata.jobDetails.positions", "metadata.jobDetails.openings", "metadata.jobDetails.numberOfOpenings", "metadata.jobDetails.noOfOpenings", "metadata.jobDetails.vacancies"]),
+    ("mode_of_work", "list", ["metadata.jobDetails.modeOfWork"]),
+    ("food_provided", "text", ["metadata.jobDetails.foodProvided"]),
+    ("travel_provided", "text", ["metadata.jobDetails.travelProvided"]),
+    ("stay_provided", "text", ["metadata.jobDetails.stayProvided"]),
+    ("job_description", "text", ["metadata.jobDetails.jobDescription", "metadata.jobDetails.description", "metadata.jobDetails.jobDesc", "description"]),
+    ("min_monthly_in_hand", "raw", ["metadata.jobDetails.minMonthlyInHand", "metadata.jobDetails.minSalary", "metadata.jobDetails.salaryMin", "metadata.jobDetails.minCTC"]),
+    ("max_monthly_in_hand", "raw", ["metadata.jobDetails.maxMonthlyInHand", "metadata.jobDetails.maxSalary", "metadata.jobDetails.salaryMax", "metadata.jobDetails.maxCTC"]),
+    ("working_hours_per_day", "raw", ["metadata.jobDetails.workingHoursPerDay"]),
+    ("hiring_urgency", "text", ["metadata.jobDetails.hiringUrgency"]),
+    ("hiring_manager_name", "text", ["metadata.jobDetails.hiringManagerName"]),
+    ("hiring_manager_designation", "text", ["metadata.jobDetails.hiringManagerDesignation"]),
+    ("gender_preference", "text", ["metadata.jobNeeds.genderPreference"]),
+    ("age_lower_limit", "raw", ["metadata.jobNeeds.ageAllowedLowerLimit"]),
+    ("age_upper_limit", "raw", ["metadata.jobNeeds.ageAllowedUpperLimit"]),
+    ("min_education_level", "list", ["metadata.jobNeeds.educationSubsection.minEducationLevel"]),
+    ("iti_specialty_preference", "list", ["metadata.jobNeeds.educationSubsection.itiSpecialtyPreference"]),
+    ("languages_required", "list", ["metadata.jobNeeds.languagesSubsection.languagesKnown"]),
+    ("job_title", "text", ["metadata.jobDetails.title", "title"]),
+    ("org_name", "text", ["metadata.org_name"]),
+    ("org_slug", "text", ["metadata.org_slug"]),
+    ("is_duplicate", "bool", ["metadata.isDuplicate"]),
+    ("agent_id", "text", ["metadata.agentId"]),
+    ("agent_title", "text", ["metadata.agentTitle"]),
+    ("job_provider_name", "text", ["metadata.basicInfo.jobProviderName"]),
+    ("job_provider_type", "text", ["metadata.basicInfo.jobProviderType"]),
+    ("hiring_manager_email", "text", ["metadata.basicInfo.hiringManagerEmail"]),
+    ("hiring_manager_phone", "phone", ["metadata.basicInfo.hiringManagerPhoneNumber"]),
+    ("nature_of_job", "text", ["metadata.jobDetails.natureOfJob"]),
+    ("monthly_attendance_bonus", "raw", ["metadata.jobDetails.monthlyAttendanceBonus"]),
+    ("monthly_attendance_bonus_criteria", "text", ["metadata.jobDetails.monthlyAttendanceBonusCriteria"]),
+    ("monthly_travelling_allowance", "raw", ["metadata.jobDetails.monthlyTravellingAllowance"]),
+    ("monthly_average_ot", "raw", ["metadata.jobDetails.monthlyAverageOT", "metadata.jobDetails.monthlyAverageOt"]),
+    ("monthly_incentive_possible", "raw", ["metadata.jobDetails.monthlyIncentivePossible"]),
+    ("monthly_max_performance_variable", "raw", ["metadata.jobDetails.monthlyMaxPerformanceBasedVariable"]),
+    ("monthly_pf_esic_benefits", "raw", ["metadata.jobDetails.monthlyPfEsicBenefits"]),
+    ("ot_per_hour_rate", "raw", ["metadata.jobDetails.otPerHourRate"]),
+    ("daily_travel_required", "text", ["metadata.jobDetails.dailyTravelRequired"]),
+    ("valid_till", "text", ["metadata.jobDetails.validTill"]),
+    ("stipend_min", "raw", ["metadata.jobDetails.stipendMin"]),
+    ("stipend_max", "raw", ["metadata.jobDetails.stipendMax"]),
+    ("salary_min", "raw", ["metadata.jobDetails.salaryMin"]),
+    ("salary_max", "raw", ["metadata.jobDetails.salaryMax"]),
+    ("task_rate_min", "raw", ["metadata.jobDetails.taskRateMin"]),
+    ("task_rate_max", "raw", ["metadata.jobDetails.taskRateMax"]),
+    ("callback_time", "text", ["metadata.jobDetails.callBackTime"]),
+    ("work_experience_years_required", "raw", ["metadata.jobNeeds.workExperienceYears"]),
+    ("candidate_experience_type", "text", ["metadata.jobNeeds.candidateExperienceType"]),
+    ("last_role_held", "text", ["metadata.jobNeeds.lastRoleHeld"]),
+    ("vehicle_ownership_required", "text", ["metadata.jobNeeds.vehicleOwnershipRequirement", "metadata.jobNeeds.customerHandlingSubsection.vehicleOwnershipRequirement"]),
+    ("highest_qualification_accepted", "list", ["metadata.jobNeeds.highestQualificationAccepted", "metadata.jobNeeds.highestQualificationSubsection.highestQualification"]),
+    ("location_preference_city", "text", ["metadata.jobNeeds.locationPreference.city", "metadata.jobNeeds.locationPreference.tag"]),
+    ("location_preference_state", "text", ["metadata.jobNeeds.locationPreference.state"]),
+    ("location_preference_address", "text", ["metadata.jobNeeds.locationPreference.address"]),
+    ("location_preference_country", "text", ["metadata.jobNeeds.locationPreference.country"]),
+    ("location_preference_lat", "raw", ["metadata.jobNeeds.locationPreference.gps.lat"]),
+    ("location_preference_lng", "raw", ["metadata.jobNeeds.locationPreference.gps.lng"]),
+    ("job_provider_logo", "text", ["metadata.basicInfo.jobProviderLogo"]),
+    ("job_provider_registration", "text", ["metadata.basicInfo.jobProviderRegistration"]),
+    ("designation", "text", ["metadata.jobDetails.designation"]),
+    ("devices_provided", "list", ["metadata.jobDetails.devicesProvided"]),
+    ("start_time", "text", ["metadata.jobDetails.startTime"]),
+    ("end_time", "text", ["metadata.jobDetails.endTime"]),
+    ("original_job_id", "text", ["metadata.originalJobId"]),
+    ("communication_subsection", "json", ["metadata.jobNeeds.communicationSubsection"]),
+    ("domain_knowledge_subsection", "json", ["metadata.jobNeeds.domainKnowledgeSubsection"]),
+    ("hr_knowledge_subsection", "json", ["metadata.jobNeeds.hrKnowledgeSubsection"]),
+    ("hr_work_experience_subsection", "json", ["metadata.jobNeeds.hrWorkExperienceSubsection"]),
+    ("juki_machine_straight_line_subsection", "json", ["metadata.jobNeeds.jukiMachineStraightLineSubsection"]),
+    ("physical_fitness_subsection", "json", ["metadata.jobNeeds.physicalFitnessSubsection"]),
+    ("physical_health_requirements", "json", ["metadata.jobNeeds.physicalHealthRequirements"]),
+    ("ppe_ready_safety_compliance", "json", ["metadata.jobNeeds.ppeReadySafetyCompliance"]),
+    ("educational_qualification_subsection", "json", ["metadata.jobNeeds.educationalQualificationSubsection"]),
+    ("skills_required", "list", ["metadata.jobNeeds.educationSubsection.skillsRequired"]),
+    ("software_knowledge_preferred", "text", ["metadata.jobNeeds.highestQualificationSubsection.softwareKnowledgePreferred"]),
+    ("communication_skill_score_required", "raw", ["metadata.jobNeeds.communicationSkillScore"]),
+]
+
+JOB_APPLICATION = [
+    ("seeker_name", "text", ["user_name", "metadata.name"]),
+    ("seeker_phone", "phone", ["contact.phone", "metadata.metadata.whoIAm.phone"]),
+    ("seeker_email", "text", ["contact.email"]),
+    ("seeker_age", "raw", ["metadata.age", "metadata.metadata.age"]),
+    ("seeker_gender", "text", ["metadata.gender", "metadata.metadata.whoIAm.gender"]),
+    ("app_location_city", "name", ["location.city"]),
+    ("app_location_state", "name", ["location.state"]),
+    ("app_location_address", "text", ["location.address"]),
+    ("app_location_country", "text", ["location.country"]),
+    ("seeker_current_location", "text", ["metadata.metadata.whoIAm.location", "metadata.metadata.whoIAm.currentLocation"]),
+    ("seeker_iti_institute", "text", ["metadata.metadata.whatIHave.itiInstitute"]),
+    ("seeker_iti_specialization", "list", ["metadata.metadata.whatIHave.itiSpecialization"]),
+    ("seeker_highest_qualification", "list", ["metadata.metadata.whatIHave.highestQualification"]),
+    ("seeker_language_spoken", "list", ["metadata.metadata.whatIHave.languageSpoken"]),
+    ("seeker_roll_number", "text", ["metadata.metadata.whatIHave.rollNumber"]),
+    ("seeker_total_experience", "raw", ["metadata.metadata.whatIHave.totalYearsOfExperience"]),
+    ("seeker_expected_salary", "raw", ["metadata.metadata.whatIWant.monthlyInHandPreferred"]),
+    ("seeker_preferred_mode", "list", ["metadata.metadata.whatIWant.preferredModeOfWork"]),
+    ("job_title", "text", ["metadata.jobDetails.title", "metadata.jobDetails.jobTitle", "metadata.jobDetails.jobDetails.title", "metadata.metadata.interestedRole"]),
+    ("job_role", "text", ["metadata.jobDetails.role", "metadata.metadata.interestedRole"]),
+    ("job_industry", "text", ["metadata.jobDetails.industry", "metadata.metadata.interestedIndustry"]),
+    ("job_company", "text", ["metadata.jobDetails.company", "metadata.jobDetails.jobProviderName"]),
+    ("job_location", "given", ["metadata.jobDetails.location"]),
+    ("job_openings", "raw", ["metadata.jobDetails.openings", "metadata.jobDetails.positions", "metadata.jobDetails.jobDetails.positions"]),
+    ("job_min_salary", "raw", ["metadata.jobDetails.monthlyInHand", "metadata.jobDetails.jobDetails.minMonthlyInHand"]),
+    ("job_max_salary", "raw", ["metadata.jobDetails.jobDetails.maxMonthlyInHand"]),
+    ("match_score", "raw", ["metadata.jobDetails.matchScore"]),
+    ("job_provider_name", "text", ["metadata.jobDetails.jobProviderName", "metadata.jobDetails.basicInfo.jobProviderName"]),
+    ("job_hiring_manager", "text", ["metadata.jobDetails.jobDetails.hiringManagerName"]),
+    ("job_nature", "text", ["metadata.jobDetails.jobDetails.natureOfJob"]),
+    ("job_min_monthly_ot", "raw", ["metadata.jobDetails.jobDetails.monthlyAverageOT"]),
+    ("job_valid_till", "text", ["metadata.jobDetails.jobDetails.validTill"]),
+    ("app_location_lat", "raw", ["location.gps.lat"]),
+    ("app_location_lng", "raw", ["location.gps.lng"]),
+    ("seeker_interested_role", "text", ["metadata.interestedRole", "metadata.metadata.interestedRole"]),
+    ("seeker_interested_industry", "text", ["metadata.interestedIndustry", "metadata.metadata.interestedIndustry"]),
+    ("seeker_is_age_verified", "bool", ["metadata.isAgeVerified"]),
+    ("seeker_is_aadhar_verified", "bool", ["metadata.isAadharVerified"]),
+    ("seeker_is_name_verified", "bool", ["metadata.isNameVerified"]),
+    ("seeker_is_hometown_verified", "bool", ["metadata.isHometownVerified"]),
+    ("seeker_is_gender_verified", "bool", ["metadata.isGenderVerified"]),
+    ("seeker_work_experience", "text", ["metadata.metadata.whatIHave.workExperience"]),
+    ("seeker_work_experience_years", "raw", ["metadata.metadata.whatIHave.workExperienceYears"]),
+    ("seeker_vehicle_ownership", "text", ["metadata.metadata.whatIHave.vehicleOwnership"]),
+    ("seeker_communication_skills_score", "raw", ["metadata.metadata.whatIHave.communicationSkillsScore"]),
+    ("seeker_domain_knowledge", "text", ["metadata.metadata.whatIHave.domainKnowledge"]),
+    ("seeker_software_skills", "list", ["metadata.metadata.whatIHave.softwareSkills"]),
+    ("seeker_monthly_travel_allowance", "raw", ["metadata.metadata.whatIWant.monthlyTravelAllowance"]),
+    ("seeker_monthly_performance_variable", "raw", ["metadata.metadata.whatIWant.monthlyPerformanceVariable"]),
+    ("seeker_preferred_work_mode", "text", ["metadata.metadata.whatIWant.preferredWorkMode"]),
+    ("seeker_stay_preferences", "list", ["metadata.metadata.whatIWant.stayPreferences"]),
+    ("seeker_max_cost_per_sharing_bed", "raw", ["metadata.metadata.whatIWant.maxCostPerSharingBed"]),
+    ("seeker_profile_id", "text", ["metadata.profileId"]),
+    ("seeker_skills", "list", ["metadata.skills"]),
+    ("seeker_skill_certifications", "list", ["metadata.skillCertifications"]),
+    ("seeker_certificates", "list", ["metadata.certificates"]),
+    ("seeker_assessment_scores", "json", ["metadata.assessmentScores"]),
+    ("seeker_education", "elements", ["metadata.education"]),
+]
 
 
 @dataclass(frozen=True)
@@ -205,38 +285,18 @@ class Field:
     paths: tuple[Path, ...]
 
 
-def snake(key: str) -> str:
-    """itiInstitute -> iti_institute, monthlyOTExpectation -> monthly_ot_expectation."""
-    key = re.sub(r"([a-z0-9])([A-Z])", r"\1_\2", key)
-    return re.sub(r"([A-Z]+)([A-Z][a-z])", r"\1_\2", key).lower()
-
-
-def _path(text: str, base: str) -> Path:
-    text = text.replace("~", " ")
-    if text.startswith("@"):
-        column, *keys = text[1:].split(".")
-        return Path(column, tuple(keys))
-    if text.startswith("."):
-        return Path("metadata", tuple(text[1:].split(".")))
-    prefix = base.split(".") if base and "." not in text else []
-    return Path("metadata", (*prefix, *text.split(".")))
+def path(text: str) -> Path:
+    root, *keys = text.split(".")
+    return Path(root, tuple(keys))
 
 
-def parse(spec: str) -> tuple[Field, ...]:
-    fields = []
-    for line in spec.strip().splitlines():
-        head, items = line.split(":", 1)
-        kind, _, base = head.partition(" ")
-        for item in items.split():
-            column, _, paths = item.rpartition("=")
-            chain = tuple(_path(p, base) for p in paths.split("|"))
-            fields.append(Field(column or snake(paths), kind, chain))
-    return tuple(fields)
+def fields(rows: list[tuple[str, str, list[str]]]) -> tuple[Field, ...]:
+    return tuple(Field(column, kind, tuple(path(p) for p in paths)) for column, kind, paths in rows)
 
 
 FIELD_MAPS = {
-    "profile": parse(PROFILE),
-    "organization": parse(ORGANIZATION),
-    "job_posting": parse(JOB_POSTING),
-    "job_application": parse(JOB_APPLICATION),
+    "profile": fields(PROFILE),
+    "organization": fields(ORGANIZATION),
+    "job_posting": fields(JOB_POSTING),
+    "job_application": fields(JOB_APPLICATION),
 }

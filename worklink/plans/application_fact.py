@@ -16,7 +16,7 @@ from worklink.functions.text import as_text, display_phone, fmt_date, to_num_tex
 from worklink.operators.keyed import FIRST_BY, first_org_per_user, first_per_key, skew_join
 from worklink.operators.stats import timestamp_column
 
-# report column -> header of the published table
+# fixed values: report column -> header of the published table
 HEADERS = {
     "id": "id", "job_id": "job_id", "transaction_id": "transaction_id", "status": "status",
     "application_status": "application_status", "user_name": "user_name", "user_id": "user_id",

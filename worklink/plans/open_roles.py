@@ -19,7 +19,7 @@ from worklink.operators.matching import open_jobs
 from worklink.operators.stats import application_stats, as_of_date, timestamp_column
 from worklink.plans import rules
 
-# report column -> header of the published table
+# fixed values: report column -> header of the published table
 HEADERS = {
     "id": "id", "location": "location", "organization_name": "organization_name",
     "role": "Role", "openings": "Openings", "salary": "Salary",

@@ -12,7 +12,7 @@ from worklink.operators.stats import application_stats, as_of_date, timestamp_co
 from worklink.plans import rules
 from worklink.plans.application_fact import lookup_table, merge_lookups, org_of_member
 
-# report column -> header of the published table
+# fixed values: report column -> header of the published table
 HEADERS = {
     "id": "id", "user_id": "user_id", "name": "name", "location": "location",
     "longitude": "longitude", "latitude": "latitude", "location_district": "location_district ",
