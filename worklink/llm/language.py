@@ -229,9 +229,9 @@ def taught_rows(docs: DataFrame, id_col: str, text_col: str, lang_col: str, trai
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
 
 
-def keep_known_languages(docs: DataFrame, least: float = 0.05, id_col: str = "doc_id", text_col: str = "text",
+def keep_known_languages(docs: DataFrame, least: float = 0.0, id_col: str = "doc_id", text_col: str = "text",
                          lang_col: str = "lang") -> DataFrame:
-    """The documents, with all their columns, whose text has letters and a cosine of at least `least` with a prototype."""
+    """The documents, with all their columns, whose text has letters and a cosine above `least` with a prototype."""
     model = learn_languages(taught_rows(docs, id_col, text_col, lang_col), Hypervectors())
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -240,7 +240,7 @@ def keep_known_languages(docs: DataFrame, least: float = 0.05, id_col: str = "do
         values = [t or "" for t in texts.to_pylist()]
         for i in range(0, len(values), ROWS):
             names, scores = shared.value.predict(values[i:i + ROWS])
-            out += [name != "und" and score >= least for name, score in zip(names, scores)]
+            out += [name != "und" and score > least for name, score in zip(names, scores)]
         return out
 
     return keep_rows(docs, text_col, sure)
