@@ -32,6 +32,34 @@ URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.exam
              ("net", "/es/", "block"), ("net", "/fr/", "block")]
 
 
+def reached(links: str) -> str:
+    """CTE `reach` (node, origin): what can be reached over a relation of links (a, b)."""
+    return f"""ways AS (SELECT a, b FROM {links} UNION ALL SELECT b, a FROM {links}),
+reach AS (SELECT a AS node, a AS origin FROM ways UNION SELECT ways.b, reach.origin FROM reach JOIN ways ON ways.a = reach.node)"""
+
+
+ORACLES["op1_near_vectors"] = f"""WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+links AS (SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.vec_id < y.vec_id AND len(x.e) = len(y.e)
+  WHERE list_cosine_similarity(x.e, y.e) >= 0.95),
+{reached('links')}
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(low, vec_id) AS component_id, coalesce(low, vec_id) = vec_id AS kept
+FROM v LEFT JOIN (SELECT a, count(*) AS n FROM ways GROUP BY a) d ON d.a = vec_id
+  LEFT JOIN (SELECT node, min(origin) AS low FROM reach GROUP BY node) c ON c.node = vec_id"""
+
+BLANK_RUN = r"'[\x20\x09-\x0D]+'"
+
+ORACLES["op6_jaccard"] = f"""WITH RECURSIVE words AS (SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {BLANK_RUN}), lambda x: x <> '') AS w FROM documents),
+sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+  ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM words),
+grams AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+links AS (SELECT x.doc_id AS a, y.doc_id AS b FROM grams x JOIN grams y ON x.g = y.g AND x.doc_id < y.doc_id
+  GROUP BY x.doc_id, y.doc_id, x.n, y.n HAVING 100 * count(*) >= 90 * (x.n + y.n - count(*))),
+{reached('links')}
+SELECT doc_id, len(s) AS n_shingles, coalesce(low, doc_id) AS component_id
+FROM sets LEFT JOIN (SELECT node, min(origin) AS low FROM reach GROUP BY node) c ON c.node = doc_id"""
+
+
 @query
 def op1_near_vectors(spark, sf_dir):
     """All vectors against each other by cosine of at least 0.95."""
