@@ -7,9 +7,10 @@ entry is not a single shingle but a block: shingles are dealt by hash to more pa
 can differ in, so at least one part agrees as a whole. Lists of blocks hold few sets that do not link,
 where lists of common shingles would hold a good part of the corpus.
 
-Every set of a list is compared with the list's first one. Sets already in one component need no further
-comparison; whatever is left in a list of several components is compared pair by pair, so no link between
-components is lost, and a list of thousands of near copies costs a comparison each.
+Every set of a list is compared with the list's first one, its pivot, so thousands of near copies cost a
+comparison each. Sets around one pivot that are still in different components can link with each other only
+if they differ from the pivot in the same shingles: those differences are small sets, and a prefix join over
+them, rare shingles first, finds the remaining pairs. No link between components is lost.
 """
 
 from __future__ import annotations
@@ -28,7 +29,6 @@ from worklink.llm.components import connected_components
 
 LARGEST_SMALL = 32  # sizes up to this are weighed for the boundary
 GROWTH = 1.5  # between the part counts of neighbouring size levels
-ROUNDS = 2  # further pivots before pairs are compared one by one
 BROADCAST_ROWS = 1_000_000  # of two numbers each; beyond, the join shuffles
 ONE, TWO, BOTH = 0, 1, 2  # side of a list's entry: smaller size, larger size, any
 #: Odd multipliers of the mixing steps.
@@ -212,7 +212,9 @@ def list_entries(docs: DataFrame, shingler: Shingler) -> DataFrame:
 
 
 def compare(pairs: DataFrame, reps: DataFrame, docs: DataFrame, shingler: Shingler) -> DataFrame:
-    """(a, b, rep_a, rep_b, n_a, n_b, common) of pairs of sets (a, b), from the texts of their representatives.
+    """(a, b, rep_a, rep_b, n_a, n_b, common, diff) of pairs of sets (a, b), from the texts of their representatives.
+
+    `diff` holds the shingles that only one of the two has.
 
     The texts wanted are few next to the corpus, so their ids are broadcast while their number is small; otherwise the
     join shuffles. Only the second set of a pair moves with it: a first set that thousands are compared with moves once.
@@ -243,17 +245,20 @@ def compare(pairs: DataFrame, reps: DataFrame, docs: DataFrame, shingler: Shingl
                 if held != (a, rep_a):
                     held, first = (a, rep_a), np.frombuffer(left, np.uint64)
                 second = np.frombuffer(right, np.uint64)
-                at = np.minimum(np.searchsorted(first, second), len(first) - 1)
-                out.append((a, b, rep_a, rep_b, len(first), len(second), int((first[at] == second).sum())))
+                diff = np.setxor1d(first, second, assume_unique=True)
+                common = (len(first) + len(second) - len(diff)) // 2
+                out.append((a, b, rep_a, rep_b, len(first), len(second), common, diff.astype(np.int64)))
+            columns = list(zip(*out)) if out else [()] * 8
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in (zip(*out) if out else [()] * 7)],
-                names=["a", "b", "rep_a", "rep_b", "n_a", "n_b", "common"])
+                [*(pa.array(c, pa.int64()) for c in columns[:7]), pa.array(columns[7], pa.list_(pa.int64()))],
+                names=["a", "b", "rep_a", "rep_b", "n_a", "n_b", "common", "diff"])
 
     sets = stored(texts.select("doc_id", "text", "want").mapInArrow(fetch, "h1 long, rep long, data binary"), "sets")
     second = sets.select(F.col("h1").alias("b"), F.col("rep").alias("rep_b"), F.col("data").alias("data_b"))
     first = sets.select(F.col("h1").alias("a"), F.col("rep").alias("rep_a"), F.col("data").alias("data_a"))
     both = pairs.join(second, "b").join(first, "a").select("a", "b", "rep_a", "rep_b", "data_a", "data_b")
-    return both.mapInArrow(count, "a long, b long, rep_a long, rep_b long, n_a long, n_b long, common long")
+    return both.mapInArrow(
+        count, "a long, b long, rep_a long, rep_b long, n_a long, n_b long, common long, diff array<long>")
 
 
 def linked(percent: int):
@@ -292,17 +297,9 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, id_co
     compared = stored(compare(pairs, reps, source, shingler), "compared")
     edges = edges_of(compared)
     components = connected_components(edges)
-    for step in range(ROUNDS + 1):
-        open_lists = unresolved(lists, compared, reps, components)
-        more = further_pairs(open_lists, compared, percent, step if step < ROUNDS else None)
-        pairs = stored(more, "pairs")
-        if pairs.isEmpty():
-            if step < ROUNDS:
-                continue
-            break
-        fresh = stored(compare(pairs, reps, source, shingler), "compared")
-        compared = compared.unionByName(fresh)
-        edges = edges.unionByName(edges_of(fresh))
+    rest = stored(pairs_around_pivots(compared, components, percent), "rest")
+    if not rest.isEmpty():
+        edges = edges.unionByName(edges_of(compare(rest, reps, source, shingler)))
         components = connected_components(edges)
 
     of_set = reps.join(components.withColumnRenamed("node", "rep"), "rep", "left").select(
@@ -320,11 +317,10 @@ def keep_one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     Of rows that share an id the one with the smallest text stays. Rows without an id all stay.
     """
     found = stored(jaccard_components(docs, words, percent, id_col, text_col).select("doc_id", "component_id"), "components")
-    key = F.col(id_col).cast("long")
 
-    def without(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    def without(rows: DataFrame, ids: DataFrame, how: str = "left_anti") -> DataFrame:
         few = ids.count() <= BROADCAST_ROWS
-        return rows.join(F.broadcast(ids) if few else ids, key == F.col("gone"), "left_anti")
+        return rows.join(F.broadcast(ids) if few else ids, rows[id_col].cast("long") == ids["gone"], how)
 
     gone = stored(found.filter("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct(), "gone")
     kept = without(docs, gone)
@@ -332,41 +328,41 @@ def keep_one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     if repeated.isEmpty():
         return kept
     order = [text_col, *[c for c in docs.columns if c != text_col]]
-    first = kept.join(repeated, key == F.col("gone"), "left_semi").groupBy(key.alias("_id")).agg(F.min(F.struct(*order)).alias("_row"))
+    first = without(kept, repeated, "left_semi").groupBy(F.col(id_col).alias("_id")).agg(F.min(F.struct(*order)).alias("_row"))
     return without(kept, repeated).unionByName(first.select(*[F.col(f"_row.{c}").alias(c) for c in docs.columns]))
 
 
-def unresolved(lists: DataFrame, compared: DataFrame, reps: DataFrame, components: DataFrame) -> DataFrame:
-    """Entries (key, h1, pivot, n, component) of the block lists that still hold several components."""
-    of_node = reps.join(components.withColumnRenamed("node", "rep"), "rep", "left").groupBy("h1").agg(
-        F.min(F.coalesce("component", "rep")).alias("component"), F.min("n").alias("n"))
-    entries = lists.filter(F.col("side") == BOTH).select("key", "h1", "pivot").join(of_node, "h1")
-    mixed_lists = entries.groupBy("key").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size"))
-    # a list of two has been compared as a whole
-    return entries.join(mixed_lists.filter("low <> high and size > 2").select("key"), "key")
-
-
-def further_pairs(entries: DataFrame, compared: DataFrame, percent: int, step: int | None) -> DataFrame:
-    """Pairs (a, b) of different components that share a list and have not been compared.
+def pairs_around_pivots(compared: DataFrame, components: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of sets of different components that have a pivot in common and may link.
 
-    With a step: each list's entries against one more pivot. Without: all of them. Sizes and, by the triangle
-    inequality, distances to the list's first set rule out pairs that cannot link.
+    Let r and s differ from the pivot in the sets R and S. They differ from each other in
+    |R| + |S| - 2 |R and S| shingles and link if that is at most x (n_r + n_s), with x = (1 - t) / (1 + t). Without
+    a common element both link with the pivot and are in one component already. Otherwise R and S need an overlap of
+    c = (|R| + |S| - x (n_r + n_s)) / 2, at least 1, so in a common order they share an element that has at
+    least c elements from itself to the end on both sides. Elements that occur once around a pivot come first and join nothing.
     """
-    known = compared.select(F.col("a").alias("pivot"), F.col("b").alias("h1"), (
-        1 - F.col("common") / (F.col("n_a") + F.col("n_b") - F.col("common"))).alias("far")).distinct()
-    rows = entries.join(known, ["pivot", "h1"], "left").withColumn("far", F.when(F.col("h1") == F.col("pivot"), 0.0).otherwise(F.col("far")))
-    if step is not None:
-        order = F.struct(F.xxhash64("h1", F.lit(step)), "h1", "component", "n", "far")
-        other = rows.groupBy("key").agg(F.min(order).alias("p")).select("key", *[F.col(f"p.{c}").alias(f"{c}_2") for c in ("h1", "component", "n", "far")])
-        both = rows.join(other, "key").filter("h1 <> h1_2")
-    else:
-        other = rows.select("key", *[F.col(c).alias(f"{c}_2") for c in ("h1", "component", "n", "far")])
-        both = rows.join(other, "key").filter("h1 < h1_2")
-    close = F.abs(F.col("far") - F.col("far_2")) <= F.lit((100 - percent) / 100 + 1e-9)
+    x = (100 - percent) / (100 + percent)
+    own = components.withColumnsRenamed({"node": "rep_b", "component": "found"})
+    around = compared.join(own, "rep_b", "left").select(
+        F.col("a").alias("pivot"), F.col("b").alias("s"), F.coalesce("found", "rep_b").alias("component"),
+        F.col("n_b").alias("n"), F.size("diff").alias("far"), "diff")
+    several = around.groupBy("pivot").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
+    around = stored(around.join(several.select("pivot"), "pivot"), "around")
+    elements = around.select("pivot", "s", F.explode("diff").alias("element"))
+    often = elements.groupBy("pivot", "element").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
+    shared = elements.join(often, ["pivot", "element"])
+    of_set = Window.partitionBy("pivot", "s")
+    place = F.row_number().over(of_set.orderBy("times", "element"))
+    placed = shared.withColumns({"place": place, "held": F.count(F.lit(1)).over(of_set)}).join(
+        around.drop("diff"), ["pivot", "s"])
+    # elements from this one to the end, this one included
+    ahead = F.col("held") - F.col("place") + 1
+    least = F.greatest(F.lit(1.0), F.col("far") - F.lit(x) * (F.col("n") + F.floor(F.col("n") * 100 / percent)) - 1e-9)
+    rows = placed.withColumn("ahead", ahead).filter(F.col("ahead") >= least).select(
+        "pivot", "element", "s", "component", "n", "far", "ahead")
+    other = rows.select("pivot", "element", *[F.col(c).alias(f"{c}_2") for c in ("s", "component", "n", "far", "ahead")])
     sizes = F.least("n", "n_2") * 100 >= F.greatest("n", "n_2") * percent
-    fits = both.filter((F.col("component") != F.col("component_2")) & sizes & F.coalesce(close, F.lit(True)))
-    pairs = fits.select(F.least("h1", "h1_2").alias("a"), F.greatest("h1", "h1_2").alias("b")).distinct()
-    # the pivots so far are the smaller of a pair too
-    done = compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return pairs.join(done, ["a", "b"], "left_anti")
+    need = (F.col("far") + F.col("far_2") - F.lit(x) * (F.col("n") + F.col("n_2"))) / 2 - 1e-9
+    fits = (F.col("s") < F.col("s_2")) & (F.col("component") != F.col("component_2")) & sizes & (F.least("ahead", "ahead_2") >= need)
+    found = rows.join(other, ["pivot", "element"]).filter(fits)
+    return found.select(F.col("s").alias("a"), F.col("s_2").alias("b")).distinct()
