@@ -154,20 +154,28 @@ def test_jaccard_against_brute_force(spark, words, percent, sizes):
     assert {r.doc_id: r.component_id for r in found} == component
 
 
-def test_jaccard_lists_of_several_components(spark, monkeypatch):
-    """Sets that share long passages but do not all link: further pivots and single pairs have to find the rest."""
-    rng = random.Random(9)
-    shared = [f"s{i}" for i in range(60)]
-    rows = []
-    for i in range(60):
-        own = [f"x{rng.randint(0, 3)}_{j}" for j in range(rng.choice([6, 9, 12]))]
-        rows.append((i, " ".join(shared + own)))
-    for rounds in (0, 2):
-        monkeypatch.setattr(jaccard, "ROUNDS", rounds)
-        _, component = brute_jaccard(rows, 3, 90)
-        found = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90).collect()
-        assert {r.doc_id: r.component_id for r in found} == component
-    assert 1 < len(set(component.values())) < 60
+def variants(rng, base, n, edits):
+    out = []
+    for _ in range(n):
+        words = list(base)
+        for at in rng.sample(range(len(words)), rng.choice(edits)):
+            words[at] = rng.choice(["new", f"w{rng.randint(0, 40)}"])
+        out.append(" ".join(words))
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_jaccard_lists_of_several_components(spark, seed):
+    """Around one text lie many that link with some of each other only: their differences have to find the rest."""
+    rng = random.Random(seed)
+    texts = variants(rng, [f"s{i}" for i in range(60)], 150, [1, 2, 3, 4])
+    shared = [f"p{i}" for i in range(60)]
+    texts += [" ".join(shared + [f"x{rng.randint(0, 3)}_{j}" for j in range(rng.choice([6, 9, 12]))]) for _ in range(60)]
+    rows = list(enumerate(texts))
+    sets, component = brute_jaccard(rows, 3, 90)
+    found = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90).collect()
+    assert {r.doc_id: r.component_id for r in found} == component
+    assert 1 < len(set(component.values())) < len(rows)
 
 
 @pytest.mark.parametrize("percent", [70, 80, 90, 95])

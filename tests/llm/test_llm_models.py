@@ -7,10 +7,11 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import public_tokenizers
 import pytest
 
 import corpus_pipeline
-from worklink.llm import context_tree, language, quality, urls
+from worklink.llm import bpe, context_tree, fingerprints, jaccard, language, packing, quality, token_counts, urls
 from worklink.llm.common import read_table
 
 DATA = "/root/testdata/sf0.01"
@@ -322,3 +323,51 @@ def test_pipeline(spark):
     again = corpus_pipeline.run(spark, DATA).toPandas()
     columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
     assert sorted(map(tuple, again[columns].values.tolist())) == sorted(map(tuple, packed[columns].values.tolist()))
+
+
+def odd_tables(root, spark, docs):
+    """A folder with the given documents and a few labels, read like a folder of the driver's."""
+    docs.write.parquet(f"{root}/documents.parquet")
+    labels = spark.createDataFrame([(1, 1, 0), (1, 1, 0), (2, 0, 1), (None, 1, 0), (3, None, None)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{root}/labels.parquet")
+    return str(root)
+
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def test_pipeline_odd_rows(spark, tmp_path):
+    """Nulls, repeated rows and ids, empty and very long texts pass every stage; clashing columns stay as they are."""
+    long_text = " ".join(f"word{i % 5000} stays" for i in range(150_000))
+    rows = [(1, "word stays where the word stays", "en", "a", 38)] * 3 + [
+        (2, None, None, None, None), (None, "word without id stays", "en", None, 0), (4, "", "en", "b", 0), (5, long_text, "en", "c", 1),
+        (6, long_text + " more", None, "c", 1), (7, "12 34 !", "de", "d", 7), (8, "x" * 300_000, "en", "d", 7)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    root = odd_tables(tmp_path / "t", spark, docs)
+    wide = docs.withColumns({"score": docs.n_chars, "predicted": docs.lang, "component_id": docs.doc_id, "gone": docs.doc_id})
+    seen = []
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, wide, root)
+        assert kept.columns == wide.columns, name
+        seen.append({r.doc_id for r in kept.collect()})
+        assert stage(spark, wide.limit(0), root).collect() == [], name
+    assert 7 not in seen[1] and 2 not in seen[1] and {1, 5, 6, 8, None} <= seen[1]
+    assert 6 not in seen[2] and {1, 2, 4, 5, 7, 8, None} == seen[2]
+    assert jaccard.keep_one_of_each(wide).filter("doc_id = 1").count() == 1
+    packed = corpus_pipeline.STAGES[-1][1](spark, wide, root)
+    assert packed.groupBy("doc_id").count().count() == 8
+    assert corpus_pipeline.run(spark, root).columns == packed.columns
+
+
+def test_long_texts_in_every_operator(spark):
+    """A text of some megabytes next to an empty one, with nothing but nulls elsewhere."""
+    long_text = " ".join(f"w{i * i % 9973}" for i in range(400_000)) + "\n" + "y" * 400_000
+    docs = spark.createDataFrame([(1, long_text, None, None, None), (2, "", None, None, None)], SCHEMA)
+    path = public_tokenizers.path
+    assert [r.n_tokens for r in bpe.bpe_roundtrip(docs, path("byte_bpe_50k.json")).orderBy("doc_id").collect()][1] == 0
+    assert token_counts.token_counts(docs, path("piece_bpe_32k.model")).count() == 2
+    assert jaccard.jaccard_components(docs).filter("n_shingles > 9000").count() == 1
+    assert fingerprints.document_fingerprints(docs).count() == 2
+    assert context_tree.model_scores(docs).filter("score < 0 or n_tokens = 1").count() == 2
+    assert language.identify_languages(docs).filter("lang_pred = 'und'").count() == 2
+    assert packing.pack(docs, path("word_bpe_49k.json")).agg({"doc_tokens": "max"}).first()[0] > 400_000
