@@ -129,7 +129,7 @@ def distinct(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return codes[first], np.diff(np.r_[first, len(codes)])
 
 
-def count_corpus(docs: DataFrame, table: np.ndarray, most: int = 2_000_000) -> DataFrame:
+def count_corpus(docs: DataFrame, table: np.ndarray, most: int = 500_000) -> DataFrame:
     """(gram, key, n): symbol grams and hashed words of all texts; tasks add up what they hold.
 
     A task that holds `most` different grams or words sends its sums and starts anew.
@@ -360,7 +360,7 @@ class Scorer:
 
 
 def model_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train: Column | None = None,
-                 share: float = 2.0 ** -18, word_share: float = 2.0 ** -20) -> DataFrame:
+                 share: float = 2.0 ** -17, word_share: float = 2.0 ** -20) -> DataFrame:
     """Score all whole texts under a context tree and a word model learned from the training rows.
 
     Training rows are those whose crc32(id) mod 10 is not 0, or `train`. Columns: doc_id,
