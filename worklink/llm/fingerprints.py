@@ -22,6 +22,7 @@ from worklink.llm.common import id_and_text
 EXACT, LANES, WINDOW = 32, 512, 8
 BASE = 0x9E3779B97F4A7C15
 MIX = np.uint64(0xD6E8FEB86659FD93)
+MOST_RANGES = 1 << 16  # two numbers each are broadcast
 STEP = 1 << 20  # bytes whose windows are hashed at a time
 
 
@@ -116,14 +117,14 @@ def neighbours(docs: DataFrame, rows: int = 2000) -> DataFrame:
     """Documents dealt to ranges of ids so that each range ends with the document that follows it.
 
     Columns: bucket, last (whether the row only stands for the next document), doc_id, text. About
-    `rows` documents per range; only the ranges' first ids pass through the driver. The
-    first document of all follows the last one. Rows of a range are to be read in the
+    `rows` documents per range, more where that would be over MOST_RANGES ranges; only the ranges' first ids pass
+    through the driver and are broadcast. The first document of all follows the last one. Rows of a range are to be read in the
     order of (last, doc_id, text).
     """
     spark = docs.sparkSession
     ids = docs.select("doc_id")
     n = ids.count()
-    count = max(1, n // rows)
+    count = min(MOST_RANGES, max(1, n // rows))
     cuts = np.array([], np.int64)
     if count > 1:
         shares = [i / count for i in range(1, count)]
@@ -144,7 +145,7 @@ def neighbours(docs: DataFrame, rows: int = 2000) -> DataFrame:
     firsts = sorted((r.bucket, None if r.none else r.id) for r in firsts)
     follows = [(first, firsts[i - 1][0]) for i, (_, first) in enumerate(firsts)]
     ends = spark.createDataFrame(follows, "first_id long, before long")
-    rows_of = dealt.join(ends, F.col("doc_id").eqNullSafe(F.col("first_id")), "left")
+    rows_of = dealt.join(F.broadcast(ends), F.col("doc_id").eqNullSafe(F.col("first_id")), "left")
     own = F.struct(F.col("bucket").alias("bucket"), F.lit(False).alias("last"))
     end = F.struct(F.col("before").alias("bucket"), F.lit(True).alias("last"))
     places = F.explode(F.when(F.col("before").isNull(), F.array(own)).otherwise(F.array(own, end)))
