@@ -154,7 +154,7 @@ def test_shortest_pack_first_uses_every_piece():
 def test_pack_rows(spark):
     path = public_tokenizers.path("word_bpe_49k.json")
     texts = TEXTS + random_texts(200, 3) + ["same words again"] * 300
-    rows = packing.pack(frame(spark, texts), path, size=64, end_id=1, shards=5).collect()
+    rows = packing.pack(frame(spark, texts), path, size=64, end_id=1, shard_rows=40).collect()
     library = Tokenizer.from_file(path)
     ids = {i: [*library.encode(t, add_special_tokens=False).ids, 1] for i, t in enumerate(texts)}
     ids[len(texts)] = [1]

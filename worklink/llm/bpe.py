@@ -66,6 +66,45 @@ def sufficient_lookahead(merges: list[tuple[bytes, bytes]]) -> int:
     return max(reach.values(), default=0)
 
 
+def merge(symbols: list[int], ranks: dict[tuple[int, int], int], made: list[int]) -> list[int]:
+    """Apply a merge list to a list of symbols: the lowest rank first, the leftmost of equals first.
+
+    `ranks` gives the rank of a pair, `made` the symbol that the merge of a rank makes.
+    """
+    rank, never = ranks.get, len(made)
+    if len(symbols) <= 64:
+        found = [rank(pair, never) for pair in zip(symbols, symbols[1:])]
+        while found:
+            best = min(found)
+            if best == never:
+                break
+            i = found.index(best)
+            new = symbols[i] = made[best]
+            del symbols[i + 1], found[i]
+            if i:
+                found[i - 1] = rank((symbols[i - 1], new), never)
+            if i < len(found):
+                found[i] = rank((new, symbols[i + 1]), never)
+        return symbols
+    n = len(symbols)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    queue = [(rank(p), i, p) for i, p in enumerate(zip(symbols, symbols[1:])) if rank(p) is not None]
+    heapq.heapify(queue)
+    while queue:
+        best, i, pair = heapq.heappop(queue)
+        j = after[i]
+        if symbols[i] is None or j >= n or (symbols[i], symbols[j]) != pair:
+            continue
+        symbols[i], symbols[j] = made[best], None
+        after[i] = after[j]
+        if after[j] < n:
+            before[after[j]] = i
+        for a, b in ((before[i], i), (i, after[i])):
+            if a >= 0 and b < n and (r := rank((symbols[a], symbols[b]))) is not None:
+                heapq.heappush(queue, (r, a, (symbols[a], symbols[b])))
+    return [s for s in symbols if s is not None]
+
+
 class BytePairCoder:
     """Encoder and decoder of one byte-level vocabulary file (its JSON text)."""
 
@@ -97,40 +136,8 @@ class BytePairCoder:
         self.parts = Recent(self.encode_part, limit=400_000)
 
     def merged(self, data: bytes) -> list[int]:
-        """Tokens of a window: the lowest rank first, the leftmost of equals first."""
-        symbols, made, never = [self.of_byte[b] for b in data], self.made, len(self.made)
-        rank = self.rank.get
-        if len(symbols) <= 64:
-            ranks = [rank(pair, never) for pair in zip(symbols, symbols[1:])]
-            while ranks:
-                best = min(ranks)
-                if best == never:
-                    break
-                i = ranks.index(best)
-                new = symbols[i] = made[best]
-                del symbols[i + 1], ranks[i]
-                if i:
-                    ranks[i - 1] = rank((symbols[i - 1], new), never)
-                if i < len(ranks):
-                    ranks[i] = rank((new, symbols[i + 1]), never)
-            return symbols
-        n = len(symbols)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        queue = [(rank(p), i, p) for i, p in enumerate(zip(symbols, symbols[1:])) if rank(p) is not None]
-        heapq.heapify(queue)
-        while queue:
-            best, i, pair = heapq.heappop(queue)
-            j = after[i]
-            if symbols[i] is None or j >= n or (symbols[i], symbols[j]) != pair:
-                continue
-            symbols[i], symbols[j] = made[best], None
-            after[i] = after[j]
-            if after[j] < n:
-                before[after[j]] = i
-            for a, b in ((before[i], i), (i, after[i])):
-                if a >= 0 and b < n and (r := rank((symbols[a], symbols[b]))) is not None:
-                    heapq.heappush(queue, (r, a, (symbols[a], symbols[b])))
-        return [s for s in symbols if s is not None]
+        """Tokens of a window."""
+        return merge([self.of_byte[b] for b in data], self.rank, self.made)
 
     def stream(self, chunks: Iterable[bytes]) -> Iterator[int]:
         """The transducer: tokens of one piece that arrives in chunks of any size."""

@@ -8,7 +8,9 @@ Pieces of equal length are then numbered, and rank ranges of a length join them
 
 from __future__ import annotations
 
+import json
 import zlib
+from array import array
 from collections import Counter
 from dataclasses import dataclass
 
@@ -19,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from worklink.llm.bpe import byte_characters, merge
 from worklink.llm.common import Recent, id_and_text, stored
 
 PIECE = pa.schema([(n, pa.int64()) for n in ("doc_id", "row", "start", "length", "ids_crc32", "doc_tokens")])
@@ -90,7 +93,8 @@ class PieceCutter:
     """Token ids of whole texts as bytes, and the pieces that they are cut into.
 
     White space never lies inside a token of the vocabularies this is made for, so
-    ids are found for each run of other characters and remembered.
+    ids are found for each run of other characters and remembered. Runs are encoded by the tokenizers
+    library; a plain word, with or without signs behind it, by its merge list.
     """
 
     def __init__(self, spec: str, size: int, end_id: int):
@@ -106,10 +110,28 @@ class PieceCutter:
         self.tokenizer = Tokenizer.from_str(self.spec)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.words = Recent(self.ids, limit=250_000)
-
-    def ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        model = json.loads(self.spec)["model"]
+        vocab, suffix = model["vocab"], model.get("end_of_word_suffix") or ""
+        shown = {b: c for c, b in byte_characters().items()}
+        self.inner = [vocab.get(shown[b]) for b in range(256)]
+        self.last = [vocab.get(shown[b] + suffix) for b in range(256)]
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        self.ranks = {(vocab[a], vocab[b]): r for r, (a, b) in reversed(list(enumerate(pairs)))}
+        self.made = [vocab[a + b] for a, b in pairs]
+        self.words = Recent(self.ids, limit=600_000)
+
+    def ids(self, run: str) -> bytes:
+        word = run.rstrip(".,;:!?|#$%&*").lower()
+        # letters of one byte in Latin-1 are their own normal form and have a small letter of one character
+        if word.isalpha() and max(run) < "\u0100":
+            behind = run[len(word):]
+            if word != run:
+                return self.words[word] + (self.words[behind] if behind else b"")
+            data = word.encode()
+            symbols = [self.inner[b] for b in data]
+            symbols[-1] = self.last[data[-1]]
+            return array("I", merge(symbols, self.ranks, self.made)).tobytes()
+        return array("I", self.tokenizer.encode(run, add_special_tokens=False).ids).tobytes()
 
     def encoded(self, text: str) -> bytes:
         # str.split also cuts at four control characters that are no white space to the tokenizer
@@ -161,7 +183,7 @@ def ranked(pieces: DataFrame, shards: int) -> DataFrame:
     return dealt.withColumn("place", place).join(firsts, ["length", "shard"]).withColumn("rank", F.col("first") + F.col("place"))
 
 
-def pack(docs: DataFrame, vocabulary: str, size: int = 2048, end_id: int = 1, shards: int = 64,
+def pack(docs: DataFrame, vocabulary: str, size: int = 2048, end_id: int = 1, shard_rows: int = 100_000,
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Pack all documents into sequences of at most `size` tokens.
 
@@ -170,12 +192,14 @@ def pack(docs: DataFrame, vocabulary: str, size: int = 2048, end_id: int = 1, sh
     start, length, ids_crc32, doc_tokens, sequence_id, offset. Repeated rows are
     packed once each, a null id stays null, an empty table gives no rows, other
     columns are not read. Eager: the pieces are written to the shared folder, and
-    their histogram (`size` entries at most) is read on the driver.
+    their histogram (`size` entries at most) is read on the driver. Pieces of a length are numbered in shards of
+    about `shard_rows`.
     """
     spark = docs.sparkSession
     pieces = stored(cut_pieces(id_and_text(docs, id_col, text_col), vocabulary, size, end_id), "pieces")
-    counted = pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n"))
-    patterns = shortest_pack_first({r.length: r.n for r in counted.collect()}, size)
+    counted = {r.length: r.n for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
+    patterns = shortest_pack_first(counted, size)
+    shards = -(-max(counted.values(), default=1) // shard_rows)
     slots = spark.sparkContext.broadcast(Slots(patterns, size))
 
     def place(batches):
