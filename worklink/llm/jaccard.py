@@ -7,10 +7,12 @@ entry is not a single shingle but a block: shingles are dealt by hash to more pa
 can differ in, so at least one part agrees as a whole. Lists of blocks hold few sets that do not link,
 where lists of common shingles would hold a good part of the corpus.
 
-Every set of a list is compared with the list's first one, its pivot, so thousands of near copies cost a
-comparison each. Sets around one pivot that are still in different components can link with each other only
-if they differ from the pivot in the same shingles: those differences are small sets, and a prefix join over
-them, rare shingles first, finds the remaining pairs. No link between components is lost.
+Linked sets agree in several blocks: a set that shares fewer lists with any others, as texts with a common
+passage do, leaves at once. Every other set is compared with the first set of the lists it shares most often, so
+thousands of near copies cost a comparison each. Sets that still have as many lists with several components as a
+link needs get a second look: within a cluster of such sets, each is described by its difference from the shingles
+that most of the cluster has. Those differences are small, and a prefix join over them, rare shingles first, finds the
+remaining pairs. No link between components is lost.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ from worklink.llm.components import connected_components
 
 LARGEST_SMALL = 32  # sizes up to this are weighed for the boundary
 GROWTH = 1.5  # between the part counts of neighbouring size levels
+ENTRIES = 200_000  # list entries that a task hands over at a time
+PRUNINGS = 2  # rounds in which sets that share too few lists leave
 BROADCAST_ROWS = 1_000_000  # of two numbers each; beyond, the join shuffles
 ONE, TWO, BOTH = 0, 1, 2  # side of a list's entry: smaller size, larger size, any
 #: Odd multipliers of the mixing steps.
@@ -135,9 +139,10 @@ class Shingler:
             self.levels[n] = range(level(low, self.percent), level(high, self.percent) + 1) if low <= high else range(0)
         return self.levels[n]
 
-    def entries(self, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """List keys of a set and its side in each list."""
-        keys, sides = [], []
+    def entries(self, s: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """List keys of a set, its side in each list, the list's level (-1: subsets), and the lists of that level that
+        it shares at least with a linked set."""
+        keys, sides, levels, least = [], [], [], []
         n = len(s)
         if 0 < n <= self.small:
             own = mixed(s, 1)
@@ -148,6 +153,8 @@ class Shingler:
                     sums = np.array([own[list(c)].sum(dtype=np.uint64) for c in combinations(range(n), size)], np.uint64)
                     keys.append(mixed(sums + np.uint64(low * 1000 + high), 2))
                     sides.append(np.full(len(sums), BOTH if n == m else ONE if n < m else TWO, np.int8))
+                    levels.append(np.full(len(sums), -1, np.int8))
+                    least.append(np.ones(len(sums), np.int32))
         for i in self.list_levels(n) if n else ():
             p = parts(i)
             own = mixed(s, 2)
@@ -157,14 +164,17 @@ class Shingler:
             first = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
             sums = np.add.reduceat(mixed(s, 0)[order], first)
             filled = part[first]
+            shared = len(filled) - bound(i)
             if len(filled) <= bound(i):  # so few filled parts that an empty one may be all that agrees
                 empty = np.setdiff1d(np.arange(p), filled)
                 filled, sums = np.r_[filled, empty], np.r_[sums, np.zeros(len(empty), np.uint64)]
             keys.append(mixed(sums + filled.astype(np.uint64) * MULTIPLIERS[0] + np.uint64(1_000_000 + i), 1))
             sides.append(np.full(len(sums), BOTH, np.int8))
+            levels.append(np.full(len(sums), i, np.int8))
+            least.append(np.full(len(sums), shared, np.int32))
         if not keys:
-            return np.zeros(0, np.int64), np.zeros(0, np.int8)
-        return np.concatenate(keys).astype(np.int64), np.concatenate(sides)
+            return np.zeros(0, np.int64), np.zeros(0, np.int8), np.zeros(0, np.int8), np.zeros(0, np.int32)
+        return np.concatenate(keys).astype(np.int64), np.concatenate(sides), np.concatenate(levels), np.concatenate(least)
 
 
 def sets_of(docs: DataFrame, shingler: Shingler) -> DataFrame:
@@ -187,44 +197,46 @@ def sets_of(docs: DataFrame, shingler: Shingler) -> DataFrame:
 
 
 def list_entries(docs: DataFrame, shingler: Shingler) -> DataFrame:
-    """(key, h1, side): a set's entries in subset and block lists, once per task."""
+    """(key, h1, side, level, least): a set's entries in subset and block lists, once per task."""
     shared = docs.sparkSession.sparkContext.broadcast(shingler)
+    names = ["key", "side", "level", "least", "h1"]
 
     def run(batches):
         seen: set[int] = set()
+
+        def rows(found):
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found)], names=names)
+
         for batch in batches:
-            keys, sides, owners = [], [], []
+            found, held = [], 0
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 s = shared.value.shingles(text)
                 h1 = shared.value.digest(s)[0]
                 if doc_id is None or not len(s) or h1 in seen:
                     continue
                 seen.add(h1)
-                k, side = shared.value.entries(s)
-                keys.append(k)
-                sides.append(side)
-                owners.append(np.full(len(k), h1, np.int64))
-            if keys:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(x)) for x in (keys, owners, sides)], names=["key", "h1", "side"])
+                entries = shared.value.entries(s)
+                found.append((*entries, np.full(len(entries[0]), h1, np.int64)))
+                held += len(entries[0])
+                if held > ENTRIES:
+                    yield rows(found)
+                    found, held = [], 0
+            if found:
+                yield rows(found)
 
-    return docs.mapInArrow(run, "key long, h1 long, side byte")
+    return docs.mapInArrow(run, "key long, side byte, level byte, least int, h1 long")
 
 
-def compare(pairs: DataFrame, reps: DataFrame, docs: DataFrame, shingler: Shingler) -> DataFrame:
-    """(a, b, rep_a, rep_b, n_a, n_b, common, diff) of pairs of sets (a, b), from the texts of their representatives.
-
-    `diff` holds the shingles that only one of the two has.
+def fetch_sets(nodes: DataFrame, reps: DataFrame, docs: DataFrame, shingler: Shingler) -> DataFrame:
+    """(h1, rep, data) of the sets named in column `h1`, from the texts of their representatives.
 
     The texts wanted are few next to the corpus, so their ids are broadcast while their number is small; otherwise the
-    join shuffles. Only the second set of a pair moves with it: a first set that thousands are compared with moves once.
+    join shuffles.
     """
-    spark = docs.sparkSession
-    nodes = pairs.select(F.col("a").alias("h1")).union(pairs.select(F.col("b").alias("h1"))).distinct()
     wanted = stored(nodes.join(reps, "h1").select(F.col("rep").alias("doc_id"), F.col("h1").alias("want")).distinct(), "wanted")
     few = wanted.count() <= BROADCAST_ROWS
     texts = docs.join(F.broadcast(wanted) if few else wanted, "doc_id")
-    shared = spark.sparkContext.broadcast(shingler)
+    shared = docs.sparkSession.sparkContext.broadcast(shingler)
 
     def fetch(batches):
         for batch in batches:
@@ -237,28 +249,34 @@ def compare(pairs: DataFrame, reps: DataFrame, docs: DataFrame, shingler: Shingl
             yield pa.RecordBatch.from_arrays(
                 [pa.array(h1, pa.int64()), pa.array(rep, pa.int64()), pa.array(data, pa.binary())], names=["h1", "rep", "data"])
 
+    return stored(texts.select("doc_id", "text", "want").mapInArrow(fetch, "h1 long, rep long, data binary"), "sets")
+
+
+def compare(pairs: DataFrame, reps: DataFrame, docs: DataFrame, shingler: Shingler) -> DataFrame:
+    """(rep_a, rep_b, n_a, n_b, common) of pairs of sets (a, b).
+
+    Only the second set of a pair moves with it: a first set that thousands are compared with moves once.
+    """
+    nodes = pairs.select(F.col("a").alias("h1")).union(pairs.select(F.col("b").alias("h1"))).distinct()
+    sets = fetch_sets(nodes, reps, docs, shingler)
+
     def count(batches):
         for batch in batches:
             out = []
             held, first = None, None
-            for a, b, rep_a, rep_b, left, right in zip(*(c.to_pylist() for c in batch.columns)):
+            for a, rep_a, rep_b, left, right in zip(*(c.to_pylist() for c in batch.columns)):
                 if held != (a, rep_a):
                     held, first = (a, rep_a), np.frombuffer(left, np.uint64)
                 second = np.frombuffer(right, np.uint64)
-                diff = np.setxor1d(first, second, assume_unique=True)
-                common = (len(first) + len(second) - len(diff)) // 2
-                out.append((a, b, rep_a, rep_b, len(first), len(second), common, diff.astype(np.int64)))
-            columns = list(zip(*out)) if out else [()] * 8
+                at = np.minimum(np.searchsorted(first, second), len(first) - 1)
+                out.append((rep_a, rep_b, len(first), len(second), int((first[at] == second).sum())))
             yield pa.RecordBatch.from_arrays(
-                [*(pa.array(c, pa.int64()) for c in columns[:7]), pa.array(columns[7], pa.list_(pa.int64()))],
-                names=["a", "b", "rep_a", "rep_b", "n_a", "n_b", "common", "diff"])
+                [pa.array(c, pa.int64()) for c in (zip(*out) if out else [()] * 5)], names=["rep_a", "rep_b", "n_a", "n_b", "common"])
 
-    sets = stored(texts.select("doc_id", "text", "want").mapInArrow(fetch, "h1 long, rep long, data binary"), "sets")
     second = sets.select(F.col("h1").alias("b"), F.col("rep").alias("rep_b"), F.col("data").alias("data_b"))
     first = sets.select(F.col("h1").alias("a"), F.col("rep").alias("rep_a"), F.col("data").alias("data_a"))
-    both = pairs.join(second, "b").join(first, "a").select("a", "b", "rep_a", "rep_b", "data_a", "data_b")
-    return both.mapInArrow(
-        count, "a long, b long, rep_a long, rep_b long, n_a long, n_b long, common long, diff array<long>")
+    both = pairs.join(second, "b").join(first, "a").select("a", "rep_a", "rep_b", "data_a", "data_b")
+    return both.mapInArrow(count, "rep_a long, rep_b long, n_a long, n_b long, common long")
 
 
 def linked(percent: int):
@@ -283,23 +301,23 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, id_co
     sizes = {r.n: r.times for r in reps.filter(F.col("n") <= LARGEST_SMALL).groupBy("n").agg(F.count(F.lit(1)).alias("times")).collect()}
     shingler = Shingler(words, percent, boundary(sizes, percent))
 
-    listed = list_entries(source, shingler)
-    of_list = Window.partitionBy("key")
-    first = {s: F.min(F.when(F.col("side") == s, F.col("h1"))).over(of_list) for s in (ONE, TWO, BOTH)}
-    pivot = F.when(F.col("side") == ONE, first[TWO]).when(F.col("side") == TWO, first[ONE]).otherwise(first[BOTH])
-    lists = listed.withColumns({"pivot": pivot, "last": F.max("h1").over(of_list), "start": F.min("h1").over(of_list)})
-    lists = stored(lists.filter("last <> start and pivot is not null").select("key", "h1", "side", "pivot").distinct(), "lists")
+    lists = stored(shared_lists(list_entries(source, shingler)).distinct(), "entries")
+    for _ in range(PRUNINGS):
+        lists = shared_lists(hopeful(lists))
+    lists = stored(with_pivots(lists), "lists")
 
     def edges_of(found: DataFrame) -> DataFrame:
         return found.filter(linked(percent)).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
 
-    pairs = stored(lists.filter("h1 <> pivot").select(F.col("pivot").alias("a"), F.col("h1").alias("b")).distinct(), "pairs")
-    compared = stored(compare(pairs, reps, source, shingler), "compared")
-    edges = edges_of(compared)
+    edges = edges_of(compare(stored(first_pairs(lists), "pairs"), reps, source, shingler))
+    edges = stored(edges, "links")
     components = connected_components(edges)
-    rest = stored(pairs_around_pivots(compared, components, percent), "rest")
-    if not rest.isEmpty():
-        edges = edges.unionByName(edges_of(compare(rest, reps, source, shingler)))
+    clusters = connected_components(open_sets(lists, reps, components))
+    if not clusters.isEmpty():
+        around = stored(differences(clusters, fetch_sets(clusters.select(F.col("node").alias("h1")), reps, source, shingler)), "around")
+        rest = stored(pairs_by_differences(around, components, percent), "rest")
+        more = stored(edges_of(compare(rest, reps, source, shingler)), "links")
+        edges = edges.unionByName(more).unionByName(links_by_size(around, percent))
         components = connected_components(edges)
 
     of_set = reps.join(components.withColumnRenamed("node", "rep"), "rep", "left").select(
@@ -332,37 +350,127 @@ def keep_one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     return without(kept, repeated).unionByName(first.select(*[F.col(f"_row.{c}").alias(c) for c in docs.columns]))
 
 
-def pairs_around_pivots(compared: DataFrame, components: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of sets of different components that have a pivot in common and may link.
+def shared_lists(entries: DataFrame) -> DataFrame:
+    """The entries of lists that hold more than one set."""
+    of_list = Window.partitionBy("key")
+    ends = entries.withColumns({"first": F.min("h1").over(of_list), "last": F.max("h1").over(of_list)})
+    return ends.filter("first <> last").drop("first", "last")
+
+
+def hopeful(entries: DataFrame) -> DataFrame:
+    """Without the entries of sets that share too few lists of a level with any others to link with one."""
+    times = F.count(F.lit(1)).over(Window.partitionBy("h1", "level"))
+    return entries.withColumn("times", times).filter("times >= least").drop("times")
+
+
+def with_pivots(entries: DataFrame) -> DataFrame:
+    """Each list's first set, for subset lists the first of the other side, where there is one."""
+    of_list = Window.partitionBy("key")
+    first = {s: F.min(F.when(F.col("side") == s, F.col("h1"))).over(of_list) for s in (ONE, TWO, BOTH)}
+    pivot = F.when(F.col("side") == ONE, first[TWO]).when(F.col("side") == TWO, first[ONE]).otherwise(first[BOTH])
+    return entries.withColumn("pivot", pivot).filter("pivot is not null")
+
+
+def first_pairs(lists: DataFrame) -> DataFrame:
+    """Pairs (a, b): of subset lists all with the first set, else each set with the pivot it shares most lists with."""
+    others = lists.filter("h1 <> pivot")
+    certain = others.filter("level < 0").select(F.col("pivot").alias("a"), F.col("h1").alias("b"))
+    often = others.filter("level >= 0").groupBy("h1", "pivot").agg(F.count(F.lit(1)).alias("times"))
+    most = often.groupBy("h1").agg(F.max(F.struct("times", "pivot")).alias("m"))
+    return certain.union(most.select(F.col("m.pivot").alias("a"), F.col("h1").alias("b"))).distinct()
+
+
+def open_sets(lists: DataFrame, reps: DataFrame, components: DataFrame) -> DataFrame:
+    """Pairs (a, b) of a pivot and a set of its lists that may still link with a set of another component.
+
+    A list is settled if it holds one component. A set shares at least `least` lists of a level with every set it
+    links with there. If fewer of its lists are unsettled, each of those sets meets it in a settled one.
+    """
+    of_node = reps.join(components.withColumnRenamed("node", "rep"), "rep", "left").groupBy("h1").agg(
+        F.min(F.coalesce("component", "rep")).alias("component"))
+    entries = lists.filter("level >= 0").select("key", "h1", "level", "least", "pivot").join(of_node, "h1")
+
+    def several(rows: DataFrame) -> DataFrame:
+        ends = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        return rows.join(ends.filter("low <> high").select("key"), "key")
+
+    unsettled = stored(several(entries), "unsettled")
+    often = unsettled.groupBy("h1", "level").agg(F.count(F.lit(1)).alias("times"))
+    left = several(unsettled.join(often, ["h1", "level"]).filter("times >= least"))
+    return left.filter("h1 <> pivot").select(F.col("pivot").alias("a"), F.col("h1").alias("b")).distinct()
+
+
+def differences(clusters: DataFrame, sets: DataFrame) -> DataFrame:
+    """(cluster, s, rep, n, far, diff): how each set differs from what more than half of its cluster's sets hold."""
+    members = sets.join(clusters.select(F.col("node").alias("h1"), F.col("component").alias("cluster")), "h1")
+
+    def elements(batches):
+        for batch in batches:
+            data = [np.frombuffer(d, np.int64) for d in batch.column(1).to_pylist()]
+            owner = np.repeat(batch.column(0).to_numpy(), [len(d) for d in data])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(owner, pa.int64()), pa.array(np.concatenate(data) if data else [], pa.int64())], names=["cluster", "element"])
+
+    sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
+    times = members.select("cluster", "data").mapInArrow(elements, "cluster long, element long").groupBy(
+        "cluster", "element").agg(F.count(F.lit(1)).alias("times"))
+    # at most twice as many as a set of the cluster holds on average
+    middle = times.join(sizes, "cluster").filter(F.col("times") * 2 > F.col("size")).groupBy("cluster").agg(
+        F.sort_array(F.collect_list("element")).alias("middle"))
+
+    def differ(batches):
+        for batch in batches:
+            cluster, s, rep, data, common = (c.to_pylist() for c in batch.columns)
+            own = [np.frombuffer(d, np.int64) for d in data]
+            diff = [np.setxor1d(d, np.array(m or [], np.int64), assume_unique=True) for d, m in zip(own, common)]
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array(c, pa.int64()) for c in (cluster, s, rep, [len(d) for d in own], [len(d) for d in diff])),
+                 pa.array(diff, pa.list_(pa.int64()))], names=["cluster", "s", "rep", "n", "far", "diff"])
+
+    return members.join(middle, "cluster", "left").select("cluster", "h1", "rep", "data", "middle").mapInArrow(
+        differ, "cluster long, s long, rep long, n long, far long, diff array<long>")
+
+
+def links_by_size(around: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) of sets whose differences R and S are so small that they link without anything in common.
+
+    That is |R| + |S| <= x (n_r + n_s): with the set of the cluster that has the smallest |S| - x n, both link too.
+    """
+    weight = F.col("far") * (100 + percent) - F.col("n") * (100 - percent)
+    rows = around.select("cluster", "rep", weight.alias("weight"))
+    nearest = rows.groupBy("cluster").agg(F.min(F.struct("weight", "rep")).alias("m"))
+    both = rows.join(nearest, "cluster").filter((F.col("weight") + F.col("m.weight") <= 0) & (F.col("rep") != F.col("m.rep")))
+    return both.select(F.col("m.rep").alias("a"), F.col("rep").alias("b"))
+
+
+def pairs_by_differences(around: DataFrame, components: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of sets of different components of a cluster that may link and have differences in common.
 
-    Let r and s differ from the pivot in the sets R and S. They differ from each other in
-    |R| + |S| - 2 |R and S| shingles and link if that is at most x (n_r + n_s), with x = (1 - t) / (1 + t). Without
-    a common element both link with the pivot and are in one component already. Otherwise R and S need an overlap of
-    c = (|R| + |S| - x (n_r + n_s)) / 2, at least 1, so in a common order they share an element that has at
-    least c elements from itself to the end on both sides. Elements that occur once around a pivot come first and join nothing.
+    Two sets with the differences R and S differ from each other in |R| + |S| - 2 |R and S| shingles and link if that is
+    at most x (n_r + n_s), with x = (1 - t) / (1 + t). So R and S need an overlap of (|R| + |S| - x (n_r + n_s)) / 2
+    elements; in a common order they share one that has at least as many elements from itself to the end on both
+    sides. Elements that occur once in a cluster come first and join nothing.
     """
     x = (100 - percent) / (100 + percent)
-    own = components.withColumnsRenamed({"node": "rep_b", "component": "found"})
-    around = compared.join(own, "rep_b", "left").select(
-        F.col("a").alias("pivot"), F.col("b").alias("s"), F.coalesce("found", "rep_b").alias("component"),
-        F.col("n_b").alias("n"), F.size("diff").alias("far"), "diff")
-    several = around.groupBy("pivot").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
-    around = stored(around.join(several.select("pivot"), "pivot"), "around")
-    elements = around.select("pivot", "s", F.explode("diff").alias("element"))
-    often = elements.groupBy("pivot", "element").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
-    shared = elements.join(often, ["pivot", "element"])
-    of_set = Window.partitionBy("pivot", "s")
+    own = components.withColumnsRenamed({"node": "rep", "component": "found"})
+    known = around.join(own, "rep", "left").withColumn("component", F.coalesce("found", "rep")).drop("found")
+    several = known.groupBy("cluster").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
+    known = stored(known.join(several.select("cluster"), "cluster"), "known")
+    elements = known.select("cluster", "s", F.explode("diff").alias("element"))
+    often = elements.groupBy("cluster", "element").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
+    shared = elements.join(often, ["cluster", "element"])
+    of_set = Window.partitionBy("cluster", "s")
     place = F.row_number().over(of_set.orderBy("times", "element"))
     placed = shared.withColumns({"place": place, "held": F.count(F.lit(1)).over(of_set)}).join(
-        around.drop("diff"), ["pivot", "s"])
+        known.select("cluster", "s", "component", "n", "far"), ["cluster", "s"])
     # elements from this one to the end, this one included
     ahead = F.col("held") - F.col("place") + 1
     least = F.greatest(F.lit(1.0), F.col("far") - F.lit(x) * (F.col("n") + F.floor(F.col("n") * 100 / percent)) - 1e-9)
     rows = placed.withColumn("ahead", ahead).filter(F.col("ahead") >= least).select(
-        "pivot", "element", "s", "component", "n", "far", "ahead")
-    other = rows.select("pivot", "element", *[F.col(c).alias(f"{c}_2") for c in ("s", "component", "n", "far", "ahead")])
+        "cluster", "element", "s", "component", "n", "far", "ahead")
+    other = rows.select("cluster", "element", *[F.col(c).alias(f"{c}_2") for c in ("s", "component", "n", "far", "ahead")])
     sizes = F.least("n", "n_2") * 100 >= F.greatest("n", "n_2") * percent
     need = (F.col("far") + F.col("far_2") - F.lit(x) * (F.col("n") + F.col("n_2"))) / 2 - 1e-9
     fits = (F.col("s") < F.col("s_2")) & (F.col("component") != F.col("component_2")) & sizes & (F.least("ahead", "ahead_2") >= need)
-    found = rows.join(other, ["pivot", "element"]).filter(fits)
+    found = rows.join(other, ["cluster", "element"]).filter(fits)
     return found.select(F.col("s").alias("a"), F.col("s_2").alias("b")).distinct()
