@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from worklink.llm.common import stored
 from worklink.llm.components import connected_components, spanning
 
+BUCKET = 16  # unrelated vectors that share a bucket
 BLOCK = 512  # vectors of a bucket that are compared with each other at a time
 
 
@@ -143,18 +144,19 @@ def compare(limit: float):
     return run
 
 
-def near_vectors(vectors: DataFrame, cosine: float = 0.95, planes: int = 12, miss: float = 0.001,
+def near_vectors(vectors: DataFrame, cosine: float = 0.95, planes: int | None = None, miss: float = 0.001,
                  id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """vec_id, n_links, component_id and kept for every vector.
 
     Two vectors of one dimension link when their cosine is at least `cosine`. The number of tables is such
-    that a pair at exactly `cosine` is missed with chance `miss`, closer ones less often; `planes` should
-    grow with the logarithm of the number of vectors. A vector that is null, empty, zero or holds a
+    that a pair at exactly `cosine` is missed with chance `miss`, closer ones less often. Unless `planes` is given it
+    grows with the number of vectors, so that about BUCKET unrelated ones share a bucket. A vector that is null, empty, zero or holds a
     null or non-finite component links with nothing. Equal vectors are compared as
     one and count as links of each other. Rows that repeat an id are one vector if they
     agree, else the id has the links of all. A null id stays null and links with nothing. Eager:
     links and components are computed at once; other columns are not read.
     """
+    planes = planes or max(4, math.ceil(math.log2(max(1, vectors.count()) / BUCKET)))
     hyper = Hyperplanes(planes, tables_needed(cosine, planes, miss))
     source = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
     signs = stored(signed(source, hyper), "signs")
