@@ -10,7 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ARROW_ROWS = 2000  # rows of a batch handed to Python
+
+BATCH_ROWS = 1000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,8 +38,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def short_batches(spark: SparkSession) -> None:
+    """Documents are long rows: hand fewer of them to Python at a time than the default of 10,000."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Only the two columns that an operator reads, so other columns cannot clash."""
+    short_batches(docs.sparkSession)
     return docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
@@ -99,6 +108,7 @@ class Recent(dict):
 
 def keep_rows(docs: DataFrame, column: str, mask: Callable[[pa.Array], np.ndarray]) -> DataFrame:
     """The rows, whole and unchanged, for whose values of `column` the mask is true; nothing is shuffled."""
+    short_batches(docs.sparkSession)
     place = docs.columns.index(column)
 
     def run(batches):

@@ -32,7 +32,6 @@ from worklink.llm.components import connected_components
 LARGEST_SMALL = 32  # sizes up to this are weighed for the boundary
 GROWTH = 1.5  # between the part counts of neighbouring size levels
 ENTRIES = 200_000  # list entries that a task hands over at a time
-PRUNINGS = 2  # rounds in which sets that share too few lists leave
 BROADCAST_ROWS = 1_000_000  # of two numbers each; beyond, the join shuffles
 ONE, TWO, BOTH = 0, 1, 2  # side of a list's entry: smaller size, larger size, any
 #: Odd multipliers of the mixing steps.
@@ -302,9 +301,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, id_co
     shingler = Shingler(words, percent, boundary(sizes, percent))
 
     lists = stored(shared_lists(list_entries(source, shingler)).distinct(), "entries")
-    for _ in range(PRUNINGS):
-        lists = shared_lists(hopeful(lists))
-    lists = stored(with_pivots(lists), "lists")
+    lists = stored(with_pivots(shared_lists(hopeful(lists))), "lists")
 
     def edges_of(found: DataFrame) -> DataFrame:
         return found.filter(linked(percent)).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
