@@ -192,6 +192,16 @@ def test_fingerprint_is_a_multiset_hash():
     assert fingerprints.fingerprint("").likeness(fingerprints.fingerprint("text")) < 0.1
 
 
+@pytest.mark.parametrize("lines", [400, 40_000])
+def test_likeness_of_many_equal_lines(lines):
+    # a lane counts more than 32,767 windows in the longer text
+    text = "The quick brown fox jumps over the lazy dog and looks at a river bank\n" * lines
+    edited = fingerprints.edited_text(text, "".join(f"line {i} of quite another text\n" for i in range(lines)))
+    mine, other = fingerprints.fingerprint(text), fingerprints.fingerprint(edited)
+    read = [fingerprints.MultisetHash.parse(v.text()) for v in (mine, other)]
+    assert mine.likeness(other) > 0.8 and read[0].likeness(read[1]) == mine.likeness(other)
+
+
 def test_fingerprint_of_long_text_in_steps(monkeypatch):
     text = "".join(random_texts(300, 4))
     whole = fingerprints.fingerprint(text).text()

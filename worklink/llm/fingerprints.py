@@ -3,8 +3,8 @@
 Every paragraph (a non-empty line) is hashed to a wide vector; a document's vector is the sum of its
 paragraphs' vectors, modulo powers of two. Order does not matter, and a paragraph that comes or goes
 is added or subtracted without reading the rest. 32 lanes modulo 2^64 hold a cryptographic hash of
-the paragraph, for equality. 512 lanes modulo 2^16 hold signed counts of its byte windows, from
-which the likeness of two texts is estimated.
+the paragraph, for equality. 512 lanes modulo 2^32 hold signed counts of its byte windows, from
+which the likeness of two texts is estimated; a text of less than 2 GB cannot overflow a lane.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ class MultisetHash:
 
     def __init__(self):
         self.exact = np.zeros(EXACT, np.uint64)
-        self.lanes = np.zeros(LANES, np.int64)  # modulo 2^16 when written
+        self.lanes = np.zeros(LANES, np.int64)  # modulo 2^32 when written
 
     def add(self, text: str, sign: int = 1) -> MultisetHash:
         """Add (sign 1) or remove (sign -1) all paragraphs of a text."""
@@ -71,18 +71,18 @@ class MultisetHash:
         return other
 
     def text(self) -> str:
-        return self.exact.astype("<u8").tobytes().hex() + self.lanes.astype("<u2").tobytes().hex()
+        return self.exact.astype("<u8").tobytes().hex() + self.lanes.astype("<u4").tobytes().hex()
 
     @classmethod
     def parse(cls, text: str) -> MultisetHash:
         raw, out = bytes.fromhex(text), cls()
         out.exact = np.frombuffer(raw[:8 * EXACT], "<u8").copy()
-        out.lanes = np.frombuffer(raw[8 * EXACT:], "<i2").astype(np.int64)
+        out.lanes = np.frombuffer(raw[8 * EXACT:], "<i4").astype(np.int64)
         return out
 
     def likeness(self, other: MultisetHash) -> float:
         """1 for equal vectors, about 0 for texts with nothing in common; the larger of two estimates."""
-        a, b = (v.lanes.astype(np.int16).astype(np.float64) for v in (self, other))
+        a, b = (v.lanes.astype(np.int32).astype(np.float64) for v in (self, other))
         seen = (a != 0) | (b != 0)
         if not seen.any() or (np.array_equal(self.exact, other.exact) and np.array_equal(a, b)):
             return float(np.array_equal(self.exact, other.exact))
