@@ -21,7 +21,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with letters that resemble some language of the corpus, however little; the rest goes."""
+    """Documents that resemble a language of the corpus as labelled documents do, but for their lowest hundredth."""
     return language.keep_known_languages(docs)
 
 

@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from worklink.llm import bpe, context_tree, fingerprints, jaccard, language, packing, quality, token_counts, urls
@@ -131,6 +132,22 @@ def test_language_odd_rows(spark):
     assert [(r.lang_pred, r.score) for r in untaught] == [("und", 0.0)]
 
 
+def test_unknown_languages_go(spark):
+    rng = random.Random(3)
+
+    def words(letters):
+        return " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(rng.choice([20, 100, 1000])))
+
+    latin, cyrillic, cjk = "abcdefghijklmnopqrstuvwxyz", [chr(c) for c in range(0x430, 0x450)], [chr(c) for c in range(0x4E00, 0x9FA5)]
+    strange = [words(letters) for letters in (latin, "bcdfghjklmnpqrstvwxz", cyrillic, cjk) for _ in range(25)]
+    known = read_table(spark, DATA, "documents").select("doc_id", "text", "lang")
+    odd = spark.createDataFrame([(-1 - i, t) for i, t in enumerate(strange)], "doc_id long, text string").withColumn("lang", F.lit(None).cast("string"))
+    kept = language.keep_known_languages(known.unionByName(odd)).select("doc_id", "lang").toPandas()
+    assert (kept.doc_id >= 0).all()
+    total = known.groupBy("lang").count().toPandas().set_index("lang")["count"]
+    assert len(kept) >= 0.98 * total.sum() and (kept.lang.value_counts().reindex(total.index) >= 0.94 * total).all()
+
+
 # ------------------------------------------------------------------ language model
 
 

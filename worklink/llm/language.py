@@ -22,6 +22,9 @@ LETTERS = 128  # 0 stands for whatever is no letter, 1 to 26 for a to z, the res
 COMMON = 4096  # n-grams whose vectors are kept as one matrix
 SLICE = 1 << 19  # characters worked on at a time
 ROWS = 256  # documents whose vectors are built at a time
+QUANTILE, MOST_LOST = 0.01, 0.05  # of the labelled texts' cosines, over all of them and within one language
+FEWEST = 100  # texts that a quantile is read from
+STEPS = 10_000  # of the histogram of cosines
 
 
 def letter_table() -> np.ndarray:
@@ -111,8 +114,8 @@ class LanguageModel:
     def matrix(self) -> np.ndarray:
         return self.space.vectors(self.common)
 
-    def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
-        """Language and cosine; `und` and 0 for texts without a letter."""
+    def cosines(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Number of letters of each text, and its cosine with every prototype."""
         vectors = np.zeros((len(texts), self.space.dimensions), np.float32)
         letters = np.zeros(len(texts), np.int64)
         width = max(1, len(self.common))
@@ -133,7 +136,11 @@ class LanguageModel:
         if len(self.common):
             vectors += counts @ self.matrix
         norms = np.linalg.norm(vectors, axis=1)
-        cosines = vectors @ self.prototypes.T / np.maximum(norms, 1e-30)[:, None]
+        return letters, vectors @ self.prototypes.T / np.maximum(norms, 1e-30)[:, None]
+
+    def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
+        """Language and cosine; `und` and 0 for texts without a letter."""
+        letters, cosines = self.cosines(texts)
         best = cosines.argmax(axis=1) if len(self.languages) else np.zeros(len(texts), int)
         names, scores = [], np.zeros(len(texts))
         for i, n in enumerate(letters):
@@ -229,10 +236,56 @@ def taught_rows(docs: DataFrame, id_col: str, text_col: str, lang_col: str, trai
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
 
 
-def keep_known_languages(docs: DataFrame, least: float = 0.0, id_col: str = "doc_id", text_col: str = "text",
+def least_cosines(taught: DataFrame, model: LanguageModel) -> np.ndarray:
+    """Per language of the model, the cosine below which a text counts as none of the languages.
+
+    The QUANTILE of the cosines of all taught texts with letters to their own language, lowered where
+    it would take more than MOST_LOST of a language's own texts. Fewer than FEWEST texts
+    cannot tell such a quantile: 0. At most STEPS + 1 counts per language reach the driver.
+    """
+    shared = taught.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        own = {name: i for i, name in enumerate(shared.value.languages)}
+        total = np.zeros((len(own), STEPS + 1), np.int64)
+        for batch in batches:
+            langs, texts = (c.to_pylist() for c in batch.columns)
+            for i in range(0, len(texts), ROWS):
+                letters, cosines = shared.value.cosines(texts[i:i + ROWS])
+                rows = np.flatnonzero(letters)  # a language without any letter has no prototype
+                at = np.array([own[langs[i + row]] for row in rows], np.int64)
+                mine = np.clip(cosines[rows, at], 0, 1)
+                np.add.at(total, (at, (mine * STEPS).astype(np.int64)), 1)
+        lang, step = np.nonzero(total)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(lang, pa.int64()), pa.array(step, pa.int64()), pa.array(total[lang, step])], names=["lang", "step", "n"])
+
+    totals = np.zeros((len(model.languages), STEPS + 1), np.int64)
+    if model.languages:
+        counted = taught.select("lang", "text").mapInArrow(run, "lang long, step long, n long")
+        for r in counted.groupBy("lang", "step").agg(F.sum("n").alias("n")).collect():
+            totals[r.lang, r.step] = r.n
+
+    def quantile(counts, q):
+        return int(np.searchsorted(counts.cumsum(), q * counts.sum(), "right")) / STEPS
+
+    pooled = totals.sum(axis=0)
+    if pooled.sum() < FEWEST:
+        return np.zeros(len(totals))
+    return np.array([min(quantile(pooled, QUANTILE), quantile(own, MOST_LOST)) if own.any() else 0.0 for own in totals])
+
+
+def keep_known_languages(docs: DataFrame, least: float | None = None, id_col: str = "doc_id", text_col: str = "text",
                          lang_col: str = "lang") -> DataFrame:
-    """The documents, with all their columns, whose text has letters and a cosine above `least` with a prototype."""
-    model = learn_languages(taught_rows(docs, id_col, text_col, lang_col), Hypervectors())
+    """The documents, with all their columns, whose text has letters and resembles a prototype.
+
+    Its cosine with the nearest one is above 0 and no less than `least`, by default that language's `least_cosines`.
+    Eager: learning runs at once.
+    """
+    taught = taught_rows(docs, id_col, text_col, lang_col)
+    model = learn_languages(taught, Hypervectors())
+    floors = least_cosines(taught, model) if least is None else np.full(len(model.languages), least)
+    floor_of = dict(zip(model.languages, floors.tolist()))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def sure(texts):
@@ -240,7 +293,7 @@ def keep_known_languages(docs: DataFrame, least: float = 0.0, id_col: str = "doc
         values = [t or "" for t in texts.to_pylist()]
         for i in range(0, len(values), ROWS):
             names, scores = shared.value.predict(values[i:i + ROWS])
-            out += [name != "und" and score > least for name, score in zip(names, scores)]
+            out += [name != "und" and score > 0 and score >= floor_of[name] for name, score in zip(names, scores)]
         return out
 
     return keep_rows(docs, text_col, sure)
