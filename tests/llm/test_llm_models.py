@@ -250,6 +250,22 @@ def test_model_scores_against_brute_force(spark, monkeypatch):
     assert context_tree.model_scores(docs.limit(0)).collect() == []
 
 
+def test_rare_contexts_keep_their_counts(spark):
+    """However few contexts the broadcast tree holds, scores are those of the tree of all contexts."""
+    rng = random.Random(5)
+    words = ["the", "and", "Word", "\u00e9t\u00e9"] + [f"rare{i}" for i in range(60)]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 30))) for _ in range(100)] + [None, "never seen q#z"]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(None, "the rare1"), (3, texts[3])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    tree, *_ = build_tree([(t or "").encode().lower() for i, t in rows if i is not None and zlib.crc32(str(i).encode()) % 10], 1)
+    for held in (0.02, 1.0):
+        found = context_tree.model_scores(docs, held=held).collect()
+        assert len(found) == len(rows)
+        for r in found:
+            text = "the rare1" if r.doc_id is None else texts[r.doc_id] or ""
+            assert r.score == pytest.approx(tree.scores([text.encode().lower()])[0], rel=1e-5)
+
+
 def test_model_beats_the_base(spark):
     found = context_tree.model_scores(read_table(spark, "/root/testdata/sf0.1", "documents")).filter("held_out").toPandas()
     assert found.score.sum() > found.base_score.sum()

@@ -5,9 +5,10 @@ tree over the preceding symbols, whose nodes hold the counts of both outcomes. A
 Krichevsky-Trofimov estimate is weighed against the product of its children's, so the
 prediction mixes all depths with weights that the whole corpus gives.
 
-Counts come from all training texts. Contexts rarer than a share of the corpus fall together in
-one remaining child of their parent, which bounds the tree whatever the corpus holds:
-at most 1/share contexts per depth.
+Counts come from all training texts, and every context that occurs in them is kept. Contexts that
+hold a share of the corpus, at most 1/share per depth, form one tree that is broadcast. The rarer
+ones hang below it in small forests, one per bucket of the tree's nodes; positions that lead into them are
+sent to the bucket and scored there.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -204,14 +206,126 @@ def decisions(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return zeros, ones
 
 
+def symbol_logs(ones: np.ndarray) -> np.ndarray:
+    """Log10 probability of each symbol from the chance of a one at each node."""
+    total = np.zeros((len(ones), 1))
+    for depth in range(BITS):
+        first = (1 << depth) - 1
+        p = np.clip(ones[:, first:2 * first + 1], 1e-12, 1 - 1e-12)
+        total = np.stack([total + np.log10(1 - p), total + np.log10(p)], axis=2).reshape(len(ones), 2 * total.shape[1])
+    return total
+
+
+def links(levels: list[tuple[np.ndarray, np.ndarray]]) -> tuple[list[int], list[np.ndarray]]:
+    """Number of each depth's first node, and per depth the child (or -1) by node and symbol."""
+    first, children = [0], []
+    for d, (codes, _) in enumerate(levels[:-1]):
+        first.append(first[-1] + len(codes))
+        child = np.full((len(codes), SYMBOLS), -1, np.int32)
+        deeper = levels[d + 1][0]
+        child[np.searchsorted(codes, deeper & ((1 << (BITS * d)) - 1)), deeper >> (BITS * d)] = np.arange(len(deeper))
+        children.append(child.ravel())
+    return first, children
+
+
+def deepest(first: list[int], children: list[np.ndarray], grams: np.ndarray) -> np.ndarray:
+    """The deepest node of the tree on the way to each gram's context."""
+    out, node, alive = np.zeros(len(grams), np.int32), np.zeros(len(grams), np.int32), np.arange(len(grams))
+    for d, child in enumerate(children):
+        found = child[node * SYMBOLS + (grams[alive] >> (BITS * (d + 1)) & (SYMBOLS - 1))]
+        deeper = found >= 0
+        alive, node = alive[deeper], found[deeper]
+        out[alive] = first[d + 1] + node
+    return out
+
+
+class Forest:
+    """The contexts below some nodes of the broadcast tree, from their grams."""
+
+    def __init__(self, first: list[int], nodes: np.ndarray, keys: np.ndarray, n: np.ndarray):
+        self.first = first
+        self.nodes, depth = np.unique(nodes), np.searchsorted(first, nodes, "right") - 1
+        self.levels, self.up, self.root, self.counts = [], [], [], []
+        for d in range(1, DEPTH + 1):
+            own = np.flatnonzero(depth < d)
+            codes, at, inverse = np.unique(self.context(keys[own], d), return_index=True, return_inverse=True)
+            counts = np.zeros((len(codes), SYMBOLS))
+            np.add.at(counts, (inverse, keys[own] & (SYMBOLS - 1)), n[own])
+            root = depth[own[at]] == d - 1
+            above = self.levels[-1] if self.levels else np.zeros(0, np.int64)
+            self.up.append(np.where(root, np.searchsorted(self.nodes, nodes[own[at]]),
+                                    np.searchsorted(above, codes & ((1 << (BITS * (d - 1))) - 1))))
+            self.levels.append(codes)
+            self.root.append(root)
+            self.counts.append(counts)
+        top = int(max((c.sum(axis=1).max() for c in self.counts if len(c)), default=0)) + 1
+        half, whole = log_gamma(np.arange(top) + 0.5), log_gamma(np.arange(top) + 1.0)
+        #: weighted log probabilities of the roots, added up for each node of the tree
+        self.sums = np.zeros((len(self.nodes), NODES))
+        self.stop: list[np.ndarray] = [np.zeros(0)] * DEPTH
+        children = None
+        for d in reversed(range(DEPTH)):
+            zeros, ones = (x.astype(np.int64) for x in decisions(self.counts[d]))
+            weighted = half[zeros] + half[ones] - np.log(np.pi) - whole[zeros + ones]
+            if children is not None:
+                self.stop[d] = weighted - children
+                weighted = np.logaddexp(weighted, children) - np.log(2)
+            root = self.root[d]
+            np.add.at(self.sums, self.up[d][root], weighted[root])
+            children = np.zeros((len(self.levels[d - 1]) if d else 0, NODES))
+            np.add.at(children, self.up[d][~root], weighted[~root])
+
+    @staticmethod
+    def context(keys: np.ndarray, d: int) -> np.ndarray:
+        return (keys >> BITS) & ((1 << (BITS * d)) - 1)
+
+    def predict(self, tree: ContextTree) -> None:
+        """Log probabilities of the symbols after every context."""
+        self.tree, self.logs, below = tree, [], None
+        for d in range(DEPTH):
+            zeros, ones = decisions(self.counts[d])
+            own = (ones + 0.5) / (zeros + ones + 1)
+            root, up = self.root[d], self.up[d]
+            gathered, share = np.empty_like(own), np.empty_like(own)
+            gathered[root], share[root] = tree.passed[:, self.nodes[up[root]]]
+            if below is not None:
+                gathered[~root], share[~root] = below[0][up[~root]], below[1][up[~root]]
+            if d < DEPTH - 1:
+                weight = 1 / (1 + np.exp(np.clip(-self.stop[d], -700, 700)))
+                below = gathered + share * weight * own, share * (1 - weight)
+                last = below[0] + below[1] * 0.5
+            else:
+                last = gathered + share * own
+            self.logs.append(symbol_logs(last).astype(np.float32))
+        self.counts, self.stop = [], []
+
+    def scores(self, keys: np.ndarray) -> np.ndarray:
+        """Log10 probability of each gram's symbol after its context."""
+        nodes, symbols = deepest(self.first, self.tree.child, keys), keys & (SYMBOLS - 1)
+        out = self.tree.logs[nodes.astype(np.int64) * SYMBOLS + symbols].astype(np.float64)
+        depth = np.searchsorted(self.first, nodes, "right") - 1
+        alive = np.ones(len(keys), bool)  # a context that never occurred has none below
+        for d, codes in enumerate(self.levels):
+            at = np.flatnonzero(alive & (depth <= d))
+            context = self.context(keys[at], d + 1)
+            place = np.searchsorted(codes, context)
+            found = place < len(codes)
+            found[found] = codes[place[found]] == context[found]
+            out[at[found]] = self.logs[d][place[found], symbols[at[found]]]
+            alive[at[~found]] = False
+        return out
+
+
 class ContextTree:
     """Log probabilities of the next symbol for every context of a bounded tree."""
 
-    def __init__(self, levels: list[tuple[np.ndarray, np.ndarray]], table: np.ndarray, escaped: np.ndarray):
+    def __init__(self, levels: list[tuple[np.ndarray, np.ndarray]], table: np.ndarray, escaped: np.ndarray,
+                 sums: np.ndarray | None = None):
         """`levels`: per depth the sorted codes of its contexts and their counts [contexts, symbols].
 
         `escaped`: how often each byte outside the alphabet occurs. Every context's
-        suffixes are contexts too.
+        suffixes are contexts too. `sums`: the weighted log probabilities of each node's children outside the
+        tree, added up [nodes, decisions]; without them what no child has counts as one remaining child.
         """
         self.table = table
         tail = escaped.astype(np.float64) + 0.5
@@ -233,12 +347,18 @@ class ContextTree:
             children = np.zeros_like(estimate)
             np.subtract.at(other, parent[d + 1], levels[d + 1][1])
             np.add.at(children, parent[d + 1], weighted[d + 1])
-            rest[d] = np.maximum(other, 0)
-            children += block_probability(*decisions(rest[d]))
+            if sums is None:
+                rest[d] = np.maximum(other, 0)
+                children += block_probability(*decisions(rest[d]))
+            else:  # a child that never occurred has no counts
+                rest[d] = np.zeros_like(other)
+                before = sum(len(codes) for codes, _ in levels[:d])
+                children += sums[before:before + len(other)]
             stop[d] = estimate - children
             weighted[d] = np.logaddexp(estimate, children) - np.log(2)
-        rows, start, gathered, share = [], 0, None, None
-        self.child, self.first = [], []
+        rows, gathered, share = [], None, None
+        self.first, self.child = links(levels)
+        passed = []
         for d in range(depths + 1):
             zeros, ones = decisions(levels[d][1])
             own = (ones + 0.5) / (zeros + ones + 1)
@@ -253,28 +373,19 @@ class ContextTree:
                 below = gathered + share * weight * own, share * (1 - weight)
             else:
                 last = gathered + share * own
-            rows.append(self._symbols(last))
-            self.first.append(start)
-            start += len(levels[d][0])
-            if d < depths:
-                child = np.full((len(levels[d][0]), SYMBOLS), -1, np.int32)
-                if len(levels[d + 1][0]):
-                    child[parent[d + 1], levels[d + 1][0] >> (BITS * d)] = np.arange(len(levels[d + 1][0]))
-                self.child.append(child.ravel())
+            rows.append(symbol_logs(last))
+            if d < depths and sums is not None:
+                passed.append(np.stack(below).astype(np.float32))
+        # what a node hands to children outside the tree: the mixture so far, and what is left to share
+        self.passed = np.concatenate(passed, axis=1) if passed else None
         self.logs = np.concatenate(rows).astype(np.float32).ravel()
 
-    @staticmethod
-    def _symbols(ones: np.ndarray) -> np.ndarray:
-        """Log10 probability of each symbol from the chance of a one at each node."""
-        total = np.zeros((len(ones), 1))
-        for depth in range(BITS):
-            first = (1 << depth) - 1
-            p = np.clip(ones[:, first:2 * first + 1], 1e-12, 1 - 1e-12)
-            total = np.stack([total + np.log10(1 - p), total + np.log10(p)], axis=2).reshape(len(ones), 2 * total.shape[1])
-        return total
-
-    def scores(self, texts: list[bytes]) -> np.ndarray:
-        """Log10 probability of each text with its end."""
+    def scores(self, texts: list[bytes], rare: list | None = None) -> np.ndarray:
+        """Log10 probability of each text with its end.
+
+        With `rare`, positions that may have a deeper context outside the tree are left out and
+        appended to it: their text, the tree's node and the gram.
+        """
         out = np.zeros(len(texts))
         for raw, at, owner in streams(texts):
             symbols = self.table[raw].astype(np.int32)
@@ -288,13 +399,17 @@ class ContextTree:
                 row[alive] = self.first[d + 1] + node
             logs = self.logs[row.astype(np.int64) * SYMBOLS + symbols[at]].astype(np.float64)
             strange = symbols[at] == ESCAPE
+            if rare is not None:
+                leaving = np.flatnonzero(row < self.first[-1])
+                rare.append((owner[leaving], row[leaving], gram_codes(self.table[raw], at[leaving])))
+                logs[leaving] = 0
             logs[strange] += self.escape[raw[at[strange]]]
             out += np.bincount(owner, weights=logs, minlength=len(texts))
         return out
 
 
-def learn_tree(grams: DataFrame, table: np.ndarray, counts: np.ndarray, total: int, share: float) -> ContextTree:
-    """The tree of all contexts that hold at least `share` of the corpus, from its (key, n) grams.
+def common_contexts(grams: DataFrame, total: int, share: float) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The levels of all contexts that hold at least `share` of the corpus, from its (key, n) grams.
 
     At most 1/share contexts per depth with SYMBOLS counts each reach the driver.
     """
@@ -316,7 +431,172 @@ def learn_tree(grams: DataFrame, table: np.ndarray, counts: np.ndarray, total: i
             matrix[at[own], rows.symbol.to_numpy(np.int64)[own]] = rows.n.to_numpy(np.int64)[own]
         levels.append((codes, matrix))
         kept = codes
-    return ContextTree(levels, table, np.where(table == ESCAPE, counts, 0))
+    return levels
+
+
+PIECE = "bucket int, kind int, row long, data binary, doc_id long, text_hash long, score double"
+NAMES = [f.split()[0] for f in PIECE.split(", ")]
+TAUGHT, ASKED, TEXT = range(3)  # kinds of pieces, in the order a bucket is read
+
+
+def pieces(bucket: list, kind: int, row: int, data: list) -> pa.RecordBatch:
+    none = [None] * len(bucket)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(bucket, pa.int32()), pa.array([kind] * len(bucket), pa.int32()), pa.array([row] * len(bucket), pa.int64()),
+         pa.array(data, pa.binary()), pa.array(none, pa.int64()), pa.array(none, pa.int64()), pa.array(none, pa.float64())], names=NAMES)
+
+
+def packed(keys: np.ndarray, extra: np.ndarray) -> bytes:
+    """Sorted grams as differences, and one number each, by planes of bytes: they compress well."""
+    steps = np.diff(keys, prepend=0).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
+    return np.concatenate([steps, extra.astype("<u4").view(np.uint8).reshape(-1, 4)], axis=1).T.tobytes()
+
+
+def unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(data, np.uint8).reshape(9, -1).T.astype(np.int64)
+    weights = 256 ** np.arange(5, dtype=np.int64)
+    return np.cumsum(planes[:, :5] @ weights), planes[:, 5:] @ weights[:4]
+
+
+def by_bucket(bucket: np.ndarray, keys: np.ndarray, extra: np.ndarray) -> tuple[list, list]:
+    order = np.argsort(bucket.astype(np.int64) << 36 | keys)
+    bucket, keys, extra = bucket[order], keys[order], extra[order]
+    ends = np.r_[np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, len(bucket)] if len(bucket) else []
+    starts = [0, *ends[:-1]]
+    return [int(bucket[a]) for a in starts[:len(ends)]], [packed(keys[a:b], extra[a:b]) for a, b in zip(starts, ends)]
+
+
+def rare_grams(grams: DataFrame, walk, buckets: int) -> DataFrame:
+    """Pieces of the grams whose context is not in the tree, by bucket of the node they hang below."""
+
+    def run(batches):
+        first, children = walk.value
+        for batch in batches:
+            keys, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            nodes = deepest(first, children, keys)
+            own = np.flatnonzero(nodes < first[-1])
+            while len(own):  # a count beyond 32 bits comes in several parts
+                part = np.minimum(n[own], (1 << 32) - 1)
+                yield pieces(*(lambda b, d: (b, TAUGHT, None, d))(*by_bucket(nodes[own] % buckets, keys[own], part)))
+                n = n.copy()
+                n[own] -= part
+                own = own[n[own] > 0]
+
+    return grams.mapInArrow(run, PIECE)
+
+
+def forests(batches, first: list[int], children: list[np.ndarray]) -> Iterator[tuple[Forest, int, int, bytes]]:
+    """(forest, kind, row, data) of the rows of some buckets, sorted by bucket and kind; once per forest with kind TAUGHT."""
+    now, held, forest = None, [], None
+
+    def grown():
+        parts = [unpacked(data) for data in held]
+        keys, n = (np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.int64) for i in range(2))
+        return Forest(first, deepest(first, children, keys), keys, n)
+
+    for batch in batches:
+        for bucket, kind, row, data in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            if bucket != now:
+                if held and forest is None:
+                    yield grown(), TAUGHT, 0, b""
+                now, held, forest = bucket, [], None
+            if kind == TAUGHT:
+                held.append(data)
+            elif kind == ASKED:
+                if forest is None:
+                    forest = grown()
+                    yield forest, TAUGHT, 0, b""
+                yield forest, kind, row, data
+    if held and forest is None:
+        yield grown(), TAUGHT, 0, b""
+
+
+def learn_tree(grams: DataFrame, table: np.ndarray, counts: np.ndarray, total: int, share: float, held: float,
+               buckets: int) -> tuple[ContextTree, DataFrame | None]:
+    """The tree to broadcast, and the pieces of rarer grams; None where contexts below `share` fall together.
+
+    Sums of at most 1/held nodes per depth reach the driver.
+    """
+    levels = common_contexts(grams, total, share or held)
+    escaped = np.where(table == ESCAPE, counts, 0)
+    if share:
+        return ContextTree(levels, table, escaped), None
+    walk = grams.sparkSession.sparkContext.broadcast(links(levels))
+    rare = rare_grams(grams, walk, buckets)
+
+    def run(batches):
+        for forest, *_ in forests(batches, *walk.value):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(forest.nodes, pa.int64()), pa.array([x.tobytes() for x in forest.sums], pa.binary())], names=["node", "sums"])
+
+    dealt = rare.repartition(max(1, buckets // 4), "bucket").sortWithinPartitions("bucket", "kind")
+    sums = np.zeros((sum(len(codes) for codes, _ in levels), NODES))
+    found = dealt.mapInArrow(run, "node long, sums binary").toPandas()
+    for node, data in zip(found.node, found.sums):
+        sums[node] = np.frombuffer(data)
+    return ContextTree(levels, table, escaped, sums), rare
+
+
+def tree_scores(rows: DataFrame, tree, rare: DataFrame, buckets: int, most: int = 1_000_000) -> DataFrame:
+    """(doc_id, text_hash, score) of each different text of (doc_id, text) under the tree and its forests."""
+
+    def run(batches):
+        row = TaskContext.get().partitionId() << 36
+        base, asked, size = row, [], 0
+
+        def flush():
+            owner, nodes, keys = (np.concatenate([a[i] for a in asked]) for i in range(3))
+            bucket, data = by_bucket(nodes % buckets, keys, owner)
+            return pieces(bucket, ASKED, base, data)
+
+        for batch in batches:
+            ids, texts = batch.column(0).to_pylist(), [lowered(t) for t in batch.column(1).to_pylist()]
+            found: list = []
+            scores = tree.value.scores(texts, found)
+            asked += [(owner + (row - base), nodes, keys) for owner, nodes, keys in found]
+            size += sum(len(f[0]) for f in found)
+            k = len(texts)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array((row + np.arange(k)) % buckets, pa.int32()), pa.array([TEXT] * k, pa.int32()), pa.array(row + np.arange(k)),
+                 pa.array([None] * k, pa.binary()), batch.column(0), pa.array([word_hash(t) for t in texts], pa.int64()), pa.array(scores)],
+                names=NAMES)
+            row += k
+            if size >= most:
+                yield flush()
+                base, asked, size = row, [], 0
+        if size:
+            yield flush()
+
+    def answer(batches):
+        texts: list = []
+
+        def asked():
+            for batch in batches:
+                text = pc.equal(batch.column(1), TEXT)
+                texts.append(batch.filter(text).select(["row", "doc_id", "text_hash", "score"]))
+                yield batch.filter(pc.invert(text))
+
+        for forest, kind, base, data in forests(asked(), tree.value.first, tree.value.child):
+            while texts:
+                yield texts.pop()
+            if kind == TAUGHT:
+                forest.predict(tree.value)
+                continue
+            keys, owner = unpacked(data)
+            total = np.bincount(owner, weights=forest.scores(keys))
+            at = np.unique(owner)
+            none = pa.array([None] * len(at), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(base + at), none, none, pa.array(total[at])], names=["row", "doc_id", "text_hash", "score"])
+        yield from texts
+
+    ordered = rows.mapInArrow(run, PIECE).unionByName(rare).repartition(max(1, buckets // 4), "bucket")
+    answers = ordered.sortWithinPartitions("bucket", "kind").mapInArrow(
+        answer, "row long, doc_id long, text_hash long, score double")
+    summed = answers.groupBy("row").agg(
+        F.max("doc_id").alias("doc_id"), F.max("text_hash").alias("text_hash"), F.sum("score").alias("score"))
+    # repeated rows are one here, so no row finds another's copy
+    return summed.groupBy("doc_id", "text_hash").agg(F.avg("score").alias("score"))
 
 
 # ---------------------------------------------------------------- scoring
@@ -325,7 +605,7 @@ def learn_tree(grams: DataFrame, table: np.ndarray, counts: np.ndarray, total: i
 class Scorer:
     """Tree scores of texts, and the base model's for frequent words."""
 
-    def __init__(self, tree: ContextTree, words: np.ndarray, counts: np.ndarray, tokens: int, kinds: int, ends: int):
+    def __init__(self, tree: ContextTree | None, words: np.ndarray, counts: np.ndarray, tokens: int, kinds: int, ends: int):
         self.tree, self.words, self.counts = tree, words, counts
         self.tokens, self.kinds, self.ends = tokens, kinds, ends
         self.__setstate__(self.__dict__)
@@ -350,7 +630,7 @@ class Scorer:
 
     def rows(self, texts: list[bytes]) -> Iterator[tuple[int, float, float, dict[int, int]]]:
         """Tokens, base score of frequent tokens and the end, tree score, other words with their counts."""
-        for text, score in zip(texts, self.tree.scores(texts)):
+        for text, score in zip(texts, self.tree.scores(texts) if self.tree else np.zeros(len(texts))):
             found = [self.seen[w] for w in text.split()]
             rare: dict[int, int] = {}
             for _, key in found:
@@ -360,14 +640,16 @@ class Scorer:
 
 
 def model_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train: Column | None = None,
-                 share: float = 2.0 ** -17, word_share: float = 2.0 ** -20) -> DataFrame:
+                 share: float = 0.0, word_share: float = 2.0 ** -20, held: float = 2.0 ** -17) -> DataFrame:
     """Score all whole texts under a context tree and a word model learned from the training rows.
 
     Training rows are those whose crc32(id) mod 10 is not 0, or `train`. Columns: doc_id,
     held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte (code length of
     the text and its end). Texts are in lower case (A to Z). A null text is empty: one
     token, its end. A null id is held out. Repeated rows are scored once each. Where
-    nothing can be learned all counts are 0. Words with at least `word_share` of all
+    nothing can be learned all counts are 0. Every context is kept; with `share`, those with less of the
+    corpus fall together in one child of their parent. Contexts with at least `held` of the corpus form the tree
+    that is broadcast, rarer ones meet the texts in a shuffle. Words with at least `word_share` of all
     tokens (at most 1/word_share) and the tree are broadcast; other words meet
     their counts in a join, in which none is frequent. Words are told apart by a 64-bit hash.
     Eager: counting runs at once.
@@ -383,10 +665,11 @@ def model_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     grams, words = (stats.filter(c).select("key", "n") for c in (F.col("gram"), ~F.col("gram")))
     totals = words.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds")).first()
     tokens, kinds = (totals.n or 0) + ends, totals.kinds + int(ends > 0)
-    tree = learn_tree(grams, table, seen, int(seen.sum()) + ends, share)
+    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tree, rare_part = learn_tree(grams, table, seen, int(seen.sum()) + ends, share, held, buckets)
     frequent = words.filter(F.col("n") >= F.lit(word_share * tokens)).orderBy("key").toPandas()
     scorer = spark.sparkContext.broadcast(
-        Scorer(tree, frequent.key.to_numpy(np.int64), frequent.n.to_numpy(np.int64), tokens, kinds, ends))
+        Scorer(tree if rare_part is None else None, frequent.key.to_numpy(np.int64), frequent.n.to_numpy(np.int64), tokens, kinds, ends))
 
     def run(batches):
         row = TaskContext.get().partitionId() << 36
@@ -399,13 +682,13 @@ def model_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 keys += [row] * (len(rare) + 1)
                 words_of += [row, *rare]
                 times += [0, *rare.values()]
-                info += [{"doc_id": doc_id, "n_tokens": n, "base": base, "score": score, "bytes": len(text)}, *[None] * len(rare)]
+                info += [{"doc_id": doc_id, "n_tokens": n, "base": base, "score": score, "bytes": len(text), "text_hash": word_hash(text)}, *[None] * len(rare)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys, pa.int64()), pa.array(words_of, pa.int64()), pa.array(times, pa.int64()), pa.array(info, INFO)],
                 names=["row", "word", "times", "info"])
 
     parts = rows.mapInArrow(
-        run, "row long, word long, times long, info struct<doc_id long, n_tokens long, base double, score double, bytes long>")
+        run, "row long, word long, times long, info struct<doc_id long, n_tokens long, base double, score double, bytes long, text_hash long>")
     # a document's own row carries no word (times 0) and a key that spreads it
     joined = parts.join(words.withColumnRenamed("key", "word"), "word", "left")
     count = F.coalesce("n", F.lit(0))
@@ -413,6 +696,12 @@ def model_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     summed = joined.groupBy("row").agg(
         F.max("info").alias("i"), F.sum(F.when(F.col("times") > 0, F.col("times") * each).otherwise(0.0)).alias("rare_base"),
         F.sum(F.when(count == 0, F.col("times")).otherwise(0)).alias("unknown"))
+    score = F.col("i.score")
+    if rare_part is not None:
+        scored = tree_scores(rows, spark.sparkContext.broadcast(tree), rare_part, buckets).select(
+            F.col("doc_id").alias("of_id"), F.col("text_hash").alias("of_text"), F.col("score").alias("tree_score"))
+        summed = summed.join(scored, F.col("i.doc_id").eqNullSafe(F.col("of_id")) & (F.col("i.text_hash") == F.col("of_text")), "left")
+        score = F.col("tree_score")
     return summed.select(
         F.col("i.doc_id").alias("doc_id"),
         F.coalesce(crc_mod(F.col("i.doc_id"), 10) == 0, F.lit(True)).alias("held_out"),
@@ -420,8 +709,8 @@ def model_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         (F.col("i.n_tokens") - F.col("unknown") - F.lit(int(ends == 0))).alias("n_known"),
         F.lit(tokens).cast("long").alias("train_tokens"),
         (F.col("i.base") + F.col("rare_base")).alias("base_score"),
-        F.col("i.score").alias("score"),
-        (F.col("i.score") * F.lit(-np.log2(10.0)) / (F.col("i.bytes") + 1)).alias("bits_per_byte"))
+        score.alias("score"),
+        (score * F.lit(-np.log2(10.0)) / (F.col("i.bytes") + 1)).alias("bits_per_byte"))
 
 
-INFO = pa.struct([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("bytes", pa.int64())])
+INFO = pa.struct([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("bytes", pa.int64()), ("text_hash", pa.int64())])
