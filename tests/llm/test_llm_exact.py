@@ -195,6 +195,7 @@ def test_divergence_against_brute_force(spark, least, top):
 
 def test_divergence_hands_on_what_it_cannot_hold(spark, monkeypatch):
     monkeypatch.setattr(divergence, "HELD", 3)
+    monkeypatch.setattr(divergence, "CHUNK_BYTES", 200)
     rows = term_rows(5, 150)
     got = divergence.source_divergence(sources(spark, rows), min_docs=2, top=5)
     assert sorted(tuple(r) for r in got.collect()) == brute_divergence(rows, 2, 5)
@@ -205,9 +206,20 @@ def test_divergence_of_nothing(spark):
 
 
 def test_tree_shares_paths():
-    """Rows with a common path are added once, with their number."""
-    tree = divergence.Tree()
-    out = list(tree.insert("en", [(1, 2), (3, 1)], [50, 40], [10, 20], 5))
-    tree.leave(0)
-    out += list(tree.out())
-    assert [(list(a), list(b), list(v)) for _, a, b, v in out] == [([1], [3], [5 * (10 - 30 - 30 + 10)])]
+    """Each node is compared with its ancestors once, with the number of rows below it."""
+    paths = [([(1, 9, 50, 10), (3, 1, 40, 20)], 5), ([(1, 9, 50, 10), (3, 1, 40, 20), (4, 2, 70, 30)], 2), ([(1, 9, 50, 10), (4, 2, 70, 30)], 1), ([(2, 1, 5, 1)], 9)]
+
+    def more(a, b):
+        return abs(a[2] - b[2]) - abs(a[2] - b[3]) - abs(a[3] - b[2]) + abs(a[3] - b[3])
+
+    want = Counter()
+    for path, m in paths:
+        for k, b in enumerate(path):
+            for a in path[:k]:
+                want[a[0], b[0]] += m * more(a, b)
+    columns = [np.array([i[c] for path, _ in paths for i in path]) for c in range(4)]
+    out = list(divergence.pair_sums(np.array([len(p) for p, _ in paths]), *columns, np.array([m for _, m in paths])))
+    got = Counter()
+    for a, b, value in out:
+        got.update({(int(x), int(y)): int(v) for x, y, v in zip(a, b, value)})
+    assert got == want and sum(len(a) for a, _, _ in out) == 3

@@ -8,27 +8,28 @@ all terms, and most counts are zero. So with z the frequency of a count of zero,
 each an exact integer. Single counts need the distinct counts of each source only. For the last part the
 rows, ordered by source, form a frequent-pattern tree: rows with a common beginning share a path, and each
 pair of a node and an ancestor is added once, with the number of rows below the node. The tree is never
-held as a whole: rows sorted by path are its preorder, so a task walks its range of the tree with the current path alone.
+held as a whole: rows sorted by path are its preorder, so a task goes through its range of the tree a batch of paths at a time.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from worklink.llm.common import short_batches, stored
 
 SCALE, ADDED = 1_000_000_000, 5  # frequencies are 1 + floor(SCALE * (count + ADDED) / (N + ADDED * V))
-HELD = 400_000  # counts or pairs that a task holds before it hands them on
+CHUNK_BYTES = 16_000_000  # text that a task counts at once
+HELD = 1_000_000  # pairs of sources that a task holds before it adds them up
 #: ASCII characters other than letters separate terms; A-Z become small letters; every other byte stays.
 FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
 
-COUNTS = "lang string, source string, term string, n long, docs long"
+COUNTS = "lang string, term string, docs long, counts array<struct<source:string,n:long>>"
 
 
 def source_divergence(docs: DataFrame, lang_col: str = "lang", source_col: str = "source", text_col: str = "text",
@@ -45,15 +46,19 @@ def source_divergence(docs: DataFrame, lang_col: str = "lang", source_col: str =
     ones; texts of any length are read whole; an empty table gives no rows; other columns are not read.
     Eager: counts and term rows are stored tables.
     """
-    counts = stored(_counted(docs, lang_col, source_col, text_col), "term_counts")
-    terms = counts.filter("term <> ''").groupBy("lang", "term").agg(F.sum("docs").alias("_docs"), F.sum("n").alias("in_lang"))
-    kept = stored(terms.filter(F.col("_docs") >= min_docs).drop("_docs"), "kept_terms")
-    used = stored(counts.filter("term <> '' AND n > 0").join(kept, ["lang", "term"])
-                  .select("lang", "source", "term", "n", "in_lang"), "used_terms")
+    parts = stored(_counted(docs, lang_col, source_col, text_col), "term_counts")
+    seen = parts.filter("term <> ''").groupBy("lang", "term").agg(F.sum("docs").alias("_docs"))
+    kept = seen.filter(F.col("_docs") >= min_docs).drop("_docs")
+    # only kept terms are told apart by source
+    cells = parts.join(kept, ["lang", "term"]).select("lang", "term", F.inline("counts"))
+    cells = cells.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"))
+    used = stored(cells.withColumn("in_lang", F.sum("n").over(Window.partitionBy("lang", "term"))), "used_terms")
+    kept = used.groupBy("lang", "term").agg(F.max("in_lang").alias("in_lang"))
+    every = parts.filter("term = ''").select("lang", F.inline("counts")).select("lang", "source").distinct()
 
     sizes = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("in_lang").alias("lang_total"))
     totals = used.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("n_terms"))
-    groups = counts.select("lang", "source").distinct().join(totals, ["lang", "source"], "left").join(sizes, "lang", "left")
+    groups = every.join(totals, ["lang", "source"], "left").join(sizes, "lang", "left")
     groups = groups.fillna(0, ["total", "n_terms", "v", "lang_total"]).withColumn(
         "zero", F.when(F.col("v") > 0, frequency(F.lit(0), F.col("total"), F.col("v"))).otherwise(0))
     # sources in the order of their paths: those with many terms first
@@ -85,39 +90,71 @@ def _ranked(rows: DataFrame, top: int | None) -> DataFrame:
 
 
 def _counted(docs: DataFrame, lang_col: str, source_col: str, text_col: str) -> DataFrame:
-    """Occurrences and documents per (lang, source, term); a row with the term '' for every group."""
+    """Rows (lang, term, docs, counts) of parts of the table, with occurrences per source; the term '' lists all sources."""
     short_batches(docs.sparkSession)
     text = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(a)
             for c, a in ((lang_col, "lang"), (source_col, "source"), (text_col, "text"))]
-    return docs.select(*text).mapInArrow(_term_batches, COUNTS).groupBy("lang", "source", "term").agg(
-        F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    return docs.select(*text).mapInArrow(_term_batches, COUNTS)
 
 
 def _term_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts per group, added up in the task and handed on whenever HELD terms are held."""
-    held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
-    size = 0
+    """Batches are counted together until they hold CHUNK_BYTES of text."""
+    held, size = [], 0
     for batch in batches:
-        for lang, source, text in zip(*(column.to_pylist() for column in batch.columns)):
-            occurrences, documents = held.setdefault((lang, source), (Counter(), Counter()))
-            words = Counter(text.encode().translate(FOLD).split())
-            before = len(occurrences)
-            occurrences.update(words)
-            documents.update(words.keys())
-            size += len(occurrences) - before
-            if size > HELD:
-                yield _terms_out(held)
-                held, size = {}, 0
-    yield _terms_out(held)
-
-
-def _terms_out(held: dict) -> pa.RecordBatch:
-    rows = [(lang, source, "", 0, 0) for lang, source in held]
-    for (lang, source), (occurrences, documents) in held.items():
-        rows += [(lang, source, term.decode(), n, documents[term]) for term, n in occurrences.items()]
-    columns = list(zip(*rows)) or [()] * 5
+        held.append(batch)
+        size += batch.column(2).nbytes
+        if size >= CHUNK_BYTES:
+            yield _count(pa.Table.from_batches(held).combine_chunks())
+            held, size = [], 0
+    if held:
+        yield _count(pa.Table.from_batches(held).combine_chunks())
+
+
+def _folded(texts: pa.Array) -> pa.Array:
+    """Texts with every separator as a blank and A-Z as small letters: byte for byte, so the offsets stay."""
+    valid, offsets, data = texts.buffers()
+    data = pa.py_buffer(data.to_pybytes().translate(FOLD)) if data is not None else None
+    return pa.Array.from_buffers(texts.type, len(texts), [valid, offsets, data], offset=texts.offset)
+
+
+def _grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order that sorts the keys, the sorted keys without repeats, and where each begins in that order."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([np.ones(min(len(keys), 1), bool), keys[1:] != keys[:-1]]))
+    return order, keys[first], first
+
+
+def _count(table: pa.Table) -> pa.RecordBatch:
+    langs, sources = (table.column(i).combine_chunks().dictionary_encode() for i in (0, 1))
+    lang, source = (x.indices.to_numpy().astype(np.int64) for x in (langs, sources))
+    n_sources = len(sources.dictionary)
+    lists = pc.ascii_split_whitespace(_folded(table.column(2).combine_chunks()))
+    doc = np.repeat(np.arange(len(lang)), pc.list_value_length(lists).to_numpy())
+    words = lists.flatten().dictionary_encode()
+    n_words = len(words.dictionary)
+    # occurrences of each word in each document
+    found, n = np.unique(doc * n_words + words.indices.to_numpy(), return_counts=True)
+    doc, word = found // max(n_words, 1), found % max(n_words, 1)
+    blank = np.asarray(pc.equal(words.dictionary, "").to_numpy(zero_copy_only=False), bool)
+    solid = ~blank[word]
+    doc, word, n = doc[solid], word[solid] + 1, n[solid]
+    # word 0 is the empty one: every group of the chunk
+    doc, word, n, docs = (np.concatenate(x) for x in (
+        (np.arange(len(lang)), doc), (np.zeros(len(lang), np.int64), word), (np.zeros(len(lang), np.int64), n),
+        (np.zeros(len(lang), np.int64), np.ones(len(doc), np.int64))))
+    order, cells, first = _grouped(((lang[doc] * (n_words + 1)) + word) * n_sources + source[doc])
+    n, docs = (np.add.reduceat(x[order], first) if len(first) else x for x in (n, docs))
+    rows, of = cells // n_sources, cells % n_sources
+    start = np.flatnonzero(np.concatenate([np.ones(min(len(rows), 1), bool), rows[1:] != rows[:-1]]))
+    docs = np.add.reduceat(docs, start) if len(start) else docs
+    rows = rows[start]
+    terms = pa.concat_arrays([pa.array([""], words.dictionary.type), words.dictionary])
+    entries = pa.StructArray.from_arrays([sources.dictionary.take(pa.array(of)).cast(pa.string()), pa.array(n, pa.int64())], ["source", "n"])
+    counts = pa.ListArray.from_arrays(pa.array(np.append(start, len(of)), pa.int32()), entries)
     return pa.RecordBatch.from_arrays(
-        [pa.array(c, t) for c, t in zip(columns, [pa.string()] * 3 + [pa.int64()] * 2)], ["lang", "source", "term", "n", "docs"])
+        [langs.dictionary.take(pa.array(rows // (n_words + 1))).cast(pa.string()),
+         terms.take(pa.array(rows % (n_words + 1))).cast(pa.string()), pa.array(docs, pa.int64()), counts], ["lang", "term", "docs", "counts"])
 
 
 # ------------------------------------------------------------------ pairs
@@ -174,75 +211,60 @@ def tree_sums(weighed: DataFrame) -> DataFrame:
     return parts.groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
 
 
-class Tree:
-    """The open path of a frequent-pattern tree in preorder, and the sums of its pairs so far."""
-
-    def __init__(self):
-        self.lang, self.depth, self.size = None, 0, 0
-        self.items: list[tuple[int, int]] = []
-        self.place, self.p, self.zero = (np.zeros(16, np.int64) for _ in range(3))
-        self.rows: list[int] = []
-        self.sums: dict[int, np.ndarray] = {}
-
-    def insert(self, lang: str, items: list[tuple[int, int]], p: list[int], zero: list[int], rows: int) -> Iterator[tuple]:
-        """Go to the end of a path; nodes that are left for good are added up, a full table of sums comes out."""
-        if lang != self.lang:
-            yield from self.out()
-            self.lang = lang
-        common = 0
-        while common < min(len(items), len(self.items)) and items[common] == self.items[common]:
-            common += 1
-        self.leave(common)
-        if len(items) > len(self.place):
-            self.place, self.p, self.zero = (np.resize(x, 2 * len(items)) for x in (self.place, self.p, self.zero))
-        for k in range(common, len(items)):
-            self.place[k], self.p[k], self.zero[k] = items[k][0], p[k], zero[k]
-            self.items.append(items[k])
-            self.rows.append(0)
-        self.rows[-1] += rows
-        if self.size > HELD:
-            yield from self.drain()
-
-    def leave(self, depth: int) -> None:
-        """Close the nodes below `depth`: each is compared with all its ancestors at once."""
-        while len(self.items) > depth:
-            k = len(self.items) - 1
-            self.items.pop()
-            rows = self.rows.pop()
-            if k == 0:
-                break
-            self.rows[-1] += rows
-            place, p, zero = int(self.place[k]), self.p[k], self.zero[k]
-            q, other = self.p[:k], self.zero[:k]
-            add = np.abs(q - p) - np.abs(q - zero) - np.abs(other - p) + np.abs(other - zero)
-            sums = self.sums.get(place)
-            if sums is None:  # ancestors come before a node: their places are smaller
-                sums = self.sums[place] = np.zeros(place, np.int64)
-                self.size += place
-            sums[self.place[:k]] += add * rows
-
-    def drain(self) -> Iterator[tuple]:
-        for b, sums in self.sums.items():
-            a = np.flatnonzero(sums)
-            yield [self.lang] * len(a), a, np.full(len(a), b), sums[a]
-        self.sums, self.size = {}, 0
-
-    def out(self) -> Iterator[tuple]:
-        self.leave(0)
-        self.rows = []
-        yield from self.drain()
-
-
 def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    tree = Tree()
-
-    def rows(parts):
-        for lang, a, b, value in parts:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(lang, pa.string()), pa.array(a, pa.int32()), pa.array(b, pa.int32()), pa.array(value, pa.int64())],
-                ["lang", "a", "b", "value"])
-
+    """Sums per pair of sources of the part of the tree that a batch of sorted paths spans."""
     for batch in batches:
-        for lang, place, n, p, zero, m in zip(*(column.to_pylist() for column in batch.columns)):
-            yield from rows(tree.insert(lang, list(zip(place, n)), p, zero, m))
-    yield from rows(tree.out())
+        langs = batch.column(0).dictionary_encode()
+        code = langs.indices.to_numpy()
+        for c, lang in enumerate(langs.dictionary.to_pylist()):
+            rows = np.flatnonzero(code == c)
+            part = batch.slice(rows[0], rows[-1] + 1 - rows[0])
+            depth = pc.list_value_length(part.column(1)).to_numpy()
+            items = [part.column(i).flatten().to_numpy() for i in range(1, 5)]
+            for a, b, value in pair_sums(depth, *items, part.column(5).to_numpy()):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(a), pa.string()), pa.array(a, pa.int32()), pa.array(b, pa.int32()), pa.array(value, pa.int64())],
+                    ["lang", "a", "b", "value"])
+
+
+def pair_sums(depth: np.ndarray, place: np.ndarray, n: np.ndarray, p: np.ndarray, zero: np.ndarray,
+              m: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(a, b, sum) over the tree of sorted paths, given as depths and their items one after the other; path r stands for m[r] rows.
+
+    A node is the first of the neighbouring paths that agree down to it, and stands for the rows of all of them. Level by
+    level, all nodes are compared with their ancestors at once, each combination a single time.
+    """
+    widest = int(depth.max())
+    row, level = np.repeat(np.arange(len(depth)), depth), np.arange(len(place)) - np.repeat(np.cumsum(depth) - depth, depth)
+    grid = np.zeros((4, len(depth), widest), np.int64)
+    grid[:, row, level] = place, n, p, zero
+    place, n, p, zero = grid
+    inside = np.arange(widest) < depth[:, None]
+    same = np.zeros((len(depth), widest), bool)  # agrees with the path before down to this level
+    same[1:] = inside[1:] & inside[:-1] & (place[1:] == place[:-1]) & (n[1:] == n[:-1])
+    same = np.logical_and.accumulate(same, axis=1)
+    before = np.concatenate([[0], np.cumsum(m)])
+    held, size = [], 0
+    for k in range(1, widest):
+        ends = np.append(np.flatnonzero(~same[:, k]), len(depth))
+        first = ends[:-1]
+        rows = before[ends[1:]] - before[first]
+        deep = inside[first, k]
+        first, rows = first[deep], rows[deep]
+        p_k, zero_k = p[first, k, None], zero[first, k, None]
+        q, other = p[first, :k], zero[first, :k]
+        add = np.abs(q - p_k) - np.abs(q - zero_k) - np.abs(other - p_k) + np.abs(other - zero_k)
+        held.append(((place[first, :k] << 32 | place[first, k, None]).ravel(), (add * rows[:, None]).ravel()))
+        size += add.size
+        if size > HELD:
+            yield _summed(held)
+            held, size = [], 0
+    if held:
+        yield _summed(held)
+
+
+def _summed(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    keys, values = (np.concatenate(x) for x in zip(*held))
+    order, keys, first = _grouped(keys)
+    sums = np.add.reduceat(values[order], first) if len(first) else values
+    return keys >> 32, keys & 0xFFFFFFFF, sums
