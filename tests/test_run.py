@@ -4,8 +4,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from worklink.operators.labels import LabellerDown
+from worklink.plans import open_roles as jobs_report
 from worklink.plans import pipeline
+from worklink.plans import seeker_profile as seekers_report
+from worklink.session import case_sensitive
 from worklink.sinks import runlog
+from worklink.sinks.versions import read_current
 from worklink.workload.bindings import bind
 from worklink.workload.queries import deny_table, place_labeller
 
@@ -40,36 +44,70 @@ def world(spark):
     return {"deny": deny_table(spark, DATA), "places": places, "roles": bind(spark, DATA, "taxonomy"), "as_of": "2001-08-15"}
 
 
+def current(spark, root, name):
+    return read_current(spark, f"{root}/prod/{name}")
+
+
 def counts(spark, root, name):
-    return {r.state: r["count"] for r in spark.read.parquet(f"{root}/prod/{name}").groupBy("state").count().collect()}
+    return {r.state: r["count"] for r in current(spark, root, name).groupBy("state").count().collect()}
 
 
 def test_states_and_resume(spark, raw, world, tmp_path):
     root = str(tmp_path)
-    result = pipeline.run(spark, raw, root, **world, headers={"seeker_profile": ["name", "unknown", "id"]})
+    result = pipeline.run(spark, raw, root, **world, headers={"seeker_profile": ["Trade", "name", "unknown", "id", ""]})
     assert result.errors == [] and result.skipped == [] and set(result.reports) == {"matches", *REPORTS}
     full = {n: counts(spark, root, n) for n in ["matches", *REPORTS]}
     assert all(set(full[n]) == {"KA", "UP"} for n in REPORTS)
-    aligned = spark.read.parquet(f"{root}/prod/seeker_profile")
-    assert aligned.columns[:3] == ["name", "unknown", "id"] and aligned.filter("unknown is not null").isEmpty()
     log = spark.read.parquet(f"{root}/prod/_log").first()
     assert len([c for c in log.asDict() if c[:3] in ("ka_", "up_")]) == 18
     assert log.ka_profile + log.up_profile == 150 and log.errors == ""
-    text = spark.read.csv(f"{root}/prod/tables/user_seeker", header=True)
-    assert set(text.select("state").distinct().toPandas().state) == {"KA", "UP"}
-
-    # one state alone: the other's folders stay, and so does what the manifest knows of it
-    pipeline.run(spark, raw, root, **world, states=["KA"])
-    assert {n: counts(spark, root, n) for n in full} == full
-    resumed = pipeline.run(spark, raw, root, **world, states=["UP"], resume=True)
-    assert resumed.reports == {} and len(resumed.skipped) == 4
-    assert {n: counts(spark, root, n) for n in full} == full
+    want = {r.name: r.n_rows for r in runlog.state_counts({t: read_current(spark, f"{root}/processed/flagged/{t}") for t in raw}).collect()}
+    assert {k: v for k, v in log.asDict().items() if k[:3] in ("ka_", "up_")} == {f"{s}_{t}": want.get(f"{s}_{t}", 0) for s in ("ka", "up") for t in raw}
+    history = spark.read.parquet(f"{root}/prod/_history").first()
+    assert (history.ka_matches, history.up_matches) == tuple(full["matches"].get(s, 0) for s in ("KA", "UP"))
+    assert set(counts(spark, root, "tables/user_seeker")) == {"KA", "UP"}
+
+    # published headers, in the order of the destination; some differ by case only
+    with case_sensitive(spark):
+        tab = current(spark, root, "tabs/seeker_profile")
+        published = [h for h in seekers_report.HEADERS.values()]
+        assert tab.columns[:5] == ["state", "Trade", "name", "unknown", "id"] and set(tab.columns) == {"state", "Trade", "unknown", *published}
+        assert tab.count() == sum(full["seeker_profile"].values()) and tab.filter("coalesce(unknown, '') <> ''").isEmpty()
+        names = {r.id: r.name for r in current(spark, root, "seeker_profile").collect()}
+        assert {r.id: r.name or "" for r in tab.collect()} == {k: v or "" for k, v in names.items()}
+        jobs = current(spark, root, "tabs/OPEN_ROLES")
+        assert jobs.columns == ["state", *jobs_report.HEADERS.values()]
 
     # a run of both states that resumes builds what one of them lacks
     runlog.forget(spark, f"{root}/prod/_manifest", ["UP"])
     resumed = pipeline.run(spark, raw, root, **world, resume=True)
     assert set(resumed.reports) == set(full) and resumed.skipped == sorted(("KA", n) for n in full)
     assert {n: counts(spark, root, n) for n in full} == full
+    assert spark.read.parquet(f"{root}/prod/_history").select("ka_matches", "up_matches").distinct().count() == 1
+
+
+def test_a_state_that_became_empty(spark, raw, world, tmp_path):
+    """In a full run and in a run of that state: empty in stages, reports, tabs, manifest and counts."""
+    root, few = str(tmp_path), {t: raw[t] for t in pipeline.NEEDS["OPEN_ROLES"]}
+
+    def states(name, folder="prod"):
+        return set(r.state for r in read_current(spark, f"{root}/{folder}/{name}").select("state").distinct().collect())
+
+    def without(state):
+        return {t: df.filter(F.col("state") != state) for t, df in few.items()}
+
+    pipeline.run(spark, few, root, **world)
+    assert states("OPEN_ROLES") == {"KA", "UP"}
+    for run_states, gone, left in ((None, "KA", {"UP"}), (["UP"], "UP", set())):
+        result = pipeline.run(spark, without(gone), root, **world, states=run_states)
+        assert set(result.reports) == {"OPEN_ROLES"}
+        for name in ("OPEN_ROLES", "tabs/OPEN_ROLES", "tables/profile"):
+            assert states(name) == left, name
+        for step in ("flat", "labelled", "flagged"):
+            assert states(f"{step}/job_posting", "processed") == left, step
+        assert runlog.done_counts(spark, f"{root}/prod/_manifest", "OPEN_ROLES", [gone]) == {gone: 0}
+        log = spark.read.parquet(f"{root}/prod/_log").orderBy(F.desc("run_timestamp")).collect()
+        assert any(r[f"{gone.lower()}_profile"] == 0 for r in log if f"{gone.lower()}_profile" in r.asDict())
 
 
 def test_a_lost_table_is_noted(spark, raw, world, tmp_path):

@@ -21,10 +21,10 @@ from worklink.operators.stats import pending_outputs
 from worklink.plans import application_fact as fact
 from worklink.plans import open_roles as jobs_report
 from worklink.plans import seeker_profile as seekers_report
-from worklink.session import stage
+from worklink.session import case_sensitive, stage
 from worklink.sinks import runlog
-from worklink.sinks.tables import align_to_headers, target_root, with_headers, write_table
-from worklink.sources.files import Bundle, read_table
+from worklink.sinks.tables import CSV, target_root, with_headers, writable
+from worklink.sinks.versions import read_current, replace_states
 
 CLEANERS = {
     "profile": extract.flatten_profile,
@@ -124,12 +124,9 @@ def build_report(name: str, t: dict[str, DataFrame], scored: DataFrame | None, a
 
 
 def display_report(name: str, report: DataFrame, headers: Sequence[str] = ()) -> DataFrame:
-    """A report under its published headers, aligned to those of the destination.
-
-    Some headers differ by case only, so this form is for destinations without
-    named columns; the written tables keep the report's own column names.
-    """
-    return align_to_headers(with_headers(report, REPORTS[name]), headers)
+    """SNK-04: a report under its published headers, in the order of the destination's `headers`, behind `state`."""
+    published = {c: h for c, h in REPORTS[name].items() if c != "state"}
+    return with_headers(report, published, headers, ["state"])
 
 
 @dataclass(frozen=True)
@@ -149,36 +146,44 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], root: str, deny: DataFra
     """Everything from raw tables to written reports, run log and history.
 
     `raw` is keyed like the fields of Bundle. Stage tables go below `<root>/processed`, reports, the tables
-    as text and the logs below the production or test target. A run of some `states` leaves the folders of
-    the others alone. With `resume`, what the manifest holds as done for a state is neither built nor
-    written; otherwise the manifest starts anew for the states of the run. `headers` gives the order of the columns that a
-    report's destination has. A table or report that fails is noted and the run goes on; a
-    labeller that does not answer its first batch ends it (LabellerDown).
+    as text and the logs below the production or test target. Every table replaces exactly the states of the run
+    (`sinks.versions`): a state that became empty reads as empty, other states stay, and a run that
+    breaks off leaves the old tables whole. With `resume`, what the manifest holds as done for a state is neither built nor
+    written; otherwise the manifest starts anew for the states of the run. Reports are also written as `tabs/<report>`, CSV
+    under the published headers; `headers` gives those that a report's destination has, in its order. A
+    table or report that fails is noted and the run goes on; a labeller that does not answer its first batch
+    ends it (LabellerDown). Rows are counted while they are written.
     """
     started = datetime.now(timezone.utc)
     wanted = list(states or STATES)
     processed, target = f"{root.rstrip('/')}/processed", target_root(root, test)
+    run_id = started.strftime("%Y%m%dT%H%M%S%f")
     errors: list[str] = []
 
+    def replaced(df: DataFrame, path: str, of: Sequence[str] = wanted, fmt: str = "parquet", stringify: bool = False) -> dict[str, int]:
+        return replace_states(writable(df, fmt, stringify), path, run_id, of, fmt, **(CSV if fmt == "csv" else {}))
+
+    counts: dict[str, dict[str, int]] = {}
+
     def written(makers: dict[str, Callable[[], DataFrame]], step: str) -> dict[str, DataFrame]:
         """Each step writes a folder of its own and the next one reads the run's states of it."""
-        folder = f"{processed}/{step}"
-        done, failed = runlog.publish_all(
-            makers, lambda df, name: write_table(df, folder, name, only_given=bool(states)), (LabellerDown,))
+        done, failed = runlog.publish_all(makers, lambda df, name: replaced(df, f"{processed}/{step}/{name}"), (LabellerDown,))
         errors.extend(failed)
-        return {t: matching.only_states(read_table(spark, f"{folder}/{t}", "parquet"), states) for t in done}
+        counts.update(done)
+        return {t: read_current(spark, f"{processed}/{step}/{t}", wanted) for t in done}
 
-    flat = written({t: lambda t=t, df=df: clean_one(t, matching.only_states(df, states)) for t, df in raw.items()}, "flat")
+    flat = written({t: lambda t=t, df=df: clean_one(t, matching.only_states(df, wanted)) for t, df in raw.items()}, "flat")
     labelled = written(
         {t: lambda t=t, df=df: enrich_one(t, df, places, roles, check_first=True) for t, df in flat.items()}, "labelled")
     tables: dict[str, DataFrame] = {}
+    counts.clear()  # of the flagged tables, the last step
     for members in (False, True):
         tables |= written({
             t: lambda t=t, df=df: flag_one(t, df, tables, deny, domains, words)
             for t, df in labelled.items() if (kind_of(t) == "member") == members}, "flagged")
     errors.extend(runlog.publish_all(
         {t: lambda df=df: df for t, df in tables.items()},
-        lambda df, name: write_table(df, f"{target}/tables", name, "csv", stringify=True, only_given=bool(states)))[1])
+        lambda df, name: replaced(df, f"{target}/tables/{name}", fmt="csv", stringify=True))[1])
 
     manifest = f"{target}/_manifest"
     if not resume:
@@ -204,22 +209,25 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], root: str, deny: DataFra
                   for key, t in ((matching.keyed_seekers, "profile"), (matching.keyed_jobs, "job_posting"))]))
 
         def make(name=name, own=own) -> DataFrame:
-            report = build_report(name, {t: matching.only_states(df, own) for t, df in tables.items()}, scored, as_of)
-            return align_to_headers(report, headers[name]) if headers and name in headers else report
+            return build_report(name, {t: matching.only_states(df, own) for t, df in tables.items()}, scored, as_of)
+
+        def tab(name=name, own=own) -> DataFrame:
+            return display_report(name, read_current(spark, f"{target}/{name}", own), (headers or {}).get(name, ()))
 
-        done, failed = runlog.publish_all({name: make}, lambda df, name: write_table(df, target, name, only_given=True))
+        done, failed = runlog.publish_all({name: make}, lambda df, name: replaced(df, f"{target}/{name}", own))
+        if done and name in REPORTS:
+            with case_sensitive(spark):
+                failed += runlog.publish_all(
+                    {name: tab}, lambda df, name: replaced(df, f"{target}/tabs/{name}", own, "csv", stringify=True))[1]
         errors.extend(failed)
-        if done:
+        if done and not failed:
             paths[name] = f"{target}/{name}"
-            rows = matching.only_states(read_table(spark, paths[name], "parquet"), own)
-            counts = rows.groupBy("state").agg(F.count(F.lit(1)).alias("n_rows"))
-            every = spark.createDataFrame([(s,) for s in own], "state string").join(counts, "state", "left")
-            runlog.record_done(every.select("state", F.coalesce("n_rows", F.lit(0)).alias("n_rows")), manifest, name)
+            runlog.record_done(spark.createDataFrame(list(done[name].items()), "state string, n_rows long"), manifest, name)
     runlog.append_row(runlog.run_log_row(
-        runlog.state_counts(tables), runlog.state_names(wanted, list(raw)), started, errors=errors), f"{target}/_log")
-    matches = read_table(spark, f"{target}/matches", "parquet", columns=["state"], missing_ok=True)
+        runlog.counted(spark, counts), runlog.state_names(wanted, list(raw)), started, errors=errors), f"{target}/_log")
     if not test:
-        counted = {"seekers": "profile", "job_postings": "job_posting", "job_applications": "job_application"}
-        history = {n: tables[t] for n, t in counted.items() if t in tables} | {"matches": matching.only_states(matches, states)}
-        runlog.append_row(runlog.history_row(history, wanted), f"{target}/_history")
+        listed = {"seekers": "profile", "job_postings": "job_posting", "job_applications": "job_application"}
+        history = {n: counts[t] for n, t in listed.items() if t in counts}
+        history["matches"] = runlog.done_counts(spark, manifest, "matches", wanted)
+        runlog.append_row(runlog.history_row(runlog.counted(spark, history), wanted, names=list(history)), f"{target}/_history")
     return RunResult(paths, sorted((s, n) for s in wanted for n in NEEDS if (s, n) not in pending), errors)

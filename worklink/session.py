@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -34,6 +35,18 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def case_sensitive(spark: SparkSession):
+    """Column names that differ by case only are different ones inside the block."""
+    key = "spark.sql.caseSensitive"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def local_session(cpus: str | int = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A local session for tests and benchmarks."""
     spark = (

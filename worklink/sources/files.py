@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from worklink.operators.flags import parse_denylist
 from worklink.operators.matching import only_states
+from worklink.sinks.versions import POINTERS, read_current
 
 # multi-line because JSON text may hold line breaks
 CSV_OPTIONS = {"header": True, "multiLine": True, "escape": '"', "encoding": "UTF-8"}
@@ -33,8 +34,12 @@ def read_table(spark: SparkSession, path: str, fmt: str = "csv",
     """SRC-05..SRC-07, SRC-09, SRC-11: a table, or an empty one where none is expected.
 
     CSV comes as text columns unless a schema is given, so digit strings keep
-    their form. Only the columns asked for are read.
+    their form. Only the columns asked for are read. Of a table that a run has committed
+    (`sinks.versions`) the valid rows are read.
     """
+    if _exists(spark, f"{path}/{POINTERS}"):
+        df = read_current(spark, path)
+        return df if columns is None else df.select(*columns)
     if missing_ok and not _exists(spark, path):
         return spark.createDataFrame([], schema or text_schema(columns or []))
     reader = spark.read
