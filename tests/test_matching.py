@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from worklink.operators import matching, similarity
-from worklink.operators.keyed import first_org_per_user, first_per_key, product_join, skew_join
+from worklink.operators.keyed import first_org_per_user, first_per_key, key_rows, product_join, result_sizes, skew_join
 
 
 def slow_lcs(a, b):
@@ -70,7 +70,16 @@ def test_token_set_matches_brute_force_and_is_symmetric(spark):
     assert got == pytest.approx(ratios(spark, [(y, x) for x, y in pairs]))
 
 
-@pytest.mark.parametrize("floor", [0.3, 0.5, 0.8])
+@pytest.mark.parametrize("sizes", [(0, 5), (1, 62), (60, 64), (50, 300)])
+def test_common_subsequence_of_any_length(spark, sizes):
+    rng = random.Random(sizes[1])
+    pairs = [["".join(rng.choices("abcé😀 \0", k=rng.randint(*sizes))) for _ in "ab"] for _ in range(60)]
+    frame = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, a string, b string")
+    got = frame.select("i", similarity.common_length(F.col("a"), F.col("b")).alias("n")).orderBy("i").collect()
+    assert [r.n for r in got] == [slow_lcs(*p) for p in pairs]
+
+
+@pytest.mark.parametrize("floor", [0.0, 0.3, 0.5, 0.8])
 def test_similarity_join_is_exact(spark, floor):
     left, right = texts(80, 3) + ["FITTER", "zz"], texts(80, 4)
     frames = [spark.createDataFrame([(v,) for v in vs], "value string") for vs in (left, right)]
@@ -86,8 +95,8 @@ def test_similarity_join_is_exact(spark, floor):
 
 def test_similarity_join_has_no_product(spark):
     frame = spark.createDataFrame([("a b",), ("c",)], "value string")
-    plan = similarity.candidate_pairs(frame, frame, 0.5)._jdf.queryExecution().executedPlan().toString()
-    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+    plan = similarity.scored_pairs(frame, frame, 0.5)._jdf.queryExecution().executedPlan().toString()
+    assert not any(n in plan for n in ("CartesianProduct", "NestedLoopJoin", "Python", "Arrow"))
 
 
 def market(spark, n=60):
@@ -164,6 +173,19 @@ def test_product_join_equals_plain_join(spark, task_rows):
     assert as_rows(product_join(left, right, ["k"], ["id"], task_rows)) == as_rows(left.join(right, "k"))
 
 
+def test_product_join_bounds_a_hot_key(spark):
+    """A key with most of the result is cut into pieces of a task's share; sizes of several joins come from one pass."""
+    left = spark.range(8000).selectExpr("id", "if(id % 10 < 9, 'hot', string(id % 97)) as k")
+    right = spark.range(300).selectExpr("if(id % 3 > 0, 'hot', string(id % 97)) as k", "cast(id as int) as v")
+    sides = (key_rows(left, ["k"]), key_rows(right, ["k"]))
+    sizes = result_sizes({"all": sides, "none": (key_rows(left.limit(0), ["k"]), sides[1])}, 50_000)
+    assert sizes["none"].rows == 0 and len(sizes["all"].hot) == 1
+    joined = product_join(left, right, ["k"], ["id"], 50_000, sizes["all"])
+    assert joined.count() == sizes["all"].rows == left.join(right, "k").count()
+    tasks = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert max(r["count"] for r in tasks) < 300_000 < 7200 * 200
+
+
 def test_first_per_key(spark):
     df = spark.createDataFrame([("a", None, 1), ("a", "x", 2), ("a", "w", 3), ("b", None, 4)], "k string, o string, n int")
     assert {r.k: r.n for r in first_per_key(df, ["k"], ["o", "n"]).collect()} == {"a": 3, "b": 4}

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from worklink.session import stage
-
 FIRST_BY = ("created_at", "id")  # what makes a row the first of its key
 TASK_ROWS = 1_000_000  # result rows of a product join that one task makes
 
@@ -44,26 +45,61 @@ def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left
     return left.select(*keys).join(right.select(*keys), [*on, "_h"], how).drop("_h")
 
 
-def product_join(left: DataFrame, right: DataFrame, on: list[str], spread: list[str], task_rows: int = TASK_ROWS) -> DataFrame:
+@dataclass(frozen=True)
+class Pieces:
+    """How a product join is cut: its result rows, and the pieces of each key with more than a task's share, by hash."""
+
+    rows: int
+    hot: dict[int, int]
+
+
+def key_rows(df: DataFrame, on: list[str], rows: Column | None = None) -> DataFrame:
+    """One side of a product join as `result_sizes` reads it: the hash of each row's key, and how many rows it stands for."""
+    number = F.lit(1).cast("long") if rows is None else rows.cast("long")
+    return df.select(F.xxhash64(*[F.col(c) for c in on]).alias("_h"), number.alias("_rows"))
+
+
+def result_sizes(joins: dict[str, tuple[DataFrame, DataFrame]], task_rows: int = TASK_ROWS) -> dict[str, Pieces]:
+    """The pieces of several product joins, counted in one pass over the keys of all their sides.
+
+    A join is a pair of `key_rows`. Exact; only keys whose result exceeds a task's share reach the driver, at most
+    one for every `task_rows` result rows.
+    """
+    sides = [side.select(F.lit(name).alias("join"), "_h", *[(F.col("_rows") if i == j else F.lit(0).cast("long")).alias(f"_{j}") for j in (0, 1)])
+             for name, both in joins.items() for i, side in enumerate(both)]
+    keys = reduce(DataFrame.unionByName, sides).groupBy("join", "_h").agg((F.sum("_0") * F.sum("_1")).alias("_n"))
+    hot = F.when(F.col("_n") > task_rows, F.struct("_h", F.ceil(F.col("_n") / F.lit(float(task_rows))).cast("int").alias("pieces")))
+    found = keys.groupBy("join").agg(F.sum("_n").alias("rows"), F.collect_list(hot).alias("hot")).collect()
+    return {name: Pieces(0, {}) for name in joins} | {r.join: Pieces(r.rows, {h["_h"]: h.pieces for h in r.hot}) for r in found}
+
+
+def product_join(left: DataFrame, right: DataFrame, on: list[str], spread: list[str], task_rows: int = TASK_ROWS,
+                 sizes: Pieces | None = None) -> DataFrame:
     """Inner join of two sides that both hold many rows of a key, so that the result is much larger than the input.
 
-    Every key is cut into pieces of about `task_rows` result rows: the left rows go to a piece by a
-    hash of the `spread` columns (never at random: a task that runs again must send its rows to the
-    same place), the right rows to all pieces of their key. Counts per key, stored once, serve both sides
-    and give the number of tasks. Eager: the counting runs at once.
+    The join has as many tasks as its result asks for. A key whose result is more than a task's share is cut into
+    pieces: the left rows go to a piece by a hash of the `spread` columns (never at random: a task that
+    runs again must send its rows to the same place), the right rows to all pieces of their key. Lazy
+    with `sizes` from `result_sizes`; without, one counting job runs at once.
     """
-    sizes = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_l")).join(
-        right.groupBy(*on).agg(F.count(F.lit(1)).alias("_r")), on)
-    sizes = stage(sizes.select(*on, (F.col("_l") * F.col("_r")).alias("_n")))
-    total = sizes.agg(F.sum("_n").alias("n")).first().n or 0
-    parts = max(1, -(-total // task_rows))
-    pieces = sizes.select(*on, F.ceil(F.col("_n") / F.lit(float(task_rows))).cast("int").alias("_pieces"))
-    dealt = skew_join(left, pieces, on, "inner").withColumn(
-        "_piece", F.pmod(F.xxhash64(*spread), F.col("_pieces")).cast("int")).drop("_pieces")
-    copies = skew_join(right, pieces, on, "inner").withColumn(
-        "_piece", F.explode(F.sequence(F.lit(0), F.col("_pieces") - 1))).drop("_pieces")
-    keys = [*on, "_piece"]
-    return dealt.repartition(parts, *keys).join(copies.repartition(parts, *keys), keys).drop("_piece")
+    if sizes is None:
+        sizes = result_sizes({"join": (key_rows(left, on), key_rows(right, on))}, task_rows)["join"]
+    parts = -(-sizes.rows // task_rows)
+    if parts <= 1:
+        return left.join(right, on)
+    keys = list(on)
+    if sizes.hot:
+        pieces = _pieces_of(F.xxhash64(*[F.col(c) for c in on]), sizes.hot)
+        left = left.withColumn("_piece", F.pmod(F.xxhash64(*spread), pieces).cast("int"))
+        right = right.withColumn("_piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
+        keys.append("_piece")
+    return left.repartition(parts, *keys).join(right.repartition(parts, *keys), keys).drop("_piece")
+
+
+def _pieces_of(key: Column, hot: dict[int, int]) -> Column:
+    """The pieces of a key's hash. Few keys are hot: the others leave at a set lookup."""
+    of = F.create_map(*[F.lit(x) for pair in hot.items() for x in pair])
+    return F.when(key.isin(*hot), F.element_at(of, key)).otherwise(1)
 
 
 def duplicate_groups(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -34,7 +34,9 @@ from worklink.functions.text import (
 from worklink.operators.keyed import (
     first_org_per_user,
     first_per_key,
+    key_rows,
     product_join,
+    result_sizes,
     skew_join,
 )
 from worklink.operators.similarity import scored_pairs
@@ -122,7 +124,7 @@ def role_pairs(seekers: DataFrame, jobs: DataFrame, floor: float = ROLE_PAIR_FLO
     """
     keys = stage(seekers.select("sk_key").distinct())
     trades = keys.select("sk_key", F.posexplode(split_parts(F.col("sk_key"))).alias("pos", "value"))
-    roles = stage(jobs.select(F.col("pr_role").alias("value")).distinct())
+    roles = jobs.select(F.col("pr_role").alias("value")).distinct()
     scored = scored_pairs(trades.select("value").distinct(), roles, floor)
     best = F.max_by(
         F.struct("score", "value"), F.struct(F.col("score"), -F.col("pos"))
@@ -168,9 +170,14 @@ def scored_signatures(seekers: DataFrame, jobs: DataFrame, pairs: DataFrame | No
         # candidates one rounding step below the threshold; the rounded score decides
         pairs = role_pairs(sk, pr, ROLE_FIT - 0.0001)
     pairs = stage(pairs.filter(F.col("role_score") >= ROLE_FIT))
-    # a popular trade and a popular role both multiply: each is cut into pieces by its result
-    with_roles = product_join(sk, pairs, ["sk_key"], SEEKER_SIGNATURE)
-    joined = product_join(pr, with_roles, ["state", "pr_role"], JOB_SIGNATURE)
+    # a popular trade and a popular role both multiply: each is cut into pieces by its result, counted in one pass
+    trades = sk.groupBy("state", "sk_key").agg(F.count(F.lit(1)).alias("_n"))
+    wanted = pairs.join(trades, "sk_key").select("state", "pr_role", "_n")
+    sizes = result_sizes({
+        "trade": (key_rows(trades, ["sk_key"], F.col("_n")), key_rows(pairs, ["sk_key"])),
+        "role": (key_rows(pr, ["state", "pr_role"]), key_rows(wanted, ["state", "pr_role"], F.col("_n")))})
+    with_roles = product_join(sk, pairs, ["sk_key"], SEEKER_SIGNATURE, sizes=sizes["trade"])
+    joined = product_join(pr, with_roles, ["state", "pr_role"], JOB_SIGNATURE, sizes=sizes["role"])
     return (
         joined.withColumns({
             "location_score": S.location_score_of(
@@ -200,12 +207,18 @@ def expand(signatures: DataFrame, seekers: DataFrame, jobs: DataFrame) -> DataFr
     """JN-02, JN-03: scored signature pairs back to rows of seekers and jobs.
 
     `seekers` and `jobs` hold their signature columns plus whatever is to be
-    carried along. Both joins cut a signature into pieces by the size of its result.
+    carried along. Both joins cut a signature into pieces by the size of its result, which the signatures' own
+    numbers of rows give.
     """
+    jobs_of = signatures.groupBy(*JOB_SIGNATURE).agg(F.max("n_jobs").alias("_rows"), F.count(F.lit(1)).alias("_met"))
+    seekers_of = signatures.groupBy(*SEEKER_SIGNATURE).agg(F.max("n_seekers").alias("_rows"), F.sum("n_jobs").alias("_met"))
+    sizes = result_sizes({name: tuple(key_rows(df, on, F.col(c)) for c in ("_rows", "_met"))
+                          for name, df, on in (("job", jobs_of, JOB_SIGNATURE), ("seeker", seekers_of, SEEKER_SIGNATURE))})
     scored = signatures.select(*SEEKER_SIGNATURE, *[c for c in JOB_SIGNATURE if c != "state"], *SCORES)
-    per_job = product_join(jobs, scored, JOB_SIGNATURE, ["provider_job_id"])
+    per_job = product_join(jobs, scored, JOB_SIGNATURE, ["provider_job_id"], sizes=sizes["job"])
     per_job = per_job.drop("pr_state", "pr_district", "pr_min", "pr_max", "pr_level")
-    return product_join(seekers, per_job, SEEKER_SIGNATURE, ["seeker_row", "seeker_id"]).drop("sk_state", "sk_district", "sk_salary", "sk_level", "seeker_row")
+    joined = product_join(seekers, per_job, SEEKER_SIGNATURE, ["seeker_row", "seeker_id"], sizes=sizes["seeker"])
+    return joined.drop("sk_state", "sk_district", "sk_salary", "sk_level", "seeker_row")
 
 
 def match(seekers: DataFrame, jobs: DataFrame, states: Sequence[str] | None = None) -> DataFrame:
