@@ -31,6 +31,7 @@ SLACK = 0.0001  # covers the rounding of scores to four decimals
 WORD = 62  # bits of a word: an addition in one leaves its carry in the next bit
 FULL = (1 << WORD) - 1
 SPLIT = 16  # tasks of a band of class pairs
+PAIR_ROWS = 10_000  # pairs that one task compares: about a second's work
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -52,10 +53,13 @@ def common_length(a: Column, b: Column) -> Column:
     The shorter text's places are bits of 62-bit words; every character of the longer one
     updates them at once. Texts of any length; null where one is null.
     """
+    def compared(t: Column) -> Column:
+        size = F.length(t["short"])
+        return F.when(size == 0, 0).when(size <= WORD, _one_word(t["long"], t["short"])).otherwise(_many_words(t["long"], t["short"]))
+
     swap = F.length(a) < F.length(b)
-    long_, short = F.when(swap, b).otherwise(a), F.when(swap, a).otherwise(b)
-    size = F.length(short)
-    return F.when(size == 0, 0).when(size <= WORD, _one_word(long_, short)).otherwise(_many_words(long_, short))
+    both = F.struct(F.when(swap, b).otherwise(a).alias("long"), F.when(swap, a).otherwise(b).alias("short"))
+    return _let(both, compared)
 
 
 def _one_word(long_: Column, short: Column) -> Column:
@@ -213,15 +217,15 @@ def candidate_pairs(left: DataFrame, right: DataFrame, floor: float) -> tuple[Da
     sizes = result_sizes({
         "token": (key_rows(words[0], ["key"]), key_rows(words[1], ["key"])),
         "left": tuple(key_rows(of_left, ["left_class"], F.col(c)) for c in ("_texts", "_met")),
-        "right": tuple(key_rows(of_right, ["right_class"], F.col(c)) for c in ("_met", "_texts"))})
+        "right": tuple(key_rows(of_right, ["right_class"], F.col(c)) for c in ("_met", "_texts"))}, PAIR_ROWS)
     # a pair meets in every token it shares, and counts in the first
     shared = F.array_min(F.array_intersect("left_tokens", "right_tokens"))
-    by_token = product_join(*words, ["key"], ["left_value"], sizes=sizes["token"]).filter(F.col("key") == shared)
+    by_token = product_join(*words, ["key"], ["left_value"], PAIR_ROWS, sizes=sizes["token"]).filter(F.col("key") == shared)
     t = max(floor - SLACK, 0.0)
     reach = (F.col("left_n") + F.col("right_n")) * (t / 2) - 1e-9
     common = F.aggregate(F.zip_with("left_counts", "right_counts", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
-    met = product_join(a, meeting.select("left_class", "right_class"), ["left_class"], ["left_value"], sizes=sizes["left"])
-    near = product_join(met, b, ["right_class"], ["left_value"], sizes=sizes["right"])
+    met = product_join(a, meeting.select("left_class", "right_class"), ["left_class"], ["left_value"], PAIR_ROWS, sizes=sizes["left"])
+    near = product_join(met, b, ["right_class"], ["left_value"], PAIR_ROWS, sizes=sizes["right"])
     apart = near.filter(common >= reach).filter(~F.arrays_overlap("left_tokens", "right_tokens"))
     return by_token.select("left_value", "right_value"), apart.select("left_value", "right_value", "left_text", "right_text")
 
@@ -236,4 +240,6 @@ def scored_pairs(left: DataFrame, right: DataFrame, floor: float) -> DataFrame:
     alone = apart.withColumn("score", F.when((F.length("left_text") > 0) & (F.length("right_text") > 0), ratio).otherwise(0.0))
     scored = token_set_ratio("left_value", "right_value", sharing, "score").unionByName(alone.drop("left_text", "right_text"))
     same = F.lower("left_value") == F.lower("right_value")
-    return scored.withColumn("score", F.when(same, 1.0).otherwise(F.col("score") / 100.0)).filter(F.col("score") >= floor)
+    score = F.array(F.struct(F.when(same, 1.0).otherwise(F.col("score") / 100.0).alias("score")))
+    # as a generator, so that a score is computed once: a filter would be pushed down with a second copy of it
+    return scored.select("left_value", "right_value", F.inline(F.filter(score, lambda s: s["score"] >= floor)))

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import os
+import uuid
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -68,18 +69,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
 
 
-def stage(df):
-    """Materialise a result that is used several times.
+def stage(df: DataFrame) -> DataFrame:
+    """Materialise a result that is used several times, as a table in the shared checkpoint folder.
 
-    The files live in the shared checkpoint folder, so losing an executor
-    costs a re-read and never a re-run of the steps above.
+    Losing an executor costs a re-read and never a re-run of the steps above, and the planner knows
+    the table's size, so it broadcasts small ones by itself. The folder goes when the driver ends.
     """
     spark = df.sparkSession
-    context = spark.sparkContext
-    if not context.getCheckpointDir():
-        path = checkpoint_dir(spark)
-        context.setCheckpointDir(path)
-        if not spark.conf.get("spark.checkpoint.dir", None):  # a folder of our own goes with the driver
-            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
-    return df.checkpoint(eager=True)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return spark.read.schema(df.schema).parquet(path)
