@@ -36,3 +36,32 @@ def test_the_checked_table_is_not_shuffled(spark, tmp_path):
         assert flagged.filter("test_flag = 1").count() == 400
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_a_large_list_leaves_the_table_where_it_is(spark):
+    """Filters and exact joins of the hits give what the joins give, and rows that meet nothing are not shuffled."""
+    from worklink.operators.keyfilter import KeyFilter
+
+    deny = spark.createDataFrame([("phone", f"98765{i:05d}") for i in range(300)] + [("email", "X@y.org")], "kind string, value string")
+    rows = [(str(i), f"+91 98765{i * 7:05d}" if i % 3 else None, "x@Y.org" if i % 50 == 0 else f"m{i}@y.org") for i in range(1000)]
+    table = spark.createDataFrame(rows, "id string, seeker_phone string, seeker_email string")
+    filters = flags.denylist_filters(deny, 0)
+    assert set(filters) == {"phone", "email", "org"} and all(isinstance(f, KeyFilter) for f in filters.values())
+    assert flags.denylist_filters(deny) is None
+    want = {r.id: r.test_flag for r in flags.flag_application(table, deny).collect()}
+    got = {r.id: r.test_flag for r in flags.flag_application(table, deny, filters=filters).collect()}
+    assert got == want and 0 < sum(want.values()) < len(want)
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")
+    saved = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in zip(keys, ("1", "false")):
+            spark.conf.set(k, v)
+        clear = flags._split_by_filters(table.withColumn("_key_seeker_email", F.col("seeker_email")).withColumn("_key_seeker_phone", F.col("seeker_phone")),
+                                        [("phone", "seeker_phone"), ("email", "seeker_email")], filters)[1]
+        plan = clear._jdf.queryExecution().executedPlan().toString()
+        # only the bitmaps of the list are exchanged, the table is scanned and filtered
+        assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") >= 2
+        assert clear.count() >= 500
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)

@@ -45,7 +45,7 @@ def test_a_run_that_breaks_off_leaves_the_old_table_whole(spark, tmp_path):
     assert held(spark, path) == [("KA", 1), ("UP", 2)]
     versions.replace_states(rows(spark, ("KA", "6", 6)), path, "r4", ["KA"])
     assert held(spark, path) == [("KA", 6), ("UP", 2)]
-    assert {p.name for p in tmp_path.glob("t/run=*")} == {"run=r1", "run=r4"}  # folders of broken runs are gone
+    assert {p.name for p in tmp_path.glob("t/_run=*")} == {"_run=r1", "_run=r4"}  # folders of broken runs are gone
 
 
 def test_two_runs_do_not_both_commit_one_version(spark, tmp_path, monkeypatch):
@@ -64,7 +64,7 @@ def test_old_folders_go_once_no_pointer_names_them(spark, tmp_path):
     path = str(tmp_path / "t")
     for i in range(5):
         versions.replace_states(rows(spark, ("KA", "1", i)), path, f"r{i}", ["KA"])
-    assert {p.name for p in tmp_path.glob("t/run=*")} == {"run=r3", "run=r4"} and held(spark, path) == [("KA", 4)]
+    assert {p.name for p in tmp_path.glob("t/_run=*")} == {"_run=r3", "_run=r4"} and held(spark, path) == [("KA", 4)]
 
 
 def test_csv_versions(spark, tmp_path):
@@ -76,6 +76,14 @@ def test_csv_versions(spark, tmp_path):
     assert got["KA"].t == 'a "b"\n,c' and got["KA"].l == '["x"]'
 
 
+def test_a_column_run_is_a_column_like_others(spark, tmp_path):
+    path, frame = str(tmp_path / "t"), rows(spark, ("KA", "1", 1)).withColumn("run", F.lit("mine"))
+    versions.replace_states(frame, path, "r1", ["KA"])
+    assert versions.read_current(spark, path).first().run == "mine"
+    with pytest.raises(ValueError, match="_run"):
+        versions.replace_states(frame.withColumn("_run", F.lit(1)), path, "r2", ["KA"])
+
+
 def test_nothing_committed(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         versions.read_current(spark, str(tmp_path / "none"))

@@ -16,6 +16,8 @@ from worklink.constants import (
 )
 from worklink.functions.text import digits, email_domain, strip, trimmed
 from worklink.operators.keyed import skew_join
+from worklink.operators.keyfilter import KeyFilter
+from worklink.session import size_setting
 
 FLAG = "test_flag"
 
@@ -75,9 +77,8 @@ def in_denylist(df: DataFrame, key: str, kind: str, deny: DataFrame, name: str)
     broadcast, the joins split a phone that fills a third of the table.
     """
     listed = deny.filter(F.col("kind") == kind).select(F.lower("value").alias("_form")).distinct()
-    forms = phone_forms(F.col(key)) if kind == "phone" else [F.col(key)]
     hits = []
-    for i, form in enumerate(forms):
+    for i, form in enumerate(_forms(kind, key)):
         hits.append(f"_hit_{i}")
         found = listed.withColumn(hits[-1], F.lit(True))
         df = skew_join(df.withColumn("_form", form), found, ["_form"]).drop("_form")
@@ -85,18 +86,58 @@ def in_denylist(df: DataFrame, key: str, kind: str, deny: DataFrame, name: str)
     return df.withColumn(name, hit).drop(*hits)
 
 
+ENTRY_BYTES = 100  # of a list's row in memory, to tell whether the list fits a broadcast
+
+
+def denylist_filters(deny: DataFrame, limit: int | None = None) -> dict[str, KeyFilter] | None:
+    """JN-23: filters of a list's values per kind, for a list beyond `limit` bytes; None for a smaller one, which is broadcast.
+
+    The limit is that of a broadcast unless given. Eager: counts the list.
+    """
+    limit = size_setting(deny.sparkSession, "spark.sql.autoBroadcastJoinThreshold") if limit is None else limit
+    counts = {r.kind: r["count"] for r in deny.groupBy("kind").count().collect()}
+    if sum(counts.values()) * ENTRY_BYTES <= limit:
+        return None
+    lowered = deny.select("kind", F.lower("value").alias("_form"))
+    return {k: KeyFilter.of(lowered.filter(F.col("kind") == k), ["_form"], counts.get(k, 0)) for k in ("phone", "email", "org")}
+
+
+def _forms(kind: str, key: str) -> list[Column]:
+    return phone_forms(F.col(key)) if kind == "phone" else [F.col(key)]
+
+
+def _split_by_filters(df: DataFrame, checks: list[tuple[str, str]], filters: dict[str, KeyFilter]) -> tuple[DataFrame, DataFrame]:
+    """Rows that may meet the list, and rows that meet nothing of it; tested where the rows are, nothing is shuffled."""
+    may = []
+    for kind, c in checks:
+        for form in _forms(kind, f"_key_{c}"):
+            may.append(f"_may_{len(may)}")
+            df = filters[kind].mark(df, [form], may[-1])
+    hit = reduce(lambda a, b: a | b, [F.col(m) for m in may])
+    return df.filter(hit).drop(*may), df.filter(~hit).drop(*may)
+
+
 def _column(df: DataFrame, name: str) -> Column:
     return F.col(name) if name in df.columns else F.lit(None).cast("string")
 
 
 def _flag(df: DataFrame, deny: DataFrame, phones: Sequence[str], emails: Sequence[str],
-          orgs: Sequence[str], domains: Sequence[str], words: Sequence[str]) -> DataFrame:
-    """Sets the flag when any of the columns looks like a test value."""
+          orgs: Sequence[str], domains: Sequence[str], words: Sequence[str],
+          filters: dict[str, KeyFilter] | None = None) -> DataFrame:
+    """Sets the flag when any of the columns looks like a test value.
+
+    With the `filters` of a large list only rows that may meet it are joined with it; the others stay where they are.
+    """
     checks = [(k, c) for k, cs in (("phone", phones), ("email", emails), ("org", orgs)) for c in cs]
     out = df.drop(FLAG).withColumns({f"_key_{c}": _key(k, _column(df, c)) for k, c in checks})
+    parts = [out] if filters is None else _split_by_filters(out, checks, filters)
+    may = parts[0]
+    for kind, c in checks:
+        may = in_denylist(may, f"_key_{c}", kind, deny, f"_denied_{c}")
+    clear = [p.withColumns({f"_denied_{c}": F.lit(False) for _, c in checks}) for p in parts[1:]]
+    out = reduce(DataFrame.unionByName, [may, *clear])
     rules = []
     for kind, c in checks:
-        out = in_denylist(out, f"_key_{c}", kind, deny, f"_denied_{c}")
         text = trimmed(_column(df, c))
         rules.append(F.col(f"_denied_{c}"))
         if kind == "phone":
@@ -110,29 +151,29 @@ def _flag(df: DataFrame, deny: DataFrame, phones: Sequence[str], emails: Sequenc
     return out.withColumn(FLAG, hit.cast("int")).drop(*helpers)
 
 
-def flag_user(df, deny, domains=(), words=TEST_ORG_WORDS):
+def flag_user(df, deny, domains=(), words=TEST_ORG_WORDS, filters=None):
     """RUL-05."""
-    return _flag(df, deny, ["phone_number"], ["email"], [], domains, words)
+    return _flag(df, deny, ["phone_number"], ["email"], [], domains, words, filters)
 
 
-def flag_profile(df, deny, domains=(), words=TEST_ORG_WORDS):
+def flag_profile(df, deny, domains=(), words=TEST_ORG_WORDS, filters=None):
     """RUL-06."""
-    return _flag(df, deny, ["phone"], [], [], domains, words)
+    return _flag(df, deny, ["phone"], [], [], domains, words, filters)
 
 
-def flag_organization(df, deny, domains=(), words=TEST_ORG_WORDS):
+def flag_organization(df, deny, domains=(), words=TEST_ORG_WORDS, filters=None):
     """RUL-07."""
-    return _flag(df, deny, ["contact_phone"], ["contact_email"], ["name"], domains, words)
+    return _flag(df, deny, ["contact_phone"], ["contact_email"], ["name"], domains, words, filters)
 
 
-def flag_application(df, deny, domains=(), words=TEST_ORG_WORDS):
+def flag_application(df, deny, domains=(), words=TEST_ORG_WORDS, filters=None):
     """RUL-09."""
-    return _flag(df, deny, ["seeker_phone"], ["seeker_email"], [], domains, words)
+    return _flag(df, deny, ["seeker_phone"], ["seeker_email"], [], domains, words, filters)
 
 
-def flag_posting(df, deny, domains=(), words=TEST_ORG_WORDS):
+def flag_posting(df, deny, domains=(), words=TEST_ORG_WORDS, filters=None):
     """RUL-10: by the organisation's name as the posting spells it."""
-    return _flag(df, deny, [], [], ["organization_name"], domains, words)
+    return _flag(df, deny, [], [], ["organization_name"], domains, words, filters)
 
 
 def flagged(df: DataFrame) -> DataFrame:
@@ -165,15 +206,15 @@ FLAG_RULES = {
 
 def flag_table(df: DataFrame, table: str, deny: DataFrame, domains: Sequence[str] = (),
                words: Sequence[str] = TEST_ORG_WORDS,
-               organizations: DataFrame | None = None) -> DataFrame:
-    """RUL-11: the rule of a table; members need their flagged organisations."""
+               organizations: DataFrame | None = None, filters: dict[str, KeyFilter] | None = None) -> DataFrame:
+    """RUL-11: the rule of a table; members need their flagged organisations. `filters` are those of a large list."""
     if table == "member":
         if organizations is None:
             raise ValueError("members are flagged by their organisations")
         return flag_member(df, organizations)
     if table not in FLAG_RULES:
         raise ValueError(f"unknown table {table!r}")
-    return FLAG_RULES[table](df, deny, domains, words)
+    return FLAG_RULES[table](df, deny, domains, words, filters)
 
 
 def flag_totals(tables: dict[str, DataFrame]) -> DataFrame:

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from worklink.session import stage
+
 FIRST_BY = ("created_at", "id")  # what makes a row the first of its key
 TASK_ROWS = 1_000_000  # result rows of a product join that one task makes
 
@@ -125,3 +127,25 @@ def mark_duplicates(df: DataFrame, keys: dict[str, Column], name: str = "duplica
     marked = skew_join(keyed, duplicate_groups(keyed, [*keep, *cols]), [*keep, *cols])
     flag = F.when(F.col("group_size") > 1, "Yes").otherwise("No")
     return marked.withColumn(name, flag).drop("group_size", *cols)
+
+
+def ranked(df: DataFrame, by: list[str], order: list[Column], name: str = "rank") -> DataFrame:
+    """SRT-01: adds each row's place (from 1) among the rows of the same `by`, in `order`.
+
+    The table is sorted over ranges of (by, order), each range numbers its own rows, and the rows in the ranges
+    before are added, so no task sees more than its range. `order` should end in a key, as equal rows cannot be
+    split. Only rows per range and `by` reach the driver. Eager: the sorted ranges are stored.
+    """
+    dealt = df.repartitionByRange(*[F.col(c) for c in by], *order).withColumn("_range", F.spark_partition_id())
+    ranges = stage(dealt)
+    counts = ranges.groupBy(*by, "_range").count().collect()
+    before, seen = [], {}
+    for row in sorted(counts, key=lambda r: r["_range"]):
+        group = tuple(row[c] for c in by)
+        before.append((*group, row["_range"], seen.get(group, 0)))
+        seen[group] = seen.get(group, 0) + row["count"]
+    starts = df.sparkSession.createDataFrame(before, ranges.select(*by, "_range").withColumn("_before", F.lit(0).cast("long")).schema)
+    number = F.row_number().over(Window.partitionBy("_range", *by).orderBy(*order))
+    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in (*by, "_range")]
+    numbered = ranges.withColumn("_number", number).alias("l").join(F.broadcast(starts.alias("r")), reduce(lambda a, b: a & b, same))
+    return numbered.select(*[F.col(f"l.{c}").alias(c) for c in df.columns], (F.col("_number") + F.col("_before")).alias(name))

@@ -27,7 +27,7 @@ from worklink.functions.text import clean_str, is_empty_value, trimmed
 from worklink.operators.keyed import skew_join
 from worklink.operators.similarity import scored_pairs
 from worklink.operators.stats import distinct_values
-from worklink.session import stage
+from worklink.session import read_or_empty, stage
 
 Labeller = Callable[[list[str]], list[dict | None]]
 
@@ -90,12 +90,35 @@ def label_distinct(values: DataFrame, labeller: Labeller, fields: Sequence[str],
     return rest if first is None else first.unionByName(rest)
 
 
-def _labelled(values: DataFrame, labeller: Labeller, fields: Sequence[str], **options) -> DataFrame:
+def _labelled(values: DataFrame, labeller: Labeller, fields: Sequence[str], store: str | None = None, **options) -> DataFrame:
     """Labels kept in the checkpoint folder: a predictor is asked once per text,
-    however many columns and reports read the answer."""
+    however many columns and reports read the answer. With `store` it is asked once for all runs."""
+    if store is not None:
+        return stored_labels(values, labeller, fields, store, **options)
     return stage(label_distinct(values, labeller, fields, **options).drop("answered"))
 
 
+def stored_labels(values: DataFrame, labeller: Labeller, fields: Sequence[str], store: str, **options) -> DataFrame:
+    """LBL-01, LBL-03: labels of the distinct texts in column `value`, from a table that outlives the run.
+
+    Only texts the table at the path `store` does not hold are sent; their answers are appended to it. Texts of a
+    batch that got no answer have null labels and are not stored, so the next run sends them again. Should two runs store one
+    text, the smaller answer counts. Eager.
+    """
+    spark = values.sparkSession
+    schema = "value string, " + ", ".join(f"{f} string" for f in fields)
+
+    def known() -> DataFrame:
+        held = read_or_empty(spark, store, schema)
+        return held.groupBy("value").agg(F.min(F.struct(*fields)).alias("_label"))
+
+    unseen = stage(values.join(known(), "value", "left_anti"))
+    if not unseen.isEmpty():
+        answers = label_distinct(unseen, labeller, fields, **options)
+        answers.filter("answered").drop("answered").write.mode("append").parquet(store)
+    return stage(values.join(known(), "value", "left").select("value", *[F.col(f"_label.{f}").alias(f) for f in fields]))
+
+
 def label_by_lookup(values: DataFrame, lookup: DataFrame, fields: Sequence[str],
                     floor: float | None = None) -> DataFrame:
     """Offline labels for the distinct texts in column `value` from known texts.
@@ -165,20 +188,29 @@ def reply_answers(replies: DataFrame, fields: Sequence[str]) -> DataFrame:
 def apply_taxonomy(df: DataFrame, cols: Sequence[str], lookup: DataFrame) -> DataFrame:
     """PRJ-18, JN-21: six label columns per source column, null without a match.
 
-    Existing label columns are replaced, so a second run gives the same result.
+    The distinct combinations of the columns' texts are unpivoted, joined with the lookup once and pivoted back, so
+    the table itself is joined once however many columns it has. Existing label columns are replaced, so a second
+    run gives the same result.
     """
+    outputs = {c: {f: f"llm_{c}_{s}" for f, s in ROLE_SUFFIXES.items()} for c in cols}
+    df = df.drop(*[o for names in outputs.values() for o in names.values()])
+    there = [c for c in cols if c in df.columns]
     labels = lookup.select(F.col("value").alias("_raw"), F.struct(*ROLE_FIELDS).alias("_label"))
-    for c in cols:
-        outputs = {f: f"llm_{c}_{s}" for f, s in ROLE_SUFFIXES.items()}
-        df = df.drop(*outputs.values())
-        if c not in df.columns:
-            df = df.withColumns({o: F.lit(None).cast("string") for o in outputs.values()})
-            continue
-        keyed = df.withColumn("_raw", clean_str(F.col(c)))
-        df = skew_join(keyed, labels, ["_raw"]).withColumns(
-            {o: F.col(f"_label.{f}") for f, o in outputs.items()}
-        ).drop("_raw", "_label")
-    return df
+    raws = {c: f"_raw_{i}" for i, c in enumerate(there)}
+    df = df.withColumns({r: F.coalesce(clean_str(F.col(c)), F.lit("")) for c, r in raws.items()})
+    if len(there) == 1:
+        df = skew_join(df.withColumnRenamed("_raw_0", "_raw"), labels, ["_raw"]).withColumnRenamed("_label", "_label_0").drop("_raw")
+    elif there:
+        keys = list(raws.values())
+        combined = df.select(*keys).distinct()
+        texts = combined.select(*keys, F.posexplode(F.array(*keys)).alias("_at", "_raw")).filter("_raw <> ''")
+        found = skew_join(texts, labels, ["_raw"], "inner").groupBy(*keys).agg(*[
+            F.max(F.when(F.col("_at") == i, F.col("_label"))).alias(f"_label_{i}") for i in range(len(keys))])
+        df = skew_join(df, found, keys).drop(*keys)
+    null = F.lit(None).cast("string")
+    return df.withColumns({
+        o: F.col(f"_label_{there.index(c)}.{f}") if c in there else null for c, names in outputs.items() for f, o in names.items()
+    }).drop(*[f"_label_{i}" for i in range(len(there))])
 
 
 def role_lookup(tables: list[DataFrame], cols: Sequence[str],

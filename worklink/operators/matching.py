@@ -36,6 +36,7 @@ from worklink.operators.keyed import (
     first_per_key,
     key_rows,
     product_join,
+    ranked,
     result_sizes,
     skew_join,
 )
@@ -363,5 +364,6 @@ def match_report(seekers: DataFrame, jobs: DataFrame, users_seeker: DataFrame,
 
 
 def sort_matches(df: DataFrame) -> DataFrame:
-    """SRT-01: best confidence first within a state, ids break ties."""
-    return df.orderBy("state", F.desc("confidence_score_%"), "seeker_id", "provider_job_id")
+    """SRT-01: adds `rank`: best confidence first within a state, ids break ties. A reader can rely on it
+    whatever the order of the files."""
+    return ranked(df, ["state"], [F.desc("confidence_score_%"), F.asc("seeker_id"), F.asc("provider_job_id")])

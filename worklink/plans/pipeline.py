@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from worklink.constants import STATES, TEST_ORG_WORDS
 from worklink.operators import extract, matching
-from worklink.operators.flags import flag_table
+from worklink.operators.flags import denylist_filters, flag_table
 from worklink.operators.labels import Labeller, LabellerDown, label_all_locations, label_roles
 from worklink.operators.stats import pending_outputs
 from worklink.plans import application_fact as fact
@@ -69,25 +69,27 @@ def enrich(tables: dict[str, DataFrame], places: Labeller | DataFrame,
 
 def enrich_one(table: str, df: DataFrame, places: Labeller | DataFrame, roles: Labeller | DataFrame, **options) -> DataFrame:
     kind = kind_of(table)
-    located = label_all_locations({kind: df}, places, **options)
-    return label_roles(located, roles, **options)[kind]
+    store = options.pop("store", None)
+    located = label_all_locations({kind: df}, places, store=store and f"{store}/places", **options)
+    return label_roles(located, roles, store=store and f"{store}/roles", **options)[kind]
 
 
 def flag_all(tables: dict[str, DataFrame], deny: DataFrame, domains: Sequence[str] = (),
              words: Sequence[str] = TEST_ORG_WORDS) -> dict[str, DataFrame]:
     """Flags of every table; members last, by the organisations of their own side."""
     out: dict[str, DataFrame] = {}
+    filters = denylist_filters(deny)
     for t in sorted(tables, key=lambda t: kind_of(t) == "member"):
-        out[t] = flag_one(t, tables[t], out, deny, domains, words)
+        out[t] = flag_one(t, tables[t], out, deny, domains, words, filters)
     return out
 
 
 def flag_one(table: str, df: DataFrame, flagged: dict[str, DataFrame], deny: DataFrame,
-             domains: Sequence[str] = (), words: Sequence[str] = TEST_ORG_WORDS) -> DataFrame:
-    """Flags of one table; `flagged` holds the organisations that members look up."""
+             domains: Sequence[str] = (), words: Sequence[str] = TEST_ORG_WORDS, filters=None) -> DataFrame:
+    """Flags of one table; `flagged` holds the organisations that members look up, `filters` those of a large list."""
     kind = kind_of(table)
     orgs = flagged[table.replace("member", "org")] if kind == "member" else None
-    return flag_table(df, kind, deny, domains, words, orgs)
+    return flag_table(df, kind, deny, domains, words, orgs, filters)
 
 
 REPORTS = {
@@ -148,7 +150,8 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], root: str, deny: DataFra
     `raw` is keyed like the fields of Bundle. Stage tables go below `<root>/processed`, reports, the tables
     as text and the logs below the production or test target. Every table replaces exactly the states of the run
     (`sinks.versions`): a state that became empty reads as empty, other states stay, and a run that
-    breaks off leaves the old tables whole. With `resume`, what the manifest holds as done for a state is neither built nor
+    breaks off leaves the old tables whole. What a labeller answered is kept below `<root>/labels`; later runs send only texts it
+    does not hold. With `resume`, what the manifest holds as done for a state is neither built nor
     written; otherwise the manifest starts anew for the states of the run. Reports are also written as `tabs/<report>`, CSV
     under the published headers; `headers` gives those that a report's destination has, in its order. A
     table or report that fails is noted and the run goes on; a labeller that does not answer its first batch
@@ -174,12 +177,13 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], root: str, deny: DataFra
 
     flat = written({t: lambda t=t, df=df: clean_one(t, matching.only_states(df, wanted)) for t, df in raw.items()}, "flat")
     labelled = written(
-        {t: lambda t=t, df=df: enrich_one(t, df, places, roles, check_first=True) for t, df in flat.items()}, "labelled")
+        {t: lambda t=t, df=df: enrich_one(t, df, places, roles, check_first=True, store=f"{root.rstrip('/')}/labels") for t, df in flat.items()}, "labelled")
     tables: dict[str, DataFrame] = {}
+    filters = denylist_filters(deny)
     counts.clear()  # of the flagged tables, the last step
     for members in (False, True):
         tables |= written({
-            t: lambda t=t, df=df: flag_one(t, df, tables, deny, domains, words)
+            t: lambda t=t, df=df: flag_one(t, df, tables, deny, domains, words, filters)
             for t, df in labelled.items() if (kind_of(t) == "member") == members}, "flagged")
     errors.extend(runlog.publish_all(
         {t: lambda df=df: df for t, df in tables.items()},

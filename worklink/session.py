@@ -69,15 +69,38 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared checkpoint folder; it goes when the driver ends."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Materialise a result that is used several times, as a table in the shared checkpoint folder.
 
     Losing an executor costs a re-read and never a re-run of the steps above, and the planner knows
-    the table's size, so it broadcasts small ones by itself. The folder goes when the driver ends.
+    the table's size, so it broadcasts small ones by itself.
     """
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession, "stage")
     df.write.parquet(path)
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def size_setting(spark: SparkSession, key: str) -> int:
+    """A setting such as 10485760b, 10m or -1 in bytes."""
+    text = spark.conf.get(key).strip().lower().removesuffix("b")
+    scale = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
+    return int(text[:-1]) * scale[text[-1]] if text[-1:] in scale else int(text)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder, or anything a pattern names, is there."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(jvm_path))
+
+
+def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A Parquet table, or an empty one where there is none yet."""
+    return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)

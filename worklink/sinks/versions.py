@@ -1,6 +1,6 @@
 """Tables whose states are replaced as a whole, or not at all (SNK-01..SNK-04, SNK-10, FLT-08, AGG-07).
 
-A table is a folder with one folder per run, `run=<id>/state=<state>`, and a pointer that names the valid run of every
+A table is a folder with one folder per run, `_run=<id>/state=<state>`, and a pointer that names the valid run of every
 state. A write adds a folder of its own and then, in one rename, a new pointer. Until then
 readers see the old table, whatever happened to the run; from then on they see the new rows of all its
 states, none where a state received no rows. States that are not of the run keep theirs. Rows are counted while they are written.
@@ -47,13 +47,16 @@ def current(spark: SparkSession, path: str) -> dict | None:
 def write_run(df: DataFrame, path: str, run: str, states: Sequence[str], fmt: str = "parquet", **options) -> dict[str, int]:
     """First step: the rows of a run in a folder of its own; returns rows per state, counted on the way.
 
-    Rows of other states than the run's are not written. Nothing is visible before `point`.
+    Rows of other states than the run's are not written. Nothing is visible before `point`. A column `_run` would
+    clash with the folders.
     """
+    if "_run" in df.columns:
+        raise ValueError("a table that is replaced by states cannot have a column _run")
     rows = df.filter(F.col("state").isin(*states))
     counted = Observation()
     rows = rows.observe(counted, F.count(F.lit(1)).alias("n"), *[
         F.count(F.when(F.col("state") == s, 1)).alias(f"n{i}") for i, s in enumerate(states)])
-    rows.write.mode("errorifexists").partitionBy("state").options(**options).format(fmt).save(f"{path}/run={run}")
+    rows.write.mode("errorifexists").partitionBy("state").options(**options).format(fmt).save(f"{path}/_run={run}")
     metrics = counted.get
     return {s: metrics[f"n{i}"] for i, s in enumerate(states)}
 
@@ -76,9 +79,9 @@ def point(spark: SparkSession, path: str, run: str, states: Sequence[str], schem
     if fs.exists(final) or not fs.rename(draft, final):
         raise RuntimeError(f"{path}: another run committed version {number}")
     kept = [_pointer(spark, path, n) for n in numbers[-(KEPT - 1):]] + [new]
-    named = {f"run={r}" for p in kept for r in p["runs"].values()}
+    named = {f"_run={r}" for p in kept for r in p["runs"].values()}
     for folder in _listed(spark, path):
-        if folder.startswith("run=") and folder not in named:
+        if folder.startswith("_run=") and folder not in named:
             fs.delete(jvm_path(f"{path}/{folder}"), True)
     for n in numbers[: -(KEPT - 1)]:
         fs.delete(jvm_path(f"{path}/{POINTERS}/{n:09d}"), False)
@@ -98,7 +101,7 @@ def read_current(spark: SparkSession, path: str, states: Sequence[str] | None =
         raise FileNotFoundError(f"{path}: nothing was committed")
     schema = T.StructType.fromJson(pointer["schema"])
     fs, jvm_path = _files(spark, path)
-    folders = [f"{path}/run={run}/state={s}" for s, run in sorted(pointer["runs"].items()) if states is None or s in states]
+    folders = [f"{path}/_run={run}/state={s}" for s, run in sorted(pointer["runs"].items()) if states is None or s in states]
     folders = [f for f in folders if fs.exists(jvm_path(f))]
     if not folders:
         return spark.createDataFrame([], schema)

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from worklink.operators.flags import parse_denylist
 from worklink.operators.matching import only_states
+from worklink.session import path_exists
 from worklink.sinks.versions import POINTERS, read_current
 
 # multi-line because JSON text may hold line breaks
@@ -22,12 +23,6 @@ def text_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return bool(fs.globStatus(jvm_path))
-
-
 def read_table(spark: SparkSession, path: str, fmt: str = "csv",
                schema: T.StructType | None = None, columns: Sequence[str] | None = None,
                missing_ok: bool = False, recursive: bool = False) -> DataFrame:
@@ -37,10 +32,10 @@ def read_table(spark: SparkSession, path: str, fmt: str = "csv",
     their form. Only the columns asked for are read. Of a table that a run has committed
     (`sinks.versions`) the valid rows are read.
     """
-    if _exists(spark, f"{path}/{POINTERS}"):
+    if path_exists(spark, f"{path}/{POINTERS}"):
         df = read_current(spark, path)
         return df if columns is None else df.select(*columns)
-    if missing_ok and not _exists(spark, path):
+    if missing_ok and not path_exists(spark, path):
         return spark.createDataFrame([], schema or text_schema(columns or []))
     reader = spark.read
     if fmt == "csv":
@@ -107,6 +102,6 @@ def load_bundle(spark: SparkSession, root: str, states: Sequence[str] | None = N
                 fmt: str = "parquet") -> Bundle:
     """SRC-12: tables below `root`, partitioned by state; other states are not read."""
     # members of the provider side are optional
-    names = [f.name for f in fields(Bundle) if f.default is not None or _exists(spark, f"{root}/{f.name}")]
+    names = [f.name for f in fields(Bundle) if f.default is not None or path_exists(spark, f"{root}/{f.name}")]
     bundle = Bundle(**{n: read_table(spark, f"{root}/{n}", fmt) for n in names})
     return bundle.states(states)

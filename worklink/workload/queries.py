@@ -22,9 +22,11 @@ from worklink.plans import rules
 from worklink.plans import seeker_profile as seekers
 from worklink.plans.application_fact import application_fact
 from worklink.plans.pipeline import clean, enrich, flag_all
-from worklink.session import configure, stage
+from worklink.session import configure, scratch, stage
 from worklink.sinks import runlog
-from worklink.sinks.tables import align_to_headers, all_text
+from worklink.sinks.tables import BOM, align_to_headers, all_text, with_headers, write_table
+from worklink.sinks.versions import read_current, replace_states
+from worklink.sources.files import read_table
 from worklink.workload import oracle_sql as O
 from worklink.workload.bindings import AS_OF, bind, with_clause
 from worklink.workload.oracle_json import flatten_sql
@@ -271,6 +273,69 @@ def publish_text(spark, d):
     return all_text(bind(spark, d, "profile").select("id", "name", "phone", "age", "created_at"))
 
 
+# ------------------------------------------------------------ scans and sinks
+
+@query(f"{b('job_posting')} SELECT state, id, nullif(role, '') AS role, nullif(organization_name, '') AS organization_name FROM b_job_posting")
+def csv_scan(spark, d):
+    """SRC-05..SRC-07, SNK-01..SNK-03: postings as CSV with nested columns and a byte-order mark, some columns read again."""
+    jobs = job_rows(spark, d).select("state", "id", "role", "organization_name", F.struct("id", "role").alias("nested"))
+    path = write_table(jobs, scratch(spark, "csv"), "job_posting", "csv", bom=True)
+    rows = read_table(spark, path, "csv")
+    first = rows.columns[0]
+    return rows.withColumnRenamed(first, first.lstrip(BOM)).select("state", "id", "role", "organization_name")
+
+
+@query(f"""{b('job_posting')} SELECT state, count(*) AS n_rows, CAST(sum(length(nested)) AS BIGINT) AS n_chars FROM (SELECT state, '{{"id":"' || id || '"'
+  || CASE WHEN role IS NULL THEN '' ELSE ',"role":"' || role || '"' END || '}}' AS nested FROM b_job_posting) GROUP BY state""")
+def csv_nested(spark, d):
+    """SNK-01, SNK-02: nested values arrive as JSON text."""
+    jobs = job_rows(spark, d).select("state", "id", F.struct("id", "role").alias("nested"))
+    rows = read_table(spark, write_table(jobs, scratch(spark, "csv"), "job_posting", "csv"), "csv")
+    return rows.groupBy("state").agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.length("nested")).alias("n_chars"))
+
+
+@query(f"""{with_clause('profile', 'job_posting')} SELECT 'profile' AS name, state, count(*) AS n_rows FROM b_profile GROUP BY state
+UNION ALL SELECT 'job_posting', state, count(*) FROM b_job_posting WHERE state = 'KA' GROUP BY state""")
+def load_tables(spark, d):
+    """SRC-09, SRC-12, SNK-10: tables partitioned by state, one state of one of them, and one that is not there."""
+    root = scratch(spark, "tables")
+    for name, rows in (("profile", seeker_rows(spark, d)), ("job_posting", job_rows(spark, d))):
+        write_table(rows.select("state", "id"), root, name)
+    read = {n: read_table(spark, f"{root}/{n}", "parquet", columns=["state", "id"], missing_ok=True) for n in ("profile", "job_posting", "lost")}
+    read["job_posting"] = matching.only_states(read["job_posting"], ["KA"])
+    counts = [df.groupBy("state").agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("name"), "state", "n_rows") for n, df in read.items()]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
+@query(f"""{b('profile')} SELECT state, id, name, 'first' AS run FROM b_profile WHERE state = 'UP'
+UNION ALL SELECT state, id, name, 'second' AS run FROM b_profile WHERE state = 'KA' AND phone IS NULL""")
+def replaced_states(spark, d):
+    """SNK-02, SNK-04, SNK-10, FLT-08: a run of one state replaces exactly that state."""
+    path, rows = scratch(spark, "versions"), seeker_rows(spark, d).select("state", "id", "name", "phone")
+    replace_states(rows.withColumn("run", F.lit("first")), path, "r1", ["KA", "UP"])
+    replace_states(rows.filter("phone IS NULL").withColumn("run", F.lit("second")), path, "r2", ["KA"])
+    return read_current(spark, path).drop("phone")
+
+
+@query(f"""{b('job_posting')} SELECT state, count(*) AS n_rows FROM b_job_posting WHERE lower(trim(status)) = 'open' GROUP BY state
+UNION ALL SELECT 'XX', 0""")
+def counted_writes(spark, d):
+    """AGG-07, SNK-06: rows per state counted while they are written; a state without rows has 0."""
+    jobs = matching.open_jobs(job_rows(spark, d), include_flagged=True).select("state", "id")
+    counts = replace_states(jobs, scratch(spark, "versions"), "r1", ["KA", "UP", "XX"])
+    return spark.createDataFrame(list(counts.items()), "state string, n_rows long")
+
+
+PUBLISHED = {"Id": "id", "Phone Number": "phone", "trade": "iti_specialization"}
+
+
+@query(f"""{b('profile')} SELECT state, nullif(id, '') AS "Id", CAST(NULL AS VARCHAR) AS "unknown", nullif(iti_specialization, '') AS trade,
+  nullif(phone, '') AS "Phone Number" FROM b_profile""")
+def published_headers(spark, d):
+    """SNK-04, PRJ-10: columns under published headers, in the order of the destination's."""
+    return with_headers(seeker_rows(spark, d), {c_: h for h, c_ in PUBLISHED.items()}, ["Id", "unknown", "trade", "", ""], ["state"])
+
+
 # ------------------------------------------------------------ flags
 
 def deny_table(spark, d):
@@ -338,6 +403,14 @@ def flag_application(spark, d):
         "state", "id", "test_flag")
 
 
+@query(O.flag_sql("job_application", f"{O.test_phone('seeker_phone')} OR {O.test_email('seeker_email')}", "state, id"))
+def flag_large_list(spark, d):
+    """RUL-02, RUL-09, JN-23 as for a list beyond any broadcast: a filter in the scan, exact joins of the hits only."""
+    deny = deny_table(spark, d)
+    return flags.flag_application(
+        bind(spark, d, "job_application"), deny, DOMAINS, filters=flags.denylist_filters(deny, 0)).select("state", "id", "test_flag")
+
+
 @query(O.flag_sql("job_posting", O.test_org("organization_name"), "state, id"))
 def flag_posting(spark, d):
     """RUL-04, RUL-10."""
@@ -502,6 +575,17 @@ def match_report(spark, d):
         bind(spark, d, "member"), bind(spark, d, "org_seeker"), bind(spark, d, "user_provider"))
 
 
+@query(f"""SELECT state, seeker_id, provider_job_id, CAST(row_number() OVER (PARTITION BY state
+  ORDER BY "confidence_score_%" DESC, seeker_id, provider_job_id) AS BIGINT) AS rank FROM ({O.MATCH_REPORT})""")
+def match_ranked(spark, d):
+    """SRT-01: the order of the match table."""
+    rows = matching.match_report(
+        seeker_rows(spark, d), job_rows(spark, d), bind(spark, d, "user_seeker"),
+        bind(spark, d, "member"), bind(spark, d, "org_seeker"), bind(spark, d, "user_provider"))
+    slim = rows.select("state", "seeker_id", "provider_job_id", "confidence_score_%")
+    return matching.sort_matches(slim).drop("confidence_score_%")
+
+
 @query(f"{O.match_with()} SELECT state, provider_job_id, right_fit, partial_fit FROM {O.fit_sql('provider_job_id')}")
 def match_counts_job(spark, d):
     """AGG-01, FLT-11."""
@@ -705,6 +789,10 @@ def place_labeller(texts: list[str]) -> list[dict | None]:
     return out
 
 
+def no_labeller(texts: list[str]) -> list[dict | None]:
+    raise ConnectionError("nothing is left to ask")
+
+
 @query(f"""{b('profile')}, p AS (SELECT id, concat_ws(', ', nullif(trim(location_city), ''), nullif(trim(location_state), '')) AS t FROM b_profile)
 SELECT id, CASE WHEN contains(t, ', ') THEN split_part(t, ', ', 2) ELSE '' END AS llm_location_state,
   CASE WHEN contains(t, ', ') THEN split_part(t, ', ', 1) END AS llm_location_district FROM p""")
@@ -715,6 +803,18 @@ def label_batches(spark, d):
     return rows.select("id", "llm_location_state", "llm_location_district")
 
 
+@query(f"""{b('profile')}, v AS (SELECT DISTINCT {O.strip('location_city')} AS value FROM b_profile WHERE {O.strip('location_city')} <> '')
+SELECT value, CASE WHEN contains(value, ', ') THEN split_part(value, ', ', 2) ELSE '' END AS state,
+  CASE WHEN contains(value, ', ') THEN split_part(value, ', ', 1) END AS district FROM v""")
+def label_store(spark, d):
+    """LBL-01, LBL-03: half of the texts is labelled by a first run, the other half by a second; a third sends nothing."""
+    store, values = scratch(spark, "labels"), stats.distinct_values([seeker_rows(spark, d)], ["location_city"])
+    half = values.filter(F.crc32("value") % 2 == 0)
+    labels.stored_labels(half, place_labeller, ["state", "district"], store)
+    labels.stored_labels(values, place_labeller, ["state", "district"], store)
+    return labels.stored_labels(values, no_labeller, ["state", "district"], store)
+
+
 @query(f"""{with_clause('profile', 'taxonomy').replace('WITH ', 'WITH RECURSIVE ', 1)},
 v AS (SELECT DISTINCT {O.strip('iti_specialization')} AS value FROM b_profile WHERE {O.strip('iti_specialization')} <> ''),
 exact AS (SELECT v.value, t.value AS known FROM v JOIN b_taxonomy t ON lower(t.value) = lower(v.value)),
