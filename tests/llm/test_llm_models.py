@@ -63,6 +63,24 @@ def test_quality_reads_every_passage(monkeypatch):
     assert features[0, -1] == pytest.approx(math.sqrt(2 / 4)) and features[1, -1] == 0
 
 
+def test_word_repeats_against_brute_force():
+    """A word repeats if it equals the word before in all its bytes; words end at passage borders."""
+    rng = np.random.default_rng(4)
+    texts = ["abcdefg1 abcdefg2 abcdefg3", "same same  same other", "", " x x", "abcdefgh" * 40 + " " + "abcdefgh" * 40,
+             " ".join(rng.choice(["word", "longer-word-1", "longer-word-2", "é"], 3000))]
+    raw = np.frombuffer("".join(texts).encode(), np.uint8)
+    kinds = quality.TABLE[raw]
+    passage = np.repeat(np.arange(len(texts)), [len(t.encode()) for t in texts])
+    words, repeated = quality.word_repeats(raw, kinds, passage, len(texts))
+    for i, text in enumerate(texts):
+        own = text.encode().split()
+        assert words[i] == len(own) and repeated[i] == sum(a == b for a, b in zip(own, own[1:])), text[:40]
+    power = 1
+    for p in quality.powers(quality.ODD, 5):
+        assert int(p) == power
+        power = power * quality.ODD % (1 << 64)
+
+
 def test_quality_held_out(spark):
     docs, labels = read_table(spark, DATA, "documents"), read_table(spark, DATA, "labels")
     found = quality.classify_quality(docs, labels).join(labels, "doc_id").filter("held_out").toPandas()
@@ -132,6 +150,16 @@ def test_language_odd_rows(spark):
     assert [(r.lang_pred, r.score) for r in untaught] == [("und", 0.0)]
 
 
+def test_few_labelled_texts_reject_as_many_do(spark):
+    """The same gibberish goes from a table of 60 documents and from one of 200."""
+    docs = read_table(spark, DATA, "documents").select("doc_id", "text", "lang").orderBy("doc_id")
+    noise = spark.createDataFrame([(10_001, "qzx vkq jjwq xzqk " * 20, None)], docs.schema)
+    for n in (60, 200):
+        some = docs.filter(F.col("doc_id") < n)
+        kept = {r.doc_id for r in language.keep_known_languages(some.unionByName(noise)).collect()}
+        assert 10_001 not in kept and len(kept) >= 0.9 * n
+
+
 def test_unknown_languages_go(spark):
     rng = random.Random(3)
 

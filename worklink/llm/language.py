@@ -23,7 +23,6 @@ COMMON = 4096  # n-grams whose vectors are kept as one matrix
 SLICE = 1 << 19  # characters worked on at a time
 ROWS = 256  # documents whose vectors are built at a time
 QUANTILE, MOST_LOST = 0.01, 0.05  # of the labelled texts' cosines, over all of them and within one language
-FEWEST = 100  # texts that a quantile is read from
 STEPS = 10_000  # of the histogram of cosines
 
 
@@ -240,8 +239,8 @@ def least_cosines(taught: DataFrame, model: LanguageModel) -> np.ndarray:
     """Per language of the model, the cosine below which a text counts as none of the languages.
 
     The QUANTILE of the cosines of all taught texts with letters to their own language, lowered where
-    it would take more than MOST_LOST of a language's own texts. Fewer than FEWEST texts
-    cannot tell such a quantile: 0. At most STEPS + 1 counts per language reach the driver.
+    it would take more than MOST_LOST of a language's own texts; of few texts it is the lowest cosine. 0 without
+    taught texts. At most STEPS + 1 counts per language reach the driver.
     """
     shared = taught.sparkSession.sparkContext.broadcast(model)
 
@@ -270,8 +269,6 @@ def least_cosines(taught: DataFrame, model: LanguageModel) -> np.ndarray:
         return int(np.searchsorted(counts.cumsum(), q * counts.sum(), "right")) / STEPS
 
     pooled = totals.sum(axis=0)
-    if pooled.sum() < FEWEST:
-        return np.zeros(len(totals))
     return np.array([min(quantile(pooled, QUANTILE), quantile(own, MOST_LOST)) if own.any() else 0.0 for own in totals])
 
 
@@ -280,7 +277,8 @@ def keep_known_languages(docs: DataFrame, least: float | None = None, id_col: st
     """The documents, with all their columns, whose text has letters and resembles a prototype.
 
     Its cosine with the nearest one is above 0 and no less than `least`, by default that language's `least_cosines`.
-    Eager: learning runs at once.
+    Null texts, empty ones and those without letters go; repeated rows are judged alike; texts are read whole; where
+    nothing is learned, and in an empty table, no row stays. Eager: learning runs at once.
     """
     taught = taught_rows(docs, id_col, text_col, lang_col)
     model = learn_languages(taught, Hypervectors())

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from worklink.llm.common import crc_mod, id_and_text, keep_rows, text_bytes
 
 PASSAGE = 512  # bytes
+ODD = 0x9E3779B97F4A7C15  # base of the word hash
 PART = 1 << 22  # bytes encoded at a time
 #: Kinds of bytes: small and capital letters, digits, blank, line break, and groups of signs;
 #: then bytes of other alphabets, and the rest.
@@ -59,19 +60,29 @@ def encode_passages(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, n
     return owner, np.sqrt(np.concatenate(shares, axis=1))
 
 
+def powers(base: int, n: int) -> np.ndarray:
+    """1, base, base^2... modulo 2^64."""
+    factors = np.full(n, base, np.uint64)
+    factors[:1] = 1
+    return np.cumprod(factors)
+
+
 def word_repeats(raw: np.ndarray, kinds: np.ndarray, passage: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Words per passage, and how many equal the word before, by length and first seven bytes."""
+    """Words per passage, and how many equal the word before, by their length and a hash of all their bytes.
+
+    The hash of a word is the sum of its bytes times powers of an odd number modulo 2^64, a difference of running
+    sums, with the power of its place divided out.
+    """
     blank = np.isin(kinds, BLANKS)
     fresh = np.r_[True, passage[1:] != passage[:-1]] if len(raw) else np.zeros(0, bool)
     starts = np.flatnonzero(~blank & (fresh | np.r_[True, blank[:-1]][:len(raw)]))
     stops = np.flatnonzero(~blank & np.r_[fresh[1:] | blank[1:], np.ones(min(1, len(raw)), bool)])
     lengths = stops - starts + 1
-    mark = lengths.astype(np.uint64) << np.uint64(56)
-    for j in range(7):
-        at = np.minimum(starts + j, len(raw) - 1)
-        mark |= np.where(j < lengths, raw[at], 0).astype(np.uint64) << np.uint64(8 * j)
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * powers(ODD, len(raw)), out=sums[1:])
+    mark = (sums[stops + 1] - sums[starts]) * powers(pow(ODD, -1, 1 << 64), len(raw))[starts]
     of = passage[starts]
-    same = (mark[1:] == mark[:-1]) & (of[1:] == of[:-1])
+    same = (mark[1:] == mark[:-1]) & (lengths[1:] == lengths[:-1]) & (of[1:] == of[:-1])
     return np.bincount(of, minlength=n), np.bincount(of[1:][same], minlength=n)
 
 
