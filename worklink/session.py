@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import io
 import os
 import uuid
+import zipfile
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,6 +66,23 @@ def local_session(cpus: str | int = "*", shuffle_partitions: int = 8) -> SparkSe
     return configure(spark)
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, which need not have it installed. Call it once per session on a cluster.
+
+    Functions travel with a job by themselves; values that are broadcast as objects of the package's classes do not.
+    """
+    package, held = Path(__file__).resolve().parent, io.BytesIO()
+    with zipfile.ZipFile(held, "w") as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, str(file.relative_to(package.parent)))
+    path = f"{scratch(spark, 'package')}/{package.name}.zip"  # in the shared folder, where executors fetch it
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).create(jvm_path, True)
+    out.write(bytearray(held.getvalue()))
+    out.close()
+    spark.sparkContext.addPyFile(path)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The folder of `spark.checkpoint.dir`; where none is named, one in the warehouse, which executors share too."""
     named = spark.conf.get("spark.checkpoint.dir", None)

@@ -482,9 +482,9 @@ def similar_texts(spark, d):
 
 APPLIED = """applied AS (SELECT a.id, p.*, j.llm_location_state AS j_state, j.llm_location_district AS j_district,
   j.min_monthly_in_hand, j.max_monthly_in_hand, j.min_education_level, a.job_id
-  FROM b_job_application a JOIN (SELECT state, id AS pid, llm_location_state, llm_location_district, monthly_in_hand_preferred,
+  FROM b_job_application a LEFT JOIN (SELECT state, id AS pid, llm_location_state, llm_location_district, monthly_in_hand_preferred,
     highest_qualification FROM b_profile) p ON p.state = a.state AND p.pid = a.user_id
-  JOIN b_job_posting j ON j.state = a.state AND j.id = a.job_id)"""
+  LEFT JOIN b_job_posting j ON j.state = a.state AND j.id = a.job_id)"""
 APPLIED_WITH = f"{with_clause('job_application', 'profile', 'job_posting')}, {APPLIED}"
 SQL_LOC = O.location_score("llm_location_state", "j_state", "llm_location_district", "j_district")
 SQL_SAL = O.salary_score(*[f"({O.number(x)})" for x in (
@@ -493,7 +493,7 @@ SQL_EDU = O.education_score(O.edu_level("highest_qualification"), O.edu_level("m
 
 
 def applied(spark, d):
-    """Each application with its seeker and its job."""
+    """Each application with its seeker and its job, where they are known."""
     profile = seeker_rows(spark, d).select(
         "state", c("id").alias("user_id"), "llm_location_state", "llm_location_district",
         "monthly_in_hand_preferred", "highest_qualification")
@@ -502,8 +502,7 @@ def applied(spark, d):
         c("llm_location_district").alias("j_district"), "min_monthly_in_hand",
         "max_monthly_in_hand", "min_education_level")
     apps = bind(spark, d, "job_application").select("state", "id", "user_id", "job_id")
-    rows = keyed.skew_join(apps, job, ["state", "job_id"], "inner")
-    return keyed.skew_join(rows, profile, ["state", "user_id"], "inner")
+    return keyed.skew_join(keyed.skew_join(apps, job, ["state", "job_id"]), profile, ["state", "user_id"])
 
 
 def location():
@@ -539,7 +538,7 @@ def score_education(spark, d):
     return applied(spark, d).select("id", education().alias("score"))
 
 
-SQL_ROLE = "CASE CAST(job_id AS BIGINT) % 4 WHEN 0 THEN NULL WHEN 1 THEN 0.5::DOUBLE WHEN 2 THEN 0.25::DOUBLE ELSE 1::DOUBLE END"
+SQL_ROLE = "CASE CAST(job_id AS BIGINT) % 4 WHEN 0 THEN NULL WHEN 1 THEN 0.5::DOUBLE WHEN 2 THEN 0.25::DOUBLE WHEN 3 THEN 1::DOUBLE END"
 
 
 @query(f"""{APPLIED_WITH}, s AS (SELECT id, {SQL_ROLE} AS r, {SQL_LOC} AS l, {SQL_SAL} AS s, {SQL_EDU} AS e FROM applied),
