@@ -35,7 +35,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def released(*frames: DataFrame | None) -> None:
+    """Delete tables that `stored` wrote, once everything that reads them has been written itself."""
+    for df in frames:
+        if df is not None and getattr(df, "stored_at", None):
+            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def short_batches(spark: SparkSession) -> None:

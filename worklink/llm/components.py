@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from worklink.llm.common import stored
+from worklink.llm.common import released, stored
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -14,7 +14,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Each round gives every node the smallest label among itself and its neighbours and
     contracts the graph accordingly. Stars, chains and groups of any size shrink to a
     point in a few rounds; the smallest node of a component never changes its label. Edges and
-    labels are tables in the shared folder; only counts reach the driver. Loops and
+    labels are tables in the shared folder, each deleted when the next one is written; only counts reach the driver. Loops and
     repeated edges do no harm, no edges give no rows.
     """
     pairs = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
@@ -26,14 +26,16 @@ def connected_components(edges: DataFrame) -> DataFrame:
             pairs.select(F.col("a").alias("node"), F.col("a").alias("low")))
         step = stored(ends.groupBy("node").agg(F.min("low").alias("low")), "step")
         if labels is None:
-            labels = step.select("node", F.col("low").alias("component"))
+            labels = stored(step.select("node", F.col("low").alias("component")), "labels")
         else:
             moved = labels.join(step.withColumnRenamed("node", "component"), "component", "left")
-            labels = stored(moved.select("node", F.coalesce("low", "component").alias("component")), "labels")
+            before, labels = labels, stored(moved.select("node", F.coalesce("low", "component").alias("component")), "labels")
+            released(before)
         left = step.select(F.col("node").alias("a"), F.col("low").alias("c"))
         right = step.select(F.col("node").alias("b"), F.col("low").alias("d"))
         moved = pairs.join(left, "a").join(right, "b").select(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b"))
-        pairs = stored(moved.filter("a <> b").distinct(), "edges")
+        before, pairs = pairs, stored(moved.filter("a <> b").distinct(), "edges")
+        released(before, step)
     return labels if labels is not None else edges.select(F.col("a").alias("node"), F.col("a").alias("component")).limit(0)
 
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from worklink.llm.common import Recent, id_and_text, stored
+from worklink.llm.common import Recent, id_and_text, released, stored
 from worklink.llm.components import connected_components
 
 LARGEST_SMALL = 32  # sizes up to this are weighed for the boundary
@@ -300,22 +300,29 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, id_co
     sizes = {r.n: r.times for r in reps.filter(F.col("n") <= LARGEST_SMALL).groupBy("n").agg(F.count(F.lit(1)).alias("times")).collect()}
     shingler = Shingler(words, percent, boundary(sizes, percent))
 
-    lists = stored(shared_lists(list_entries(source, shingler)).distinct(), "entries")
-    lists = stored(with_pivots(shared_lists(hopeful(lists))), "lists")
+    entries = stored(shared_lists(list_entries(source, shingler)).distinct(), "entries")
+    lists = stored(with_pivots(shared_lists(hopeful(entries))), "lists")
+    released(entries)
 
     def edges_of(found: DataFrame) -> DataFrame:
         return found.filter(linked(percent)).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
 
-    edges = edges_of(compare(stored(first_pairs(lists), "pairs"), reps, source, shingler))
-    edges = stored(edges, "links")
+    first = stored(first_pairs(lists), "pairs")
+    edges = stored(edges_of(compare(first, reps, source, shingler)), "links")
+    released(first)
     components = connected_components(edges)
     clusters = connected_components(open_sets(lists, reps, components))
+    released(lists)
     if not clusters.isEmpty():
         around = stored(differences(clusters, fetch_sets(clusters.select(F.col("node").alias("h1")), reps, source, shingler)), "around")
+        # sets that link by their sizes alone are one component before the others are sought
+        edges = edges.unionByName(stored(links_by_size(around, percent), "links"))
+        before, components = components, connected_components(edges)
         rest = stored(pairs_by_differences(around, components, percent), "rest")
+        released(before, around)
         more = stored(edges_of(compare(rest, reps, source, shingler)), "links")
-        edges = edges.unionByName(more).unionByName(links_by_size(around, percent))
-        components = connected_components(edges)
+        before, components = components, connected_components(edges.unionByName(more))
+        released(before, rest, more)
 
     of_set = reps.join(components.withColumnRenamed("node", "rep"), "rep", "left").select(
         "h1", "h2", F.coalesce("component", "rep").alias("component_id"))
@@ -417,12 +424,16 @@ def differences(clusters: DataFrame, sets: DataFrame) -> DataFrame:
 
     def differ(batches):
         for batch in batches:
-            cluster, s, rep, data, common = (c.to_pylist() for c in batch.columns)
-            own = [np.frombuffer(d, np.int64) for d in data]
-            diff = [np.setxor1d(d, np.array(m or [], np.int64), assume_unique=True) for d, m in zip(own, common)]
+            own = [np.frombuffer(d, np.int64) for d in batch.column(3).to_pylist()]
+            # the cluster's elements stay one array: as Python numbers they would take five times the memory
+            common = batch.column(4)
+            values, ends = common.values.to_numpy(zero_copy_only=False), common.offsets.to_numpy()
+            diff = [np.setxor1d(d, values[i:j], assume_unique=True) for d, i, j in zip(own, ends[:-1], ends[1:])]
+            far = [len(d) for d in diff]
+            lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *far]), pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *diff])))
             yield pa.RecordBatch.from_arrays(
-                [*(pa.array(c, pa.int64()) for c in (cluster, s, rep, [len(d) for d in own], [len(d) for d in diff])),
-                 pa.array(diff, pa.list_(pa.int64()))], names=["cluster", "s", "rep", "n", "far", "diff"])
+                [*batch.columns[:3], pa.array([len(d) for d in own], pa.int64()), pa.array(far, pa.int64()), lists],
+                names=["cluster", "s", "rep", "n", "far", "diff"])
 
     return members.join(middle, "cluster", "left").select("cluster", "h1", "rep", "data", "middle").mapInArrow(
         differ, "cluster long, s long, rep long, n long, far long, diff array<long>")
@@ -468,6 +479,8 @@ def pairs_by_differences(around: DataFrame, components: DataFrame, percent: int)
     other = rows.select("cluster", "element", *[F.col(c).alias(f"{c}_2") for c in ("s", "component", "n", "far", "ahead")])
     sizes = F.least("n", "n_2") * 100 >= F.greatest("n", "n_2") * percent
     need = (F.col("far") + F.col("far_2") - F.lit(x) * (F.col("n") + F.col("n_2"))) / 2 - 1e-9
-    fits = (F.col("s") < F.col("s_2")) & (F.col("component") != F.col("component_2")) & sizes & (F.least("ahead", "ahead_2") >= need)
+    # pairs that need nothing in common are linked by their sizes already
+    some = (F.col("far") + F.col("far_2")) * (100 + percent) > (F.col("n") + F.col("n_2")) * (100 - percent)
+    fits = (F.col("s") < F.col("s_2")) & (F.col("component") != F.col("component_2")) & sizes & some & (F.least("ahead", "ahead_2") >= need)
     found = rows.join(other, ["cluster", "element"]).filter(fits)
     return found.select(F.col("s").alias("a"), F.col("s_2").alias("b")).distinct()
