@@ -118,7 +118,7 @@ class PieceCutter:
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         self.ranks = {(vocab[a], vocab[b]): r for r, (a, b) in reversed(list(enumerate(pairs)))}
         self.made = [vocab[a + b] for a, b in pairs]
-        self.words = Recent(self.ids, limit=200_000)
+        self.words = Recent(self.ids, limit=400_000)
 
     def ids(self, run: str) -> bytes:
         word = run.rstrip(".,;:!?|#$%&*").lower()
