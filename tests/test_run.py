@@ -52,9 +52,15 @@ def counts(spark, root, name):
     return {r.state: r["count"] for r in current(spark, root, name).groupBy("state").count().collect()}
 
 
-def test_states_and_resume(spark, raw, world, tmp_path):
-    root = str(tmp_path)
-    result = pipeline.run(spark, raw, root, **world, headers={"seeker_profile": ["Trade", "name", "unknown", "id", ""]})
+@pytest.fixture(scope="module")
+def full_run(spark, raw, world, tmp_path_factory):
+    """One run of both states, which the tests below start from."""
+    root = str(tmp_path_factory.mktemp("run"))
+    return root, pipeline.run(spark, raw, root, **world, headers={"seeker_profile": ["Trade", "name", "unknown", "id", ""]})
+
+
+def test_states_and_resume(spark, raw, world, full_run):
+    root, result = full_run
     assert result.errors == [] and result.skipped == [] and set(result.reports) == {"matches", *REPORTS}
     full = {n: counts(spark, root, n) for n in ["matches", *REPORTS]}
     assert all(set(full[n]) == {"KA", "UP"} for n in REPORTS)
@@ -86,9 +92,9 @@ def test_states_and_resume(spark, raw, world, tmp_path):
     assert spark.read.parquet(f"{root}/prod/_history").select("ka_matches", "up_matches").distinct().count() == 1
 
 
-def test_a_state_that_became_empty(spark, raw, world, tmp_path):
+def test_a_state_that_became_empty(spark, raw, world, full_run):
     """In a full run and in a run of that state: empty in stages, reports, tabs, manifest and counts."""
-    root, few = str(tmp_path), {t: raw[t] for t in pipeline.NEEDS["OPEN_ROLES"]}
+    root, few = full_run[0], {t: raw[t] for t in pipeline.NEEDS["OPEN_ROLES"]}
 
     def states(name, folder="prod"):
         return set(r.state for r in read_current(spark, f"{root}/{folder}/{name}").select("state").distinct().collect())
@@ -96,7 +102,6 @@ def test_a_state_that_became_empty(spark, raw, world, tmp_path):
     def without(state):
         return {t: df.filter(F.col("state") != state) for t, df in few.items()}
 
-    pipeline.run(spark, few, root, **world)
     assert states("OPEN_ROLES") == {"KA", "UP"}
     for run_states, gone, left in ((None, "KA", {"UP"}), (["UP"], "UP", set())):
         result = pipeline.run(spark, without(gone), root, **world, states=run_states)
