@@ -18,7 +18,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
@@ -31,7 +30,7 @@ SYMBOLS = 1 << BITS
 NODES = SYMBOLS - 1  # inner nodes of the decision tree
 END, ESCAPE = 0, SYMBOLS - 1  # symbols: end (and what precedes a text), a byte outside the alphabet
 END_BYTE = 0x41  # a capital letter never occurs once a text is in lower case
-PART = 1 << 21  # bytes worked on at a time
+PART = 1 << 19  # bytes worked on at a time
 
 
 # ---------------------------------------------------------------- texts as symbol streams
@@ -240,82 +239,140 @@ def deepest(first: list[int], children: list[np.ndarray], grams: np.ndarray) ->
 
 
 class Forest:
-    """The contexts below some nodes of the broadcast tree, from their grams."""
+    """The contexts below some nodes of the broadcast tree, from their grams.
+
+    A rare context has met few symbols, so only the decisions that it met are kept. Its depth's pairs of context
+    and symbol are sorted; those whose symbols begin with the same bits are neighbours and share a decision. A
+    decision that a context has not met has even odds everywhere below, which gives the prediction
+    of the nearest shorter context that met it.
+    """
 
     def __init__(self, first: list[int], nodes: np.ndarray, keys: np.ndarray, n: np.ndarray):
         self.first = first
-        self.nodes, depth = np.unique(nodes), np.searchsorted(first, nodes, "right") - 1
-        self.levels, self.up, self.root, self.counts = [], [], [], []
+        self.nodes, slot = np.unique(nodes, return_inverse=True)
+        depth = np.searchsorted(first, nodes, "right") - 1
+        #: per depth the pairs, their counts, whether they hang at a node, and the place of that node or of the shorter pair
+        self.pairs: list[np.ndarray] = []
+        self.counts, self.root, self.up = [], [], []
         for d in range(1, DEPTH + 1):
             own = np.flatnonzero(depth < d)
-            codes, at, inverse = np.unique(self.context(keys[own], d), return_index=True, return_inverse=True)
-            counts = np.zeros((len(codes), SYMBOLS))
-            np.add.at(counts, (inverse, keys[own] & (SYMBOLS - 1)), n[own])
+            codes, at, inverse = np.unique(pair(keys[own], d), return_index=True, return_inverse=True)
             root = depth[own[at]] == d - 1
-            above = self.levels[-1] if self.levels else np.zeros(0, np.int64)
-            self.up.append(np.where(root, np.searchsorted(self.nodes, nodes[own[at]]),
-                                    np.searchsorted(above, codes & ((1 << (BITS * (d - 1))) - 1))))
-            self.levels.append(codes)
+            above = self.pairs[-1] if self.pairs else np.zeros(0, np.int64)
+            self.up.append(np.where(root, slot[own[at]], np.searchsorted(above, pair(codes, d - 1))))
+            self.pairs.append(codes)
+            self.counts.append(np.bincount(inverse, n[own], len(codes)).astype(np.int64))
             self.root.append(root)
-            self.counts.append(counts)
-        top = int(max((c.sum(axis=1).max() for c in self.counts if len(c)), default=0)) + 1
-        half, whole = log_gamma(np.arange(top) + 0.5), log_gamma(np.arange(top) + 1.0)
-        #: weighted log probabilities of the roots, added up for each node of the tree
-        self.sums = np.zeros((len(self.nodes), NODES))
-        self.stop: list[np.ndarray] = [np.zeros(0)] * DEPTH
+        top = max((int((zeros + ones).max()) for _, _, zeros, ones in self.met(0) if len(zeros)), default=0) + 1
+        #: logarithms of the gamma function at whole and a half, and from one on
+        self.half, self.whole = log_gamma(np.arange(top) + 0.5), log_gamma(np.arange(top) + 1.0)
+
+    def met(self, bit: int) -> list[tuple]:
+        """Per depth: group of each pair, first pair of each group, zeros and ones, for the decisions about one bit."""
+        out = []
+        for codes, n in zip(self.pairs, self.counts):
+            begin = codes >> (BITS - bit)
+            new = np.r_[True, begin[1:] != begin[:-1]][:len(codes)]
+            group, starts = np.cumsum(new) - 1, np.flatnonzero(new)
+            one = codes >> (BITS - bit - 1) & 1
+            both = np.bincount(group, n, len(starts)).astype(np.int64)
+            ones = np.bincount(group, n * one, len(starts)).astype(np.int64)
+            out.append((group, starts, both - ones, ones))
+        return out
+
+    def weigh(self, bit: int, met: list[tuple]) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Weighted log probabilities below each node [nodes, decisions about the bit], log odds of stopping per depth."""
+        sums = np.zeros(len(self.nodes) << bit)
+        stop: list[np.ndarray] = [np.zeros(0)] * DEPTH
         children = None
         for d in reversed(range(DEPTH)):
-            zeros, ones = (x.astype(np.int64) for x in decisions(self.counts[d]))
-            weighted = half[zeros] + half[ones] - np.log(np.pi) - whole[zeros + ones]
+            group, starts, zeros, ones = met[d]
+            weighted = self.half[zeros] + self.half[ones] - np.log(np.pi) - self.whole[zeros + ones]
             if children is not None:
-                self.stop[d] = weighted - children
+                stop[d] = weighted - children
                 weighted = np.logaddexp(weighted, children) - np.log(2)
-            root = self.root[d]
-            np.add.at(self.sums, self.up[d][root], weighted[root])
-            children = np.zeros((len(self.levels[d - 1]) if d else 0, NODES))
-            np.add.at(children, self.up[d][~root], weighted[~root])
+            up, root = self.up[d][starts], self.root[d][starts]
+            at = (up[root] << bit) + (self.pairs[d][starts[root]] >> (BITS - bit) & ((1 << bit) - 1))
+            sums += np.bincount(at, weighted[root], len(sums))
+            if d:
+                children = np.bincount(met[d - 1][0][up[~root]], weighted[~root], len(met[d - 1][1]))
+        return sums.reshape(len(self.nodes), 1 << bit), stop
 
-    @staticmethod
-    def context(keys: np.ndarray, d: int) -> np.ndarray:
-        return (keys >> BITS) & ((1 << (BITS * d)) - 1)
+    def sums(self) -> np.ndarray:
+        """Weighted log probabilities of what hangs at each node, added up [nodes, decisions]."""
+        return np.concatenate([self.weigh(bit, self.met(bit))[0] for bit in range(BITS)], axis=1)
 
     def predict(self, tree: ContextTree) -> None:
-        """Log probabilities of the symbols after every context."""
-        self.tree, self.logs, below = tree, [], None
-        for d in range(DEPTH):
-            zeros, ones = decisions(self.counts[d])
-            own = (ones + 0.5) / (zeros + ones + 1)
-            root, up = self.root[d], self.up[d]
-            gathered, share = np.empty_like(own), np.empty_like(own)
-            gathered[root], share[root] = tree.passed[:, self.nodes[up[root]]]
-            if below is not None:
-                gathered[~root], share[~root] = below[0][up[~root]], below[1][up[~root]]
-            if d < DEPTH - 1:
-                weight = 1 / (1 + np.exp(np.clip(-self.stop[d], -700, 700)))
-                below = gathered + share * weight * own, share * (1 - weight)
-                last = below[0] + below[1] * 0.5
-            else:
-                last = gathered + share * own
-            self.logs.append(symbol_logs(last).astype(np.float32))
-        self.counts, self.stop = [], []
+        """Chance of a one at each decision of every pair's symbol."""
+        self.tree = tree
+        self.ones = [np.empty((len(codes), BITS), np.float32) for codes in self.pairs]
+        for bit in range(BITS):
+            met = self.met(bit)
+            _, stop = self.weigh(bit, met)
+            below = None
+            for d in range(DEPTH):
+                group, starts, zeros, ones = met[d]
+                own = (ones + 0.5) / (zeros + ones + 1)
+                up, root = self.up[d][starts], self.root[d][starts]
+                gathered, share = np.empty_like(own), np.empty_like(own)
+                gathered[root], share[root] = tree.passed[:, self.nodes[up[root]], decision(self.pairs[d][starts[root]], bit)]
+                if below is not None:
+                    shorter = met[d - 1][0][up[~root]]
+                    gathered[~root], share[~root] = below[0][shorter], below[1][shorter]
+                if d < DEPTH - 1:
+                    weight = 1 / (1 + np.exp(np.clip(-stop[d], -700, 700)))
+                    below = gathered + share * weight * own, share * (1 - weight)
+                    last = below[0] + below[1] * 0.5
+                else:
+                    last = gathered + share * own
+                self.ones[d][:, bit] = last[group]
+        self.logs = chance(self.ones[-1], self.pairs[-1])
+        self.counts = self.up = self.root = []
 
     def scores(self, keys: np.ndarray) -> np.ndarray:
         """Log10 probability of each gram's symbol after its context."""
-        nodes, symbols = deepest(self.first, self.tree.child, keys), keys & (SYMBOLS - 1)
-        out = self.tree.logs[nodes.astype(np.int64) * SYMBOLS + symbols].astype(np.float64)
+        full = self.pairs[-1]
+        place = np.minimum(np.searchsorted(full, keys), max(len(full) - 1, 0))
+        known = full[place] == keys if len(full) else np.zeros(len(keys), bool)
+        out = np.empty(len(keys))
+        out[known] = self.logs[place[known]]
+        keys = keys[~known]
+        nodes = deepest(self.first, self.tree.child, keys)
+        ones = np.stack([self.tree.passed[:, nodes, decision(keys, bit)].T @ (1, 0.5) for bit in range(BITS)], axis=1)
         depth = np.searchsorted(self.first, nodes, "right") - 1
         alive = np.ones(len(keys), bool)  # a context that never occurred has none below
-        for d, codes in enumerate(self.levels):
+        for d, codes in enumerate(self.pairs):
             at = np.flatnonzero(alive & (depth <= d))
-            context = self.context(keys[at], d + 1)
-            place = np.searchsorted(codes, context)
-            found = place < len(codes)
-            found[found] = codes[place[found]] == context[found]
-            out[at[found]] = self.logs[d][place[found], symbols[at[found]]]
-            alive[at[~found]] = False
+            for bit in range(BITS):
+                begin = pair(keys[at], d + 1) >> (BITS - bit)
+                place = np.searchsorted(codes, begin << (BITS - bit))
+                found = place < len(codes)
+                found[found] = codes[place[found]] >> (BITS - bit) == begin[found]
+                if bit == 0:
+                    alive[at[~found]] = False
+                at = at[found]
+                ones[at, bit] = self.ones[d][place[found], bit]
+        out[~known] = chance(ones, keys)
         return out
 
 
+def pair(keys: np.ndarray, depth: int) -> np.ndarray:
+    """A gram's symbol with so many of the symbols before it."""
+    return keys & ((1 << (BITS * (depth + 1))) - 1)
+
+
+def decision(keys: np.ndarray, bit: int) -> np.ndarray:
+    """The node of the decision tree that a gram's symbol reaches after so many bits."""
+    return (1 << bit) - 1 + (keys >> (BITS - bit) & ((1 << bit) - 1))
+
+
+def chance(ones: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Log10 probability of each gram's symbol from the chance of a one at each of its decisions."""
+    taken = (keys[:, None] >> np.arange(BITS - 1, -1, -1) & 1).astype(bool)
+    p = np.clip(ones.astype(np.float64), 1e-12, 1 - 1e-12)
+    return np.log10(np.where(taken, p, 1 - p)).sum(axis=1)
+
+
 class ContextTree:
     """Log probabilities of the next symbol for every context of a bounded tree."""
 
@@ -434,16 +491,16 @@ def common_contexts(grams: DataFrame, total: int, share: float) -> list[tuple[np
     return levels
 
 
-PIECE = "bucket int, kind int, row long, data binary, doc_id long, text_hash long, score double"
+PIECE = "bucket int, kind int, row long, data binary, score double"
 NAMES = [f.split()[0] for f in PIECE.split(", ")]
 TAUGHT, ASKED, TEXT = range(3)  # kinds of pieces, in the order a bucket is read
 
 
-def pieces(bucket: list, kind: int, row: int, data: list) -> pa.RecordBatch:
+def pieces(bucket: list, kind: int, data: list, row: np.ndarray | None = None, score: np.ndarray | None = None) -> pa.RecordBatch:
     none = [None] * len(bucket)
     return pa.RecordBatch.from_arrays(
-        [pa.array(bucket, pa.int32()), pa.array([kind] * len(bucket), pa.int32()), pa.array([row] * len(bucket), pa.int64()),
-         pa.array(data, pa.binary()), pa.array(none, pa.int64()), pa.array(none, pa.int64()), pa.array(none, pa.float64())], names=NAMES)
+        [pa.array(bucket, pa.int32()), pa.array([kind] * len(bucket), pa.int32()), pa.array(none if row is None else row, pa.int64()),
+         pa.array(data, pa.binary()), pa.array(none if score is None else score, pa.float64())], names=NAMES)
 
 
 def packed(keys: np.ndarray, extra: np.ndarray) -> bytes:
@@ -458,12 +515,25 @@ def unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(planes[:, :5] @ weights), planes[:, 5:] @ weights[:4]
 
 
-def by_bucket(bucket: np.ndarray, keys: np.ndarray, extra: np.ndarray) -> tuple[list, list]:
+def with_rows(keys: np.ndarray, owner: np.ndarray, rows: np.ndarray) -> bytes:
+    """Packed grams, after the keys of the rows that ask for them."""
+    named, owner = np.unique(owner, return_inverse=True)
+    return np.int64(len(named)).tobytes() + rows[named].astype("<i8").tobytes() + packed(keys, owner)
+
+
+def without_rows(data: bytes) -> tuple[bytes, np.ndarray]:
+    end = 8 + 8 * int(np.frombuffer(data[:8], "<i8")[0])
+    return data[end:], np.frombuffer(data[8:end], "<i8")
+
+
+def by_bucket(bucket: np.ndarray, keys: np.ndarray, extra: np.ndarray, rows: np.ndarray | None = None) -> tuple[list, list]:
+    """Buckets and their packed grams, each with its number or, where `rows` is given, the row at that place."""
     order = np.argsort(bucket.astype(np.int64) << 36 | keys)
     bucket, keys, extra = bucket[order], keys[order], extra[order]
     ends = np.r_[np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, len(bucket)] if len(bucket) else []
-    starts = [0, *ends[:-1]]
-    return [int(bucket[a]) for a in starts[:len(ends)]], [packed(keys[a:b], extra[a:b]) for a, b in zip(starts, ends)]
+    spans = list(zip([0, *ends[:-1]], ends))
+    return [int(bucket[a]) for a, _ in spans], [
+        packed(keys[a:b], extra[a:b]) if rows is None else with_rows(keys[a:b], extra[a:b], rows) for a, b in spans]
 
 
 def rare_grams(grams: DataFrame, walk, buckets: int) -> DataFrame:
@@ -477,7 +547,8 @@ def rare_grams(grams: DataFrame, walk, buckets: int) -> DataFrame:
             own = np.flatnonzero(nodes < first[-1])
             while len(own):  # a count beyond 32 bits comes in several parts
                 part = np.minimum(n[own], (1 << 32) - 1)
-                yield pieces(*(lambda b, d: (b, TAUGHT, None, d))(*by_bucket(nodes[own] % buckets, keys[own], part)))
+                at, data = by_bucket(nodes[own] % buckets, keys[own], part)
+                yield pieces(at, TAUGHT, data)
                 n = n.copy()
                 n[own] -= part
                 own = own[n[own] > 0]
@@ -485,30 +556,31 @@ def rare_grams(grams: DataFrame, walk, buckets: int) -> DataFrame:
     return grams.mapInArrow(run, PIECE)
 
 
-def forests(batches, first: list[int], children: list[np.ndarray]) -> Iterator[tuple[Forest, int, int, bytes]]:
-    """(forest, kind, row, data) of the rows of some buckets, sorted by bucket and kind; once per forest with kind TAUGHT."""
+def forests(batches, first: list[int], children: list[np.ndarray]) -> Iterator[tuple[Forest, int, bytes]]:
+    """(forest, kind, data) of the rows of some buckets, sorted by bucket and kind; once per forest with kind TAUGHT."""
     now, held, forest = None, [], None
 
     def grown():
         parts = [unpacked(data) for data in held]
+        held.clear()
         keys, n = (np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.int64) for i in range(2))
         return Forest(first, deepest(first, children, keys), keys, n)
 
     for batch in batches:
-        for bucket, kind, row, data in zip(*(batch.column(i).to_pylist() for i in range(4))):
+        for bucket, kind, data in zip(*(batch.column(NAMES.index(c)).to_pylist() for c in ("bucket", "kind", "data"))):
             if bucket != now:
-                if held and forest is None:
-                    yield grown(), TAUGHT, 0, b""
-                now, held, forest = bucket, [], None
+                if held:
+                    yield grown(), TAUGHT, b""
+                now, forest = bucket, None
             if kind == TAUGHT:
                 held.append(data)
             elif kind == ASKED:
                 if forest is None:
                     forest = grown()
-                    yield forest, TAUGHT, 0, b""
-                yield forest, kind, row, data
-    if held and forest is None:
-        yield grown(), TAUGHT, 0, b""
+                    yield forest, TAUGHT, b""
+                yield forest, kind, data
+    if held:
+        yield grown(), TAUGHT, b""
 
 
 def learn_tree(grams: DataFrame, table: np.ndarray, counts: np.ndarray, total: int, share: float, held: float,
@@ -527,7 +599,7 @@ def learn_tree(grams: DataFrame, table: np.ndarray, counts: np.ndarray, total: i
     def run(batches):
         for forest, *_ in forests(batches, *walk.value):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(forest.nodes, pa.int64()), pa.array([x.tobytes() for x in forest.sums], pa.binary())], names=["node", "sums"])
+                [pa.array(forest.nodes, pa.int64()), pa.array([x.tobytes() for x in forest.sums()], pa.binary())], names=["node", "sums"])
 
     dealt = rare.repartition(max(1, buckets // 4), "bucket").sortWithinPartitions("bucket", "kind")
     sums = np.zeros((sum(len(codes) for codes, _ in levels), NODES))
@@ -538,32 +610,28 @@ def learn_tree(grams: DataFrame, table: np.ndarray, counts: np.ndarray, total: i
 
 
 def tree_scores(rows: DataFrame, tree, rare: DataFrame, buckets: int, most: int = 1_000_000) -> DataFrame:
-    """(doc_id, text_hash, score) of each different text of (doc_id, text) under the tree and its forests."""
+    """(row, tree_score) of each different row key of (doc_id, text, row) under the tree and its forests."""
 
     def run(batches):
-        row = TaskContext.get().partitionId() << 36
-        base, asked, size = row, [], 0
+        asked, size = [], 0
 
         def flush():
             owner, nodes, keys = (np.concatenate([a[i] for a in asked]) for i in range(3))
-            bucket, data = by_bucket(nodes % buckets, keys, owner)
-            return pieces(bucket, ASKED, base, data)
+            asked_by, owner = np.unique(owner, return_inverse=True)
+            at, data = by_bucket(nodes % buckets, keys, owner, asked_by)
+            return pieces(at, ASKED, data)
 
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), [lowered(t) for t in batch.column(1).to_pylist()]
+            texts = [lowered(t) for t in batch.column(1).to_pylist()]
+            row = batch.column(2).to_numpy(zero_copy_only=False)
             found: list = []
             scores = tree.value.scores(texts, found)
-            asked += [(owner + (row - base), nodes, keys) for owner, nodes, keys in found]
+            asked += [(row[owner], nodes, keys) for owner, nodes, keys in found]
             size += sum(len(f[0]) for f in found)
-            k = len(texts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((row + np.arange(k)) % buckets, pa.int32()), pa.array([TEXT] * k, pa.int32()), pa.array(row + np.arange(k)),
-                 pa.array([None] * k, pa.binary()), batch.column(0), pa.array([word_hash(t) for t in texts], pa.int64()), pa.array(scores)],
-                names=NAMES)
-            row += k
+            yield pieces(list(row % buckets), TEXT, [None] * len(row), row, scores)
             if size >= most:
                 yield flush()
-                base, asked, size = row, [], 0
+                asked, size = [], 0
         if size:
             yield flush()
 
@@ -573,30 +641,28 @@ def tree_scores(rows: DataFrame, tree, rare: DataFrame, buckets: int, most: int
         def asked():
             for batch in batches:
                 text = pc.equal(batch.column(1), TEXT)
-                texts.append(batch.filter(text).select(["row", "doc_id", "text_hash", "score"]))
+                own = batch.filter(text)
+                texts.append(pa.RecordBatch.from_arrays(
+                    [own.column(2), pa.array(np.ones(len(own), np.int64)), own.column(4)], names=["row", "copies", "score"]))
                 yield batch.filter(pc.invert(text))
 
-        for forest, kind, base, data in forests(asked(), tree.value.first, tree.value.child):
+        for forest, kind, data in forests(asked(), tree.value.first, tree.value.child):
             while texts:
                 yield texts.pop()
             if kind == TAUGHT:
                 forest.predict(tree.value)
                 continue
+            data, asked_by = without_rows(data)
             keys, owner = unpacked(data)
-            total = np.bincount(owner, weights=forest.scores(keys))
-            at = np.unique(owner)
-            none = pa.array([None] * len(at), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(base + at), none, none, pa.array(total[at])], names=["row", "doc_id", "text_hash", "score"])
+                [pa.array(asked_by), pa.array(np.zeros(len(asked_by), np.int64)),
+                 pa.array(np.bincount(owner, forest.scores(keys), len(asked_by)))], names=["row", "copies", "score"])
         yield from texts
 
     ordered = rows.mapInArrow(run, PIECE).unionByName(rare).repartition(max(1, buckets // 4), "bucket")
-    answers = ordered.sortWithinPartitions("bucket", "kind").mapInArrow(
-        answer, "row long, doc_id long, text_hash long, score double")
-    summed = answers.groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"), F.max("text_hash").alias("text_hash"), F.sum("score").alias("score"))
-    # repeated rows are one here, so no row finds another's copy
-    return summed.groupBy("doc_id", "text_hash").agg(F.avg("score").alias("score"))
+    answers = ordered.sortWithinPartitions("bucket", "kind").mapInArrow(answer, "row long, copies long, score double")
+    # repeated rows ask together: each has its share
+    return answers.groupBy("row").agg((F.sum("score") / F.sum("copies")).alias("tree_score"))
 
 
 # ---------------------------------------------------------------- scoring
@@ -640,7 +706,7 @@ class Scorer:
 
 
 def model_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train: Column | None = None,
-                 share: float = 0.0, word_share: float = 2.0 ** -20, held: float = 2.0 ** -17) -> DataFrame:
+                 share: float = 0.0, word_share: float = 2.0 ** -20, held: float = 2.0 ** -17, forest_grams: int = 250_000) -> DataFrame:
     """Score all whole texts under a context tree and a word model learned from the training rows.
 
     Training rows are those whose crc32(id) mod 10 is not 0, or `train`. Columns: doc_id,
@@ -649,14 +715,16 @@ def model_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     token, its end. A null id is held out. Repeated rows are scored once each. Where
     nothing can be learned all counts are 0. Every context is kept; with `share`, those with less of the
     corpus fall together in one child of their parent. Contexts with at least `held` of the corpus form the tree
-    that is broadcast, rarer ones meet the texts in a shuffle. Words with at least `word_share` of all
+    that is broadcast, rarer ones meet the texts in a shuffle, dealt to buckets of about
+    `forest_grams` different grams. Words with at least `word_share` of all
     tokens (at most 1/word_share) and the tree are broadcast; other words meet
     their counts in a join, in which none is frequent. Words are told apart by a 64-bit hash.
     Eager: counting runs at once.
     """
     spark = docs.sparkSession
     held_out = F.coalesce(crc_mod(F.col(id_col), 10) == 0, F.lit(True))
-    rows = id_and_text(docs, id_col, text_col)
+    # keyed by content: a task that runs again may read its rows in another order
+    rows = id_and_text(docs, id_col, text_col).withColumn("row", F.xxhash64("doc_id", "text"))
     taught = id_and_text(docs.filter(~held_out if train is None else train), id_col, text_col)
     ends = taught.count()
     seen = byte_counts(taught)
@@ -664,53 +732,55 @@ def model_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     stats = stored(count_corpus(taught, table), "corpus")
     grams, words = (stats.filter(c).select("key", "n") for c in (F.col("gram"), ~F.col("gram")))
     totals = words.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds")).first()
+    different = grams.count()
     tokens, kinds = (totals.n or 0) + ends, totals.kinds + int(ends > 0)
-    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-different // forest_grams))
     tree, rare_part = learn_tree(grams, table, seen, int(seen.sum()) + ends, share, held, buckets)
     frequent = words.filter(F.col("n") >= F.lit(word_share * tokens)).orderBy("key").toPandas()
     scorer = spark.sparkContext.broadcast(
         Scorer(tree if rare_part is None else None, frequent.key.to_numpy(np.int64), frequent.n.to_numpy(np.int64), tokens, kinds, ends))
 
     def run(batches):
-        row = TaskContext.get().partitionId() << 36
         for batch in batches:
-            ids = batch.column(0).to_pylist()
             texts = [lowered(t) for t in batch.column(1).to_pylist()]
             keys, words_of, times, info = [], [], [], []
-            for doc_id, text, (n, base, score, rare) in zip(ids, texts, scorer.value.rows(texts)):
-                row += 1
+            for doc_id, text, row, (n, base, score, rare) in zip(
+                    batch.column(0).to_pylist(), texts, batch.column(2).to_pylist(), scorer.value.rows(texts)):
                 keys += [row] * (len(rare) + 1)
                 words_of += [row, *rare]
                 times += [0, *rare.values()]
-                info += [{"doc_id": doc_id, "n_tokens": n, "base": base, "score": score, "bytes": len(text), "text_hash": word_hash(text)}, *[None] * len(rare)]
+                info += [{"doc_id": doc_id, "n_tokens": n, "base": base, "score": score, "bytes": len(text)}, *[None] * len(rare)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys, pa.int64()), pa.array(words_of, pa.int64()), pa.array(times, pa.int64()), pa.array(info, INFO)],
                 names=["row", "word", "times", "info"])
 
     parts = rows.mapInArrow(
-        run, "row long, word long, times long, info struct<doc_id long, n_tokens long, base double, score double, bytes long, text_hash long>")
+        run, "row long, word long, times long, info struct<doc_id long, n_tokens long, base double, score double, bytes long>")
     # a document's own row carries no word (times 0) and a key that spreads it
     joined = parts.join(words.withColumnRenamed("key", "word"), "word", "left")
     count = F.coalesce("n", F.lit(0))
     each = F.log10((count + F.lit(0.1)) / F.lit(tokens + 0.1 * (kinds + 1)))
     summed = joined.groupBy("row").agg(
-        F.max("info").alias("i"), F.sum(F.when(F.col("times") > 0, F.col("times") * each).otherwise(0.0)).alias("rare_base"),
+        F.max("info").alias("i"), F.count("info").alias("copies"),
+        F.sum(F.when(F.col("times") > 0, F.col("times") * each).otherwise(0.0)).alias("rare_base"),
         F.sum(F.when(count == 0, F.col("times")).otherwise(0)).alias("unknown"))
     score = F.col("i.score")
     if rare_part is not None:
-        scored = tree_scores(rows, spark.sparkContext.broadcast(tree), rare_part, buckets).select(
-            F.col("doc_id").alias("of_id"), F.col("text_hash").alias("of_text"), F.col("score").alias("tree_score"))
-        summed = summed.join(scored, F.col("i.doc_id").eqNullSafe(F.col("of_id")) & (F.col("i.text_hash") == F.col("of_text")), "left")
+        summed = summed.join(tree_scores(rows, spark.sparkContext.broadcast(tree), rare_part, buckets), "row", "left")
         score = F.col("tree_score")
-    return summed.select(
+    # one row for each copy, in blocks so that no array grows with the copies
+    block = summed.withColumn("block", F.explode(F.sequence(F.lit(0), ((F.col("copies") - 1) / COPIES).cast("long"))))
+    apart = block.withColumn("copy", F.explode(F.sequence(F.lit(1), F.least(F.lit(COPIES), F.col("copies") - F.col("block") * COPIES))))
+    return apart.select(
         F.col("i.doc_id").alias("doc_id"),
         F.coalesce(crc_mod(F.col("i.doc_id"), 10) == 0, F.lit(True)).alias("held_out"),
         F.col("i.n_tokens").alias("n_tokens"),
-        (F.col("i.n_tokens") - F.col("unknown") - F.lit(int(ends == 0))).alias("n_known"),
+        (F.col("i.n_tokens") - (F.col("unknown") / F.col("copies")).cast("long") - F.lit(int(ends == 0))).alias("n_known"),
         F.lit(tokens).cast("long").alias("train_tokens"),
-        (F.col("i.base") + F.col("rare_base")).alias("base_score"),
+        (F.col("i.base") + F.col("rare_base") / F.col("copies")).alias("base_score"),
         score.alias("score"),
         (score * F.lit(-np.log2(10.0)) / (F.col("i.bytes") + 1)).alias("bits_per_byte"))
 
 
-INFO = pa.struct([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("bytes", pa.int64()), ("text_hash", pa.int64())])
+COPIES = 4096
+INFO = pa.struct([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("bytes", pa.int64())])
