@@ -536,22 +536,34 @@ def by_bucket(bucket: np.ndarray, keys: np.ndarray, extra: np.ndarray, rows: np.
         packed(keys[a:b], extra[a:b]) if rows is None else with_rows(keys[a:b], extra[a:b], rows) for a, b in spans]
 
 
-def rare_grams(grams: DataFrame, walk, buckets: int) -> DataFrame:
-    """Pieces of the grams whose context is not in the tree, by bucket of the node they hang below."""
+def rare_grams(grams: DataFrame, walk, buckets: int, most: int = 500_000) -> DataFrame:
+    """Pieces of the grams whose context is not in the tree, by bucket of the node they hang below.
 
-    def run(batches):
+    About `most` grams are dealt at a time, so that pieces are long.
+    """
+
+    def dealt(batches):
+        keys, n = (np.concatenate([b.column(i).to_numpy(zero_copy_only=False) for b in batches]) for i in range(2))
         first, children = walk.value
+        nodes = deepest(first, children, keys)
+        own = np.flatnonzero(nodes < first[-1])
+        while len(own):  # a count beyond 32 bits comes in several parts
+            part = np.minimum(n[own], (1 << 32) - 1)
+            at, data = by_bucket(nodes[own] % buckets, keys[own], part)
+            yield pieces(at, TAUGHT, data)
+            n = n.copy()
+            n[own] -= part
+            own = own[n[own] > 0]
+
+    def run(batches):
+        held: list = []
         for batch in batches:
-            keys, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-            nodes = deepest(first, children, keys)
-            own = np.flatnonzero(nodes < first[-1])
-            while len(own):  # a count beyond 32 bits comes in several parts
-                part = np.minimum(n[own], (1 << 32) - 1)
-                at, data = by_bucket(nodes[own] % buckets, keys[own], part)
-                yield pieces(at, TAUGHT, data)
-                n = n.copy()
-                n[own] -= part
-                own = own[n[own] > 0]
+            held.append(batch)
+            if sum(map(len, held)) >= most:
+                yield from dealt(held)
+                held = []
+        if held:
+            yield from dealt(held)
 
     return grams.mapInArrow(run, PIECE)
 
@@ -584,7 +596,7 @@ def forests(batches, first: list[int], children: list[np.ndarray]) -> Iterator[t
 
 
 def learn_tree(grams: DataFrame, table: np.ndarray, counts: np.ndarray, total: int, share: float, held: float,
-               buckets: int) -> tuple[ContextTree, DataFrame | None]:
+               buckets: int, tasks: int) -> tuple[ContextTree, DataFrame | None]:
     """The tree to broadcast, and the pieces of rarer grams; None where contexts below `share` fall together.
 
     Sums of at most 1/held nodes per depth reach the driver.
@@ -601,7 +613,7 @@ def learn_tree(grams: DataFrame, table: np.ndarray, counts: np.ndarray, total: i
             yield pa.RecordBatch.from_arrays(
                 [pa.array(forest.nodes, pa.int64()), pa.array([x.tobytes() for x in forest.sums()], pa.binary())], names=["node", "sums"])
 
-    dealt = rare.repartition(max(1, buckets // 4), "bucket").sortWithinPartitions("bucket", "kind")
+    dealt = rare.repartition(tasks, "bucket").sortWithinPartitions("bucket", "kind")
     sums = np.zeros((sum(len(codes) for codes, _ in levels), NODES))
     found = dealt.mapInArrow(run, "node long, sums binary").toPandas()
     for node, data in zip(found.node, found.sums):
@@ -609,7 +621,7 @@ def learn_tree(grams: DataFrame, table: np.ndarray, counts: np.ndarray, total: i
     return ContextTree(levels, table, escaped, sums), rare
 
 
-def tree_scores(rows: DataFrame, tree, rare: DataFrame, buckets: int, most: int = 1_000_000) -> DataFrame:
+def tree_scores(rows: DataFrame, tree, rare: DataFrame, buckets: int, tasks: int, most: int = 1_000_000) -> DataFrame:
     """(row, tree_score) of each different row key of (doc_id, text, row) under the tree and its forests."""
 
     def run(batches):
@@ -646,6 +658,11 @@ def tree_scores(rows: DataFrame, tree, rare: DataFrame, buckets: int, most: int
                     [own.column(2), pa.array(np.ones(len(own), np.int64)), own.column(4)], names=["row", "copies", "score"]))
                 yield batch.filter(pc.invert(text))
 
+        def told(row, score):
+            return pa.RecordBatch.from_arrays(
+                [pa.array(row), pa.array(np.zeros(len(row), np.int64)), pa.array(score)], names=["row", "copies", "score"])
+
+        rows_of, scores, size = [], [], 0
         for forest, kind, data in forests(asked(), tree.value.first, tree.value.child):
             while texts:
                 yield texts.pop()
@@ -654,12 +671,20 @@ def tree_scores(rows: DataFrame, tree, rare: DataFrame, buckets: int, most: int
                 continue
             data, asked_by = without_rows(data)
             keys, owner = unpacked(data)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(asked_by), pa.array(np.zeros(len(asked_by), np.int64)),
-                 pa.array(np.bincount(owner, forest.scores(keys), len(asked_by)))], names=["row", "copies", "score"])
+            rows_of.append(asked_by)
+            scores.append(np.bincount(owner, forest.scores(keys), len(asked_by)))
+            size += len(asked_by)
+            if size >= most:  # a text's buckets add up in the task
+                row, score = merged(rows_of, scores)
+                rows_of, scores, size = [row], [score], len(row)
+                if size >= most // 2:
+                    yield told(row, score)
+                    rows_of, scores, size = [], [], 0
+        if size:
+            yield told(*merged(rows_of, scores))
         yield from texts
 
-    ordered = rows.mapInArrow(run, PIECE).unionByName(rare).repartition(max(1, buckets // 4), "bucket")
+    ordered = rows.mapInArrow(run, PIECE).unionByName(rare).repartition(tasks, "bucket")
     answers = ordered.sortWithinPartitions("bucket", "kind").mapInArrow(answer, "row long, copies long, score double")
     # repeated rows ask together: each has its share
     return answers.groupBy("row").agg((F.sum("score") / F.sum("copies")).alias("tree_score"))
@@ -734,8 +759,10 @@ def model_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     totals = words.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds")).first()
     different = grams.count()
     tokens, kinds = (totals.n or 0) + ends, totals.kinds + int(ends > 0)
-    buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-different // forest_grams))
-    tree, rare_part = learn_tree(grams, table, seen, int(seen.sum()) + ends, share, held, buckets)
+    # a task holds one bucket at a time, however many it works through
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-different // (16 * forest_grams)))
+    buckets = max(4 * tasks, -(-different // forest_grams))
+    tree, rare_part = learn_tree(grams, table, seen, int(seen.sum()) + ends, share, held, buckets, tasks)
     frequent = words.filter(F.col("n") >= F.lit(word_share * tokens)).orderBy("key").toPandas()
     scorer = spark.sparkContext.broadcast(
         Scorer(tree if rare_part is None else None, frequent.key.to_numpy(np.int64), frequent.n.to_numpy(np.int64), tokens, kinds, ends))
@@ -766,7 +793,7 @@ def model_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.sum(F.when(count == 0, F.col("times")).otherwise(0)).alias("unknown"))
     score = F.col("i.score")
     if rare_part is not None:
-        summed = summed.join(tree_scores(rows, spark.sparkContext.broadcast(tree), rare_part, buckets), "row", "left")
+        summed = summed.join(tree_scores(rows, spark.sparkContext.broadcast(tree), rare_part, buckets, tasks), "row", "left")
         score = F.col("tree_score")
     # one row for each copy, in blocks so that no array grows with the copies
     block = summed.withColumn("block", F.explode(F.sequence(F.lit(0), ((F.col("copies") - 1) / COPIES).cast("long"))))
