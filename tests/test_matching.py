@@ -132,6 +132,41 @@ def test_counts_equal_expanded_pairs(spark):
         assert got.partial_fit.to_dict() == want["Partial Fit"].to_dict()
 
 
+def places(spark, n=90):
+    """Jobs and seekers whose states and districts hold each other, miss, or differ."""
+    rng = random.Random(11)
+    seekers, jobs = market(spark, n)
+    states, districts = ["karnataka", "karna", "up", "", None], ["north a", "a", "b", "", None]
+    put = {"llm_location_state": states, "llm_location_district": districts}
+
+    def redone(df, more):
+        rows = [r.asDict() | {c: rng.choice(v) for c, v in (put | more).items()} for r in df.collect()]
+        return spark.createDataFrame([tuple(r[c] for c in df.columns) for r in rows], df.schema)
+
+    return (redone(seekers, {"monthly_in_hand_preferred": ["5000", "9000", "11000", "14500", "90000", None]}),
+            redone(jobs, {"max_monthly_in_hand": ["12000", "30000", None], "min_education_level": ["8th", "graduate", "mba", None]}))
+
+
+@pytest.mark.parametrize("by", ["job", "seeker"])
+def test_counts_need_no_pairs_of_signatures(spark, monkeypatch, by):
+    seekers, jobs = places(spark)
+    sk, pr = matching.keyed_seekers(seekers), matching.keyed_jobs(jobs)
+    scored = matching.stage(matching.scored_signatures(sk, pr))
+    want = matching.fit_counts(seekers, jobs, by, scored).collect()
+    assert {r.confidence < 0.6 for r in scored.collect()} == {True, False}
+    monkeypatch.setattr(matching, "scored_signatures", None)
+    assert sorted(matching.fit_counts(seekers, jobs, by).collect()) == sorted(want)
+
+
+def test_totals_need_no_pairs(spark, monkeypatch):
+    seekers, jobs = places(spark)
+    pairs = matching.match(seekers, jobs).groupBy("state", "match_category").count().collect()
+    monkeypatch.setattr(matching, "scored_signatures", None)
+    assert sorted(matching.match_totals(seekers, jobs).collect()) == sorted(pairs)
+    one = [r for r in pairs if r.state == "KA"]
+    assert sorted(matching.match_totals(seekers, jobs, ["KA"]).collect()) == sorted(one)
+
+
 def skewed(spark):
     rows = [(i, "hot" if i % 3 == 0 else (None if i % 3 == 1 else f"k{i % 50}")) for i in range(3000)]
     left = spark.createDataFrame(rows, "id int, k string")

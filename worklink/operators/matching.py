@@ -152,25 +152,34 @@ def _level(c: str) -> Column:
     return F.nullif(F.col(c), F.lit(0))
 
 
+def _sides(seekers: DataFrame, jobs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Signatures of both sides with the numbers that scoring reads.
+
+    Signatures are few and read several times: they are kept in the checkpoint
+    folder, so the tables below are scanned and their keys derived only once.
+    Numbers are read once per signature, before the pairs are formed.
+    """
+    sk = stage(_signatures(seekers, SEEKER_SIGNATURE, "n_seekers")).withColumn("wanted", _bound("sk_salary"))
+    pr = stage(_signatures(jobs, JOB_SIGNATURE, "n_jobs")).withColumns(S.salary_range(_bound("pr_min"), _bound("pr_max")))
+    return sk, pr
+
+
+def _fitting_pairs(sk: DataFrame, pr: DataFrame, pairs: DataFrame | None) -> DataFrame:
+    """Role pairs that can get a category, stored."""
+    if pairs is None:
+        # candidates one rounding step below the threshold; the rounded score decides
+        pairs = role_pairs(sk, pr, ROLE_FIT - 0.0001)
+    return stage(pairs.filter(F.col("role_score") >= ROLE_FIT))
+
+
 def scored_signatures(seekers: DataFrame, jobs: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
     """Signature pairs that reach the confidence floor and have a fit category.
 
     Only role scores of at least ROLE_FIT can get a category, so the pair table
     is built with that floor (on the rounded score) to begin with.
     """
-    # Signatures are few and read several times: they are kept in the checkpoint
-    # folder, so the tables below are scanned and their keys derived only once.
-    # Numbers are read once per signature, before the pairs are formed.
-    sk = stage(_signatures(seekers, SEEKER_SIGNATURE, "n_seekers")).withColumn(
-        "wanted", _bound("sk_salary")
-    )
-    pr = stage(_signatures(jobs, JOB_SIGNATURE, "n_jobs")).withColumns(
-        S.salary_range(_bound("pr_min"), _bound("pr_max"))
-    )
-    if pairs is None:
-        # candidates one rounding step below the threshold; the rounded score decides
-        pairs = role_pairs(sk, pr, ROLE_FIT - 0.0001)
-    pairs = stage(pairs.filter(F.col("role_score") >= ROLE_FIT))
+    sk, pr = _sides(seekers, jobs)
+    pairs = _fitting_pairs(sk, pr, pairs)
     # a popular trade and a popular role both multiply: each is cut into pieces by its result, counted in one pass
     trades = sk.groupBy("state", "sk_key").agg(F.count(F.lit(1)).alias("_n"))
     wanted = pairs.join(trades, "sk_key").select("state", "pr_role", "_n")
@@ -234,16 +243,139 @@ def match(seekers: DataFrame, jobs: DataFrame, states: Sequence[str] | None = No
     ).select("state", "seeker_id", "provider_job_id", *SCORES)
 
 
+PLACE_SCORES, PART_SCORES = (None, 0.0, 0.6, 1.0), (None, 0.0, 0.5, 1.0)
+MISSING, APART = 0, 1  # their places in PLACE_SCORES
+MEETING = {"right_fit": "right_bits", "partial_fit": "partial_bits"}
+
+
+def _code(score: Column, values: tuple) -> Column:
+    """A score's place among the values it can have."""
+    return F.coalesce(*[F.when(score == v, F.lit(i)) for i, v in enumerate(values) if v is not None], F.lit(0))
+
+
+def _score(code: Column, values: tuple) -> Column:
+    return F.get(F.array(*[F.lit(v).cast("double") for v in values]), code)
+
+
+def fit_bits(pairs: DataFrame) -> DataFrame:
+    """Per role score, which codes of the other scores are a right fit and which a partial one.
+
+    Bit 16 * location + 4 * salary + education of a mask stands for one combination of codes.
+    """
+    code = F.explode(F.sequence(F.lit(0), F.lit(63))).alias("code")
+    rows = pairs.select("role_score").distinct().select("role_score", code)
+    location = _score(F.floor(F.col("code") / 16).cast("int"), PLACE_SCORES)
+    salary = _score(F.floor(F.col("code") / 4).cast("int") % 4, PART_SCORES)
+    education = _score(F.col("code") % 4, PART_SCORES)
+    reached = S.confidence(F.col("role_score"), location, salary, education) >= CONFIDENCE_FLOOR
+    category = S.fit_category(F.col("role_score"), location)
+
+    def bits(wanted: str) -> Column:
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("code"))
+        return F.bit_or(F.when(reached & (category == wanted), bit).otherwise(F.lit(0).cast("long")))
+
+    return rows.groupBy("role_score").agg(bits(RIGHT_FIT).alias("right_bits"), bits(PARTIAL_FIT).alias("partial_bits"))
+
+
+def _spots(sk: DataFrame, pr: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Location scores as a sum over spots: (sk_state, sk_district, spot, plus, minus) and (pr_state, pr_district, spot, base).
+
+    All places meet in one spot, where the score is the job's `base`: 0, or missing where its state is. Places whose states
+    alone give another score meet in a spot of the job's state, those whose districts raise it in one of the job's place.
+    There `plus` is the score and `minus` the one counted before, which is taken off. So a seeker's place lies in
+    as many spots as it is related to, not in one for every job's place.
+    """
+    places = sk.select("sk_state", "sk_district").distinct()
+    others = pr.select("pr_state", "pr_district").distinct()
+    none = F.lit("")
+    by_state = _code(S.location_score_of(F.col("sk_state"), F.col("pr_state"), none, none), PLACE_SCORES)
+    states = places.select("sk_state").distinct().crossJoin(others.filter("pr_state <> ''").select("pr_state").distinct())
+    states = stage(states.withColumn("plus", by_state).filter(F.col("plus") != APART))
+    by_place = _code(S.location_score_of(F.col("sk_state"), F.col("pr_state"), F.col("sk_district"), F.col("pr_district")), PLACE_SCORES)
+    near = places.join(states.withColumnRenamed("plus", "minus"), "sk_state").join(others, "pr_state")
+    near = near.withColumn("plus", by_place).filter(F.col("plus") != F.col("minus"))
+    unset = F.lit(None).cast("int")
+    rows = stage(
+        places.select("*", F.lit(0).alias("layer"), none.alias("a"), none.alias("b"), unset.alias("plus"), unset.alias("minus"))
+        .unionByName(places.join(states, "sk_state").select(
+            "sk_state", "sk_district", F.lit(1).alias("layer"), F.col("pr_state").alias("a"), none.alias("b"), "plus", F.lit(APART).alias("minus")))
+        .unionByName(near.select(
+            "sk_state", "sk_district", F.lit(2).alias("layer"), F.col("pr_state").alias("a"), F.col("pr_district").alias("b"), "plus", "minus")))
+    key = ["layer", "a", "b"]
+    ids = stage(rows.select(*key).distinct().withColumn("spot", F.monotonically_increasing_id()))
+    own = F.array(*[F.struct(F.lit(n).alias("layer"), x.alias("a"), y.alias("b"))
+                    for n, x, y in ((0, none, none), (1, F.col("pr_state"), none), (2, F.col("pr_state"), F.col("pr_district")))])
+    base = F.when(F.col("pr_state") == "", MISSING).otherwise(APART).alias("base")
+    return (stage(rows.join(ids, key).drop(*key)),
+            stage(others.select("*", base, F.inline(own)).join(ids, key).drop(*key)))
+
+
+def fit_sums(seekers: DataFrame, jobs: DataFrame, by: str = "job", pairs: DataFrame | None = None) -> DataFrame:
+    """Right and partial fits per signature of jobs or of seekers, without forming the pairs of signatures.
+
+    Seekers are added up per role they fit, bits of `fit_bits`, spot, salary and level; jobs per role, spot, salary
+    range and level. Only these sums meet, so the work grows with the rows times the roles of a trade and
+    with the kinds of salaries and levels, not with the product of the two tables. Exact: all sums are of whole numbers.
+    """
+    sk, pr = _sides(seekers, jobs)
+    pairs = _fitting_pairs(sk, pr, pairs)
+    roles = stage(pr.select("state", "pr_role").distinct().withColumn("role", F.monotonically_increasing_id()))
+    fits = stage(pairs.join(fit_bits(pairs), "role_score").join(roles, "pr_role")
+                 .select("state", "sk_key", "role", *MEETING.values()))
+    sk_spots, pr_spots = _spots(sk, pr)
+    kinds = ["spot", "plus", "minus", "sk_salary", "wanted", "sk_level"]
+    trades = stage(sk.join(sk_spots, ["sk_state", "sk_district"]).groupBy("state", "sk_key", *kinds)
+                   .agg(F.sum("n_seekers").alias("n_seekers")))
+    cell = ["role", *MEETING.values(), *kinds]
+    sizes = result_sizes({"trade": (key_rows(trades, ["state", "sk_key"]), key_rows(fits, ["state", "sk_key"]))})
+    wide = product_join(trades, fits, ["state", "sk_key"], kinds, sizes=sizes["trade"])
+    cells = stage(wide.groupBy(*cell).agg(F.sum("n_seekers").alias("n_seekers")))
+    terms = ["role", "spot", "base", "pr_min", "pr_max", "lo", "hi", "buffer", "pr_level"]
+    own_spots = pr.join(roles, ["state", "pr_role"]).join(pr_spots, ["pr_state", "pr_district"])
+    offers = stage(own_spots.groupBy(*terms).agg(F.sum("n_jobs").alias("n_jobs")))
+    met = product_join(cells, offers, ["role", "spot"], ["sk_salary", "sk_level", *MEETING.values()])
+    salary = S.salary_score_of(F.col("wanted"), F.col("lo"), F.col("hi"), F.col("buffer"))
+    education = S.education_score(_level("sk_level"), _level("pr_level"))
+    # as a generator, so that a code is computed once
+    met = met.select("*", F.inline(F.array(F.struct(
+        (4 * _code(salary, PART_SCORES) + _code(education, PART_SCORES)).alias("part"), F.coalesce("plus", "base").alias("here")))))
+    number = "n_seekers" if by == "job" else "n_jobs"
+
+    def bit(mask: str, place: Column) -> Column:
+        at = F.call_function("shiftrightunsigned", F.col(mask), 16 * place + F.col("part"))
+        return at.bitwiseAND(F.lit(1).cast("long"))
+
+    def total(mask: str) -> Column:
+        taken = F.when(F.col("minus").isNull(), F.lit(0).cast("long")).otherwise(bit(mask, F.col("minus")))
+        return F.sum(F.col(number) * (bit(mask, F.col("here")) - taken))
+
+    sums = {name: total(mask).alias(name) for name, mask in MEETING.items()}
+    again = [F.sum(c).alias(c) for c in MEETING]
+    if by == "job":
+        key = ["role", "spot", "base", "pr_min", "pr_max", "pr_level"]
+        out = own_spots.select(*JOB_SIGNATURE, "role", "spot", "base").join(met.groupBy(*key).agg(*sums.values()), key)
+        return out.groupBy(*JOB_SIGNATURE).agg(*again).filter("right_fit + partial_fit > 0")
+    # a cell's sum goes back to the trades it was added up from, then to the signatures
+    key = [c for c in cell if c != "wanted"]
+    found = met.groupBy(*key).agg(*sums.values())
+    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) if c in ("plus", "minus") else F.col(f"l.{c}") == F.col(f"r.{c}") for c in key]
+    back = wide.drop("wanted", "n_seekers").alias("l").join(found.alias("r"), same).select(
+        "l.state", "l.sk_key", *[F.col(f"l.{c}").alias(c) for c in kinds if c != "wanted"], *MEETING)
+    trade = ["state", "sk_key", "spot", "sk_salary", "sk_level"]
+    back = back.groupBy(*trade, F.coalesce("plus", F.lit(-1)).alias("plus")).agg(*again)
+    own = sk.join(sk_spots, ["sk_state", "sk_district"]).select(*SEEKER_SIGNATURE, "spot", F.coalesce("plus", F.lit(-1)).alias("plus"))
+    out = own.join(back, [*trade, "plus"]).groupBy(*SEEKER_SIGNATURE).agg(*again)
+    return out.filter("right_fit + partial_fit > 0")
+
+
 def fit_counts(seekers: DataFrame, jobs: DataFrame, by: str = "job",
                scored: DataFrame | None = None) -> DataFrame:
     """AGG-01, AGG-02: right and partial fits per job or per seeker.
 
-    Sums the sizes of the signatures on the other side; pairs of rows are
-    never formed.
+    Sums the sizes of the signatures on the other side; pairs of rows are never formed, nor
+    pairs of signatures unless they are given as `scored`.
     """
     sk, pr = keyed_seekers(seekers), keyed_jobs(jobs)
-    if scored is None:
-        scored = scored_signatures(sk, pr)
     if by == "job":
         rows, signature, other, source, key = pr, JOB_SIGNATURE, "n_seekers", "id", "provider_job_id"
     else:
@@ -252,9 +384,12 @@ def fit_counts(seekers: DataFrame, jobs: DataFrame, by: str = "job",
     def fits(category: str) -> Column:
         return F.sum(F.when(F.col("match_category") == category, F.col(other)).otherwise(0))
 
-    sums = scored.groupBy(*signature).agg(
-        fits(RIGHT_FIT).alias("right_fit"), fits(PARTIAL_FIT).alias("partial_fit")
-    )
+    if scored is None:
+        sums = fit_sums(sk, pr, by)
+    else:
+        sums = scored.groupBy(*signature).agg(
+            fits(RIGHT_FIT).alias("right_fit"), fits(PARTIAL_FIT).alias("partial_fit")
+        )
     ids = rows.select(*signature, clean_str(F.col(source)).alias(key)).filter(F.col(key).isNotNull())
     return (
         skew_join(ids, sums, signature, "inner")
@@ -270,6 +405,16 @@ def fit_totals(scored: DataFrame) -> DataFrame:
     )
 
 
+def match_totals(seekers: DataFrame, jobs: DataFrame, states: Sequence[str] | None = None) -> DataFrame:
+    """AGG-12: the pairs that `match` reports per state and category, without forming them."""
+    sk, pr = keyed_seekers(only_states(seekers, states)), keyed_jobs(only_states(jobs, states))
+    sizes = _signatures(pr, JOB_SIGNATURE, "n_jobs")
+    parts = F.inline(F.array(*[F.struct(F.lit(name).alias("match_category"), (F.col("n_jobs") * F.col(c)).alias("n_pairs"))
+                               for name, c in ((RIGHT_FIT, "right_fit"), (PARTIAL_FIT, "partial_fit"))]))
+    rows = fit_sums(sk, pr).join(sizes, JOB_SIGNATURE).select("state", parts).filter("n_pairs > 0")
+    return rows.groupBy("state", "match_category").agg(F.sum("n_pairs").alias("n_pairs"))
+
+
 def enrich_seekers(seekers: DataFrame, users: DataFrame, members: DataFrame, orgs: DataFrame) -> DataFrame:
     """JN-04..JN-06 on the seeker's side.
 
