@@ -600,15 +600,14 @@ def match_counts_seeker(spark, d):
 @query(f"{O.match_with()} SELECT state, match_category, count(*) AS n_pairs FROM matches GROUP BY state, match_category")
 def match_totals(spark, d):
     """AGG-12."""
-    return matching.fit_totals(matching.scored_signatures(
-        matching.keyed_seekers(seeker_rows(spark, d)), matching.keyed_jobs(job_rows(spark, d))))
+    return matching.match_totals(seeker_rows(spark, d), job_rows(spark, d))
 
 
 @query(f"{O.match_with()} SELECT state, count(*) AS n_pairs FROM matches WHERE state = 'KA' GROUP BY state")
 def match_one_state(spark, d):
     """FLT-08."""
-    rows = matching.match(seeker_rows(spark, d), job_rows(spark, d), states=["KA"])
-    return rows.groupBy("state").agg(F.count(F.lit(1)).alias("n_pairs"))
+    totals = matching.match_totals(seeker_rows(spark, d), job_rows(spark, d), states=["KA"])
+    return totals.groupBy("state").agg(F.sum("n_pairs").alias("n_pairs"))
 
 
 # ------------------------------------------------------------ keyed operators
