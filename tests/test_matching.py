@@ -158,6 +158,14 @@ def test_counts_need_no_pairs_of_signatures(spark, monkeypatch, by):
     assert sorted(matching.fit_counts(seekers, jobs, by).collect()) == sorted(want)
 
 
+def test_scores_of_a_pair_are_computed_once(spark):
+    seekers, jobs = market(spark, 12)
+    roles = spark.createDataFrame([("welder", "welder", 1.0, "welder")], "sk_key string, pr_role string, role_score double, best_trade string")
+    scored = matching.scored_signatures(matching.keyed_seekers(seekers), matching.keyed_jobs(jobs), roles)
+    plan = scored._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert plan.count("contains(") == 4  # the texts of one location score
+
+
 def test_totals_need_no_pairs(spark, monkeypatch):
     seekers, jobs = places(spark)
     pairs = matching.match(seekers, jobs).groupBy("state", "match_category").count().collect()

@@ -188,25 +188,15 @@ def scored_signatures(seekers: DataFrame, jobs: DataFrame, pairs: DataFrame | No
         "role": (key_rows(pr, ["state", "pr_role"]), key_rows(wanted, ["state", "pr_role"], F.col("_n")))})
     with_roles = product_join(sk, pairs, ["sk_key"], SEEKER_SIGNATURE, sizes=sizes["trade"])
     joined = product_join(pr, with_roles, ["state", "pr_role"], JOB_SIGNATURE, sizes=sizes["role"])
-    return (
-        joined.withColumns({
-            "location_score": S.location_score_of(
-                F.col("sk_state"), F.col("pr_state"), F.col("sk_district"), F.col("pr_district")
-            ),
-            "salary_score": S.salary_score_of(
-                F.col("wanted"), F.col("lo"), F.col("hi"), F.col("buffer")
-            ),
-            "education_score": S.education_score(_level("sk_level"), _level("pr_level")),
-        })
-        .withColumn("confidence", S.confidence(
-            F.col("role_score"), F.col("location_score"),
-            F.col("salary_score"), F.col("education_score"),
-        ))
-        .filter(F.col("confidence") >= CONFIDENCE_FLOOR)
-        .withColumn("match_category", S.fit_category(F.col("role_score"), F.col("location_score")))
-        .filter(F.col("match_category").isNotNull())
-        .drop("wanted", "lo", "hi", "buffer")
-    )
+    # as generators, so that a score is computed once: filters would be pushed into the join with copies of all of them
+    parts = F.struct(
+        S.location_score_of(F.col("sk_state"), F.col("pr_state"), F.col("sk_district"), F.col("pr_district")).alias("location_score"),
+        S.salary_score_of(F.col("wanted"), F.col("lo"), F.col("hi"), F.col("buffer")).alias("salary_score"),
+        S.education_score(_level("sk_level"), _level("pr_level")).alias("education_score"))
+    reached = S.confidence(F.col("role_score"), F.col("location_score"), F.col("salary_score"), F.col("education_score"))
+    fits = F.struct(reached.alias("confidence"), S.fit_category(F.col("role_score"), F.col("location_score")).alias("match_category"))
+    scored = joined.select("*", F.inline(F.array(parts))).drop("wanted", "lo", "hi", "buffer").select("*", F.inline(F.array(fits)))
+    return scored.filter((F.col("confidence") >= CONFIDENCE_FLOOR) & F.col("match_category").isNotNull())
 
 
 SCORES = ["role_score", "best_trade", "location_score", "salary_score", "education_score",
