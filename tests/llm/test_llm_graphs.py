@@ -4,8 +4,9 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from worklink.llm import embeddings, jaccard
+from worklink.llm import common, embeddings, jaccard
 from worklink.llm.components import connected_components, spanning
 
 
@@ -218,3 +219,15 @@ def test_jaccard_boundary_follows_the_cost():
     assert jaccard.boundary({12: 1000}, 90) >= 12
     assert jaccard.boundary({32: 1000}, 80) < 32
     assert jaccard.overlap(10, 9, 90) == 9 and jaccard.overlap(10, 10, 90) == 10
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    def blocks():
+        on_disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+        return {b for b in on_disk.mkString(" ").split() if b.startswith("shuffle_")}
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting, before = spark.conf.get(key), blocks()
+    counts = common.stored(spark.range(10_000).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    assert not blocks() - before and spark.conf.get(key) == setting
+    assert {r.k: r["count"] for r in counts.collect()} == {k: 1429 if k < 4 else 1428 for k in range(7)}
