@@ -92,3 +92,22 @@ def test_documents_are_parsed_once(spark):
     df = extract.flatten_profile(spark.createDataFrame([("1", "{}")], "id string, metadata string"))
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("parse_json(metadata") + plan.count("parseJson(metadata") <= 1
+
+
+@pytest.mark.parametrize("table, step, most", [
+    ("job_application", extract.flatten_application, 200), ("job_posting", extract.flatten_posting, 250)])
+def test_an_objects_members_are_read_at_once(spark, table, step, most):
+    roots = sorted({p.root for f in FIELD_MAPS[table] for p in f.paths})
+    df = step(spark.createDataFrame([tuple("{}" for _ in roots)], ", ".join(f"{r} string" for r in roots)))
+    key = "spark.sql.debug.maxToStringFields"
+    shown = spark.conf.get(key)
+    spark.conf.set(key, "100000")
+    reads = df._jdf.queryExecution().optimizedPlan().toString().count("try_variant_get(")
+    spark.conf.set(key, shown)
+    assert 0 < reads <= most
+
+
+def test_members_that_differ_by_case_and_lists(spark):
+    details = {"monthlyAverageOT": 0, "monthlyAverageOt": "12", "jobType": ["a ", None, " "], "modeOfWork": "[x]"}
+    got = flat(spark, "job_posting", title="t", description="d", metadata={"jobDetails": json.dumps(details)})
+    assert got["monthly_average_ot"] == "12" and got["job_type"] == "a" and got["mode_of_work"] == "[x]"

@@ -16,6 +16,9 @@ from worklink.functions.text import TRUE_WORDS, clean_phone, clean_str, join_ite
 # JSON texts of the values that count as absent in an `a or b` chain
 FALSY = r'^(""|null|false|\[\]|\{\}|-?0(\.0+)?([eE][+-]?\d+)?)$'
 
+# texts of such values; some texts that count as present read the same
+FALSY_TEXT = r'^(|null|false|\[\]|\{\}|-?0(\.0+)?([eE][+-]?\d+)?)$'
+
 
 def _step(key: str) -> str:
     return f".{key}" if key.isidentifier() else f'["{key}"]'
@@ -45,16 +48,38 @@ def is_text(v: Column) -> Column:
     return F.coalesce(F.to_json(v).startswith('"'), F.lit(False))
 
 
-def parse_obj(c: Column) -> Column:
-    """FN-08: JSON object held by a text, null for anything else.
+def parsed(c: Column) -> Column:
+    """An array whose only element is the JSON object that a text holds; more elements if there is more in the text.
 
     The parser stops at the end of the first value, so the text is parsed as the one element of an
     array: whatever follows the object then breaks it.
     """
-    text = strip(c)
-    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    alone = F.try_variant_get(wrapped, "$[1]", "variant").isNull()
-    return F.when(text.startswith("{") & text.endswith("}") & alone, F.try_variant_get(wrapped, "$[0]", "variant"))
+    text = F.when(c.startswith("{") & c.endswith("}"), c).otherwise(strip(c))
+    return F.when(text.startswith("{") & text.endswith("}"), F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))))
+
+
+def _alone(wrapped: Column) -> Column:
+    return F.try_variant_get(wrapped, "$[1]", "variant").isNull()
+
+
+def parse_obj(c: Column) -> Column:
+    """FN-08: JSON object held by a text, null for anything else."""
+    wrapped = parsed(c.cast("string"))
+    return F.when(_alone(wrapped), F.try_variant_get(wrapped, "$[0]", "variant"))
+
+
+def _struct(keys: dict[str, str]) -> str:
+    return "struct<" + ", ".join(f"`{key}`: {kind}" for key, kind in keys.items()) + ">"
+
+
+def members(v: Column, keys: dict[str, str]) -> Column:
+    """FN-10: some members of an object as a struct, each as variant or as text; null for any other value."""
+    return F.try_variant_get(v, "$", _struct(keys))
+
+
+def members_of_parsed(wrapped: Column, keys: dict[str, str]) -> Column:
+    """The same of an object that `parsed` gives."""
+    return F.when(_alone(wrapped), F.try_variant_get(wrapped, "$[0]", _struct(keys)))
 
 
 def as_obj(v: Column) -> Column:
@@ -66,9 +91,15 @@ def as_obj(v: Column) -> Column:
     return F.when(is_object(v), v).otherwise(parse_obj(text_of(v)))
 
 
-def truthy(v: Column) -> Column:
-    """Whether a value counts as present in an `a or b` chain (FN-11)."""
-    return F.coalesce(~F.to_json(v).rlike(FALSY), F.lit(False))
+def truthy(v: Column, text: Column | None = None) -> Column:
+    """Whether a value counts as present in an `a or b` chain (FN-11).
+
+    A text that was read before decides for most values; only where it reads like an absent one JSON style tells the
+    kinds apart.
+    """
+    if text is None:
+        return F.coalesce(~F.to_json(v).rlike(FALSY), F.lit(False))
+    return F.when(text.rlike(FALSY_TEXT), ~F.to_json(v).rlike(FALSY)).otherwise(text.isNotNull())
 
 
 def first_truthy(*values: Column) -> Column:
@@ -77,16 +108,21 @@ def first_truthy(*values: Column) -> Column:
     return F.coalesce(*[F.when(truthy(v), v) for v in head], last)
 
 
-def to_bool(v: Column) -> Column:
+def to_bool(v: Column, text: Column | None = None) -> Column:
     """FN-06: booleans kept, texts compared with the true words, others by truthiness."""
-    word = F.lower(strip(text_of(v))).isin(TRUE_WORDS)
-    return F.when(text_of(v).isNotNull(), F.when(is_text(v), word).otherwise(truthy(v)))
+    read = text_of(v) if text is None else text
+    # what reads like a true word is true as a text and by truthiness
+    return F.when(F.lower(strip(read)).isin(TRUE_WORDS), F.lit(True)).when(read.isNotNull(), ~is_text(v) & truthy(v, text))
 
 
 def to_list_text(v: Column) -> Column:
     """FN-07: items of a list joined by '|', a scalar as trimmed text."""
-    items = F.try_variant_get(v, "$", "array<string>")
-    return F.when(items.isNotNull(), join_items(items)).otherwise(clean_str(text_of(v)))
+    return list_text(F.try_variant_get(v, "$", "array<string>"), text_of(v))
+
+
+def list_text(items: Column, text: Column) -> Column:
+    """FN-07 on the items of a list (null for a scalar) and its text."""
+    return F.when(items.isNotNull(), join_items(items)).otherwise(clean_str(text))
 
 
 def to_elements_text(v: Column) -> Column:
@@ -103,14 +139,14 @@ def to_json_text(v: Column) -> Column:
     return F.nullif(F.to_json(v), F.lit("null"))
 
 
-def to_phone(v: Column) -> Column:
+def to_phone(v: Column, text: Column | None = None) -> Column:
     """FN-02 behind a truthiness guard."""
-    return F.when(truthy(v), clean_phone(text_of(v)))
+    return F.when(truthy(v, text), clean_phone(text_of(v) if text is None else text))
 
 
-def name_or_text(v: Column) -> Column:
+def name_or_text(v: Column, text: Column | None = None) -> Column:
     """FN-14: `name` of an object, a scalar as it is."""
-    return F.when(is_object(v), get_text(v, "name")).otherwise(text_of(v))
+    return F.when(is_object(v), get_text(v, "name")).otherwise(text_of(v) if text is None else text)
 
 
 def text_field(v: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -19,94 +20,140 @@ FLAG_COLUMNS = (
 )
 
 
-def _holder(root: str, keys: tuple[str, ...]) -> str:
-    """Name of the helper column that holds one nested object."""
-    return "_".join(["_obj", root, *keys])
+def _of_members(path: Path) -> str:
+    return "_".join(["_obj", path.root, *path.keys])
 
 
-def _leaf(path: Path) -> Column:
-    return V.get(F.col(_holder(path.root, path.keys[:-1])), path.keys[-1])
-
-
-def _leaf_text(path: Path) -> Column:
-    if not path.keys:
-        return F.col(path.root).cast("string")
-    return V.get_text(F.col(_holder(path.root, path.keys[:-1])), path.keys[-1])
-
-
-def _chosen_text(paths: tuple[Path, ...]) -> Column:
-    """Text of the first truthy operand, else of the last one."""
-    *head, last = paths
-    options = [
-        F.when(V.truthy(_leaf(p)) if p.keys else _leaf_text(p) != "", _leaf_text(p))
-        for p in head
-    ]
-    return F.coalesce(*options, _leaf_text(last))
-
-
-def _chosen(paths: tuple[Path, ...]) -> Column:
-    return V.first_truthy(*[_leaf(p) for p in paths])
+class Members:
+    """The members that fields read of every nested object.
 
+    An object's members are read at once into a helper column, a struct of texts and, where more than the text of a
+    value counts, variants. Keys that differ by case only, and the items of lists, go to structs of their own.
+    """
 
-def _expr(field: Field) -> Column:
-    paths = field.paths
+    def __init__(self, fields: tuple[Field, ...]):
+        self.fields, self.types = fields, {}
+        self.lists = {f.paths[0] for f in fields if f.kind == "list" and len(f.paths) == 1}
+        for f in fields:
+            for i, p in enumerate(f.paths):
+                text = f.kind in ("text", "raw") and i == len(f.paths) - 1 or f.kind == "list" and p in self.lists
+                if p.keys and not (text and p in self.types):
+                    self.types[p] = "string" if text else "variant"
+                for depth in range(1, len(p.keys)):
+                    self.types[Path(p.root, p.keys[:depth])] = "variant"
+        self.objects = sorted({Path(p.root, p.keys[:-1]) for p in self.types}, key=lambda o: (len(o.keys), o.root, o.keys))
+        self.structs: dict[Path, list[dict[str, str]]] = {o: [] for o in self.objects}
+        self.place: dict[Path, int] = {}
+        for p, kind in self.types.items():
+            of_object, key = self.structs[Path(p.root, p.keys[:-1])], p.keys[-1]
+            spelled = sum(key.lower() in (k.lower() for k in keys) for keys in of_object)
+            if spelled == len(of_object):
+                of_object.append({})
+            of_object[spelled][key] = kind
+            self.place[p] = spelled
+        self.place_of_items: dict[Path, int] = {}
+        for o in self.objects:
+            lists = [p for p in self.lists if (p.root, p.keys[:-1]) == (o.root, o.keys)]
+            if lists:
+                self.place_of_items |= dict.fromkeys(lists, len(self.structs[o]))
+                self.structs[o].append({p.keys[-1]: "array<string>" for p in sorted(lists, key=lambda p: p.keys)})
+
+    def _struct(self, path: Path, place: int) -> Column:
+        return F.col(f"{_of_members(Path(path.root, path.keys[:-1]))}_{place}").getField(path.keys[-1])
+
+    def value(self, path: Path) -> Column:
+        return self._struct(path, self.place[path])
+
+    def items(self, path: Path) -> Column:
+        return self._struct(path, self.place_of_items[path])
+
+    def text(self, path: Path) -> Column:
+        if not path.keys:
+            return F.col(path.root).cast("string")
+        return self.value(path) if self.types[path] == "string" else F.col(f"`_text_{'_'.join((path.root, *path.keys))}`")
+
+    def chosen(self, paths: tuple[Path, ...], of: Callable[[Path], Column]) -> Column:
+        """FN-11: what `of` gives of the first path with a truthy value, else of the last one."""
+        *head, last = paths
+        options = [
+            F.when(V.truthy(self.value(p), self.text(p)) if p.keys else self.text(p) != "", of(p)) for p in head
+        ]
+        return F.coalesce(*options, of(last))
+
+    def read(self, df: DataFrame) -> DataFrame:
+        """The table with the helper columns; each document is parsed once."""
+        for depth in range(len(self.objects[-1].keys) + 1):
+            level = [o for o in self.objects if len(o.keys) == depth]
+            found = {o: [f"{_of_members(o)}_{i}" for i in range(len(self.structs[o]))] for o in level}
+            if depth:
+                df = df.withColumns({c: V.members(self.value(o), keys) for o in level for c, keys in zip(found[o], self.structs[o])})
+            # a text that holds an object is parsed in a step of its own, or else once for every use
+            texts = {o: V.text_of(self.value(o)) if depth else F.col(o.root).cast("string") for o in level}
+            df = df.withColumns({
+                f"{_of_members(o)}_parsed": F.when(F.col(found[o][0]).isNull(), V.parsed(t)) if depth else V.parsed(t)
+                for o, t in texts.items()})
+            again = {}
+            for o in level:
+                parsed = F.col(f"{_of_members(o)}_parsed")
+                for c, keys in zip(found[o], self.structs[o]):
+                    inner = V.members_of_parsed(parsed, keys)
+                    again[c] = F.coalesce(F.col(c), inner) if depth else inner
+            df = df.withColumns(again).drop(*[f"{_of_members(o)}_parsed" for o in level])
+        # several expressions use the text of a value and the choice between paths: each is a column, found once
+        leaves = {p for f in self.fields for p in f.paths}
+        df = df.withColumns({
+            f"_text_{'_'.join((p.root, *p.keys))}": V.text_of(self.value(p))
+            for p, kind in self.types.items() if kind == "variant" and p in leaves})
+        return df.withColumns({
+            f"_{what}_{f.column}": self.chosen(f.paths, of)
+            for f in self.fields if len(f.paths) > 1
+            for what, of in (("text", self.text), ("value", self.value))
+            if what == "text" or f.kind not in ("text", "raw")})
+
+    def of_field(self, field: Field) -> tuple[Column | None, Column]:
+        """The value (null where only the text counts) and the text that a field takes."""
+        if len(field.paths) > 1:
+            return None if field.kind in ("text", "raw") else F.col(f"_value_{field.column}"), F.col(f"_text_{field.column}")
+        only = field.paths[0]
+        return self.value(only) if only.keys and self.types[only] == "variant" else None, self.text(only)
+
+
+def _expr(members: Members, field: Field) -> Column:
+    value, text = members.of_field(field)
     if field.kind == "text":
-        return clean_str(_chosen_text(paths))
+        return clean_str(text)
     if field.kind == "raw":
-        return _chosen_text(paths)
+        return text
     if field.kind == "phone":
-        return V.to_phone(_chosen(paths))
+        return V.to_phone(value, text)
     if field.kind == "bool":
-        return V.to_bool(_chosen(paths))
+        return V.to_bool(value, text)
     if field.kind == "list":
-        return V.to_list_text(_chosen(paths))
+        return V.to_list_text(value) if value is not None else V.list_text(members.items(field.paths[0]), text)
     if field.kind == "elements":
-        value = _chosen(paths)
-        return F.when(V.truthy(value), V.to_elements_text(value))
+        return F.when(V.truthy(value, text), V.to_elements_text(value))
     if field.kind == "json":
-        return V.to_json_text(_chosen(paths))
+        return V.to_json_text(value)
     if field.kind == "name":
-        return clean_str(V.name_or_text(_chosen(paths)))
+        return clean_str(V.name_or_text(value, text))
     if field.kind == "given":
-        value = _chosen(paths)
-        return F.when(V.truthy(value), clean_str(V.text_of(value)))
+        return F.when(V.truthy(value, text), clean_str(text))
     raise ValueError(f"unknown field kind {field.kind}")
 
 
-def _objects(fields: tuple[Field, ...]) -> list[list[tuple[str, tuple[str, ...]]]]:
-    """Nested objects the fields read, by depth: level 0 holds the documents."""
-    found = {
-        (p.root, p.keys[:depth])
-        for f in fields for p in f.paths if p.keys
-        for depth in range(len(p.keys))
-    }
-    deepest = max(len(keys) for _, keys in found)
-    return [sorted(o for o in found if len(o[1]) == d) for d in range(deepest + 1)]
-
-
-def with_objects(df: DataFrame, fields: tuple[Field, ...]) -> DataFrame:
-    """Every nested object as a helper column; each document is parsed once."""
-    for level in _objects(fields):
-        df = df.withColumns({
-            _holder(root, keys): V.as_obj(V.get(F.col(_holder(root, keys[:-1])), keys[-1]))
-            if keys else V.parse_obj(F.col(root).cast("string"))
-            for root, keys in level
-        })
-    return df
-
-
-def flatten(df: DataFrame, fields: tuple[Field, ...], extra: dict[str, Column] | None = None) -> DataFrame:
+def flatten(df: DataFrame, fields: tuple[Field, ...],
+            extra: Callable[[Members], dict[str, Column]] | None = None) -> DataFrame:
     """Raw columns plus one column per field, without a join.
 
     A field whose name a raw column already has comes out as `<name>_meta`.
     """
-    raw = df.columns
+    raw, members = df.columns, Members(fields)
 
     def name(column: str) -> str:
         return f"{column}_meta" if column in raw else column
 
-    columns = {f.column: _expr(f) for f in fields} | (extra or {})
-    return with_objects(df, fields).select(
+    columns = {f.column: _expr(members, f) for f in fields} | (extra(members) if extra else {})
+    return members.read(df).select(
         *[F.col(c) for c in raw], *[e.alias(name(c)) for c, e in columns.items()]
     )
 
@@ -121,10 +168,9 @@ def flatten_organization(df: DataFrame) -> DataFrame:
     return flatten(df, FIELD_MAPS["organization"])
 
 
-def salary_basis() -> dict[str, Column]:
+def salary_basis(members: Members) -> dict[str, Column]:
     """RUL-01: salary bounds by nature of job."""
-    details = ("jobDetails",)
-    nature = F.lower(clean_str(_leaf_text(Path("metadata", (*details, "natureOfJob")))))
+    nature = F.lower(clean_str(members.text(Path("metadata", ("jobDetails", "natureOfJob")))))
 
     def mentions(words: tuple[str, ...]) -> Column:
         return reduce(lambda a, b: a | b, [nature.contains(w) for w in words])
@@ -133,9 +179,9 @@ def salary_basis() -> dict[str, Column]:
 
     def bound(end: str) -> Column:
         return (
-            F.when(mentions(STIPEND_WORDS), _expr(by_name[f"stipend_{end}"]))
-            .when(mentions(TASK_RATE_WORDS), _expr(by_name[f"task_rate_{end}"]))
-            .otherwise(_expr(by_name[f"{end}_monthly_in_hand"]))
+            F.when(mentions(STIPEND_WORDS), _expr(members, by_name[f"stipend_{end}"]))
+            .when(mentions(TASK_RATE_WORDS), _expr(members, by_name[f"task_rate_{end}"]))
+            .otherwise(_expr(members, by_name[f"{end}_monthly_in_hand"]))
         )
 
     return {"unified_salary_min": bound("min"), "unified_salary_max": bound("max")}
@@ -143,7 +189,7 @@ def salary_basis() -> dict[str, Column]:
 
 def flatten_posting(df: DataFrame) -> DataFrame:
     """PRJ-03: 87 columns of the posting document."""
-    return flatten(df, FIELD_MAPS["job_posting"], salary_basis())
+    return flatten(df, FIELD_MAPS["job_posting"], salary_basis)
 
 
 def flatten_application(df: DataFrame) -> DataFrame:
