@@ -47,6 +47,18 @@ def test_bpe_equals_library(coder):
             len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest())
 
 
+def test_bpe_reads_a_known_text_without_tokens(coder):
+    """What a digest adds for a part is made once; a text of known parts needs neither pattern nor vocabulary."""
+    added = next(iter(coder.added), "")
+    text = f"a well-known wörd,  two blanks {added} and 1234 {added}{added}"
+    first = coder.digest(text)
+    known = bpe.BytePairCoder.__new__(bpe.BytePairCoder)
+    known.__setstate__({"added": coder.added})
+    known.forms.update(coder.forms)
+    assert known.digest(text) == first
+    assert coder.forms[" wörd"] == ("".join(f",{i}" for i in coder.encode(" wörd")).encode(), " wörd".encode())
+
+
 def tiny_coder(merges, block=1):
     """A coder over given merges of byte strings, with an alphabet of all bytes."""
     coder = bpe.BytePairCoder.__new__(bpe.BytePairCoder)

@@ -14,6 +14,7 @@ import heapq
 import json
 from array import array
 from collections.abc import Iterable, Iterator
+from itertools import batched, chain
 
 import pyarrow as pa
 import regex
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from worklink.llm.common import Recent, id_and_text, per_text
 
 #: Fixed value: the pattern that cuts text into pieces before byte-level merges.
-PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+PIECES = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
 
 INNER_BLANK = regex.compile(r"\s \s")
 DIGEST = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
@@ -126,14 +127,14 @@ class BytePairCoder:
         self.shown = {i: str(i) for i in self.bytes_of}
         self.lookahead = sufficient_lookahead(merges)
         self.block = max(block, *map(len, self.bytes_of.values()))
-        self.parts = Recent(self.encode_part, limit=400_000)
+        self.__setstate__({})
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k != "parts"}
+        return {k: v for k, v in self.__dict__.items() if k not in ("parts", "forms")}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
-        self.parts = Recent(self.encode_part, limit=400_000)
+        self.parts, self.forms = Recent(self.encode_part, limit=400_000), Recent(self.form, limit=400_000)
 
     def merged(self, data: bytes) -> list[int]:
         """Tokens of a window."""
@@ -163,12 +164,19 @@ class BytePairCoder:
         return array("I", self.stream(data[i:i + self.block] for i in range(0, len(data), self.block))).tobytes()
 
     def encode_part(self, part: str) -> bytes:
-        """Ids of text without added tokens; a word after a blank is one piece."""
+        """Ids of an added token or of text without any; a word after a blank is one piece."""
+        if part in self.added:
+            return array("I", [self.added[part]]).tobytes()
         if part[1:].isalpha() and (part[0] == " " or part[0].isalpha()):
             return self.piece(part)
-        pieces = regex.findall(PIECES, part)
+        pieces = PIECES.findall(part)
         return self.piece(part) if len(pieces) == 1 else b"".join([self.parts[p] for p in pieces])
 
+    def form(self, part: str) -> tuple[bytes, bytes]:
+        """The ids of a part as decimal numbers, a comma before each, and the bytes that they stand for."""
+        tokens = array("I", self.encode_part(part))
+        return "".join(["," + self.shown[t] for t in tokens]).encode(), b"".join([self.bytes_of[t] for t in tokens])
+
     def split_added(self, text: str) -> list[str]:
         """Text and added tokens in turn; the leftmost, then the longest token counts."""
         if not any(content in text for content in self.added):
@@ -176,26 +184,26 @@ class BytePairCoder:
         found = "|".join(regex.escape(c) for c in sorted(self.added, key=len, reverse=True))
         return regex.split(f"({found})", text)
 
-    def encoded(self, text: str) -> Iterator[bytes]:
-        """Ids of a text: cut at blanks where no piece crosses the cut, else piece by piece.
+    def encoded(self, text: str, memo: Recent) -> Iterator[list]:
+        """What a memo holds of a text's parts: cut at blanks where no piece crosses the cut, else piece by piece.
 
         A piece begins at a blank unless that blank stands inside a run of white space.
         """
         for i, part in enumerate(self.split_added(text)):
             if i % 2:
-                yield array("I", [self.added[part]]).tobytes()
+                yield [memo[part]]
             elif part and INNER_BLANK.search(part):
-                for piece in regex.finditer(PIECES, part):
-                    yield self.parts[piece.group()]
+                for pieces in batched(PIECES.finditer(part), 4096):
+                    yield [memo[p.group()] for p in pieces]
             elif part:
                 words = part.split(" ")
                 if words[0]:
-                    yield self.parts[words[0]]
+                    yield [memo[words[0]]]
                 for at in range(1, len(words), 4096):
-                    yield b"".join([self.parts[" " + w] for w in words[at:at + 4096]])
+                    yield [memo[" " + w] for w in words[at:at + 4096]]
 
     def encode(self, text: str) -> list[int]:
-        return array("I", b"".join(self.encoded(text))).tolist()
+        return array("I", b"".join(chain.from_iterable(self.encoded(text, self.parts)))).tolist()
 
     def decode(self, tokens: Iterable[int]) -> Iterator[str]:
         """Text of a token stream; bytes of an unfinished character wait for the next token."""
@@ -209,13 +217,12 @@ class BytePairCoder:
     def digest(self, text: str) -> tuple[int, str, str]:
         """Number of tokens, digest of the ids, digest of the decoded text."""
         ids, out = hashlib.sha256(), hashlib.sha256()
-        machine, shown, bytes_of, n = codecs.getincrementaldecoder("utf-8")("replace"), self.shown, self.bytes_of, 0
-        for block in self.encoded(text):
-            tokens = array("I", block)
-            if tokens:
-                ids.update(("," * bool(n) + ",".join([shown[t] for t in tokens])).encode())
-                out.update(machine.decode(b"".join([bytes_of[t] for t in tokens])).encode())
-                n += len(tokens)
+        machine, n = codecs.getincrementaldecoder("utf-8")("replace"), 0
+        for forms in self.encoded(text, self.forms):
+            shown = b"".join([f[0] for f in forms])
+            ids.update(shown if n else shown[1:])
+            out.update(machine.decode(b"".join([f[1] for f in forms])).encode())
+            n += shown.count(b",")
         out.update(machine.decode(b"", True).encode())
         return n, ids.hexdigest(), out.hexdigest()
 
