@@ -294,6 +294,39 @@ def test_rare_contexts_keep_their_counts(spark):
             assert r.score == pytest.approx(tree.scores([text.encode().lower()])[0], rel=1e-5)
 
 
+def test_answers_of_rare_contexts_do_not_grow_with_the_tasks(spark):
+    """Each task hands back one piece per partition that asked, not a row per text; the sums are exact."""
+    held = context_tree.Answers(most=8)
+    rng = random.Random(2)
+    out, wanted = [], {}
+    for _ in range(200):
+        asker, rows = rng.randrange(2), np.array([rng.randrange(3) for _ in range(2)])
+        out += held.add(asker, rows, np.array([1.0, 0.5]))
+        for row, score in zip(rows, (1.0, 0.5)):
+            wanted[asker, int(row)] = wanted.get((asker, int(row)), 0) + score
+    out += held.all()
+    assert len(out) <= 150 and held.all() == []
+    found = {}
+    for asker, data in out:
+        for row, score in zip(*context_tree.unscored(data)):
+            found[asker, int(row)] = found.get((asker, int(row)), 0) + score
+    assert found == wanted
+
+
+def test_words_of_a_batch_are_counted_per_text():
+    """Frequent words add to the base at once; each other word comes once per text, with its count."""
+    texts = [b"the the rare x", b"", b"rare the rare x x x"]
+    keys = np.sort(context_tree.word_hashes([b"the"], 1))
+    scorer = context_tree.Scorer(None, keys, np.array([10]), 100, 5, 3)
+    n, base, _, owner, word, times = scorer.rows(texts)
+    names = dict(zip(context_tree.word_hashes([b"rare", b"x"], 2).tolist(), ("rare", "x")))
+    assert n.tolist() == [5, 1, 7]
+    assert base.tolist() == pytest.approx([scorer.base(3) + k * scorer.base(10) for k in (2, 0, 1)])
+    assert sorted((o, names[w], t) for o, w, t in zip(owner.tolist(), word.tolist(), times.tolist())) == [
+        (0, "rare", 1), (0, "x", 1), (2, "rare", 2), (2, "x", 3)]
+    assert [len(x) for x in scorer.rows([])] == [0] * 6
+
+
 def test_model_beats_the_base(spark):
     found = context_tree.model_scores(read_table(spark, "/root/testdata/sf0.1", "documents")).filter("held_out").toPandas()
     assert found.score.sum() > found.base_score.sum()

@@ -13,16 +13,18 @@ sent to the bucket and scored there.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from worklink.llm.common import Recent, crc_mod, id_and_text, stored
+from worklink.llm.common import crc_mod, id_and_text, stored
 
 DEPTH = 5
 BITS = 6
@@ -92,8 +94,9 @@ def lowered(text: str) -> bytes:
     return text.encode("utf-8", "surrogatepass").lower()  # of bytes: A to Z only
 
 
-def word_hash(word: bytes) -> int:
-    return xxh3_64_intdigest(word) - (1 << 63)
+def word_hashes(words: Iterable[bytes], n: int) -> np.ndarray:
+    """Signed hashes of n words."""
+    return (np.fromiter(map(xxh3_64_intdigest, words), np.uint64, n) ^ np.uint64(1 << 63)).view(np.int64)
 
 
 # ---------------------------------------------------------------- the corpus counted
@@ -141,11 +144,11 @@ def count_corpus(docs: DataFrame, table: np.ndarray, most: int = 500_000) -> Dat
             [pa.array(np.full(len(key), gram)), pa.array(key, pa.int64()), pa.array(n, pa.int64())], names=["gram", "key", "n"])
 
     def flush(words):
-        return emit(False, np.array([word_hash(w) for w in words], np.int64), np.array(list(words.values()), np.int64))
+        return emit(False, word_hashes(words, len(words)), np.array(list(words.values()), np.int64))
 
     def run(batches):
         keys, counts, held = [], [], 0
-        words: dict[bytes, int] = {}
+        words: Counter[bytes] = Counter()
         for batch in batches:
             texts = [lowered(t) for t in batch.column(0).to_pylist()]
             for raw, at, _ in streams(texts):
@@ -159,11 +162,10 @@ def count_corpus(docs: DataFrame, table: np.ndarray, most: int = 500_000) -> Dat
                     else:
                         keys, counts, held = [key], [n], len(key)
             for text in texts:
-                for w in text.split():
-                    words[w] = words.get(w, 0) + 1
+                words.update(text.split())
                 if len(words) > most:
                     yield flush(words)
-                    words = {}
+                    words = Counter()
         if keys:
             yield emit(True, *merged(keys, counts))
         if words:
@@ -205,6 +207,20 @@ def decisions(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return zeros, ones
 
 
+def blocks(n: int, size: int = 1024) -> Iterator[slice]:
+    """The driver works on so many contexts at a time."""
+    for i in range(0, n, size):
+        yield slice(i, i + size)
+
+
+def estimates(counts: np.ndarray) -> np.ndarray:
+    """Log of the Krichevsky-Trofimov probability at each inner node of each context's decision tree."""
+    out = np.empty((len(counts), NODES))
+    for at in blocks(len(counts)):
+        out[at] = block_probability(*decisions(counts[at]))
+    return out
+
+
 def symbol_logs(ones: np.ndarray) -> np.ndarray:
     """Log10 probability of each symbol from the chance of a one at each node."""
     total = np.zeros((len(ones), 1))
@@ -393,49 +409,51 @@ class ContextTree:
             # the oldest symbol is the highest: dropping it gives the parent
             parent[d] = np.searchsorted(levels[d - 1][0], levels[d][0] & ((1 << (BITS * (d - 1))) - 1))
         rest = [None] * (depths + 1)  # counts that no kept child has
-        weighted = [None] * (depths + 1)
         stop = [None] * (depths + 1)  # log of the odds of stopping at a node
+        below = None
         for d in reversed(range(depths + 1)):
-            estimate = block_probability(*decisions(levels[d][1]))
-            if d == depths:
-                weighted[d] = estimate
-                continue
-            other = levels[d][1].copy()
-            children = np.zeros_like(estimate)
-            np.subtract.at(other, parent[d + 1], levels[d + 1][1])
-            np.add.at(children, parent[d + 1], weighted[d + 1])
-            if sums is None:
-                rest[d] = np.maximum(other, 0)
-                children += block_probability(*decisions(rest[d]))
-            else:  # a child that never occurred has no counts
-                rest[d] = np.zeros_like(other)
-                before = sum(len(codes) for codes, _ in levels[:d])
-                children += sums[before:before + len(other)]
-            stop[d] = estimate - children
-            weighted[d] = np.logaddexp(estimate, children) - np.log(2)
-        rows, gathered, share = [], None, None
+            weighted = estimates(levels[d][1])
+            if d < depths:
+                children = np.zeros_like(weighted)
+                np.add.at(children, parent[d + 1], below)
+                if sums is None:
+                    other = levels[d][1].copy()
+                    np.subtract.at(other, parent[d + 1], levels[d + 1][1])
+                    rest[d] = np.maximum(other, 0)
+                    children += estimates(rest[d])
+                else:  # a child that never occurred has no counts
+                    before = sum(len(codes) for codes, _ in levels[:d])
+                    children += sums[before:before + len(children)]
+                stop[d] = weighted - children
+                weighted = np.logaddexp(weighted, children) - np.log(2)
+            below = weighted
+        rows, passed, below, weighted, children = [], [], None, None, None
         self.first, self.child = links(levels)
-        passed = []
         for d in range(depths + 1):
-            zeros, ones = decisions(levels[d][1])
-            own = (ones + 0.5) / (zeros + ones + 1)
-            if d == 0:
-                gathered, share = np.zeros_like(own), np.ones_like(own)
-            else:
-                gathered, share = below[0][parent[d]], below[1][parent[d]]
-            if d < depths:
-                weight = 1 / (1 + np.exp(np.clip(-stop[d], -700, 700)))
-                zeros, ones = decisions(rest[d])
-                last = gathered + share * (weight * own + (1 - weight) * (ones + 0.5) / (zeros + ones + 1))
-                below = gathered + share * weight * own, share * (1 - weight)
-            else:
-                last = gathered + share * own
-            rows.append(symbol_logs(last))
+            size = len(levels[d][0])
+            rows.append(np.empty((size, SYMBOLS), np.float32))
+            handed = np.empty((2, size, NODES)) if d < depths else None
+            for at in blocks(size):
+                zeros, ones = decisions(levels[d][1][at])
+                own = (ones + 0.5) / (zeros + ones + 1)
+                gathered, share = (below[i][parent[d][at]] for i in (0, 1)) if d else (np.zeros_like(own), np.ones_like(own))
+                if d < depths:
+                    weight = 1 / (1 + np.exp(np.clip(-stop[d][at], -700, 700)))
+                    other = 0.5  # without counts
+                    if rest[d] is not None:
+                        zeros, ones = decisions(rest[d][at])
+                        other = (ones + 0.5) / (zeros + ones + 1)
+                    last = gathered + share * (weight * own + (1 - weight) * other)
+                    handed[0, at], handed[1, at] = gathered + share * weight * own, share * (1 - weight)
+                else:
+                    last = gathered + share * own
+                rows[d][at] = symbol_logs(last)
+            below = handed
             if d < depths and sums is not None:
-                passed.append(np.stack(below).astype(np.float32))
+                passed.append(below.astype(np.float32))
         # what a node hands to children outside the tree: the mixture so far, and what is left to share
         self.passed = np.concatenate(passed, axis=1) if passed else None
-        self.logs = np.concatenate(rows).astype(np.float32).ravel()
+        self.logs = np.concatenate(rows).ravel()
 
     def scores(self, texts: list[bytes], rare: list | None = None) -> np.ndarray:
         """Log10 probability of each text with its end.
@@ -491,16 +509,25 @@ def common_contexts(grams: DataFrame, total: int, share: float) -> list[tuple[np
     return levels
 
 
-PIECE = "bucket int, kind int, row long, data binary, score double"
+PIECE = "bucket int, kind int, asker int, data binary"
 NAMES = [f.split()[0] for f in PIECE.split(", ")]
 TAUGHT, ASKED, TEXT = range(3)  # kinds of pieces, in the order a bucket is read
 
 
-def pieces(bucket: list, kind: int, data: list, row: np.ndarray | None = None, score: np.ndarray | None = None) -> pa.RecordBatch:
-    none = [None] * len(bucket)
+def pieces(bucket: list, kind: int, data: list, asker: int | None = None) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(bucket, pa.int32()), pa.array([kind] * len(bucket), pa.int32()), pa.array(none if row is None else row, pa.int64()),
-         pa.array(data, pa.binary()), pa.array(none if score is None else score, pa.float64())], names=NAMES)
+        [pa.array(bucket, pa.int32()), pa.array([kind] * len(bucket), pa.int32()), pa.array([asker] * len(bucket), pa.int32()),
+         pa.array(data, pa.binary())], names=NAMES)
+
+
+def scored(row: np.ndarray, score: np.ndarray) -> bytes:
+    """Keys of rows and a number for each."""
+    return row.astype("<i8").tobytes() + score.astype("<f8").tobytes()
+
+
+def unscored(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    half = len(data) // 2
+    return np.frombuffer(data[:half], "<i8"), np.frombuffer(data[half:], "<f8")
 
 
 def packed(keys: np.ndarray, extra: np.ndarray) -> bytes:
@@ -568,8 +595,11 @@ def rare_grams(grams: DataFrame, walk, buckets: int, most: int = 500_000) -> Dat
     return grams.mapInArrow(run, PIECE)
 
 
-def forests(batches, first: list[int], children: list[np.ndarray]) -> Iterator[tuple[Forest, int, bytes]]:
-    """(forest, kind, data) of the rows of some buckets, sorted by bucket and kind; once per forest with kind TAUGHT."""
+def forests(batches, first: list[int], children: list[np.ndarray]) -> Iterator[tuple[Forest, int, int | None, bytes]]:
+    """(forest, kind, asker, data) of the rows of some buckets, sorted by bucket and kind.
+
+    A forest comes once with kind TAUGHT; kind TEXT has none.
+    """
     now, held, forest = None, [], None
 
     def grown():
@@ -579,20 +609,24 @@ def forests(batches, first: list[int], children: list[np.ndarray]) -> Iterator[t
         return Forest(first, deepest(first, children, keys), keys, n)
 
     for batch in batches:
-        for bucket, kind, data in zip(*(batch.column(NAMES.index(c)).to_pylist() for c in ("bucket", "kind", "data"))):
+        data_of = batch.column(3)  # long pieces: one at a time
+        for i, (bucket, kind, asker) in enumerate(zip(*(c.to_pylist() for c in batch.columns[:3]))):
+            data = data_of[i].as_py()
             if bucket != now:
                 if held:
-                    yield grown(), TAUGHT, b""
+                    yield grown(), TAUGHT, None, b""
                 now, forest = bucket, None
             if kind == TAUGHT:
                 held.append(data)
             elif kind == ASKED:
                 if forest is None:
                     forest = grown()
-                    yield forest, TAUGHT, b""
-                yield forest, kind, data
+                    yield forest, TAUGHT, None, b""
+                yield forest, kind, asker, data
+            else:
+                yield None, kind, asker, data
     if held:
-        yield grown(), TAUGHT, b""
+        yield grown(), TAUGHT, None, b""
 
 
 def learn_tree(grams: DataFrame, table: np.ndarray, counts: np.ndarray, total: int, share: float, held: float,
@@ -618,20 +652,48 @@ def learn_tree(grams: DataFrame, table: np.ndarray, counts: np.ndarray, total: i
     found = dealt.mapInArrow(run, "node long, sums binary").toPandas()
     for node, data in zip(found.node, found.sums):
         sums[node] = np.frombuffer(data)
+    del found
     return ContextTree(levels, table, escaped, sums), rare
 
 
+class Answers:
+    """Scores by asker and row, added up; handed over as one piece per asker."""
+
+    def __init__(self, most: int):
+        self.most, self.size, self.held = most, 0, {}
+
+    def add(self, asker: int, row: np.ndarray, score: np.ndarray) -> list[tuple[int, bytes]]:
+        """Take some in; what is held goes once it stays beyond half of `most` rows."""
+        rows, scores = self.held.setdefault(asker, ([], []))
+        rows.append(row)
+        scores.append(score)
+        self.size += len(row)
+        if self.size < self.most:
+            return []
+        self.held = {k: tuple([x] for x in merged(*v)) for k, v in self.held.items()}
+        self.size = sum(len(v[0][0]) for v in self.held.values())
+        return self.all() if self.size >= self.most // 2 else []
+
+    def all(self) -> list[tuple[int, bytes]]:
+        out = [(k, scored(*merged(*v))) for k, v in self.held.items()]
+        self.size, self.held = 0, {}
+        return out
+
+
 def tree_scores(rows: DataFrame, tree, rare: DataFrame, buckets: int, tasks: int, most: int = 1_000_000) -> DataFrame:
-    """(row, tree_score) of each different row key of (doc_id, text, row) under the tree and its forests."""
+    """(row, tree_score) of each different row key of (doc_id, text, row) under the tree and its forests.
+
+    Whoever asks for the rows of a partition gets the sums of each task's buckets as one piece.
+    """
 
     def run(batches):
-        asked, size = [], 0
+        asked, size, asker = [], 0, TaskContext.get().partitionId()
 
         def flush():
             owner, nodes, keys = (np.concatenate([a[i] for a in asked]) for i in range(3))
             asked_by, owner = np.unique(owner, return_inverse=True)
             at, data = by_bucket(nodes % buckets, keys, owner, asked_by)
-            return pieces(at, ASKED, data)
+            return pieces(at, ASKED, data, asker)
 
         for batch in batches:
             texts = [lowered(t) for t in batch.column(1).to_pylist()]
@@ -640,7 +702,7 @@ def tree_scores(rows: DataFrame, tree, rare: DataFrame, buckets: int, tasks: int
             scores = tree.value.scores(texts, found)
             asked += [(row[owner], nodes, keys) for owner, nodes, keys in found]
             size += sum(len(f[0]) for f in found)
-            yield pieces(list(row % buckets), TEXT, [None] * len(row), row, scores)
+            yield pieces([asker % buckets], TEXT, [scored(row, scores)], asker)
             if size >= most:
                 yield flush()
                 asked, size = [], 0
@@ -648,46 +710,57 @@ def tree_scores(rows: DataFrame, tree, rare: DataFrame, buckets: int, tasks: int
             yield flush()
 
     def answer(batches):
-        texts: list = []
-
-        def asked():
-            for batch in batches:
-                text = pc.equal(batch.column(1), TEXT)
-                own = batch.filter(text)
-                texts.append(pa.RecordBatch.from_arrays(
-                    [own.column(2), pa.array(np.ones(len(own), np.int64)), own.column(4)], names=["row", "copies", "score"]))
-                yield batch.filter(pc.invert(text))
-
-        def told(row, score):
+        def told(found, kind=ASKED):
             return pa.RecordBatch.from_arrays(
-                [pa.array(row), pa.array(np.zeros(len(row), np.int64)), pa.array(score)], names=["row", "copies", "score"])
+                [pa.array([k for k, _ in found], pa.int32()), pa.array([kind] * len(found), pa.int32()),
+                 pa.array([data for _, data in found], pa.binary())], names=["asker", "kind", "data"])
 
-        rows_of, scores, size = [], [], 0
-        for forest, kind, data in forests(asked(), tree.value.first, tree.value.child):
-            while texts:
-                yield texts.pop()
+        held = Answers(most)
+        for forest, kind, asker, data in forests(batches, tree.value.first, tree.value.child):
+            if kind == TEXT:
+                yield told([(asker, data)], TEXT)
+                continue
             if kind == TAUGHT:
                 forest.predict(tree.value)
                 continue
             data, asked_by = without_rows(data)
             keys, owner = unpacked(data)
-            rows_of.append(asked_by)
-            scores.append(np.bincount(owner, forest.scores(keys), len(asked_by)))
-            size += len(asked_by)
-            if size >= most:  # a text's buckets add up in the task
-                row, score = merged(rows_of, scores)
-                rows_of, scores, size = [row], [score], len(row)
-                if size >= most // 2:
-                    yield told(row, score)
-                    rows_of, scores, size = [], [], 0
-        if size:
-            yield told(*merged(rows_of, scores))
-        yield from texts
+            if full := held.add(asker, asked_by, np.bincount(owner, forest.scores(keys), len(asked_by))):
+                yield told(full)
+        if held.size:
+            yield told(held.all())
+
+    def add_up(batches):
+        now, held = None, []  # keys, scores and copies of an asker's rows
+
+        def sums():
+            keys, scores, copies = (np.concatenate([h[i] for h in held]) for i in range(3))
+            row, at = np.unique(keys, return_inverse=True)
+            return row, np.bincount(at, scores, len(row)), np.bincount(at, copies, len(row)).astype(np.int64)
+
+        def batch_of():
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in sums()], names=["row", "score", "copies"])
+
+        size = 0
+        for batch in batches:
+            for asker, kind, data in zip(*(c.to_pylist() for c in batch.columns)):
+                if asker != now and held:
+                    yield batch_of()
+                    held, size = [], 0
+                row, score = unscored(data)
+                now, size = asker, size + len(row)
+                held.append((row, score, np.full(len(row), int(kind == TEXT))))
+                if size >= most + 2 * len(held[0][0]):
+                    held = [sums()]
+                    size = len(held[0][0])
+        if held:
+            yield batch_of()
 
     ordered = rows.mapInArrow(run, PIECE).unionByName(rare).repartition(tasks, "bucket")
-    answers = ordered.sortWithinPartitions("bucket", "kind").mapInArrow(answer, "row long, copies long, score double")
+    answers = ordered.sortWithinPartitions("bucket", "kind").mapInArrow(answer, "asker int, kind int, data binary")
+    summed = answers.repartition(tasks, "asker").sortWithinPartitions("asker").mapInArrow(add_up, "row long, score double, copies long")
     # repeated rows ask together: each has its share
-    return answers.groupBy("row").agg((F.sum("score") / F.sum("copies")).alias("tree_score"))
+    return summed.groupBy("row").agg((F.sum("score") / F.sum("copies")).alias("tree_score"))
 
 
 # ---------------------------------------------------------------- scoring
@@ -697,37 +770,28 @@ class Scorer:
     """Tree scores of texts, and the base model's for frequent words."""
 
     def __init__(self, tree: ContextTree | None, words: np.ndarray, counts: np.ndarray, tokens: int, kinds: int, ends: int):
-        self.tree, self.words, self.counts = tree, words, counts
-        self.tokens, self.kinds, self.ends = tokens, kinds, ends
-        self.__setstate__(self.__dict__)
-
-    def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k != "seen"}
-
-    def __setstate__(self, state):
-        self.__dict__.update(state)
-        self.seen = Recent(self.find)
-
-    def base(self, count: float) -> float:
-        return float(np.log10((count + 0.1) / (self.tokens + 0.1 * (self.kinds + 1))))
-
-    def find(self, word: bytes) -> tuple[float, int]:
-        """Base score and 0 of a frequent word; 0 and the hash of any other."""
-        key = word_hash(word)
-        at = int(np.searchsorted(self.words, key))
-        if at < len(self.words) and self.words[at] == key:
-            return self.base(self.counts[at]), 0
-        return 0.0, key or 1
-
-    def rows(self, texts: list[bytes]) -> Iterator[tuple[int, float, float, dict[int, int]]]:
-        """Tokens, base score of frequent tokens and the end, tree score, other words with their counts."""
-        for text, score in zip(texts, self.tree.scores(texts) if self.tree else np.zeros(len(texts))):
-            found = [self.seen[w] for w in text.split()]
-            rare: dict[int, int] = {}
-            for _, key in found:
-                if key:
-                    rare[key] = rare.get(key, 0) + 1
-            yield len(found) + 1, sum([f[0] for f in found]) + self.base(self.ends), float(score), rare
+        """`words`: the sorted hashes of the frequent words, `counts` their counts."""
+        self.tree, self.words, self.tokens, self.kinds = tree, words, tokens, kinds
+        self.bases, self.end = self.base(counts), self.base(ends)
+
+    def base(self, count):
+        return np.log10((count + 0.1) / (self.tokens + 0.1 * (self.kinds + 1)))
+
+    def rows(self, texts: list[bytes]) -> tuple[np.ndarray, ...]:
+        """Per text its tokens, base score of frequent tokens and the end, tree score; then text, hash and times of other words."""
+        found = [text.split() for text in texts]
+        n = np.array([len(words) for words in found], np.int64)
+        keys = word_hashes(chain.from_iterable(found), n.sum())
+        owner = np.repeat(np.arange(len(texts)), n)
+        at = np.minimum(np.searchsorted(self.words, keys), max(len(self.words) - 1, 0))
+        known = self.words[at] == keys if len(self.words) else np.zeros(len(keys), bool)
+        base = np.bincount(owner[known], self.bases[at[known]], len(texts)) + self.end
+        owner, keys = owner[~known], keys[~known]
+        order = np.lexsort((keys, owner))
+        owner, keys = owner[order], keys[order]
+        first = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])][:len(keys)])
+        score = self.tree.scores(texts) if self.tree else np.zeros(len(texts))
+        return n + 1, base, score, owner[first], keys[first], np.diff(np.r_[first, len(keys)])
 
 
 def model_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train: Column | None = None,
@@ -770,16 +834,14 @@ def model_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def run(batches):
         for batch in batches:
             texts = [lowered(t) for t in batch.column(1).to_pylist()]
-            keys, words_of, times, info = [], [], [], []
-            for doc_id, text, row, (n, base, score, rare) in zip(
-                    batch.column(0).to_pylist(), texts, batch.column(2).to_pylist(), scorer.value.rows(texts)):
-                keys += [row] * (len(rare) + 1)
-                words_of += [row, *rare]
-                times += [0, *rare.values()]
-                info += [{"doc_id": doc_id, "n_tokens": n, "base": base, "score": score, "bytes": len(text)}, *[None] * len(rare)]
+            row = batch.column(2).to_numpy(zero_copy_only=False)
+            n, base, score, owner, word, times = scorer.value.rows(texts)
+            info = pa.StructArray.from_arrays(
+                [batch.column(0).cast(pa.int64()), *map(pa.array, (n, base, score)), pa.array(map(len, texts), pa.int64())], fields=list(INFO))
+            own = pa.array(np.arange(len(texts)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(words_of, pa.int64()), pa.array(times, pa.int64()), pa.array(info, INFO)],
-                names=["row", "word", "times", "info"])
+                [pa.array(np.r_[row, row[owner]]), pa.array(np.r_[row, word]), pa.array(np.r_[np.zeros(len(row), np.int64), times]),
+                 info.take(pa.concat_arrays([own, pa.nulls(len(owner), own.type)]))], names=["row", "word", "times", "info"])
 
     parts = rows.mapInArrow(
         run, "row long, word long, times long, info struct<doc_id long, n_tokens long, base double, score double, bytes long>")
