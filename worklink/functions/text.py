@@ -10,6 +10,7 @@ WHITESPACE = "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
 TRUE_WORDS = ["t", "true", "1", "yes"]
 NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 TIMESTAMP_FORMATS = ("yyyy-M-d H:m:s.SSSSSS", "yyyy-M-d H:m:s", "yyyy-M-d")
+PLAIN_TIMESTAMP = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}( [0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}(\.[0-9]{1,6})?)?$"
 
 
 def as_text(c: Column) -> Column:
@@ -109,9 +110,17 @@ def to_num_text(c: Column) -> Column:
 
 
 def timestamp_of(c: Column) -> Column:
-    """FN-19: timestamp in one of three text formats, anything else is null."""
+    """FN-19: timestamp in one of three text formats, anything else is null.
+
+    A format that does not fit costs an exception per row. Texts with four digits of a year are read by the
+    cast, which knows their three shapes; any other is tried with the one format that has its punctuation.
+    """
     text = strip(c)
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in TIMESTAMP_FORMATS])
+    exact, seconds, day = [F.try_to_timestamp(text, F.lit(f)) for f in TIMESTAMP_FORMATS]
+    return (
+        F.when(text.rlike(PLAIN_TIMESTAMP), text.try_cast("timestamp"))
+        .when(text.contains("."), exact).when(text.contains(":"), seconds).otherwise(day)
+    )
 
 
 def fmt_date(ts: Column) -> Column:
