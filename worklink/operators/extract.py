@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -142,25 +142,31 @@ def _expr(members: Members, field: Field) -> Column:
 
 
 def flatten(df: DataFrame, fields: tuple[Field, ...],
-            extra: Callable[[Members], dict[str, Column]] | None = None) -> DataFrame:
+            extra: Callable[[Members], dict[str, Column]] | None = None, columns: Collection[str] | None = None) -> DataFrame:
     """Raw columns plus one column per field, without a join.
 
-    A field whose name a raw column already has comes out as `<name>_meta`.
+    A field whose name a raw column already has comes out as `<name>_meta`. With `columns` only these fields come out, with
+    the values they have among all; an object of which none of them reads a member is not opened.
     """
+    if columns is not None:
+        unknown = set(columns) - {f.column for f in fields}
+        if unknown:
+            raise ValueError(f"no such fields: {', '.join(sorted(unknown))}")
+        fields = tuple(f for f in fields if f.column in columns)
     raw, members = df.columns, Members(fields)
 
     def name(column: str) -> str:
         return f"{column}_meta" if column in raw else column
 
-    columns = {f.column: _expr(members, f) for f in fields} | (extra(members) if extra else {})
+    found = {f.column: _expr(members, f) for f in fields} | (extra(members) if extra else {})
     return members.read(df).select(
-        *[F.col(c) for c in raw], *[e.alias(name(c)) for c, e in columns.items()]
+        *[F.col(c) for c in raw], *[e.alias(name(c)) for c, e in found.items()]
     )
 
 
-def flatten_profile(df: DataFrame) -> DataFrame:
-    """PRJ-01: 94 columns of the seeker document."""
-    return flatten(df, FIELD_MAPS["profile"])
+def flatten_profile(df: DataFrame, columns: Collection[str] | None = None) -> DataFrame:
+    """PRJ-01: 94 columns of the seeker document, or some of them."""
+    return flatten(df, FIELD_MAPS["profile"], columns=columns)
 
 
 def flatten_organization(df: DataFrame) -> DataFrame:
@@ -187,9 +193,9 @@ def salary_basis(members: Members) -> dict[str, Column]:
     return {"unified_salary_min": bound("min"), "unified_salary_max": bound("max")}
 
 
-def flatten_posting(df: DataFrame) -> DataFrame:
-    """PRJ-03: 87 columns of the posting document."""
-    return flatten(df, FIELD_MAPS["job_posting"], salary_basis)
+def flatten_posting(df: DataFrame, columns: Collection[str] | None = None) -> DataFrame:
+    """PRJ-03: 87 columns of the posting document, or some of its fields (without the salary bounds by nature of job)."""
+    return flatten(df, FIELD_MAPS["job_posting"], salary_basis if columns is None else None, columns)
 
 
 def flatten_application(df: DataFrame) -> DataFrame:

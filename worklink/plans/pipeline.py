@@ -6,14 +6,14 @@ writes a stage only where its result is read several times.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Collection, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from worklink.constants import STATES, TEST_ORG_WORDS
+from worklink.constants import LOCATION_COLUMNS, ROLE_COLUMNS, STATES, TEST_ORG_WORDS
 from worklink.operators import extract, matching
 from worklink.operators.flags import denylist_filters, flag_table
 from worklink.operators.labels import Labeller, LabellerDown, label_all_locations, label_roles
@@ -36,6 +36,16 @@ CLEANERS = {
 }
 
 
+#: Fields of the documents that labels, flags, matching and OPEN_ROLES read. A run that ends with this report and writes
+#: no table on its way needs no others.
+OPEN_ROLES_FIELDS = {
+    "profile": (*LOCATION_COLUMNS["profile"], *ROLE_COLUMNS["profile"], "phone", "iti_specialization",
+                "monthly_in_hand_preferred", "highest_qualification"),
+    "job_posting": (*LOCATION_COLUMNS["job_posting"], "role", "job_title", "positions", "job_description",
+                    "min_monthly_in_hand", "max_monthly_in_hand", "min_education_level"),
+}
+
+
 def kind_of(table: str) -> str:
     """Logical table of a name such as user_seeker or org_provider."""
     base = table.removesuffix("_seeker").removesuffix("_provider")
@@ -52,9 +62,10 @@ def by_side(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return out
 
 
-def clean(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Flattened and cleaned tables."""
-    return {t: clean_one(t, df) for t, df in raw.items()}
+def clean(raw: dict[str, DataFrame], columns: dict[str, Collection[str]] | None = None) -> dict[str, DataFrame]:
+    """Flattened and cleaned tables; of the documents named in `columns` only these fields, without the documents themselves."""
+    columns = columns or {}
+    return {t: CLEANERS[kind_of(t)](df, columns[t]).drop("metadata") if t in columns else clean_one(t, df) for t, df in raw.items()}
 
 
 def clean_one(table: str, df: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ from worklink.plans import open_roles as roles
 from worklink.plans import rules
 from worklink.plans import seeker_profile as seekers
 from worklink.plans.application_fact import application_fact
-from worklink.plans.pipeline import clean, enrich, flag_all
+from worklink.plans.pipeline import OPEN_ROLES_FIELDS, clean, enrich, flag_all
 from worklink.session import configure, scratch, stage
 from worklink.sinks import runlog
 from worklink.sinks.tables import BOM, align_to_headers, all_text, with_headers, write_table
@@ -908,7 +908,7 @@ def pending_outputs(spark, d):
 
 @query(O.WHOLE_RUN)
 def whole_run(spark, d):
-    """Raw documents to the job report: flatten, label, flag, match, report."""
+    """Raw documents to the job report: flatten, label, flag, match, report. Tables on the way hold what later steps read."""
     raw = {
         "profile": bind(spark, d, "raw_profile").withColumn("user_id", F.concat(F.lit("U"), c("id"))),
         "job_posting": bind(spark, d, "raw_posting").withColumns({
@@ -918,7 +918,7 @@ def whole_run(spark, d):
         }),
     }
     places = bind(spark, d, "gazetteer").withColumnRenamed("text", "value")
-    flat = {t: stage(df) for t, df in clean(raw).items()}
+    flat = {t: stage(df) for t, df in clean(raw, OPEN_ROLES_FIELDS).items()}
     labelled = {t: stage(df) for t, df in enrich(flat, places, bind(spark, d, "taxonomy")).items()}
     tables = flag_all(labelled, deny_table(spark, d), DOMAINS)
     fit = matching.fit_counts(tables["profile"], tables["job_posting"], "job")
