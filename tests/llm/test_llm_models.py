@@ -379,6 +379,26 @@ def test_url_threshold_separates():
     assert urls.UrlFilter([], bad).verdicts(np.zeros(1))[0] == "block" and urls.UrlFilter([], []).verdicts(np.zeros(1))[0] == "allow"
 
 
+def test_url_models_learn_from_every_url(spark):
+    """More URLs of a verdict than the driver once took; and the same where most grams are too rare for the broadcast."""
+    rng = random.Random(11)
+    rows = [(i, f"http://h{i % 50}.com/{rng.randrange(10 ** 6)}/{i}") for i in range(20_400)]
+    rows += [(30_000 + i, f"http://s{i % 9}.net/es/{rng.randrange(10 ** 4)}-{i}") for i in range(600)]
+    rows += [(40_000 + i, f"http://o{i}.org/p/{i}") for i in range(50)] + [(50_000, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string").repartition(3)
+    known = pages.filter("url is not null").select("url").distinct().orderBy(F.xxhash64("url"), "url").collect()
+    sides = [[urls.plain(r.url) for r in known if part in r.url] for part in (".com/", ".net/es/")]
+    model = urls.UrlFilter(*sides)
+    expected = dict(zip([i for i, _ in rows], model.scores([urls.plain(u) for _, u in rows])))
+    found = {r.page_id: r for r in urls.filter_urls(pages, RULES).collect()}
+    assert len(found) == len(rows) and all(found[i].score == pytest.approx(s, abs=1e-12) for i, s in expected.items())
+    free = [i for i in expected if i >= 40_000]
+    assert [found[i].verdict for i in free] == model.verdicts(np.array([expected[i] for i in free])).tolist()
+    joined = {r.page_id: r for r in urls.filter_urls(pages, RULES, table_rows=300).collect()}
+    assert joined.keys() == found.keys()
+    assert all(joined[i].score == pytest.approx(s, abs=1e-9) and joined[i].verdict == found[i].verdict for i, s in expected.items())
+
+
 # ------------------------------------------------------------------ pipeline
 
 
