@@ -3,7 +3,8 @@
 Scores depend on a few columns of a seeker and a few of a job. Rows that agree
 on them are collapsed into one signature with a row count; signatures are
 scored against each other; counts of fits come straight from the signature
-sizes, and rows are expanded again only for the pairs that are reported.
+sizes, and rows are expanded again only for the pairs that are reported, in the
+task that scores them.
 """
 
 from __future__ import annotations
@@ -45,6 +46,7 @@ from worklink.session import stage
 
 SEEKER_SIGNATURE = ["state", "sk_key", "sk_state", "sk_district", "sk_salary", "sk_level"]
 JOB_SIGNATURE = ["state", "pr_role", "pr_state", "pr_district", "pr_min", "pr_max", "pr_level"]
+PACK_ROWS = 64  # rows of a signature that travel together
 
 
 def only_states(df: DataFrame, states: Sequence[str] | None) -> DataFrame:
@@ -179,15 +181,23 @@ def scored_signatures(seekers: DataFrame, jobs: DataFrame, pairs: DataFrame | No
     is built with that floor (on the rounded score) to begin with.
     """
     sk, pr = _sides(seekers, jobs)
-    pairs = _fitting_pairs(sk, pr, pairs)
+    return _scored(sk, pr, _fitting_pairs(sk, pr, pairs), F.lit(1), F.lit(1), SEEKER_SIGNATURE)
+
+
+def _scored(sk: DataFrame, pr: DataFrame, pairs: DataFrame, sk_rows: Column, pr_rows: Column, spread: list[str]) -> DataFrame:
+    """Rows of both sides whose roles fit, scored; a row stands for as many as `sk_rows` and `pr_rows` say.
+
+    What a popular role gives is cut into pieces: the seekers' rows, which come once for each role they fit, are dealt to
+    them by the `spread` columns, the jobs, which are fewer, go to all.
+    """
     # a popular trade and a popular role both multiply: each is cut into pieces by its result, counted in one pass
-    trades = sk.groupBy("state", "sk_key").agg(F.count(F.lit(1)).alias("_n"))
-    wanted = pairs.join(trades, "sk_key").select("state", "pr_role", "_n")
+    trades = sk.groupBy("state", "sk_key").agg(F.count(F.lit(1)).alias("_n"), F.sum(sk_rows).alias("_rows"))
+    wanted = pairs.join(trades, "sk_key").select("state", "pr_role", "_rows")
     sizes = result_sizes({
         "trade": (key_rows(trades, ["sk_key"], F.col("_n")), key_rows(pairs, ["sk_key"])),
-        "role": (key_rows(pr, ["state", "pr_role"]), key_rows(wanted, ["state", "pr_role"], F.col("_n")))})
-    with_roles = product_join(sk, pairs, ["sk_key"], SEEKER_SIGNATURE, sizes=sizes["trade"])
-    joined = product_join(pr, with_roles, ["state", "pr_role"], JOB_SIGNATURE, sizes=sizes["role"])
+        "role": (key_rows(pr, ["state", "pr_role"], pr_rows), key_rows(wanted, ["state", "pr_role"], F.col("_rows")))})
+    with_roles = product_join(sk, pairs, ["sk_key"], spread, sizes=sizes["trade"])
+    joined = product_join(with_roles, pr, ["state", "pr_role"], spread, sizes=sizes["role"])
     # as generators, so that a score is computed once: filters would be pushed into the join with copies of all of them
     parts = F.struct(
         S.location_score_of(F.col("sk_state"), F.col("pr_state"), F.col("sk_district"), F.col("pr_district")).alias("location_score"),
@@ -221,14 +231,38 @@ def expand(signatures: DataFrame, seekers: DataFrame, jobs: DataFrame) -> DataFr
     return joined.drop("sk_state", "sk_district", "sk_salary", "sk_level", "seeker_row")
 
 
+def _packed(rows: DataFrame, signature: list[str], name: str) -> DataFrame:
+    """Rows by signature, at most PACK_ROWS of one together as an array of what they carry; a signature may have many packs.
+
+    Sorted ranges number the rows, so that a signature with most of the rows is no task's alone.
+    """
+    carried = F.struct(*[c for c in rows.columns if c not in signature]).alias("_row")
+    dealt = rows.select(*signature, carried).withColumn("_h", F.xxhash64("_row"))
+    dealt = dealt.repartitionByRange(*signature, "_h").sortWithinPartitions(*signature, "_h").drop("_h")
+    numbered = stage(dealt.withColumn("_at", F.monotonically_increasing_id()))
+    packs = numbered.groupBy(*signature, F.floor(F.col("_at") / PACK_ROWS).alias(f"_pack_{name}"))
+    return stage(packs.agg(F.collect_list("_row").alias(name)))
+
+
+def matched(seekers: DataFrame, jobs: DataFrame) -> DataFrame:
+    """JN-02, JN-03: state, scores and what both rows carry, of every reported pair of a seeker and a job.
+
+    `seekers` and `jobs` hold their signature columns plus whatever is to be carried along. Signatures come with
+    their rows in packs, so a scored pair is expanded where it was scored: what is shuffled is the seekers' packs, once for
+    every role that fits their trade, and the jobs' packs, but no pair.
+    """
+    sk = _packed(seekers, SEEKER_SIGNATURE, "seekers").withColumn("wanted", _bound("sk_salary"))
+    pr = _packed(jobs, JOB_SIGNATURE, "jobs").withColumns(S.salary_range(_bound("pr_min"), _bound("pr_max")))
+    scored = _scored(sk, pr, _fitting_pairs(sk, pr, None), F.size("seekers"), F.size("jobs"), [*SEEKER_SIGNATURE, "_pack_seekers"])
+    some = scored.select("state", *SCORES, "jobs", F.explode("seekers").alias("_seeker"))
+    return some.select("state", *SCORES, "_seeker", F.explode("jobs").alias("_job")).select("state", *SCORES, "_seeker.*", "_job.*")
+
+
 def match(seekers: DataFrame, jobs: DataFrame, states: Sequence[str] | None = None) -> DataFrame:
     """RUL-21: ids and scores of every reported pair."""
     sk, pr = keyed_seekers(only_states(seekers, states)), keyed_jobs(only_states(jobs, states))
-    scored = stage(scored_signatures(sk, pr))
-    return expand(
-        scored,
-        sk.select(*SEEKER_SIGNATURE, F.col("id").alias("seeker_row"),
-                  trimmed(F.col("user_id")).alias("seeker_id")),
+    return matched(
+        sk.select(*SEEKER_SIGNATURE, trimmed(F.col("user_id")).alias("seeker_id")),
         pr.select(*JOB_SIGNATURE, trimmed(F.col("id")).alias("provider_job_id")),
     ).select("state", "seeker_id", "provider_job_id", *SCORES)
 
@@ -441,8 +475,6 @@ def match_report(seekers: DataFrame, jobs: DataFrame, users_seeker: DataFrame,
     """
     sk = keyed_seekers(only_states(seekers, states))
     pr = keyed_jobs(only_states(jobs, states))
-    if scored is None:
-        scored = stage(scored_signatures(sk, pr))
     rich_sk = enrich_seekers(sk, users_seeker, members, orgs)
     rich_pr = enrich_jobs(pr, users_provider)
 
@@ -479,7 +511,11 @@ def match_report(seekers: DataFrame, jobs: DataFrame, users_seeker: DataFrame,
         }),
     )
     pct = percent_text if display else percent
-    return expand(scored, seeker_side, job_side).select(
+    if scored is None:
+        rows = matched(seeker_side.drop("seeker_row"), job_side)
+    else:
+        rows = expand(scored, seeker_side, job_side)
+    return rows.select(
         "state", "seeker_id", "provider_job_id", "match_category",
         percent_even(F.col("confidence")).alias("confidence_score_%"),
         S.confidence_label(F.col("confidence")).alias("confidence_label"),
